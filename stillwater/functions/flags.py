@@ -23,7 +23,7 @@ def contains_any(flag: Column, labels: Iterable[str]) -> Column:
 
 def has_token(flag: Column, label: str) -> Column:
     """Whole-label test: "site visit window" does not hold "site visit"."""
-    tokens = F.transform(F.split(flag, ";"), F.trim)
+    tokens = F.transform(F.split(flag, ";"), lambda t: F.trim(t))
     return F.coalesce(F.array_contains(tokens, label), F.lit(False))
 
 
@@ -56,7 +56,7 @@ def tidied(flag: Column) -> Column:
     for text, label in TIDY_RULES:
         whole = whole.when(flag.contains(text), F.lit(label))
     whole = whole.otherwise(flag)
-    tokens = F.transform(F.split(F.regexp_replace(whole, "\n", " "), ";"), F.trim)
+    tokens = F.transform(F.split(F.regexp_replace(whole, "\n", " "), ";"), lambda t: F.trim(t))
     tokens = F.filter(tokens, lambda t: t != "")
     keyed = F.array_sort(F.transform(tokens, lambda t: F.struct(F.lower(t).alias("k"), t.alias("v"))))
     return F.nullif(F.array_join(F.transform(keyed, lambda s: s["v"]), ";"), F.lit(""))

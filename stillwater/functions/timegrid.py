@@ -43,4 +43,6 @@ def parse_any(text: Column, formats: tuple[str, ...] = NOTE_TIME_FORMATS) -> Col
     plain = F.regexp_replace(F.trim(text), r"(?<=\d)T(?=\d)", " ")
     plain = F.regexp_replace(plain, r"Z$|\.\d+Z?$", "")
     plain = F.trim(F.regexp_replace(plain, r"[-/,._\s]+", " "))
-    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in formats])
+    # the one-element array gives the cleaned text a name, so it is computed once and not per format
+    read = F.transform(F.array(plain), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]))
+    return F.get(read, 0)

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 GROUP = ("site", "parameter", "season")
 SKETCH_ACCURACY = 10000
 BRACKET = 20 / SKETCH_ACCURACY
+SMALL = int(4 / BRACKET)
 
 
 def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
     """Interpolated quantiles (the position is ``p * (n - 1)``), exact, without holding a group in memory.
 
-    A mergeable sketch brackets each quantile first, far wider than its error bound. A second pass
+    A mergeable sketch brackets each quantile first, far wider than its error bound (a small group is
+    its own bracket). A second pass
     counts the distinct values inside the bracket and everything on its near side, combined before
     the shuffle; only those few counts are ordered. A bracket that missed would fail the query.
     """
@@ -21,8 +23,10 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
     for n, (_, p) in wanted.items():
         v = F.col(f"_v_{n}")
         ends = F.percentile_approx(v, [max(p - BRACKET, 0.0), min(p + BRACKET, 1.0)], SKETCH_ACCURACY)
-        sketches.append(F.struct(F.count(v).alias("n"), F.get(ends, 0).alias("lo"), F.get(ends, 1).alias("hi"))
-                        .alias(f"_b_{n}"))
+        small = F.count(v) < SMALL
+        sketches.append(F.struct(
+            F.count(v).alias("n"), F.when(small, F.min(v)).otherwise(F.get(ends, 0)).alias("lo"),
+            F.when(small, F.max(v)).otherwise(F.get(ends, 1)).alias("hi")).alias(f"_b_{n}"))
     brackets = values.groupBy(*keys).agg(*sketches)
 
     hits = []

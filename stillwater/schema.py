@@ -181,9 +181,9 @@ TIDY_RULES = (
 
 # Spark patterns after separators became single blanks (date, compact and US field styles)
 NOTE_TIME_FORMATS = (
-    "y M d H:m:s", "y M d H:m", "y M d",
+    "yyyy M d H:m:s", "yyyy M d H:m", "yyyy M d",
     "yyyyMMdd H:m:s",
     "MMddyy H:m", "M d yy H:m",
-    "MMddyyyy H:m", "M d y H:m",
-    "MMMddyy H:m", "MMM d yy H:m", "MMM d y H:m",
+    "MMddyyyy H:m", "M d yyyy H:m",
+    "MMMddyy H:m", "MMM d yy H:m", "MMM d yyyy H:m",
 )
