@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import ensure_column, fold
 from ..functions.text import matches
 from ..functions.timegrid import floor_to
-from ..plans.asof import STATE, attach_states
+from ..plans.asof import States, attach_states
 from ..plans.layout import Layout
 from ..plans.scan import running
 from ..schema import GENERAL_MALFUNCTION, MALFUNCTION_KINDS
@@ -21,8 +21,8 @@ LABELS = (*[label for _, _, label in MALFUNCTION_KINDS], GENERAL_MALFUNCTION)
 SEPARATOR = ";\n"
 
 
-def malfunction_spans(records: DataFrame, layout: Layout = Layout()) -> tuple[DataFrame, DataFrame]:
-    """Disjoint state spans: (site-wide, per site and parameter)."""
+def malfunction_states(records: DataFrame, layout: Layout = Layout()) -> States:
+    """What is in force from when to when: for the whole sonde, and for single sensors."""
     notes = F.col("notes")
     known = {kind: matches(notes, pattern) for kind, pattern, _ in MALFUNCTION_KINDS}
     general = F.lit(True)
@@ -54,16 +54,12 @@ def malfunction_spans(records: DataFrame, layout: Layout = Layout()) -> tuple[Da
     )
     spans = running(steps, ("site", "scope"), "_from", "_bucket",
                     sums={f"{k}_on": F.col(k) for k in KINDS}, following="_to")
-    spans = spans.select("site", "scope", "_from", "_to",
-                         F.struct(*[(F.col(f"{k}_on") > 0).alias(k) for k in KINDS]).alias(STATE))
-    sitewide = spans.where(F.col("scope") == "*").drop("scope")
-    own = spans.where(F.col("scope") != "*").withColumnRenamed("scope", "parameter")
-    return sitewide, own
-
-
-def malfunction_states(records: DataFrame, layout: Layout = Layout()) -> dict:
-    sitewide, own = malfunction_spans(records, layout)
-    return {"_sonde_state": (sitewide, ("site",)), "_sensor_state": (own, ("site", "parameter"))}
+    sonde = F.col("scope") == "*"
+    state = F.struct(*[(F.col(f"{k}_on") > 0).alias(k) for k in KINDS])
+    spans = spans.select(
+        "site", F.when(~sonde, F.col("scope")).alias("parameter"), "_from", "_to",
+        F.when(sonde, state).alias("_sonde_state"), F.when(~sonde, state).alias("_sensor_state"))
+    return [spans], {"_sonde_state": ("site",), "_sensor_state": ("site", "parameter")}
 
 
 def malfunction_rules() -> list[tuple[str, Column]]:

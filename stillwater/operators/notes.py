@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import ensure_column
 from ..functions.text import matches, replace_first, standard_site
 from ..functions.timegrid import floor_to, join_stamp, parse_any, round_time
-from ..plans.asof import STATE, attach_states
+from ..plans.asof import States, attach_states
 from ..plans.layout import Layout
 from ..plans.scan import running
 from ..schema import FIELD_PARAMETER_NAMES, SENSOR_PARAMETERS
@@ -111,7 +111,7 @@ CARRIED = {"sonde_employed": "int", "last_site_visit": "timestamp", "sensor_malf
 AT_VISIT = {"sonde_moved": "boolean", "visit_comments": "string", "cals_performed": "string"}
 
 
-def note_states(notes: DataFrame, layout: Layout = Layout()) -> dict:
+def note_states(notes: DataFrame, layout: Layout = Layout()) -> States:
     """Per site, what is known from each note until the next one.
 
     Notes of one site at one stamp count as one note (later starts win, moved if any says so), so a
@@ -142,7 +142,7 @@ def note_states(notes: DataFrame, layout: Layout = Layout()) -> dict:
         *[F.col(c).cast(t).alias(c) for c, t in AT_VISIT.items()],
         F.col("dt_round").alias("noted_at"),
     )
-    return {"_note_state": (spans.select("site", "_from", "_to", state.alias(STATE)), ("site",))}
+    return [spans.select("site", "_from", "_to", state.alias("_note_state"))], {"_note_state": ("site",)}
 
 
 def note_columns(df: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def attach_field_notes(df: DataFrame, notes: DataFrame, layout: Layout = Layout(
                        bounds: DataFrame | None = None) -> DataFrame:
     """Status from the latest note at or before each stamp; visit details at the visit's own stamp.
 
-    ``bounds`` (site, _lo, _hi) spares a pass over the readings that finds their time range.
+    ``bounds`` (one row of _lo, _hi) spares a pass over the readings that finds their time range.
     """
     df = df.drop(*CARRIED, *AT_VISIT)
     return note_columns(attach_states(df, note_states(notes, layout), layout, bounds))

@@ -12,29 +12,24 @@ from pyspark.sql import functions as F
 from ..functions.timegrid import floor_to
 from .layout import CHUNK, CLOCK, CORE, Layout, clock, gather, spread
 
-STATE = "_state"
 
+def time_bounds(df: DataFrame, time_col: str = "dt_round") -> DataFrame:
+    """First and last stamp in seconds, one row."""
+    return df.agg(F.min(clock(time_col)).alias("_lo"), F.max(clock(time_col)).alias("_hi"))
 
-def time_bounds(df: DataFrame, keys: tuple[str, ...] = ("site",), time_col: str = "dt_round") -> DataFrame:
-    """First and last stamp per key in seconds (aggregated before the shuffle)."""
-    return df.groupBy(*keys).agg(F.min(clock(time_col)).alias("_lo"), F.max(clock(time_col)).alias("_hi"))
 
-
-def chunked_states(states: DataFrame, bounds: DataFrame, layout: Layout, before: int, after: int) -> DataFrame:
-    """One row per state and touched chunk, limited to where the site has readings."""
+def chunked_states(spans: DataFrame, bounds: DataFrame, layout: Layout, before: int, after: int) -> DataFrame:
+    """One row per state and touched chunk, limited to the time range of the readings."""
     step, size = layout.step, layout.chunk_size(before, after)
     span = size * step
-    kept = (
-        states.join(bounds, "site")
-        .withColumn("_end", F.least(F.coalesce(F.col("_to"), F.col("_hi") + 1), F.col("_hi") + 1))
-        .where((F.col("_from") <= F.col("_hi")) & (F.col("_end") > F.col("_lo")) & (F.col("_end") > F.col("_from")))
-        .withColumn("_begin", F.greatest("_from", "_lo"))
-    )
+    low, high = bounds.select("_lo").scalar(), bounds.select("_hi").scalar()
+    begin = F.greatest(F.col("_from"), low)
+    end = F.least(F.coalesce(F.col("_to"), high + 1), high + 1)
     chunks = F.sequence(floor_to(F.col("_begin") - after * step, span), floor_to(F.col("_end") + before * step, span))
     return (
-        kept.withColumn(CHUNK, F.explode(chunks))
-        .withColumn(CLOCK, F.col("_from"))
-        .drop("_lo", "_hi", "_end", "_begin", "_to", "_from")
+        spans.withColumns({"_begin": begin, "_end": end}).where(F.col("_end") > F.col("_begin"))
+        .withColumns({CHUNK: F.explode(chunks), CLOCK: F.col("_from")})
+        .drop("_begin", "_end", "_to", "_from")
     )
 
 
@@ -47,26 +42,33 @@ def latest(state: str, *keys: str) -> Column:
     return F.last(state, ignorenulls=True).over(window)
 
 
-def attach_states(df: DataFrame, states: dict[str, tuple[DataFrame, tuple[str, ...]]], layout: Layout,
-                  bounds: DataFrame | None = None) -> DataFrame:
-    """Add one struct column per entry of ``states`` (name -> (spans, keys))."""
+States = tuple[list[DataFrame], dict[str, tuple[str, ...]]]
+
+
+def attach_states(df: DataFrame, states: States, layout: Layout, bounds: DataFrame | None = None) -> DataFrame:
+    """Add one struct column per state.
+
+    ``states``: frames of spans (their keys, ``_from``, ``_to`` and the state columns they set), and
+    the keys by which each state column is looked up.
+    """
     by_clock = Layout(layout.interval, gap_free=True, slots=layout.slots)
     bounds = time_bounds(df) if bounds is None else bounds
     rows = spread(df, by_clock, 0, 0)
     return gather(resolve_states(with_events(rows, states, bounds, by_clock, 0, 0), states))
 
 
-def with_events(rows: DataFrame, states: dict[str, tuple[DataFrame, tuple[str, ...]]], bounds: DataFrame,
-                layout: Layout, before: int, after: int) -> DataFrame:
+def with_events(rows: DataFrame, states: States, bounds: DataFrame, layout: Layout, before: int, after: int) -> DataFrame:
     """Chunked rows plus event rows (marked by ``_core`` NULL), one exchange for both."""
-    for name, (spans, _) in states.items():
-        events = chunked_states(spans.withColumnRenamed(STATE, name), bounds, layout, before, after)
-        rows = rows.unionByName(events, allowMissingColumns=True)
+    for spans in states[0]:
+        rows = rows.unionByName(chunked_states(spans, bounds, layout, before, after), allowMissingColumns=True)
     return rows.repartition("site", CHUNK)
 
 
-def resolve_states(rows: DataFrame, states: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
-    # site-wide windows first: the series order is then kept for what follows
-    for name, (_, keys) in sorted(states.items(), key=lambda s: len(s[1][1])):
-        rows = rows.withColumn(name, latest(name, *keys))
+def resolve_states(rows: DataFrame, states: States) -> DataFrame:
+    # site-wide windows first: the order by series is then kept for what follows
+    by_keys: dict[tuple[str, ...], list[str]] = {}
+    for name, keys in states[1].items():
+        by_keys.setdefault(keys, []).append(name)
+    for keys in sorted(by_keys, key=len):
+        rows = rows.withColumns({name: latest(name, *keys) for name in by_keys[keys]})
     return rows.where(F.col(CORE).isNotNull())

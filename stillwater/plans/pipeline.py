@@ -20,7 +20,7 @@ from ..operators.prepare import fill_markers, grid_markers, interval_summary, pa
 from ..operators.signal import fill_linear, smooth
 from ..operators.statistics import STAT_COLUMNS, with_statistics
 from ..schema import BURIAL, DRIFT, FROZEN, MISSING, OUT_OF_SEASON, OUT_OF_SPEC, REPEATED, SEASONS, SLOPE, UNSUBMERGED
-from .asof import attach_states, resolve_states, with_events
+from .asof import States, attach_states, resolve_states, with_events
 from .layout import CHUNK, CLOCK, Frames, Layout, gather, spread
 
 CURATED_COLUMNS = (
@@ -30,9 +30,12 @@ CURATED_COLUMNS = (
 SUSPECT_WIDTH, NETWORK_WIDTH = 8, 17
 
 
-def _states(notes: DataFrame | None, malfunctions: DataFrame | None, layout: Layout) -> dict:
-    states = note_states(notes, layout) if notes is not None else {}
-    return {**states, **(malfunction_states(malfunctions, layout) if malfunctions is not None else {})}
+def _states(notes: DataFrame | None, malfunctions: DataFrame | None, layout: Layout) -> States:
+    spans, columns = note_states(notes, layout) if notes is not None else ([], {})
+    if malfunctions is not None:
+        more, others = malfunction_states(malfunctions, layout)
+        spans, columns = spans + more, columns | others
+    return spans, columns
 
 
 def _unfold_notes(df: DataFrame, noted: bool) -> DataFrame:
@@ -43,7 +46,7 @@ def _unfold_notes(df: DataFrame, noted: bool) -> DataFrame:
     return df
 
 
-def flag_site_evidence(rows: DataFrame, site_bounds: DataFrame, layout: Layout, *, notes: DataFrame | None = None,
+def flag_site_evidence(rows: DataFrame, bounds: DataFrame, layout: Layout, *, notes: DataFrame | None = None,
                        malfunctions: DataFrame | None = None, thresholds: DataFrame | None = None,
                        spec: DataFrame | dict | None = None, submerged_method: str = "depth",
                        seasons=SEASONS) -> DataFrame:
@@ -60,10 +63,10 @@ def flag_site_evidence(rows: DataFrame, site_bounds: DataFrame, layout: Layout,
 
     if layout.gap_free:
         rows = spread(rows, layout, before, after)
-        rows = resolve_states(with_events(rows, states, site_bounds, layout, before, after), states)
+        rows = resolve_states(with_events(rows, states, bounds, layout, before, after), states)
         rows = fill_markers(rows, "site", "parameter", CHUNK, CLOCK) if "_marker" in rows.columns else rows
     else:
-        rows = attach_states(rows, states, layout, site_bounds) if states else rows
+        rows = attach_states(rows, states, layout, bounds) if states[0] else rows
         rows = spread(rows, layout, before, after)
     rows = _unfold_notes(rows, notes is not None)
 
@@ -144,13 +147,13 @@ def run_pipeline(raw: DataFrame, *, notes: DataFrame | None = None, malfunctions
     if history is None:
         layout = Layout(interval, gap_free=True, slots=slots)
         rows = series_rows.unionByName(grid_markers(bounds, interval), allowMissingColumns=True)
-        site_bounds = bounds.groupBy("site").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+        bounds = bounds.agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     else:
         layout = Layout(interval, gap_free=False, slots=slots)
         rows = merge_preflag(pad_grid(series_rows, interval, bounds), history, period)
         rows = rows.drop("auto_flag")
-        site_bounds = None
-    flagged = flag_site_evidence(rows, site_bounds, layout, notes=notes, malfunctions=malfunctions,
+        bounds = None
+    flagged = flag_site_evidence(rows, bounds, layout, notes=notes, malfunctions=malfunctions,
                                  thresholds=thresholds, spec=spec, submerged_method=submerged_method, seasons=seasons)
     return flag_network(flagged, layout, edges=edges, exempt_parameters=exempt_parameters, max_gap=max_gap,
                         passes=passes)

@@ -2,16 +2,15 @@
 
 A running sum (or last known value) over one key needs all rows before it. Instead of ordering the
 whole key in one task, rows are cut into time buckets: each bucket is reduced to one row, the
-bucket rows are scanned on two levels, and what precedes a bucket is joined back to its rows. The
-join and the window share the exchange on (key, bucket).
+bucket rows are scanned, and what precedes a bucket is joined back to its rows. The scan sees one
+row per key and bucket, so its size is set by the calendar, not by the number of rows: a century of
+one-second data in buckets of 4096 slots is 770 thousand small rows per key.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_GROUP = 1024
-
 
 def running(df: DataFrame, keys: tuple[str, ...], order: str, bucket: str, *,
             sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None,
@@ -23,9 +22,7 @@ def running(df: DataFrame, keys: tuple[str, ...], order: str, bucket: str, *,
     """
     sums, lasts = sums or {}, lasts or {}
     part = [*keys, bucket]
-    staged = df
-    for name, value in {**sums, **lasts}.items():
-        staged = staged.withColumn(f"_in_{name}", value)
+    staged = df.withColumns({f"_in_{n}": value for n, value in {**sums, **lasts}.items()})
 
     totals = staged.groupBy(*part).agg(
         F.min(order).alias("_first"),
@@ -38,41 +35,21 @@ def running(df: DataFrame, keys: tuple[str, ...], order: str, bucket: str, *,
     local = Window.partitionBy(*part).orderBy(order)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
     out = staged.join(carried, part, "left")
-    for n in sums:
-        out = out.withColumn(n, F.coalesce(F.sum(f"_in_{n}").over(upto), F.lit(0))
-                             + F.coalesce(F.col(f"_c_{n}"), F.lit(0)))
-    for n in lasts:
-        out = out.withColumn(n, F.coalesce(F.last(f"_in_{n}", ignorenulls=True).over(upto), F.col(f"_c_{n}")))
+    added = {n: F.coalesce(F.sum(f"_in_{n}").over(upto), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums}
+    added |= {n: F.coalesce(F.last(f"_in_{n}", ignorenulls=True).over(upto), F.col(f"_c_{n}")) for n in lasts}
     if following:
-        out = out.withColumn(following, F.coalesce(F.lead(order).over(local), F.col("_c_next")))
+        added[following] = F.coalesce(F.lead(order).over(local), F.col("_c_next"))
+    out = out.withColumns(added)
     helpers = [f"_in_{n}" for n in (*sums, *lasts)] + [f"_c_{n}" for n in (*sums, *lasts)]
     return out.drop(*helpers, "_c_next")
 
 
 def _carry(totals: DataFrame, keys: tuple[str, ...], bucket: str, sums: list[str], lasts: list[str]) -> DataFrame:
-    """What lies before each bucket (and the first order value after it), scanned on two levels."""
-    group = "_group"
-    totals = totals.withColumn(group, F.floor(F.col(bucket) / BUCKETS_PER_GROUP))
-    by_group = totals.groupBy(*keys, group).agg(
-        F.min("_first").alias("_gfirst"),
-        *[F.sum(f"_t_{n}").alias(f"_g_{n}") for n in sums],
-        *[F.max_by(f"_t_{n}", F.when(F.col(f"_t_{n}").isNotNull(), F.col(bucket))).alias(f"_g_{n}")
-          for n in lasts],
-    )
-    outer = Window.partitionBy(*keys).orderBy(group)
-    earlier = outer.rowsBetween(Window.unboundedPreceding, -1)
-    by_group = by_group.select(
-        *keys, group, F.lead("_gfirst").over(outer).alias("_gnext"),
-        *[F.sum(f"_g_{n}").over(earlier).alias(f"_b_{n}") for n in sums],
-        *[F.last(f"_g_{n}", ignorenulls=True).over(earlier).alias(f"_b_{n}") for n in lasts],
-    )
-    inner = Window.partitionBy(*keys, group).orderBy(bucket)
-    before = inner.rowsBetween(Window.unboundedPreceding, -1)
-    return totals.join(by_group, [*keys, group], "left").select(
-        *keys, bucket,
-        F.coalesce(F.lead("_first").over(inner), F.col("_gnext")).alias("_c_next"),
-        *[(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0))
-           + F.coalesce(F.col(f"_b_{n}"), F.lit(0))).alias(f"_c_{n}") for n in sums],
-        *[F.coalesce(F.last(f"_t_{n}", ignorenulls=True).over(before), F.col(f"_b_{n}")).alias(f"_c_{n}")
-          for n in lasts],
+    """What lies before each bucket, and the first order value after it."""
+    order = Window.partitionBy(*keys).orderBy(bucket)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *keys, bucket, F.lead("_first").over(order).alias("_c_next"),
+        *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums],
+        *[F.last(f"_t_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in lasts],
     )
