@@ -19,26 +19,32 @@ def tidy_flags(df: DataFrame, column: str = "auto_flag") -> DataFrame:
     return df.withColumn(column, tidied(F.col(column)))
 
 
-def suspect_columns(df: DataFrame, frames: Frames, width: int, frac: float, missing_frac: float) -> DataFrame:
-    """Unflagged rows among mostly flagged rows, then single values among missing ones."""
-    trailing, centred = frames.rows(-(width - 1), 0), frames.rows(-((width + 1) // 2 - 1), width // 2)
+def suspect_inputs() -> dict[str, Column]:
+    flag = F.col("auto_flag")
+    counts = flag.isNotNull() & ~contains_any(flag, SUSPECT_EXCLUDED) & (flag != SUSPECT)
+    return {"_bad": counts.cast("int"), "_gone": F.col("mean").isNull().cast("int")}
+
 
-    def share(value: str, least: float, frame) -> Column:
-        return (F.count(F.lit(1)).over(frame) == width) & (F.avg(value).over(frame) >= least)
+def suspected(frames: Frames, width: int = 8, frac: float = 0.5, missing_frac: float = 7 / 8) -> Column:
+    """Unflagged rows among mostly flagged rows, and single values among missing ones."""
+    trailing, centred = (-(width - 1), 0), (-((width + 1) // 2 - 1), width // 2)
+
+    def share(value: str, least: float, rows: tuple[int, int]) -> Column:
+        return (frames.count(*rows) == width) & (frames.total(value, *rows) >= least * width)
 
     flag = F.col("auto_flag")
-    counts = flag.isNotNull() & ~contains_any(flag, SUSPECT_EXCLUDED) & (flag != SUSPECT)
-    df = df.withColumns({"_bad": counts.cast("int"), "_gone": F.col("mean").isNull().cast("int")})
     among_bad = share("_bad", frac, trailing) | share("_bad", frac, centred)
     alone = F.col("mean").isNotNull() & share("_gone", missing_frac, trailing) & share("_gone", missing_frac, centred)
-    suspect = F.when(flag.isNull() & (among_bad | alone), F.lit(SUSPECT)).otherwise(flag)
-    return df.withColumn("auto_flag", suspect).drop("_bad", "_gone")
+    return F.when(flag.isNull() & (among_bad | alone), F.lit(SUSPECT)).otherwise(flag)
 
 
 def suspect_flag(df: DataFrame, layout: Layout = Layout(), width: int = 8, frac: float = 0.5,
                  missing_frac: float = 7 / 8) -> DataFrame:
-    return over_series(df, layout, width - 1, width // 2,
-                       lambda rows, frames: suspect_columns(rows, frames, width, frac, missing_frac))
+    def build(rows: DataFrame, frames: Frames) -> DataFrame:
+        rows = rows.withColumns(suspect_inputs())
+        return rows.withColumn("auto_flag", suspected(frames, width, frac, missing_frac)).drop("_bad", "_gone")
+
+    return over_series(df, layout, width - 1, width // 2, build)
 
 
 def without_lone_suspect(frames: Frames) -> Column:

@@ -61,13 +61,13 @@ def with_reports(df: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def heard_at(*stamp: str) -> Column:
-    return F.max(~F.col("_own")).over(Window.partitionBy(*stamp))
+    return F.max((~F.col("_own")).cast("int")).over(Window.partitionBy(*stamp))
 
 
 def auto_flag(frames: Frames, width: int, exempt: tuple[str, ...]) -> Column:
     """Clear a telling flag when a neighbour has one inside the full centred window."""
-    frame = frames.rows(-((width - 1) // 2), width // 2)
-    shared = (F.count(F.lit(1)).over(frame) == width) & F.max("_heard").over(frame)
+    first, last = -((width - 1) // 2), width // 2
+    shared = (frames.count(first, last) == width) & (frames.total("_heard", first, last) > 0)
     clear = telling(F.col("flag")) & shared
     if exempt:
         clear = clear & ~F.col("parameter").isin(*exempt)

@@ -100,15 +100,14 @@ def visited() -> Column:
     return (F.col("last_site_visit") == F.col("dt_round")) | has_token(F.col("flag"), SITE_VISIT)
 
 
-def field_columns(df: DataFrame, frames: Frames, after: int, before: int) -> DataFrame:
-    """Add ``_visit`` and ``_sv`` (rows around a visit)."""
-    df = df.withColumn("_visit", true(visited()))
-    around = F.lit(False)
-    if after:
-        around = around | true(F.max("_visit").over(frames.rows(-after, -1)))
-    if before:
-        around = around | true(F.max("_visit").over(frames.rows(1, before)))
-    return df.withColumn("_sv", around)
+def visit_column() -> dict[str, Column]:
+    return {"_visit": true(visited()).cast("int")}
+
+
+def around_visit(frames: Frames, after: int = 4, before: int = 1) -> dict[str, Column]:
+    near = (frames.total("_visit", -after, -1) if after else F.lit(0)) + (
+        frames.total("_visit", 1, before) if before else F.lit(0))
+    return {"_sv": near > 0}
 
 
 def field_rules() -> list[tuple[str, Column]]:
@@ -124,29 +123,30 @@ def field_flags(df: DataFrame, layout: Layout = Layout(), after: int = 4, before
     df = ensure_column(df, "flag")
 
     def build(rows: DataFrame, frames: Frames) -> DataFrame:
-        return fold_flags(field_columns(rows, frames, after, before), field_rules()).drop("_visit", "_sv")
+        rows = rows.withColumns(visit_column())
+        rows = rows.withColumns(around_visit(frames, after, before))
+        return fold_flags(rows, field_rules()).drop("_visit", "_sv")
 
     return over_series(df, layout, after, before, build)
 
 
 # --- dissolved oxygen ------------------------------------------------------
 
-def do_columns(df: DataFrame, frames: Frames, drop: float, low: float, min_hits: int, width: int) -> DataFrame:
-    """Add ``_interfered`` and ``_buried`` (many interfered rows in a full trailing or centred window)."""
-    mean = F.col("mean")
-    is_do = F.col("parameter") == "DO"
+def interference_columns(drop: float = 0.5, low: float = 5.0) -> dict[str, Column]:
+    mean, is_do = F.col("mean"), F.col("parameter") == "DO"
     dip = (F.col("back1") - mean >= drop) & (F.col("front1") - mean >= drop)
-    df = df.withColumn("_interfered", true(is_do & (dip | (mean <= low))))
-    hit = (F.col("_interfered") | (is_do & contains(F.col("flag"), DO_INTERFERENCE))).cast("int")
-    df = df.withColumn("_hit", hit)
+    seen = true(is_do & (dip | (mean <= low)))
+    return {"_interfered": seen, "_hit": (seen | (is_do & contains(F.col("flag"), DO_INTERFERENCE))).cast("int")}
 
+
+def burial_column(frames: Frames, min_hits: int = 24, width: int = 96) -> dict[str, Column]:
+    """Many interfered rows in a full trailing or centred window."""
     def full_of_hits(first: int, last: int) -> Column:
-        frame = frames.rows(first, last)
-        return (F.count(F.lit(1)).over(frame) == width) & (F.sum("_hit").over(frame) >= min_hits)
+        return (frames.count(first, last) == width) & (frames.total("_hit", first, last) >= min_hits)
 
     trailing = full_of_hits(-(width - 1), 0)
     centred = full_of_hits(-((width + 1) // 2 - 1), width // 2)
-    return df.withColumn("_buried", is_do & (trailing | centred)).drop("_hit")
+    return {"_buried": (F.col("parameter") == "DO") & (trailing | centred)}
 
 
 def do_rules() -> list[tuple[str, Column]]:
@@ -159,8 +159,9 @@ def do_noise_flags(df: DataFrame, layout: Layout = Layout(), drop: float = 0.5,
     df = ensure_column(df, "flag")
 
     def build(rows: DataFrame, frames: Frames) -> DataFrame:
-        rows = do_columns(rows, frames, drop, low, min_hits, width)
-        return fold_flags(rows, do_rules()).drop("_interfered", "_buried")
+        rows = rows.withColumns(interference_columns(drop, low))
+        rows = rows.withColumns(burial_column(frames, min_hits, width))
+        return fold_flags(rows, do_rules()).drop("_interfered", "_hit", "_buried")
 
     return over_series(df, layout, width, width // 2, build)
 
@@ -182,59 +183,64 @@ def drift_column(df: DataFrame, new_group: Column, limit: float = 0.5,
                  parameters: tuple[str, ...] = DRIFT_PARAMETERS) -> DataFrame:
     """Add ``_drift``: steadily rising values since the last visit.
 
-    Each window's regression comes from running sums up to the window's end minus those up to its
-    start, so a row costs the same whatever the window length. Values are taken relative to the
-    chunk's mean, and products are summed in an exact coarse part and a small rest, so a difference
-    of two large sums keeps its digits.
+    Each window's regression is the running sums at the window's end minus those before its start,
+    so a row costs the same whatever the window length. Values are taken relative to the chunk's
+    mean, and products are summed in an exact coarse part and a small rest, so a difference of two
+    large sums keeps its digits.
     """
-    chunk = Frames()
-    df = df.withColumn("_visits", F.sum(new_group.cast("int")).over(chunk.rows(Window.unboundedPreceding, 0)))
-    frames = Frames("_visits")
+    chunk, frames = Frames(), Frames("_visits")
     drifting = F.col("parameter").isin(*parameters)
     df = df.withColumns({
+        "_visits": F.sum(new_group.cast("int")).over(chunk.upto(0)),
         "_y": F.when(drifting, F.col("mean") - F.avg("mean").over(chunk.whole)),
-        "_x": F.when(drifting & F.col("mean").isNotNull(), F.row_number().over(frames.ordered).cast("double")),
     })
-    products = {"y": F.col("_y"), "xy": F.col("_x") * F.col("_y"), "yy": F.col("_y") * F.col("_y")}
-    parts = {"n": F.lit(1.0), "m": F.when(F.col("_x").isNotNull(), 1.0), "x": F.col("_x"),
-             "xx": F.col("_x") * F.col("_x")}
-    for name, product in products.items():
+    df = df.withColumn("_x", F.row_number().over(frames.ordered).cast("double"))
+    known = F.col("_y").isNotNull()
+    x, y = F.when(known, F.col("_x")), F.col("_y")
+    parts = {"n": F.when(drifting, 1.0), "m": F.when(known, 1.0), "x": x, "xx": x * x}
+    for name, product in {"y": y, "xy": x * y, "yy": y * y}.items():
         coarse = F.floor(product * 4096.0).cast("double") / 4096.0
-        parts[name] = coarse
-        parts[f"{name}_rest"] = product - coarse
-    df = df.withColumns({f"_p_{k}": v for k, v in parts.items()})
-
-    edges = {ahead for _, ahead in DRIFT_WINDOWS} | {-back - 1 for back, _ in DRIFT_WINDOWS}
-    df = df.withColumns({
-        _edge(e, k): F.coalesce(F.sum(f"_p_{k}").over(frames.upto(e)), F.lit(0.0)) for e in edges for k in parts
-    })
-    fits = [_steadiness(back, ahead, list(products)) for back, ahead in DRIFT_WINDOWS]
-    df = df.withColumn("_fit", F.greatest(*fits))
-    trailing_sum = F.sum("_fit").over(frames.upto(0)) - F.coalesce(F.sum("_fit").over(frames.upto(-DAY - 1)), F.lit(0.0))
-    trailing_n = F.count("_fit").over(frames.upto(0)) - F.count("_fit").over(frames.upto(-DAY - 1))
-    df = df.withColumn("_drift", drifting & (trailing_sum >= limit * trailing_n))
-    return df.drop("_visits", "_x", "_y", "_fit", *[f"_p_{k}" for k in parts],
-                   *[_edge(e, k) for e in edges for k in parts])
+        parts |= {name: coarse, f"{name}_rest": product - coarse}
+    sums = F.struct(*[F.coalesce(F.sum(part).over(frames.upto(0)), F.lit(0.0)).alias(k) for k, part in parts.items()])
+    df = df.withColumn("_sums", F.when(drifting, sums))
+    edges = {ahead for _, ahead in DRIFT_WINDOWS if ahead} | {-back - 1 for back, _ in DRIFT_WINDOWS}
+    df = df.withColumns({_edge(e): F.last("_sums").over(frames.upto(e)) for e in edges})
+    df = df.withColumn("_fit", F.when(drifting, F.greatest(*[_steadiness(back, ahead) for back, ahead in DRIFT_WINDOWS])))
+    day_sum, day_rows = (
+        F.coalesce(f("_fit").over(frames.upto(0)), F.lit(0)) - F.coalesce(f("_fit").over(frames.upto(-DAY - 1)), F.lit(0))
+        for f in (F.sum, F.count)
+    )
+    df = df.withColumn("_drift", drifting & (day_sum >= limit * day_rows))
+    return df.drop("_visits", "_x", "_y", "_fit", "_sums", *map(_edge, edges))
 
 
-def _edge(edge: int, part: str) -> str:
-    return f"_e{'m' if edge < 0 else 'p'}{abs(edge)}_{part}"
+def _edge(edge: int) -> str:
+    """Column of the running sums up to ``edge`` seconds from the row."""
+    return "_sums" if edge == 0 else f"_sums_{'back' if edge < 0 else 'ahead'}_{abs(edge)}"
 
 
-def _steadiness(back: int, ahead: int, products: list[str]) -> Column:
+def _steadiness(back: int, ahead: int) -> Column:
     """R squared of a rising line over one window, else 0."""
-    def total(part: str) -> Column:
-        whole = F.col(_edge(ahead, part)) - F.col(_edge(-back - 1, part))
-        if part in products:
-            whole = whole + (F.col(_edge(ahead, f"{part}_rest")) - F.col(_edge(-back - 1, f"{part}_rest")))
-        return whole
-
-    n, m = total("n"), total("m")
-    sx, sy, sxx, sxy, syy = total("x"), total("y"), total("xx"), total("xy"), total("yy")
-    vx, vy, cov = sxx - F.try_divide(sx * sx, m), syy - F.try_divide(sy * sy, m), sxy - F.try_divide(sx * sy, m)
-    level = vy <= syy * 1e-12
-    usable = (n >= DRIFT_MIN_ROWS) & (m >= F.ceil(n * 0.9))
-    return F.when(~usable, 0.0).when(level | (cov <= 0.0), 0.0).otherwise(F.try_divide(cov * cov, vx * vy))
+    upto, before = F.col(_edge(ahead)), F.col(_edge(-back - 1))
+
+    def total(*parts: str) -> Column:
+        each = [upto[p] - F.coalesce(before[p], F.lit(0.0)) for p in parts]
+        return each[0] if len(each) == 1 else each[0] + each[1]
+
+    window = F.struct(
+        total("n").alias("n"), total("m").alias("m"), total("x").alias("x"), total("xx").alias("xx"),
+        total("y", "y_rest").alias("y"), total("xy", "xy_rest").alias("xy"), total("yy", "yy_rest").alias("yy"))
+    # one-element arrays name the intermediate values, so each is computed once
+    moments = F.transform(F.array(window), lambda w: F.struct(
+        (w["n"] >= DRIFT_MIN_ROWS) & (w["m"] >= F.ceil(w["n"] * 0.9)),
+        (w["xx"] - F.try_divide(w["x"] * w["x"], w["m"])).alias("vx"),
+        (w["yy"] - F.try_divide(w["y"] * w["y"], w["m"])).alias("vy"),
+        (w["xy"] - F.try_divide(w["x"] * w["y"], w["m"])).alias("cov"),
+        w["yy"].alias("yy")))
+    rising = F.transform(moments, lambda v: F.when(~v["col1"], 0.0)
+                         .when((v["vy"] <= v["yy"] * 1e-12) | (v["cov"] <= 0.0), 0.0)
+                         .otherwise(F.try_divide(v["cov"] * v["cov"], v["vx"] * v["vy"])))
+    return F.get(rising, 0)
 
 
 def drift_flag(df: DataFrame, layout: Layout = Layout(), parameters: tuple[str, ...] = DRIFT_PARAMETERS,

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import warnings
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -35,22 +36,20 @@ def spacing_report(df: DataFrame, layout: Layout = Layout()) -> DataFrame:
 
 # --- gaps ------------------------------------------------------------------
 
-def linear_column(value: str, frames: Frames, max_gap: int) -> Column:
-    """Straight line over runs of at most ``max_gap`` NULLs that have a value on both sides."""
+def row_column(frames: Frames) -> dict[str, Column]:
+    return {"_row": F.row_number().over(frames.ordered)}
+
+
+def filled_column(frames: Frames, value: str, max_gap: int, parameters: tuple[str, ...]) -> Column:
+    """Straight line over runs of at most ``max_gap`` NULLs that have a value on both sides (needs ``_row``)."""
     v = F.col(value)
     known = F.when(v.isNotNull(), F.struct(F.col("_row").alias("row"), F.col(CLOCK).alias("t"), v.alias("v")))
     left = F.last(known, ignorenulls=True).over(frames.rows(-max_gap, -1))
     right = F.first(known, ignorenulls=True).over(frames.rows(1, max_gap))
     share = (F.col(CLOCK) - left["t"]) / (right["t"] - left["t"])
     short = right["row"] - left["row"] - 1 <= max_gap
-    return F.coalesce(v, F.when(short, left["v"] + (right["v"] - left["v"]) * share))
-
-
-def fill_linear(df: DataFrame, frames: Frames, value: str, new: str, max_gap: int,
-                parameters: tuple[str, ...]) -> DataFrame:
-    df = df.withColumn("_row", F.row_number().over(frames.ordered))
-    filled = F.when(F.col("parameter").isin(*parameters), linear_column(value, frames, max_gap))
-    return df.withColumn(new, filled).drop("_row")
+    filled = F.coalesce(v, F.when(short, left["v"] + (right["v"] - left["v"]) * share))
+    return F.when(F.col("parameter").isin(*parameters), filled)
 
 
 def interpolate_gaps(df: DataFrame, layout: Layout = Layout(), max_gap: int = 4, method: str = "linear",
@@ -68,8 +67,12 @@ def interpolate_gaps(df: DataFrame, layout: Layout = Layout(), max_gap: int = 4,
         warnings.warn("series are not equally spaced; pad them with pad_grid first", stacklevel=2)
     if method == "spline":
         return fill_spline(df, layout, max_gap, value_col, new_value_col, parameters)
-    return over_series(df, layout, max_gap + 1, max_gap + 1,
-                       lambda rows, frames: fill_linear(rows, frames, value_col, new_value_col, max_gap, parameters))
+
+    def build(rows: DataFrame, frames: Frames) -> DataFrame:
+        rows = rows.withColumns(row_column(frames))
+        return rows.withColumn(new_value_col, filled_column(frames, value_col, max_gap, parameters)).drop("_row")
+
+    return over_series(df, layout, max_gap + 1, max_gap + 1, build)
 
 
 def fill_spline(df: DataFrame, layout: Layout, max_gap: int, value: str, new: str,
@@ -164,27 +167,28 @@ def spline_at(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 # --- smoothing -------------------------------------------------------------
 
-KERNEL = (1.0, 4.0, 6.0, 4.0, 1.0)
+def smoothed_column(frames: Frames, value: str, passes: int) -> Column:
+    """Five-tap binomial smoothing, ``passes`` times over; NULL where a tap is NULL.
 
-
-def smooth_once(value: str, frames: Frames) -> Column:
-    taps = [frames.lag(value, 2), frames.lag(value), F.col(value), frames.lead(value), frames.lead(value, 2)]
-    total = taps[0] * KERNEL[0]
-    for weight, tap in zip(KERNEL[1:], taps[1:]):
-        total = total + tap * weight
-    return total / sum(KERNEL)
-
-
-def smooth(df: DataFrame, frames: Frames, value: str, new: str, passes: int, parameters: tuple[str, ...]) -> DataFrame:
-    df = ensure_column(df, new, dtype="double").withColumn("_s", F.col(value).cast("double"))
-    for _ in range(passes):
-        df = df.withColumn("_s", smooth_once("_s", frames))
-    kept = F.coalesce(F.col(new).cast("double"), F.col("_s"))
-    return df.withColumn(new, F.when(F.col("parameter").isin(*parameters), kept)).drop("_s")
+    Repeating a binomial kernel gives the next even-order one, so all passes are one weighted sum.
+    """
+    reach = 2 * passes
+    total = None
+    for k in range(2 * reach + 1):
+        shift = k - reach
+        tap = frames.lead(value, shift) if shift > 0 else frames.lag(value, -shift) if shift else F.col(value)
+        term = tap * float(comb(2 * reach, k))
+        total = term if total is None else total + term
+    return total / float(16 ** passes)
 
 
 def low_pass(df: DataFrame, layout: Layout = Layout(), value_col: str = "mean", new_value_col: str = "smoothed_mean",
              passes: int = 3, parameters: tuple[str, ...] = ("Turbidity",)) -> DataFrame:
-    """Binomial five-tap smoothing, applied ``passes`` times; NULL where a tap is NULL."""
-    return over_series(df, layout, 2 * passes, 2 * passes,
-                       lambda rows, frames: smooth(rows, frames, value_col, new_value_col, passes, parameters))
+    """Smooth the given parameters; values already in ``new_value_col`` stay."""
+    df = ensure_column(df, new_value_col, dtype="double")
+
+    def build(rows: DataFrame, frames: Frames) -> DataFrame:
+        kept = F.coalesce(F.col(new_value_col).cast("double"), smoothed_column(frames, value_col, passes))
+        return rows.withColumn(new_value_col, F.when(F.col("parameter").isin(*parameters), kept))
+
+    return over_series(df, layout, 2 * passes, 2 * passes, build)

@@ -24,6 +24,7 @@ from ..functions.timegrid import floor_to, seconds
 from ..schema import SERIES
 from .scan import running
 
+HALO_SHARE = 6
 CHUNK, CORE, CLOCK, POSITION = "_chunk", "_core", "_clock", "_position"
 
 
@@ -42,7 +43,8 @@ class Layout:
         return -(-seconds(period) // self.step)
 
     def chunk_size(self, before: int, after: int) -> int:
-        return max(self.slots, before, after)
+        """Slots per chunk: large against the halo, so that copies stay a small share of the rows."""
+        return max(self.slots, HALO_SHARE * (before + after))
 
 
 class Frames:
@@ -60,6 +62,18 @@ class Frames:
         """All rows up to the clock plus ``shift_seconds``: grows with the row, so it costs O(1) per row."""
         return self.ordered.rangeBetween(Window.unboundedPreceding, shift_seconds)
 
+    def total(self, value: Column | str, first: int, last: int) -> Column:
+        """Sum over the rows ``first``..``last`` as a difference of two running sums (whole numbers only).
+
+        Unlike a moving frame it costs the same for any width.
+        """
+        whole = Window.unboundedPreceding
+        return (F.coalesce(F.sum(value).over(self.rows(whole, last)), F.lit(0))
+                - F.coalesce(F.sum(value).over(self.rows(whole, first - 1)), F.lit(0)))
+
+    def count(self, first: int, last: int) -> Column:
+        return self.total(F.lit(1), first, last)
+
     def lag(self, c: Column | str, n: int = 1) -> Column:
         return F.lag(c, n).over(self.ordered)
 

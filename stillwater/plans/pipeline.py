@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import contains, ensure_column, fold, fold_flags, tidied
 from ..functions.timegrid import join_stamp
-from ..operators import finish, series_rules as series, site_rules as site
+from ..operators import finish, series_rules as series, site_rules as site, statistics
 from ..operators.malfunction import malfunction_rules, malfunction_states
 from ..operators.merge import merge_preflag
 from ..operators.network import auto_flag, spread_with_reports
 from ..operators.notes import AT_VISIT, CARRIED, note_columns, note_states
 from ..operators.prepare import fill_markers, grid_markers, interval_summary, pad_grid, series_bounds
-from ..operators.signal import fill_linear, smooth
-from ..operators.statistics import STAT_COLUMNS, with_statistics
+from ..operators.signal import filled_column, row_column, smoothed_column
 from ..schema import BURIAL, DRIFT, FROZEN, MISSING, OUT_OF_SEASON, OUT_OF_SPEC, REPEATED, SEASONS, SLOPE, UNSUBMERGED
 from .asof import States, attach_states, resolve_states, with_events
 from .layout import CHUNK, CLOCK, Frames, Layout, gather, spread
@@ -28,6 +27,7 @@ CURATED_COLUMNS = (
     "sonde_moved", "historical", "mean_filled", "smoothed_mean", "site_dashboard", "mean_dashboard",
 )
 SUSPECT_WIDTH, NETWORK_WIDTH = 8, 17
+TURBID = ("Turbidity",)
 
 
 def _states(notes: DataFrame | None, malfunctions: DataFrame | None, layout: Layout) -> States:
@@ -57,9 +57,6 @@ def flag_site_evidence(rows: DataFrame, bounds: DataFrame, layout: Layout, *, no
     states = _states(notes, malfunctions, layout)
     rows = rows.drop(*CARRIED, *AT_VISIT) if notes is not None else rows
     rows = ensure_column(ensure_column(rows, "flag"), "mal_flag")
-    for name in STAT_COLUMNS:
-        if name in rows.columns:
-            rows = rows.withColumn(name, F.col(name).cast("double"))
 
     if layout.gap_free:
         rows = spread(rows, layout, before, after)
@@ -70,24 +67,26 @@ def flag_site_evidence(rows: DataFrame, bounds: DataFrame, layout: Layout, *, no
         rows = spread(rows, layout, before, after)
     rows = _unfold_notes(rows, notes is not None)
 
+    # windows of the same order are asked for together: every round of them copies the chunk once
     frames = Frames()
-    rows = with_statistics(rows, frames, layout.step / 60, seasons)
-    rules: list[tuple[str, Column]] = []
-    if thresholds is not None:
-        rows = series.with_thresholds(rows, thresholds)
-    rows = series.field_columns(rows, frames, after=4, before=1)
-    rows = series.do_columns(rows, frames, drop=0.5, low=5.0, min_hits=24, width=96)
-    rules += [*series.field_rules(), (MISSING, series.missing()), *series.do_rules(), (REPEATED, series.repeated()),
-              (DRIFT, F.col("_drift"))]
+    rows = rows.withColumns(statistics.neighbour_columns(rows, frames))
+    rows = rows.withColumns({**statistics.slope_columns(rows, layout.step / 60), **statistics.calendar_columns(seasons)})
+    rules = [*series.field_rules(), (MISSING, series.missing()), *series.do_rules(), (REPEATED, series.repeated()),
+             (DRIFT, F.col("_drift"))]
     if spec is not None:
         rows = series.with_spec(rows, spec)
         rules.append((OUT_OF_SPEC, series.out_of_spec()))
     steep = contains(F.col("flag"), SLOPE)
     if thresholds is not None:
+        rows = series.with_thresholds(rows, thresholds)
         rules += [(OUT_OF_SEASON, series.out_of_season()), (SLOPE, series.steep())]
         steep = steep | series.true(series.steep())
-    rows = rows.withColumn("_explains", site.explains_slope(steep, frames))
-    visit = series.true(F.col("flag").rlike(series.VISIT_PATTERN)) | F.col("_visit") | F.col("_sv")
+    rows = rows.withColumns({**series.visit_column(), **series.interference_columns(), "_steep": steep})
+    rows = rows.withColumns({
+        **statistics.rolling_slope(rows, frames), **series.around_visit(frames), **series.burial_column(frames),
+        "_explains": site.explains_slope(F.col("_steep"), frames),
+    })
+    visit = series.true(F.col("flag").rlike(series.VISIT_PATTERN)) | (F.col("_visit") == 1) | F.col("_sv")
     rows = fold_flags(series.drift_column(rows, visit), rules)
 
     if not layout.gap_free:
@@ -106,7 +105,7 @@ def flag_site_evidence(rows: DataFrame, bounds: DataFrame, layout: Layout, *, no
     if malfunctions is not None:
         mal = fold(F.col("mal_flag").cast("string"), malfunction_rules(), ";\n")
         rows = rows.withColumn("mal_flag", mal)
-    rows = rows.drop("_visit", "_sv", "_interfered", "_buried", "_drift", "_explains", "_explained", "_frozen", "_dry",
+    rows = rows.drop("_visit", "_sv", "_interfered", "_hit", "_buried", "_steep", "_drift", "_explains", "_explained", "_frozen", "_dry",
                      "_do_buried", "_note_state", "_sonde_state", "_sensor_state", "spec_min", "spec_max",
                      *series.THRESHOLD_COLUMNS)
     return gather(rows) if layout.gap_free else rows
@@ -120,16 +119,22 @@ def flag_network(df: DataFrame, layout: Layout, *, edges: DataFrame | None = Non
     frames = Frames()
     df = df.drop("auto_flag", "mean_filled", "smoothed_mean")
     if edges is None:
-        rows = spread(df, layout, before, after).withColumn("auto_flag", F.col("flag"))
+        rows = spread(df, layout, before, after).withColumns({"auto_flag": F.col("flag"), **row_column(frames)})
     else:
         rows = spread_with_reports(df, edges, layout, before, after)
-        rows = rows.withColumn("auto_flag", auto_flag(frames, NETWORK_WIDTH, exempt_parameters)).drop("_heard")
-    rows = rows.withColumn("auto_flag", tidied(F.col("auto_flag")))
-    rows = finish.suspect_columns(rows, frames, SUSPECT_WIDTH, 0.5, 7 / 8)
-    rows = rows.withColumn("auto_flag", finish.without_lone_suspect(frames))
-    rows = fill_linear(rows, frames, "mean", "mean_filled", max_gap, ("Turbidity",))
-    rows = smooth(rows, frames, "mean_filled", "smoothed_mean", passes, ("Turbidity",))
-    return gather(rows)
+        rows = rows.withColumns({"auto_flag": auto_flag(frames, NETWORK_WIDTH, exempt_parameters), **row_column(frames)})
+        rows = rows.drop("_heard")
+    rows = rows.withColumns({"auto_flag": tidied(F.col("auto_flag"))})
+    rows = rows.withColumns(finish.suspect_inputs())
+    rows = rows.withColumns({
+        "auto_flag": finish.suspected(frames, SUSPECT_WIDTH),
+        "mean_filled": filled_column(frames, "mean", max_gap, TURBID),
+    })
+    rows = rows.withColumns({
+        "auto_flag": finish.without_lone_suspect(frames),
+        "smoothed_mean": F.when(F.col("parameter").isin(*TURBID), smoothed_column(frames, "mean_filled", passes)),
+    })
+    return gather(rows).drop("_bad", "_gone", "_row")
 
 
 def run_pipeline(raw: DataFrame, *, notes: DataFrame | None = None, malfunctions: DataFrame | None = None,
