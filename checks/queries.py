@@ -55,9 +55,9 @@ def noted(spark, d) -> DataFrame:
 
 
 def edges(spark) -> DataFrame:
-    rows = [("clp", inputs.NETWORK, 0), ("solo", "bellvue", 1)]
-    table = spark.createDataFrame(rows, "network_name string, network string, network_order long")
-    return sw.network_edges(sw.normal_networks(table))
+    rows = [{"network_name": "clp", "network": inputs.NETWORK, "network_order": 0},
+            {"network_name": "solo", "network": "bellvue", "network_order": 1}]
+    return sw.network_edges(sw.normal_networks(sw.literal_table(spark, rows, sw.schema.NETWORKS)))
 
 
 def dt() -> Column:
@@ -158,8 +158,8 @@ def flag_repeat(spark, d):
 @query(f"""SELECT {SQL_KEYS}, CASE WHEN mean < spec_min OR mean > spec_max THEN 'outside of sensor specification range' END AS flag
     FROM padded LEFT JOIN spec USING (parameter)""")
 def flag_spec(spark, d):
-    rows = [(p, lo, hi) for p, (lo, hi) in SPEC.items()]
-    spec = spark.createDataFrame(rows, sw.schema.SENSOR_SPEC)
+    rows = [{"parameter": p, "spec_min": lo, "spec_max": hi} for p, (lo, hi) in SPEC.items()]
+    spec = sw.literal_table(spark, rows, sw.schema.SENSOR_SPEC)
     return sw.spec_flag(padded(spark, d), spec).select(*keys(), "flag")
 
 

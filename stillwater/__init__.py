@@ -19,11 +19,12 @@ from .operators.statistics import summary_statistics
 from .operators.telemetry import clean_locations, flatten_pages, located_readings, match_locations, name_tables, reading_names
 from .operators.thresholds import exact_quantiles, threshold_table
 from .operators.tracking import reading_counts, retention, session_dates, tracker_update
-from .plans.layout import Layout
+from .plans.asof import time_bounds
+from .plans.layout import Layout, number_rows
 from .plans.pipeline import curated, run_pipeline
 from .session import local_session, use_utc
 from .sources.readers import (
-    load_networks, normal_networks, read_field_notes, read_latest, read_locations, read_names, read_pages, read_raw,
+    literal_table, load_networks, normal_networks, read_field_notes, read_latest, read_locations, read_names, read_pages, read_raw,
     read_sensor_spec, read_thresholds, snapshot_stamp,
 )
 from .sources.writers import archive_append, new_to_archive, with_source_file, write_raw, write_series_csv, write_snapshot

@@ -78,7 +78,8 @@ def spread_with_reports(df: DataFrame, edges: DataFrame, layout: Layout, before:
     """Chunked rows with ``_heard``: did a neighbour flag the same parameter at this stamp?"""
     df = with_reports(df, edges)
     if layout.gap_free:
-        rows = spread(df, layout, before, after)
+        # placed by chunk at once: good for the stamps as well as for the frames that follow
+        rows = spread(df, layout, before, after).repartition("site", "parameter", CHUNK)
         rows = rows.withColumn("_heard", heard_at("site", "parameter", CHUNK, CLOCK))
         return rows.where(F.col("_own")).drop("_own")
     df = df.withColumn("_heard", heard_at("site", "parameter", "dt_round")).where(F.col("_own")).drop("_own")

@@ -36,9 +36,10 @@ def clean_readings(raw: DataFrame, interval: int | str = "15 minutes") -> DataFr
 def interval_summary(raw: DataFrame, interval: int | str = "15 minutes") -> DataFrame:
     """Mean, spread and count per grid stamp and series, repeated transmissions counted once."""
     value = F.when(~F.isnan("value"), F.col("value"))
+    # copies of a reading collapse before the shuffle; the rounded time follows from the rest
     return (
-        clean_readings(raw, interval)
-        .dropDuplicates()
+        clean_readings(raw, interval).drop("dt_round").dropDuplicates()
+        .withColumn("dt_round", round_time(F.col("timestamp"), interval))
         .groupBy("dt_round", *SERIES, "units")
         .agg(
             F.avg(value).alias("mean"),

@@ -22,14 +22,16 @@ def chunked_states(spans: DataFrame, bounds: DataFrame, layout: Layout, before:
     """One row per state and touched chunk, limited to the time range of the readings."""
     step, size = layout.step, layout.chunk_size(before, after)
     span = size * step
-    low, high = bounds.select("_lo").scalar(), bounds.select("_hi").scalar()
-    begin = F.greatest(F.col("_from"), low)
-    end = F.least(F.coalesce(F.col("_to"), high + 1), high + 1)
+    # one subquery for both ends, so the readings are looked through once
+    spans = spans.withColumn("_range", bounds.select(F.struct("_lo", "_hi")).scalar())
+    beyond = F.col("_range._hi") + 1
+    begin = F.greatest(F.col("_from"), F.col("_range._lo"))
+    end = F.least(F.coalesce(F.col("_to"), beyond), beyond)
     chunks = F.sequence(floor_to(F.col("_begin") - after * step, span), floor_to(F.col("_end") + before * step, span))
     return (
         spans.withColumns({"_begin": begin, "_end": end}).where(F.col("_end") > F.col("_begin"))
         .withColumns({CHUNK: F.explode(chunks), CLOCK: F.col("_from")})
-        .drop("_begin", "_end", "_to", "_from")
+        .drop("_begin", "_end", "_to", "_from", "_range")
     )
 
 

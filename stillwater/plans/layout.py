@@ -8,13 +8,14 @@ the chunk size, and the work per task is bounded whatever the series length.
 
 ``gap_free=True`` says that every series has one row per grid stamp between its first and last one
 (what ``pad_grid`` returns). Chunks then follow the clock, are the same for all parameters of a
-site, and no extra pass is needed. Otherwise rows are numbered first (``with_positions``), so that
+site, and no extra pass is needed. Otherwise rows are numbered first (``number_rows``), so that
 frames counted in rows stay exact across gaps.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,9 +56,11 @@ class Frames:
         self.ordered: WindowSpec = Window.partitionBy(*self.keys).orderBy(CLOCK)
         self.whole: WindowSpec = Window.partitionBy(*self.keys)
 
+    @cache
     def rows(self, first: int, last: int) -> WindowSpec:
         return self.ordered.rowsBetween(first, last)
 
+    @cache
     def upto(self, shift_seconds: int) -> WindowSpec:
         """All rows up to the clock plus ``shift_seconds``: grows with the row, so it costs O(1) per row."""
         return self.ordered.rangeBetween(Window.unboundedPreceding, shift_seconds)
@@ -71,6 +74,7 @@ class Frames:
         return (F.coalesce(F.sum(value).over(self.rows(whole, last)), F.lit(0))
                 - F.coalesce(F.sum(value).over(self.rows(whole, first - 1)), F.lit(0)))
 
+    @cache
     def count(self, first: int, last: int) -> Column:
         return self.total(F.lit(1), first, last)
 
@@ -93,14 +97,24 @@ def with_positions(df: DataFrame, layout: Layout, keys: tuple[str, ...] = SERIES
     return numbered.drop("_bucket").withColumn(POSITION, F.col(POSITION) - 1)
 
 
+def number_rows(df: DataFrame, layout: Layout) -> DataFrame:
+    """Number the rows of every series once, in ``_position``, for a chain of operators.
+
+    Without it each operator on series with gaps numbers its input anew, which reads that input
+    twice. The numbers must stay dense: number again after taking rows away.
+    """
+    return with_positions(df.withColumn(CLOCK, clock()), layout).drop(CLOCK)
+
+
 def spread(df: DataFrame, layout: Layout, before: int, after: int, time_col: str = "dt_round") -> DataFrame:
     """Copy each row to its chunk and to the chunks that need it within ``before``/``after`` rows."""
     size = layout.chunk_size(before, after)
+    numbered = POSITION in df.columns
     df = df.withColumn(CLOCK, clock(time_col))
     if layout.gap_free:
         slot = floor_to(F.col(CLOCK), layout.step)
     else:
-        df = with_positions(df, layout)
+        df = df if numbered else with_positions(df, layout)
         slot = F.col(POSITION)
     home = floor_to(slot, size)
     offset = F.pmod(slot, F.lit(size))
@@ -109,17 +123,17 @@ def spread(df: DataFrame, layout: Layout, before: int, after: int, time_col: str
         F.when(offset >= size - before, F.struct((home + 1).alias("c"), F.lit(False).alias("own"))),
         F.when(offset < after, F.struct((home - 1).alias("c"), F.lit(False).alias("own"))),
     )
+    helpers = ("_home",) if numbered else ("_home", POSITION)
     return (
         df.withColumn("_home", F.explode(F.array_compact(homes)))
-        .withColumn(CHUNK, F.col("_home.c"))
-        .withColumn(CORE, F.col("_home.own"))
-        .drop("_home", POSITION)
+        .withColumns({CHUNK: F.col("_home.c"), CORE: F.col("_home.own")})
+        .drop(*helpers)
     )
 
 
 def gather(df: DataFrame) -> DataFrame:
     """Drop the halo copies and the helper columns."""
-    return df.where(F.col(CORE)).drop(CHUNK, CORE, CLOCK, POSITION)
+    return df.where(F.col(CORE)).drop(CHUNK, CORE, CLOCK)
 
 
 def over_series(df: DataFrame, layout: Layout, before: int, after: int,

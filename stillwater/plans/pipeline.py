@@ -20,7 +20,7 @@ from ..operators.prepare import fill_markers, grid_markers, interval_summary, pa
 from ..operators.signal import filled_column, row_column, smoothed_column
 from ..schema import BURIAL, DRIFT, FROZEN, MISSING, OUT_OF_SEASON, OUT_OF_SPEC, REPEATED, SEASONS, SLOPE, UNSUBMERGED
 from .asof import States, attach_states, resolve_states, with_events
-from .layout import CHUNK, CLOCK, Frames, Layout, gather, spread
+from .layout import CHUNK, CLOCK, POSITION, Frames, Layout, gather, number_rows, spread
 
 CURATED_COLUMNS = (
     "dt_round", "dt_join", "site", "parameter", "mean", "units", "n_obs", "spread", "auto_flag", "mal_flag",
@@ -64,7 +64,7 @@ def flag_site_evidence(rows: DataFrame, bounds: DataFrame, layout: Layout, *, no
         rows = fill_markers(rows, "site", "parameter", CHUNK, CLOCK) if "_marker" in rows.columns else rows
     else:
         rows = attach_states(rows, states, layout, bounds) if states[0] else rows
-        rows = spread(rows, layout, before, after)
+        rows = spread(rows if POSITION in rows.columns else number_rows(rows, layout), layout, before, after)
     rows = _unfold_notes(rows, notes is not None)
 
     # windows of the same order are asked for together: every round of them copies the chunk once
@@ -160,8 +160,8 @@ def run_pipeline(raw: DataFrame, *, notes: DataFrame | None = None, malfunctions
         bounds = None
     flagged = flag_site_evidence(rows, bounds, layout, notes=notes, malfunctions=malfunctions,
                                  thresholds=thresholds, spec=spec, submerged_method=submerged_method, seasons=seasons)
-    return flag_network(flagged, layout, edges=edges, exempt_parameters=exempt_parameters, max_gap=max_gap,
-                        passes=passes)
+    out = flag_network(flagged, layout, edges=edges, exempt_parameters=exempt_parameters, max_gap=max_gap, passes=passes)
+    return out.drop(POSITION)
 
 
 def curated(df: DataFrame) -> DataFrame:

@@ -32,6 +32,12 @@ SENSOR_SPEC = T.StructType([
     T.StructField("spec_max", T.DoubleType()),
 ])
 
+NETWORKS = T.StructType([
+    T.StructField("network_name", T.StringType()),
+    T.StructField("network", T.StringType()),
+    T.StructField("network_order", T.LongType()),
+])
+
 MALFUNCTIONS = T.StructType([
     T.StructField("start_dt", T.TimestampType()),
     T.StructField("end_dt", T.TimestampType()),

@@ -1,6 +1,7 @@
 """Scans. Schemas are given, never inferred, wherever they are fixed."""
 from __future__ import annotations
 
+import json
 import re
 from datetime import datetime
 from pathlib import PurePath
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import standard_site
-from ..schema import FRIENDLY_NAMES, RAW_READING, SENSOR_SPEC, SITE_LOCATION, SOURCE_PAGE, THRESHOLDS
+from ..schema import FRIENDLY_NAMES, NETWORKS, RAW_READING, SENSOR_SPEC, SITE_LOCATION, SOURCE_PAGE, THRESHOLDS
 
 SNAPSHOT_STAMP = r"(\d{8}-T\d{6}Z)"
 
@@ -50,8 +51,15 @@ def _yaml(path: str):
 
 def read_sensor_spec(spark: SparkSession, path: str) -> DataFrame:
     """YAML ``parameter: {min, max}``. Plain numbers only; nothing is evaluated."""
-    rows = [(name, float(limits["min"]), float(limits["max"])) for name, limits in _yaml(path).items()]
-    return spark.createDataFrame(rows, SENSOR_SPEC)
+    rows = [{"parameter": name, "spec_min": float(limits["min"]), "spec_max": float(limits["max"])}
+            for name, limits in _yaml(path).items()]
+    return literal_table(spark, rows, SENSOR_SPEC)
+
+
+def literal_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """Configuration rows as part of the plan, so that Spark knows how small they are."""
+    parsed = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(schema))
+    return spark.range(1).select(F.inline(parsed))
 
 
 def load_networks(spark: SparkSession, path: str) -> DataFrame:
@@ -76,8 +84,8 @@ def load_networks(spark: SparkSession, path: str) -> DataFrame:
         names = names.get("network") if isinstance(names, dict) else None
         if not isinstance(names, dict) or not names:
             raise ValueError("site order YAML needs a mapping under 'network'")
-        table = spark.createDataFrame([(n, str(s), i) for i, (n, s) in enumerate(names.items())],
-                                      "network_name string, network string, network_order long")
+        rows = [{"network_name": n, "network": str(s), "network_order": i} for i, (n, s) in enumerate(names.items())]
+        table = literal_table(spark, rows, NETWORKS)
     return normal_networks(table)
 
 
