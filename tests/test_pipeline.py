@@ -19,15 +19,17 @@ def world(spark, tmp_path_factory):
     r = random.Random(11)
     rows = []
     for s in SITES:
-        for p, base, wobble in (("Temperature", 4, 3), ("DO", 8, 2), ("Turbidity", 15, 8), ("Depth", 1, 0.7), ("Specific Conductivity", 200, 90)):
+        for p, base, wobble in (("Temperature", 4, 3), ("DO", 8, 2), ("Turbidity", 12, 2), ("Depth", 1, 0.7), ("Specific Conductivity", 200, 90)):
             level = 0.0
             for i in range(N):
-                level = 0.0 if i % 130 == 0 else level + 0.05
+                level = 0.0 if i % 130 == 0 else level + 0.2
                 if r.random() < 0.07 or 200 <= i < 212:
                     continue
                 v = round(base + r.gauss(0, wobble / 3) + (level if p == "Turbidity" else 0), 2)
                 if p == "DO" and 250 <= i < 290:
                     v = 3.0
+                if p == "Depth" and 330 <= i < 336:
+                    v = -0.2
                 if p == "Temperature" and 60 <= i < 66:
                     v = -0.5
                 rows.append((s, "1", "sonde", at(i, HOUR), p, v, "u"))
@@ -92,10 +94,14 @@ def test_numbered_rows_give_the_same(world, one_by_one):
     assert frozen(flag_network(df, lay, edges=world["edges"])) == one_by_one
 
 
-def test_run_with_history(world):
+def test_run_with_history(world, spark, tmp_path):
     args = {**inputs(world, "notes", "malfunctions", "thresholds", "spec", "edges"), "interval": "1 hour"}
     old = sw.curated(sw.run_pipeline(world["raw"].where(F.col("timestamp") < F.lit(at(300, HOUR))), **args))
+    old.write.parquet(str(tmp_path / "old"))
+    old = spark.read.parquet(str(tmp_path / "old"))
     new = sw.run_pipeline(world["raw"].where(F.col("timestamp") >= F.lit(at(310, HOUR))), history=old, period="3 days", **args)
+    new.write.parquet(str(tmp_path / "new"))
+    new = spark.read.parquet(str(tmp_path / "new"))
     rows = {(r["site"], r["parameter"], r["dt_round"]): r for r in new.collect()}
     stamps = sorted(t for s, p, t in rows if (s, p) == ("bellvue", "DO"))
     assert at(299 - 72, HOUR) in stamps and at(299 - 74, HOUR) not in stamps and at(305, HOUR) not in stamps
@@ -120,4 +126,4 @@ def test_no_window_is_bound_to_a_whole_series(world):
     plan = fused._jdf.queryExecution().optimizedPlan().toString()
     series_only = [line for line in plan.splitlines() if "Window [" in line and "_chunk" not in line]
     # what is left scans the small tables of notes, malfunctions and networks
-    assert all("_bucket" in line or "_first" in line or "network_name" in line or "_c_" in line for line in series_only), series_only
+    assert all("_bucket" in line or "_first" in line or "_order" in line or "_c_" in line for line in series_only), series_only
