@@ -205,13 +205,16 @@ def drift_column(df: DataFrame, new_group: Column, limit: float = 0.5,
     df = df.withColumn("_sums", F.when(drifting, sums))
     edges = {ahead for _, ahead in DRIFT_WINDOWS if ahead} | {-back - 1 for back, _ in DRIFT_WINDOWS}
     df = df.withColumns({_edge(e): F.last("_sums").over(frames.upto(e)) for e in edges})
-    df = df.withColumn("_fit", F.when(drifting, F.greatest(*[_steadiness(back, ahead) for back, ahead in DRIFT_WINDOWS])))
+    df = df.withColumns({f"_w{i}_{k}": v for i, (back, ahead) in enumerate(DRIFT_WINDOWS)
+                         for k, v in _window_sums(back, ahead).items()})
+    df = df.withColumns({f"_w{i}_{k}": v for i in range(len(DRIFT_WINDOWS)) for k, v in _moments(i).items()})
+    df = df.withColumn("_fit", F.when(drifting, F.greatest(*[_steadiness(i) for i in range(len(DRIFT_WINDOWS))])))
     day_sum, day_rows = (
         F.coalesce(f("_fit").over(frames.upto(0)), F.lit(0)) - F.coalesce(f("_fit").over(frames.upto(-DAY - 1)), F.lit(0))
         for f in (F.sum, F.count)
     )
     df = df.withColumn("_drift", drifting & (day_sum >= limit * day_rows))
-    return df.drop("_visits", "_x", "_y", "_fit", "_sums", *map(_edge, edges))
+    return df.drop("_visits", "_x", "_y", "_fit", "_sums", *map(_edge, edges), *[c for c in df.columns if c.startswith(tuple(f"_w{i}_" for i in range(len(DRIFT_WINDOWS))))])
 
 
 def _edge(edge: int) -> str:
@@ -219,28 +222,28 @@ def _edge(edge: int) -> str:
     return "_sums" if edge == 0 else f"_sums_{'back' if edge < 0 else 'ahead'}_{abs(edge)}"
 
 
-def _steadiness(back: int, ahead: int) -> Column:
-    """R squared of a rising line over one window, else 0."""
+def _window_sums(back: int, ahead: int) -> dict[str, Column]:
+    """Sums over one window; the products' rests are added last."""
     upto, before = F.col(_edge(ahead)), F.col(_edge(-back - 1))
 
-    def total(*parts: str) -> Column:
-        each = [upto[p] - F.coalesce(before[p], F.lit(0.0)) for p in parts]
-        return each[0] if len(each) == 1 else each[0] + each[1]
-
-    window = F.struct(
-        total("n").alias("n"), total("m").alias("m"), total("x").alias("x"), total("xx").alias("xx"),
-        total("y", "y_rest").alias("y"), total("xy", "xy_rest").alias("xy"), total("yy", "yy_rest").alias("yy"))
-    # one-element arrays name the intermediate values, so each is computed once
-    moments = F.transform(F.array(window), lambda w: F.struct(
-        (w["n"] >= DRIFT_MIN_ROWS) & (w["m"] >= F.ceil(w["n"] * 0.9)),
-        (w["xx"] - F.try_divide(w["x"] * w["x"], w["m"])).alias("vx"),
-        (w["yy"] - F.try_divide(w["y"] * w["y"], w["m"])).alias("vy"),
-        (w["xy"] - F.try_divide(w["x"] * w["y"], w["m"])).alias("cov"),
-        w["yy"].alias("yy")))
-    rising = F.transform(moments, lambda v: F.when(~v["col1"], 0.0)
-                         .when((v["vy"] <= v["yy"] * 1e-12) | (v["cov"] <= 0.0), 0.0)
-                         .otherwise(F.try_divide(v["cov"] * v["cov"], v["vx"] * v["vy"])))
-    return F.get(rising, 0)
+    def total(part: str) -> Column:
+        return upto[part] - F.coalesce(before[part], F.lit(0.0))
+
+    return {**{k: total(k) for k in ("n", "m", "x", "xx")}, **{k: total(k) + total(f"{k}_rest") for k in ("y", "xy", "yy")}}
+
+
+def _moments(i: int) -> dict[str, Column]:
+    m, x, y = (F.col(f"_w{i}_{k}") for k in ("m", "x", "y"))
+    return {"vx": F.col(f"_w{i}_xx") - F.try_divide(x * x, m), "vy": F.col(f"_w{i}_yy") - F.try_divide(y * y, m),
+            "cov": F.col(f"_w{i}_xy") - F.try_divide(x * y, m)}
+
+
+def _steadiness(i: int) -> Column:
+    """R squared of a rising line over one window, else 0."""
+    n, m, yy, vx, vy, cov = (F.col(f"_w{i}_{k}") for k in ("n", "m", "yy", "vx", "vy", "cov"))
+    usable = (n >= DRIFT_MIN_ROWS) & (m >= F.ceil(n * 0.9))
+    level = vy <= yy * 1e-12
+    return F.when(usable & ~level & (cov > 0.0), F.try_divide(cov * cov, vx * vy)).otherwise(0.0)
 
 
 def drift_flag(df: DataFrame, layout: Layout = Layout(), parameters: tuple[str, ...] = DRIFT_PARAMETERS,

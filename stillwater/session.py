@@ -14,6 +14,9 @@ def local_session(app: str = "stillwater", cores: str | int = "*", partitions: i
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # many small plans in one session: keep their compiled code, skip call-site capture
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
