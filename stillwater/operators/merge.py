@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import ensure_column
 from ..functions.timegrid import seconds
+from ..plans.joins import join_per_group
 from ..schema import SERIES
 
 KEY = (*SERIES, "dt_round")
@@ -26,19 +27,25 @@ def _checked(incoming: DataFrame | None, history: DataFrame | None, period) -> i
     return seconds(period)
 
 
-def _with_cut(history: DataFrame, period: int) -> DataFrame:
-    """Add ``_cut``, where the trailing period of the row's series begins."""
-    last = history.groupBy(*SERIES).agg((F.max(F.unix_seconds("dt_round")) - period).alias("_cut"))
-    return history.join(last, list(SERIES))
+def _cuts(history: DataFrame, period: int) -> DataFrame:
+    """Per series, where its trailing period begins (``_cut``)."""
+    return history.groupBy(*SERIES).agg((F.max(F.unix_seconds("dt_round")) - period).alias("_cut"))
+
+
+def _with_cut(history: DataFrame, cuts: DataFrame) -> DataFrame:
+    return join_per_group(history, cuts, SERIES, F.col("dt_round"))
 
 
 def _recent() -> Column:
     return F.unix_seconds("dt_round") >= F.col("_cut")
 
 
-def trailing_history(history: DataFrame, period: int | str) -> DataFrame:
-    """The last ``period`` of every series."""
-    return _with_cut(history, seconds(period)).where(_recent()).drop("_cut")
+def trailing_history(history: DataFrame, period: int | str, of: DataFrame | None = None) -> DataFrame:
+    """The last ``period`` of every series, or of those that ``of`` has rows of."""
+    cuts = _cuts(history, seconds(period))
+    if of is not None:
+        cuts = cuts.join(of.select(*SERIES).distinct(), list(SERIES), "left_semi")
+    return _with_cut(history, cuts).where(_recent()).drop("_cut")
 
 
 def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int | str) -> DataFrame:
@@ -52,8 +59,7 @@ def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int |
     if history is None:
         return new
     past = (
-        trailing_history(history, period)
-        .join(incoming.select(*SERIES).distinct(), list(SERIES), "left_semi")
+        trailing_history(history, period, of=incoming)
         .withColumn("historical", F.lit(True))
         .withColumn("flag", F.col("auto_flag").cast("string"))
         .drop("sonde_moved")
@@ -72,7 +78,7 @@ def merge_archive(flagged: DataFrame, history: DataFrame | None, period: int | s
         return new
     touched = flagged.select(*SERIES).distinct().withColumn("_touched", F.lit(True))
     old = (
-        _with_cut(history, period).join(touched, list(SERIES), "left")
+        _with_cut(history, _cuts(history, period).join(touched, list(SERIES), "left"))
         .where(F.col("_touched").isNull() | ~_recent())
         .withColumn("historical", F.when(F.col("_touched"), F.lit(True)).otherwise(F.col("historical")))
         .drop("_cut", "_touched")
@@ -88,8 +94,7 @@ def overlap_changes(flagged: DataFrame, history: DataFrame, period: int | str,
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(*KEY, F.struct(*shared).alias(name))
 
-    before = side(trailing_history(history, period).join(
-        flagged.select(*SERIES).distinct(), list(SERIES), "left_semi"), "_before")
+    before = side(trailing_history(history, period, of=flagged), "_before")
     after = side(flagged.where(F.col("historical")), "_after")
     both = before.join(after, list(KEY), "full")
     return both.where(~F.col("_before").eqNullSafe(F.col("_after"))).groupBy(*SERIES).agg(

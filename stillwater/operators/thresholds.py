@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_per_group
+
 GROUP = ("site", "parameter", "season")
 SKETCH_ACCURACY = 10000
 BRACKET = 20 / SKETCH_ACCURACY
@@ -18,7 +20,9 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
     counts the distinct values inside the bracket and everything on its near side, combined before
     the shuffle; only those few counts are ordered. A bracket that missed would fail the query.
     """
-    values = df.select(*keys, *[c.alias(f"_v_{n}") for n, (c, _) in wanted.items()])
+    # stamps part the rows of a hot group even where most of its values are equal
+    parted = F.col("dt_round") if "dt_round" in df.columns else F.struct(*[c for c, _ in wanted.values()])
+    values = df.select(*keys, F.xxhash64(parted).alias("_part"), *[c.alias(f"_v_{n}") for n, (c, _) in wanted.items()])
     sketches = []
     for n, (_, p) in wanted.items():
         v = F.col(f"_v_{n}")
@@ -36,7 +40,7 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
         inside = v.between(lo, hi)
         hits.append(F.when(inside | outside, F.struct(F.lit(n).alias("q"), F.when(inside, v).alias("v"))))
     counted = (
-        values.join(brackets, list(keys))
+        join_per_group(values, brackets, keys, F.col("_part"))
         .select(*keys, F.explode(F.array_compact(F.array(*hits))).alias("_h"))
         .groupBy(*keys, F.col("_h.q").alias("_q"), F.col("_h.v").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -92,7 +96,7 @@ def threshold_table(df: DataFrame, lo: float = 0.01, hi: float = 0.99, approx: b
     else:
         table = exact_quantiles(df, GROUP, wanted)
     trimmed = (
-        df.select(*GROUP, "mean").join(table.select(*GROUP, "t_mean01", "t_mean99"), list(GROUP))
+        join_per_group(df.select(*GROUP, "dt_round", "mean"), table.select(*GROUP, "t_mean01", "t_mean99"), GROUP, F.col("dt_round"))
         .where((mean > F.col("t_mean01")) & (mean < F.col("t_mean99")))
         .groupBy(*GROUP).agg(F.stddev_samp("mean").alias("t_sd_0199"))
     )
