@@ -643,7 +643,7 @@ def reading_counts(spark, d):
 @query("""SELECT o_orderkey, strftime(date_trunc('second', o_orderdate), '%Y-%m-%d %H:%M:%S') AS stamp FROM orders""")
 def snapshot_names(spark, d):
     names = table(spark, d, "orders").select("o_orderkey", F.concat(
-        F.lit("AutoQAQC"), F.date_format("o_orderdate", "yyyyMMdd-'T'HHmmss'Z'"), F.lit(".parquet")).alias("file"))
+        F.lit("SondeFlags"), F.date_format("o_orderdate", "yyyyMMdd-'T'HHmmss'Z'"), F.lit(".parquet")).alias("file"))
     stamp = sw.snapshot_stamp(F.col("file"))
     return names.select("o_orderkey", F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias("stamp"))
 

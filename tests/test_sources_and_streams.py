@@ -81,8 +81,8 @@ def test_raw_pulls(spark, tmp_path):
 def test_snapshots(spark, tmp_path, series):
     path = str(tmp_path / "curated")
     for hours, value in ((0, 1.0), (5, 2.0), (3, 3.0)):
-        sw.write_snapshot(series([value] * 3), path, "AutoQAQC", NOW + timedelta(hours=hours))
-    assert {r["mean"] for r in sw.read_latest(spark, path, "AutoQAQC").collect()} == {2.0}
+        sw.write_snapshot(series([value] * 3), path, "SondeFlags", NOW + timedelta(hours=hours))
+    assert {r["mean"] for r in sw.read_latest(spark, path, "SondeFlags").collect()} == {2.0}
     assert {r["mean"] for r in sw.read_latest(spark, path, before=NOW + timedelta(hours=5)).collect()} == {3.0}
     with pytest.raises(FileNotFoundError):
         sw.read_latest(spark, path, "Other")
