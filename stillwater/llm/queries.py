@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_store
+from . import packing, token_store, url_filters, warc
 from .common import table, work_dir
 from .tokens import default_vocabulary
 
@@ -23,6 +23,17 @@ def op1_best_fit_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), default_vocabulary())
 
 
+@query
+def op4_url_rules(spark, d):
+    return url_filters.judge(table(spark, d, "pages"), table(spark, d, "labels"))
+
+
+@query
+def op8_warc(spark, d):
+    folder = work_dir(spark, "warc")
+    return warc.read_warc(spark, folder, warc.write_warc(table(spark, d, "pages"), folder))
+
+
 @query
 def op9_token_ids_orc(spark, d):
     path = work_dir(spark, "token-ids")

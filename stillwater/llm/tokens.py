@@ -7,7 +7,9 @@ import re
 import numpy as np
 
 # Blanks that libraries class differently: a text that holds one is encoded in one piece.
-_OTHER_BLANKS = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_OTHER_BLANKS = re.compile("[{}]".format("".join(map(chr, (
+    0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F,
+    0x3000, 0xFEFF)))))
 _CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 
 
