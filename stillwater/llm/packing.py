@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import Encoder
+from .tokens import encoder
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PLACED = "sequence_id bigint, offset bigint"
@@ -63,11 +63,11 @@ class OpenBins:
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
     """A row per piece: its document, number, start in the document, length and checksum; ``ids`` on demand."""
     def cut(batches):
-        encoder = Encoder(vocabulary)
+        encode = encoder(vocabulary).encode
         for batch in batches:
             for b in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 rows = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-                for doc, raw in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist(), end_id)):
+                for doc, raw in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist(), end_id)):
                     n = len(raw) // 4
                     edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                     for i, (x, y) in enumerate(zip(edges, edges[1:])):

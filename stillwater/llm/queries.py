@@ -4,9 +4,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_store, url_filters, warc
-from .common import table, work_dir
+from . import decontaminate, packing, token_store, toxicity, url_filters, warc
+from .common import fold, table, work_dir
 from .tokens import default_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,11 +24,22 @@ def op1_best_fit_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), default_vocabulary())
 
 
+@query
+def op2_toxicity_crf(spark, d):
+    scores = toxicity.score_documents(spark, table(spark, d, "documents"), table(spark, d, "labels"))
+    return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "n_spans")
+
+
 @query
 def op4_url_rules(spark, d):
     return url_filters.judge(table(spark, d, "pages"), table(spark, d, "labels"))
 
 
+@query
+def op7_spaced_seeds(spark, d):
+    return decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 @query
 def op8_warc(spark, d):
     folder = work_dir(spark, "warc")

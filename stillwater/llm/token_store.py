@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tokens import Encoder
+from .tokens import encoder
 
 STORE = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
 
@@ -30,11 +30,11 @@ STORE = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<
 def write_token_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, stripe_bytes: int = 16 << 20,
                     index_rows: int = 1000) -> None:
     """Encode ``doc_id, text`` and write the store to ``path`` (a folder that all executors reach)."""
-    def encode(batches):
-        encoder, part, at = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+    def rows(batches):
+        encode, part, at = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
             for b in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                raw = encoder.encode(b.column("text").to_pylist(), end_id)
+                raw = encode(b.column("text").to_pylist(), end_id)
                 n = np.array([len(r) // 4 for r in raw], np.int64)
                 ends = np.cumsum(n)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
@@ -46,24 +46,22 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2
 
     order = [F.col("doc_id"), F.xxhash64("text")]
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    (texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(encode, STORE).write
+    (texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(rows, STORE).write
      .option("compression", "zstd").option("orc.stripe.size", str(stripe_bytes))
      .option("orc.row.index.stride", str(index_rows)).option("orc.bloom.filter.columns", "doc_id")
      .option("orc.bloom.filter.fpp", "0.01").orc(path))
 
 
-def read_token_ids(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """Rows of the store with ``start``, the number of ids before the document; ``doc_ids`` reads only those.
+def _parts_before(rows: DataFrame) -> DataFrame:
+    """Tokens in the parts before each part; there is one part per written file."""
+    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
+    return parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
+
 
-    The filter reaches the ORC reader, which leaves out what statistics and Bloom filters exclude.
-    """
+def read_token_ids(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
+    """Rows of the store; ``doc_ids`` reads only those: the ORC reader leaves out what statistics and Bloom filters exclude."""
     rows = spark.read.schema(STORE).orc(path)
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))  # a row per written file
-    before = parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
-    if doc_ids is not None:
-        rows = rows.where(F.col("doc_id").isin(doc_ids))
-    return rows.join(before, "part").select("doc_id", (F.col("_before") + F.col("part_start")).alias("start"),
-                                            "n_tokens", "ids")
+    return rows if doc_ids is None else rows.where(F.col("doc_id").isin(doc_ids))
 
 
 def summary(spark: SparkSession, path: str) -> DataFrame:
@@ -74,7 +72,10 @@ def summary(spark: SparkSession, path: str) -> DataFrame:
             raw, at = memoryview(np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<i4")).cast("B"), ids.offsets.to_numpy()
             crc = [zlib.crc32(raw[4 * i:4 * j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("start"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"])
+                [b.column("doc_id"), b.column("part"), b.column("part_start"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
+                ["doc_id", "part", "part_start", "n_tokens", "ids_crc32"])
 
-    return read_token_ids(spark, path).mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = read_token_ids(spark, path)
+    digests = rows.mapInArrow(digest, "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids_crc32 bigint")
+    return digests.join(_parts_before(rows), "part").select(
+        "doc_id", (F.col("_before") + F.col("part_start")).alias("start"), "n_tokens", "ids_crc32")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -79,6 +80,12 @@ class Encoder:
         return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: later tasks find the vocabulary loaded and frequent chunks known."""
+    return Encoder(path)
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
