@@ -23,12 +23,11 @@ from pyspark.sql import functions as F
 
 MASKS = ((0, 1, 2, 3, 5), (0, 1, 4, 6, 7))
 MIN_WORDS = 6  # the shorter mask's stretch
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def word_array(text: Column) -> Column:
     """Words of a text; none for a missing or blank one."""
-    plain = F.trim(F.translate(F.coalesce(text, F.lit("")), UPPER + "\t\n\x0b\x0c\r", LOWER + "     "))
+    plain = F.trim(F.translate(F.lower(F.coalesce(text, F.lit(""))), "\t\n\x0b\x0c\r", "     "))
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " +"))
 
 
