@@ -78,11 +78,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
             .select("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("diagonal")).distinct()
             .join(items, "item_id")
             .groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item", "diagonal")).alias("hits")))
-    laid = (texts.join(hits.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-            .withColumn("_words", F.when(F.col("hits").isNotNull(), word_array(F.col("text")))))
-    found = F.filter(F.transform("hits", lambda h: F.struct(
-        h["item_id"].alias("item_id"), _best_stretch(F.col("_words"), h["item"], h["diagonal"], span).alias("share"))),
-        lambda x: x["share"] >= similarity)
+    laid = texts.join(hits.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+
+    def verified(words: Column) -> Column:
+        shares = F.transform("hits", lambda h: F.struct(
+            h["item_id"].alias("item_id"), _best_stretch(words, h["item"], h["diagonal"], span).alias("share")))
+        return F.filter(shares, lambda x: x["share"] >= similarity)
+
+    # as a lambda's argument the words are split once, not once per use
+    found = F.when(F.col("hits").isNotNull(), F.element_at(F.transform(F.array(word_array(F.col("text"))), verified), 1))
     out = laid.select("doc_id", F.coalesce(found, F.array().cast("array<struct<item_id:bigint,share:double>>")).alias("found"))
     return out.select(
         "doc_id", (F.size("found") > 0).alias("contaminated"),
