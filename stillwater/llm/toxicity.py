@@ -204,8 +204,8 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30))), spans
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0), sample: int = 3000,
-        sample_bytes: int = 32 << 20) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0), sample: int = 2000,
+        sample_bytes: int = 6 << 20) -> Model | None:
     """Train on labelled documents outside the held-out fold ``crc32(id) mod n = r``; None if a class is missing."""
     n, r = held_out
     known = (labels.where((fold(F.col("doc_id"), n) != r) & F.col("toxic").isNotNull())
