@@ -1,6 +1,7 @@
 """Token ids of texts by a public byte-level BPE vocabulary."""
 from __future__ import annotations
 
+import gc
 import os
 import re
 from functools import lru_cache
@@ -57,24 +58,28 @@ class Encoder:
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers, ``end`` behind each text's; a missing text is empty."""
+        collecting = gc.isenabled()
+        gc.disable()  # many strings, no cycles
+        try:
+            return self._encode(texts, end)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None], end: int | None) -> list[bytes]:
         last = b"" if end is None else np.array([end], "<u4").tobytes()
         cut = [None if _OTHER_BLANKS.search(t) else _CHUNK.findall(t) for t in (t or "" for t in texts)]
-        found = [None if chunks is None else list(map(self.seen.get, chunks)) for chunks in cut]
-        lost = {c for chunks, ids in zip(cut, found) if ids and None in ids for c, i in zip(chunks, ids) if i is None}
-        here = {c: self.older[c] for c in lost if c in self.older}
-        new = [c for c in lost if c not in here]
-        self._learn(new)
-        self.seen.update(here)
-        seen = self.seen
-        out = []
-        for text, chunks, ids in zip(texts, cut, found):
-            if chunks is None:
-                out.append(self._whole(text) + last)
-            else:
-                if None in ids:
-                    ids = [seen[c] if i is None else i for c, i in zip(chunks, ids)]
-                out.append(b"".join(ids) + last)
-        return out
+        # a small table of this call's chunks: most look-ups then stay in the processor's cache
+        here = dict.fromkeys(c for chunks in cut if chunks for c in chunks)
+        here.update(zip(here, map(self.seen.get, here)))
+        lost = [c for c, ids in here.items() if ids is None]
+        if lost:
+            again = {c: self.older[c] for c in lost if c in self.older}
+            self._learn([c for c in lost if c not in again])
+            self.seen.update(again)
+            here.update(zip(lost, map(self.seen.__getitem__, lost)))
+        ids = here.__getitem__
+        return [(self._whole(t) if chunks is None else b"".join(map(ids, chunks))) + last for t, chunks in zip(texts, cut)]
 
     def _whole(self, text: str | None) -> bytes:
         return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
