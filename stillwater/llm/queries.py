@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, token_store, toxicity, url_filters, warc
+from . import decontaminate, lm_score, near_duplicates, nearest, packing, token_store, toxicity, url_filters, warc
 from .common import fold, table, work_dir
 from .tokens import default_vocabulary
 
@@ -30,11 +30,21 @@ def op2_toxicity_crf(spark, d):
     return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "n_spans")
 
 
+@query
+def op3_min_max_hashing(spark, d):
+    return near_duplicates.components(table(spark, d, "documents"), shingle=2)
+
+
 @query
 def op4_url_rules(spark, d):
     return url_filters.judge(table(spark, d, "pages"), table(spark, d, "labels"))
 
 
+@query
+def op5_multi_index_hashing(spark, d):
+    return nearest.search(spark, table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op7_spaced_seeds(spark, d):
     return decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
@@ -51,3 +61,8 @@ def op9_token_ids_orc(spark, d):
     path = work_dir(spark, "token-ids")
     token_store.write_token_ids(table(spark, d, "documents"), path, default_vocabulary())
     return token_store.summary(spark, path)
+
+
+@query
+def op10_context_mixing(spark, d):
+    return lm_score.score_documents(spark, table(spark, d, "documents"))
