@@ -93,3 +93,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
         F.size(F.array_distinct("found.item_id")).alias("n_items"),
         F.coalesce(F.array_max("found.share"), F.lit(0.0)).alias("best_overlap"),
         F.array_sort(F.array_distinct("found.item_id")).alias("item_ids"))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """All columns of the documents that hold no passage of the benchmark; rows with a contaminated id go together."""
+    dirty = decontaminate(docs, benchmark, **how).where("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")

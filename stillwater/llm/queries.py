@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, near_duplicates, nearest, packing, token_store, toxicity, url_filters, warc
+from . import decontaminate, lm_score, near_duplicates, nearest, packing, repeats, token_store, toxicity, url_filters, warc
 from .common import fold, table, work_dir
 from .tokens import default_vocabulary
 
@@ -45,6 +45,11 @@ def op5_multi_index_hashing(spark, d):
     return nearest.search(spark, table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op6_suffix_sort(spark, d):
+    return repeats.removal_report(table(spark, d, "documents"), 400)
+
+
 @query
 def op7_spaced_seeds(spark, d):
     return decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
