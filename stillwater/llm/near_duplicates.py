@@ -6,9 +6,11 @@ of the similarity. Bands of ``rows`` places are hashed; documents that share a b
 permutations in bands of five, a pair of similarity 0.8 is missed by all 40 bands with a probability of about 1e-7.
 
 Texts of the same shingles are one node from the start. In a bucket no pairs are listed: every node is compared with
-one of the bucket's nodes, the pivot, on the full sets. What is linked becomes one component; buckets that still hold
-nodes of several components get other pivots, compared with nodes of other components only. Once few such pairs are
-left, all of them are compared, so no link between different texts that share a band is lost.
+one of the bucket's nodes, the pivot, on the full sets, and what is linked becomes one component. Links between
+components that still share a bucket are found by an exact prefix filter: shingles are ordered from rare to frequent,
+and two sets with enough in common share one of their first few. Nodes far from all others begin with shingles of
+their own and so meet nobody; the pairs that meet are compared on the full sets. No link between different texts that
+share a band is lost, while most pairs of a group of many moderately edited copies are never formed.
 
 Defined results: a missing or blank text has an empty set and is linked with nothing; a text with fewer words than a
 shingle is one shingle; a row without ``doc_id`` is linked with nothing, has no component and is kept; rows with the
@@ -21,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, words
@@ -141,8 +143,32 @@ def _sizes_allow(percent: int):
     return F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent
 
 
-def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutations: int = 100, rows: int = 5,
-               pivot_rounds: int = 8) -> DataFrame:
+def _prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` (``node, component, size``) of different components that can be similar enough."""
+    def spread(batches):
+        for b in batches:
+            raw = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("shingles")]
+            n = [len(x) for x in raw]
+            if sum(n):
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(np.repeat(b.column(c).to_numpy(), n)) for c in ("node", "component", "size")], pa.array(np.concatenate(raw))],
+                    ["node", "component", "size", "shingle"])
+
+    rows = stored(sets.join(nodes, "node").select("node", "component", "size", "shingles").mapInArrow(
+        spread, "node bigint, component bigint, size bigint, shingle bigint"), "shingles")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    rare_first = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle")
+    first = (rows.join(shared, "shingle", "left").withColumn("at", F.row_number().over(rare_first))
+             .where((F.col("at") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & F.col("n").isNotNull()).drop("n"))
+    first = stored(first, "prefixes")
+    a, b = (first.select("shingle", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "component", "size", "at")]) for x in "ab")
+    common = F.ceil((F.col("a_size") + F.col("b_size")) * percent / (100 + percent))
+    met = a.join(b, "shingle").where((F.col("a_component") < F.col("b_component")) & _sizes_allow(percent)
+                                     & (F.col("a_at") <= F.col("a_size") - common + 1) & (F.col("b_at") <= F.col("b_size") - common + 1))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutations: int = 100, rows: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``doc_id, text``.
 
     Links are pairs with ``100 * common >= percent * all`` shingles; ``component_id`` is the smallest ``doc_id`` reached.
@@ -164,31 +190,16 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutation
     edges = stored(signed.where("doc_id IS NOT NULL").select("doc_id", "set_key").join(nodes, "set_key")
                    .where("node <> doc_id").select(F.col("doc_id").alias("b"), F.col("node").alias("a"))
                    .join(nodes.select(F.col("node").alias("b")).distinct(), "b").select("a", "b").distinct(), "links")
-    labels = None
-    for number in range(pivot_rounds + 1):
-        own = members.withColumn("component", F.col("node")) if labels is None else (
-            members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        kinds = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                          F.min(F.struct(F.xxhash64("node", F.lit(number)), "node", "size", "component")).alias("pivot"))
-        own = own.join(kinds.where("low <> high"), "bucket")
-        pairs = own.where("component <> pivot.component").select(
-            F.col("pivot.node").alias("a"), F.col("node").alias("b"), F.col("pivot.size").alias("a_size"), F.col("size").alias("b_size"))
-        if number:
-            if own.isEmpty():
-                break
-            every = (own.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
-                     .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-                     .agg(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.sum("n").alias("rows")).first())
-            if every["pairs"] <= 4 * every["rows"] or number == pivot_rounds:
-                other = own.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_component"))
-                pairs = (own.select("bucket", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_component"))
-                         .join(other, "bucket").where("a_component < b_component").select("a", "b", "a_size", "b_size"))
-                number = pivot_rounds
-        pairs = pairs.where(_sizes_allow(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        edges = stored(edges.unionByName(_linked(pairs, sets, percent)), "links")
-        labels = connected_components(edges)
-        if number == pivot_rounds:
-            break
+    pivots = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node"), "node", "size")).alias("pivot"))
+    pairs = members.join(pivots, "bucket").where("node <> pivot.node").select(
+        F.col("pivot.node").alias("a"), F.col("node").alias("b"), F.col("pivot.size").alias("a_size"), F.col("size").alias("b_size"))
+    pairs = pairs.where(_sizes_allow(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = stored(edges.unionByName(_linked(pairs, sets, percent)), "links")
+    own = members.join(connected_components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    open_nodes = stored(own.join(apart, "bucket").select("node", "component", "size").distinct(), "open-nodes")
+    more = _linked(_prefix_pairs(sets, open_nodes, percent).distinct(), sets, percent)
+    labels = connected_components(edges.unionByName(more))
     named = nodes.select("set_key", "node").join(labels, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component_id"))
     return signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(
