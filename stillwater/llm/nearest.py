@@ -86,7 +86,8 @@ class Index:
         for j in range(m):
             for v in np.flatnonzero(np.bitwise_count(values ^ code[j]) <= radius // m).tolist():
                 hit[self.order[self.first[j, v]:self.first[j, v + 1], j]] = True
-            if j % 4 == 3 and hit.all():
+            if 2 * np.count_nonzero(hit) > n:  # more look-ups would hardly spare a comparison
+                hit[:] = True
                 break
         rows = np.flatnonzero(hit)
         own = np.ascontiguousarray(code).view(np.uint64) if self.words.dtype == np.uint64 else code
