@@ -33,7 +33,7 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2
     def rows(batches):
         encode, part, at = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for b in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+            for b in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
                 raw = encode(b.column("text").to_pylist(), end_id)
                 n = np.array([len(r) // 4 for r in raw], np.int64)
                 ends = np.cumsum(n)

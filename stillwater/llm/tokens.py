@@ -24,7 +24,7 @@ class Encoder:
     number of bytes, which tells where each chunk's ids end.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         from tokenizers import Tokenizer
 
