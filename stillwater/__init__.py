@@ -5,7 +5,7 @@ from .operators.finish import dashboard_columns, drop_lone_suspect, final_projec
 from .operators.malfunction import malfunction_flag
 from .operators.merge import merge_archive, merge_preflag, overlap_changes, recent, trailing_history
 from .operators.network import network_check, network_edges
-from .operators.notes import attach_field_notes, clean_notes, cleaning_notes, malfunction_notes, sensor_notes
+from .operators.notes import attach_field_notes, clean_notes, cleaning_notes, malfunction_notes, newest_first, sensor_notes
 from .operators.prepare import (
     clean_readings, interval_summary, mask_omitted, pad_grid, prepare_series, series_bounds, standardize_site_names,
     standardize_turbidity, with_join_stamp,
@@ -28,4 +28,4 @@ from .sources.readers import (
     read_sensor_spec, read_thresholds, snapshot_stamp,
 )
 from .sources.writers import archive_append, new_to_archive, with_source_file, write_raw, write_series_csv, write_snapshot
-from .streaming.jobs import read_raw_stream, stream_interval_summary, stream_pipeline
+from .streaming.jobs import archive_batch, late_rows, open_windows, read_raw_stream, stream_interval_summary, stream_pipeline

@@ -32,8 +32,8 @@ def _cuts(history: DataFrame, period: int) -> DataFrame:
     return history.groupBy(*SERIES).agg((F.max(F.unix_seconds("dt_round")) - period).alias("_cut"))
 
 
-def _with_cut(history: DataFrame, cuts: DataFrame) -> DataFrame:
-    return join_per_group(history, cuts, SERIES, F.col("dt_round"))
+def _with_cut(history: DataFrame, cuts: DataFrame, how: str = "inner") -> DataFrame:
+    return join_per_group(history, cuts, SERIES, F.col("dt_round"), how)
 
 
 def _recent() -> Column:
@@ -70,18 +70,22 @@ def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int |
 def merge_archive(flagged: DataFrame, history: DataFrame | None, period: int | str) -> DataFrame:
     """The new archive: older history, all flagged rows, and series that had no new data.
 
-    Running it twice with the same input gives the same archive.
+    A history row goes only if it is known to be replaced: it lies in the trailing period of a series with new rows,
+    or a new row has its key (a late reading). Rows without site, parameter or stamp stay. Running it twice with the
+    same input gives the same archive.
     """
     period = _checked(flagged, history, period)
     new = flagged.withColumn("historical", F.lit(True))
     if history is None:
         return new
+    history = ensure_column(history, "historical").withColumn("historical", F.col("historical").cast("boolean"))
     touched = flagged.select(*SERIES).distinct().withColumn("_touched", F.lit(True))
     old = (
-        _with_cut(history, _cuts(history, period).join(touched, list(SERIES), "left"))
-        .where(F.col("_touched").isNull() | ~_recent())
+        _with_cut(history, _cuts(history, period).join(touched, list(SERIES), "left"), "left")
+        .where(~F.coalesce(F.col("_touched") & _recent(), F.lit(False)))
         .withColumn("historical", F.when(F.col("_touched"), F.lit(True)).otherwise(F.col("historical")))
         .drop("_cut", "_touched")
+        .join(new.select(*KEY).distinct(), list(KEY), "left_anti")
     )
     return old.unionByName(new, allowMissingColumns=True)
 

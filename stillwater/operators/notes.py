@@ -166,3 +166,8 @@ def attach_field_notes(df: DataFrame, notes: DataFrame, layout: Layout = Layout(
     """
     df = df.drop(*CARRIED, *AT_VISIT)
     return note_columns(attach_states(df, note_states(notes, layout), layout, bounds))
+
+
+def newest_first(notes: DataFrame) -> DataFrame:
+    """Notes for reading: the latest visit on top, ties by site, notes without a time last."""
+    return notes.orderBy(F.col("start_dt").desc_nulls_last(), "site")

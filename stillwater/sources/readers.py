@@ -122,16 +122,27 @@ def snapshot_stamp(file_name):
     return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd-'T'HHmmss'Z'"))
 
 
-def read_latest(spark: SparkSession, path: str, prefix: str = "", before: datetime | None = None) -> DataFrame:
-    """The newest snapshot below ``path`` (older than ``before``), by the stamp in its name."""
+def stamped_snapshots(spark: SparkSession, path: str, prefix: str = "") -> list[tuple[str, str]]:
+    """Stamp and path of the finished snapshots below ``path``, oldest first; one still being written does not count."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{prefix}*")
-    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path) or []
-    limit = before.strftime("%Y%m%d-T%H%M%SZ") if before else None
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def finished(folder) -> bool:
+        inside = [spark._jvm.org.apache.hadoop.fs.Path(folder, name) for name in ("_SUCCESS", "_temporary")]
+        return fs.exists(inside[0]) or not fs.exists(inside[1])
+
     stamped = []
-    for status in found:
+    for status in fs.globStatus(hadoop_path) or []:
         stamp = re.search(SNAPSHOT_STAMP, status.getPath().getName())
-        if stamp and (limit is None or stamp[1] < limit):
+        if stamp and finished(status.getPath()):
             stamped.append((stamp[1], status.getPath().toString()))
+    return sorted(stamped)
+
+
+def read_latest(spark: SparkSession, path: str, prefix: str = "", before: datetime | None = None) -> DataFrame:
+    """The newest finished snapshot below ``path`` (older than ``before``), by the stamp in its name."""
+    limit = before.strftime("%Y%m%d-T%H%M%SZ") if before else None
+    stamped = [s for s in stamped_snapshots(spark, path, prefix) if limit is None or s[0] < limit]
     if not stamped:
         raise FileNotFoundError(f"no stamped snapshot below {path}")
-    return spark.read.parquet(max(stamped)[1])
+    return spark.read.parquet(stamped[-1][1])

@@ -23,12 +23,12 @@ def write_raw(readings: DataFrame, path: str, pulled_at: datetime) -> None:
     )
 
 
-def write_snapshot(df: DataFrame, path: str, name: str, now: datetime) -> str:
-    """Write ``<path>/<name><stamp>.parquet``, by site and year so that readers can prune.
+def write_snapshot(df: DataFrame, path: str, name: str, now: datetime, tag: str = "") -> str:
+    """Write ``<path>/<name><stamp><tag>.parquet``, by site and year so that readers can prune.
 
     Files are cut by month, so the rows of one long site spread over many tasks.
     """
-    target = f"{path.rstrip('/')}/{name}{stamp_text(now)}.parquet"
+    target = f"{path.rstrip('/')}/{name}{stamp_text(now)}{tag}.parquet"
     month = F.date_trunc("month", "dt_round")
     (
         df.withColumn("year", F.year("dt_round")).repartition("site", "year", month)
@@ -60,23 +60,29 @@ def with_source_file(df: DataFrame) -> DataFrame:
 def archive_append(spark: SparkSession, source_path: str, archive_path: str, clear: bool = False) -> DataFrame:
     """Copy files not archived yet, check that all arrived, and report rows per file.
 
-    Running it again copies nothing. ``clear`` removes the source files once every one is found in
-    the archive with all its rows.
+    Running it again copies nothing. ``clear`` removes the source files once every one is found in the archive with all
+    its rows; files that land in the meantime are neither copied nor removed. The report is a table of its own, a row per
+    file, and can be read after the files are gone.
     """
-    source = with_source_file(spark.read.parquet(source_path))
+    found = spark.read.parquet(source_path)
+    files, source = found.inputFiles(), with_source_file(found)
     archived = spark.read.parquet(archive_path) if _exists(spark, archive_path) else None
     new_to_archive(source, archived).write.mode("append").partitionBy("source_file").parquet(archive_path)
 
+    counts = source.groupBy("source_file").agg(F.count(F.lit(1)).alias("source_rows"))
     # file names look like stamps to nobody: keep them as text when the partitions are read back
-    present = spark.read.parquet(archive_path).groupBy("source_file").agg(F.count(F.lit(1)).alias("archived_rows"))
+    present = (
+        spark.read.parquet(archive_path).join(counts.select("source_file"), "source_file", "left_semi")
+        .groupBy("source_file").agg(F.count(F.lit(1)).alias("archived_rows"))
+    )
     report = (
-        source.groupBy("source_file").agg(F.count(F.lit(1)).alias("source_rows"))
-        .join(present, "source_file", "left")
+        counts.join(present, "source_file", "left")
         .withColumn("complete", F.coalesce(F.col("source_rows") == F.col("archived_rows"), F.lit(False)))
     )
+    report = spark.createDataFrame(report.collect(), report.schema)  # as many rows as the driver listed files
     if report.where(~F.col("complete")).isEmpty():
         if clear:
-            _remove_files(spark, source_path)
+            _remove_files(spark, files)
     else:
         warnings.warn(f"not all files of {source_path} arrived in {archive_path}", stacklevel=2)
     return report
@@ -92,8 +98,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _remove_files(spark: SparkSession, path: str) -> None:
-    hadoop_path, fs = _fs(spark, path)
-    for status in fs.listStatus(hadoop_path):
-        if status.getPath().getName().endswith(".parquet"):
-            fs.delete(status.getPath(), False)
+def _remove_files(spark: SparkSession, files: list[str]) -> None:
+    for file in files:
+        hadoop_path, fs = _fs(spark, file)
+        fs.delete(hadoop_path, False)

@@ -48,6 +48,25 @@ def test_archive_write_back_is_idempotent(both):
     assert changed == {("a", 25)}
 
 
+def test_archive_keeps_rows_without_key(spark):
+    history = rows(spark, [("a", "DO", 0, 48, "old"), (None, "DO", 0, 3, "old"), ("a", None, 0, 4, "old")]).unionByName(
+        rows(spark, [("b", "DO", 0, 2, "old")]).withColumn("dt_round", F.lit(None).cast("timestamp")))
+    flagged = rows(spark, [("a", "DO", 40, 50, "new"), ("b", "DO", 0, 1, "new")])
+    out = sw.merge_archive(flagged, history, "12 hours")  # a history without the column "historical"
+    assert out.where("site IS NULL").count() == 3 and out.where("parameter IS NULL").count() == 4
+    assert out.where("site = 'b' AND dt_round IS NULL").count() == 2 and out.where("site = 'b'").count() == 3
+
+
+def test_late_reading_replaces_its_stamp(spark):
+    history = rows(spark, [("a", "DO", 0, 48, "old")]).withColumn("historical", F.lit(True))
+    flagged = rows(spark, [("a", "DO", 5, 6, "late"), ("a", "DO", 40, 50, "new")])
+    out = sw.merge_archive(flagged, history, "12 hours").where("site = 'a'")
+    assert out.groupBy("dt_round").count().where("count > 1").count() == 0
+    got = {r["dt_round"]: r["auto_flag"] for r in out.collect()}
+    assert got[at(5, HOUR)] == "late" and got[at(4, HOUR)] == got[at(6, HOUR)] == "old" and got[at(45, HOUR)] == "new"
+    assert sorted(got) == [at(i, HOUR) for i in [*range(35), *range(40, 50)]]
+
+
 def test_merge_checks_its_input(both):
     incoming, history = both
     for merge in (sw.merge_preflag, sw.merge_archive):

@@ -98,8 +98,23 @@ def test_archive_append(spark, tmp_path):
     readings(spark, n=10).coalesce(1).write.mode("append").parquet(src)
     report = sw.archive_append(spark, src, dest).collect()
     assert all(r["complete"] for r in report) and len(report) == 2 and spark.read.parquet(dest).count() == 50
-    sw.archive_append(spark, src, dest, clear=True)
+    report = sw.archive_append(spark, src, dest, clear=True)
     assert not list((tmp_path / "in").glob("*.parquet")) and spark.read.parquet(dest).count() == 50
+    assert len(report.collect()) == 2 and all(r["complete"] for r in report.collect())  # also when the files are gone
+
+
+def test_archive_append_leaves_files_that_land_meanwhile(spark, tmp_path, monkeypatch):
+    from stillwater.sources import writers
+    src, dest = tmp_path / "in", str(tmp_path / "archive")
+    readings(spark).coalesce(1).write.parquet(str(src))
+    copy = writers.new_to_archive
+
+    def slow(source, archive):
+        readings(spark, "salyer", n=5).coalesce(1).write.mode("append").parquet(str(src))
+        return copy(source, archive)
+    monkeypatch.setattr(writers, "new_to_archive", slow)
+    sw.archive_append(spark, str(src), dest, clear=True)
+    assert spark.read.parquet(str(src)).count() == 5 and spark.read.parquet(dest).count() == 40
 
 
 def test_stream_summary_equals_batch(spark, tmp_path):
@@ -127,3 +142,50 @@ def test_stream_pipeline_builds_the_archive(spark, tmp_path):
     latest = sw.read_latest(spark, archive, "curated")
     stamps = sorted(r["dt_round"] for r in latest.collect())
     assert stamps == [at(i) for i in range(71)] and latest.where("NOT historical").count() == 0
+
+
+def run_stream(spark, src, archive, checkpoint):
+    sw.stream_pipeline(sw.read_raw_stream(spark, src), archive, checkpoint, "1 day").trigger(availableNow=True).start().awaitTermination()
+    return sorted(r["dt_round"] for r in sw.read_latest(spark, archive, "curated").collect())
+
+
+def test_stream_goes_on_with_a_new_checkpoint(spark, tmp_path):
+    archive = str(tmp_path / "archive")
+    readings(spark, n=90).coalesce(1).write.parquet(str(tmp_path / "one"))
+    readings(spark, n=30, start=30).coalesce(1).write.parquet(str(tmp_path / "two"))
+    assert run_stream(spark, str(tmp_path / "one"), archive, str(tmp_path / "c1")) == [at(i) for i in range(31)]
+    assert run_stream(spark, str(tmp_path / "two"), archive, str(tmp_path / "c2")) == [at(i) for i in range(41)]
+    assert len(list((tmp_path / "archive").glob("curated*"))) == 2
+
+
+def test_replayed_batch_writes_nothing(spark, tmp_path):
+    process = sw.archive_batch(str(tmp_path), "1 day", clock=lambda batch: NOW)
+    for batch in (0, 0, 1, 0):
+        process(readings(spark, n=30, start=10 * batch), batch)
+    stamps = sorted(p.name for p in tmp_path.glob("curated*"))
+    assert len(stamps) == 2 and stamps[0].startswith("curated20240309-T010203Z") and stamps[1].startswith("curated20240309-T010204Z")
+    assert sorted(r["dt_round"] for r in sw.read_latest(spark, str(tmp_path), "curated").collect()) == [at(i) for i in range(21)]
+
+
+def test_unfinished_snapshot_is_not_read(spark, tmp_path, series):
+    sw.write_snapshot(series([1.0]), str(tmp_path), "S", NOW)
+    (tmp_path / "S20250101-T000000Z.parquet" / "_temporary").mkdir(parents=True)
+    assert sw.read_latest(spark, str(tmp_path), "S").count() == 1
+
+
+def test_late_and_open_windows_are_accounted_for(spark, tmp_path):
+    src = str(tmp_path / "in")
+    readings(spark, n=200, start=96).coalesce(1).write.parquet(src)
+    stream = sw.stream_interval_summary(sw.read_raw_stream(spark, src, files_per_trigger=1), "15 minutes", "1 hour")
+
+    def run():
+        q = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        q.awaitTermination()
+        return q
+    q = run()
+    assert sw.late_rows(q) == 0
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).unionByName(sw.open_windows(readings(spark, n=200, start=96), q).select(*stream.columns))
+    want = sw.interval_summary(readings(spark, n=200, start=96)).select(*stream.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    readings(spark, "salyer", n=7).coalesce(1).write.mode("append").parquet(src)
+    assert sw.late_rows(run()) == 7
