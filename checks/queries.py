@@ -651,17 +651,19 @@ def snapshot_names(spark, d):
 # --- streaming -------------------------------------------------------------
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """Folder for stream state and results: shared on a cluster, a temporary one elsewhere."""
+    """A new path for stream state and results in the folder that driver and executors share (``spark.checkpoint.dir``)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix=f"{name}-")
-    return os.path.join(shared, f"{name}-{os.urandom(6).hex()}")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="checks-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{os.urandom(6).hex()}"
 
 
-@query(f"""SELECT {SQL_KEYS}, units, round(mean, 6) AS mean, round(spread, 6) AS spread, n_obs FROM summary
-    WHERE dt_round + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM clean) + INTERVAL 30 MINUTE - INTERVAL 1 HOUR""")
+@query(f"SELECT {SQL_KEYS}, units, round(mean, 6) AS mean, round(spread, 6) AS spread, n_obs FROM summary")
 def stream_interval_summary(spark, d):
-    """The same summary from a stream; the stamps still open to late readings are not out yet."""
+    """The same summary from a stream; the windows still open at its end come from the readings themselves."""
     schema = table(spark, d, "events").schema
     stream = sw.read_raw_stream(spark, d, schema=schema, glob="events.parquet")
     sql = inputs.view_text(inputs.SENSOR_RAW, "spark", 3).replace("FROM events", "FROM {events}")
@@ -670,5 +672,6 @@ def stream_interval_summary(spark, d):
     run = (summary.writeStream.format("parquet").option("checkpointLocation", f"{out}/state")
            .outputMode("append").trigger(availableNow=True).start(f"{out}/rows"))
     run.awaitTermination()
-    return spark.read.schema(summary.schema).parquet(f"{out}/rows").select(
+    closed = spark.read.schema(summary.schema).parquet(f"{out}/rows")
+    return closed.unionByName(sw.open_windows(raw(spark, d), run, "1 hour").select(*closed.columns)).select(
         *keys(), "units", r6("mean"), r6("spread"), "n_obs")
