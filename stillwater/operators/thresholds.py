@@ -9,16 +9,16 @@ from ..plans.joins import join_per_group
 GROUP = ("site", "parameter", "season")
 SKETCH_ACCURACY = 10000
 BRACKET = 20 / SKETCH_ACCURACY
-SMALL = int(4 / BRACKET)
 
 
 def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
     """Interpolated quantiles (the position is ``p * (n - 1)``), exact, without holding a group in memory.
 
-    A mergeable sketch brackets each quantile first, far wider than its error bound (a small group is
-    its own bracket). A second pass
-    counts the distinct values inside the bracket and everything on its near side, combined before
-    the shuffle; only those few counts are ordered. A bracket that missed would fail the query.
+    A mergeable sketch brackets each quantile first, far wider than its error bound. A second pass counts the distinct
+    values inside the bracket and the rows on either side of it, of which it keeps the value next to the bracket; all
+    that is combined before the shuffle, and only those few counts are ordered. The two ranks a quantile lies between
+    are then inside the bracket or next to it, in groups of any size: the sketch is exact up to ``SKETCH_ACCURACY``
+    values, where a bracket may miss by one rank, and beyond that the bracket is twenty times its error.
     """
     # stamps part the rows of a hot group even where most of its values are equal
     parted = F.col("dt_round") if "dt_round" in df.columns else F.struct(*[c for c, _ in wanted.values()])
@@ -27,54 +27,46 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
     for n, (_, p) in wanted.items():
         v = F.col(f"_v_{n}")
         ends = F.percentile_approx(v, [max(p - BRACKET, 0.0), min(p + BRACKET, 1.0)], SKETCH_ACCURACY)
-        small = F.count(v) < SMALL
-        sketches.append(F.struct(
-            F.count(v).alias("n"), F.when(small, F.min(v)).otherwise(F.get(ends, 0)).alias("lo"),
-            F.when(small, F.max(v)).otherwise(F.get(ends, 1)).alias("hi")).alias(f"_b_{n}"))
+        sketches.append(F.struct(F.count(v).alias("n"), F.get(ends, 0).alias("lo"), F.get(ends, 1).alias("hi")).alias(f"_b_{n}"))
     brackets = values.groupBy(*keys).agg(*sketches)
 
     hits = []
-    for n, (_, p) in wanted.items():
+    for n in wanted:
         v, lo, hi = F.col(f"_v_{n}"), F.col(f"_b_{n}.lo"), F.col(f"_b_{n}.hi")
-        outside = (v < lo) if p <= 0.5 else (v > hi)
-        inside = v.between(lo, hi)
-        hits.append(F.when(inside | outside, F.struct(F.lit(n).alias("q"), F.when(inside, v).alias("v"))))
+        side = F.when(v < lo, -1).when(v > hi, 1).otherwise(0)
+        hits.append(F.when(v.isNotNull(), F.struct(
+            F.lit(n).alias("q"), side.alias("side"), F.when(side == 0, v).alias("v"), v.alias("any"))))
     counted = (
         join_per_group(values, brackets, keys, F.col("_part"))
         .select(*keys, F.explode(F.array_compact(F.array(*hits))).alias("_h"))
-        .groupBy(*keys, F.col("_h.q").alias("_q"), F.col("_h.v").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        .groupBy(*keys, F.col("_h.q").alias("_q"), F.col("_h.side").alias("_side"), F.col("_h.v").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_h.any").alias("_least"), F.max("_h.any").alias("_most"))
     )
-    # ordered from the near end: rank of a value = rows outside the bracket + rows before it inside
-    low = [n for n, (_, p) in wanted.items() if p <= 0.5]
-    from_low = F.col("_q").isin(*low) if low else F.lit(False)
-    toward = F.when(from_low, F.col("_v")).otherwise(-F.col("_v"))
-    order = Window.partitionBy(*keys, "_q").orderBy(toward.asc_nulls_first())
-    ranked = counted.withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = ranked.where(F.col("_v").isNotNull()).join(brackets, list(keys))
+    order = Window.partitionBy(*keys, "_q").orderBy("_side", "_v")
+    upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("_upto", upto).join(brackets, list(keys))
+    # of the rows outside, only the one next to the bracket is known
+    value = F.when(F.col("_side") < 0, F.col("_most")).when(F.col("_side") > 0, F.col("_least")).otherwise(F.col("_v"))
+    first, last = F.col("_upto") - F.col("_c"), F.col("_upto") - 1
+
+    def at(rank: Column, name: str) -> Column:
+        known = F.when(F.col("_side") < 0, rank == last).when(F.col("_side") > 0, rank == first).otherwise(rank.between(first, last))
+        return F.max(F.when((F.col("_q") == name) & known, value))
 
-    picks = []
+    aggs = []
     for n, (_, p) in wanted.items():
         size = F.col(f"_b_{n}.n")
         position = F.lit(float(p)) * (size - 1)
         below = F.floor(position)
-        picks.append((n, below, F.least(below + 1, size - 1), position - below, size, p <= 0.5))
-    aggs = []
-    for n, a, b, weight, size, rising in picks:
-        mine = F.col("_q") == n
-        for end, rank in (("a", a), ("b", b)):
-            near = rank if rising else size - 1 - rank
-            here = mine & (F.col("_upto") > near) & (F.col("_upto") - F.col("_c") <= near)
-            aggs.append(F.max(F.when(here, F.col("_v"))).alias(f"_{end}_{n}"))
-        aggs.append(F.max(weight).alias(f"_w_{n}"))
-        aggs.append(F.max(size).alias(f"_n_{n}"))
-    found = joined.groupBy(*keys).agg(*aggs)
+        aggs += [at(below, n).alias(f"_a_{n}"), at(F.least(below + 1, size - 1), n).alias(f"_b2_{n}"),
+                 F.max(position - below).alias(f"_w_{n}"), F.max(size).alias(f"_n_{n}")]
+    found = ranked.groupBy(*keys).agg(*aggs)
     out = []
-    for n, *_ in picks:
-        a, b = F.col(f"_a_{n}"), F.col(f"_b_{n}")
-        value = a + (b - a) * F.col(f"_w_{n}")
+    for n in wanted:
+        a, b = F.col(f"_a_{n}"), F.col(f"_b2_{n}")
         missed = (F.col(f"_n_{n}") > 0) & (a.isNull() | b.isNull())
         out.append(F.when(missed, F.raise_error(F.lit("quantile bracket missed")).cast("double"))
-                   .otherwise(value).alias(n))
+                   .otherwise(a + (b - a) * F.col(f"_w_{n}")).alias(n))
     return found.select(*keys, *out)
 
 

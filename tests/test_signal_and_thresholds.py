@@ -97,6 +97,16 @@ def test_exact_quantiles(spark, shape):
         assert (got[key]["d"] is None) if not len(below) else got[key]["d"] == pytest.approx(np.quantile(below, 0.01), abs=1e-12)
 
 
+def test_exact_quantiles_of_every_size(spark):
+    r = np.random.default_rng(3)
+    groups = {n: np.round(r.normal(size=n), 2 if n % 2 else 9) for n in [*range(1, 40), 499, 500, 501, 1999, 2000, 2001, 12_000]}
+    df = spark.createDataFrame([(n, float(v)) for n, values in groups.items() for v in values], "k int, v double").repartition(4)
+    quantiles = {f"q{i}": p for i, p in enumerate((0.0, 0.01, 0.5, 0.99, 1.0))}
+    got = {row["k"]: row for row in sw.exact_quantiles(df, ("k",), {q: (F.col("v"), p) for q, p in quantiles.items()}).collect()}
+    for n, values in groups.items():
+        assert [got[n][q] for q in quantiles] == pytest.approx(list(np.quantile(values, list(quantiles.values()))), abs=1e-12), n
+
+
 def test_threshold_table(spark, series):
     r = np.random.default_rng(0)
     means = [float(v) for v in np.round(r.normal(10, 2, 500), 3)]
