@@ -40,12 +40,23 @@ def _recent() -> Column:
     return F.unix_seconds("dt_round") >= F.col("_cut")
 
 
+def _from(df: DataFrame, seconds_utc: Column) -> DataFrame:
+    """Rows from a moment on; where the rows are partitioned by ``year``, older years are not read."""
+    if "year" in df.columns:
+        df = df.where(F.col("year") >= F.year(F.timestamp_seconds(seconds_utc)))
+    return df.where(F.unix_seconds("dt_round") >= seconds_utc)
+
+
 def trailing_history(history: DataFrame, period: int | str, of: DataFrame | None = None) -> DataFrame:
-    """The last ``period`` of every series, or of those that ``of`` has rows of."""
+    """The last ``period`` of every series, or of those that ``of`` has rows of.
+
+    The cuts come from three narrow columns; of the rest only what lies behind the earliest cut is read.
+    """
     cuts = _cuts(history, seconds(period))
     if of is not None:
         cuts = cuts.join(of.select(*SERIES).distinct(), list(SERIES), "left_semi")
-    return _with_cut(history, cuts).where(_recent()).drop("_cut")
+    earliest = cuts.select(F.min("_cut")).scalar()
+    return _with_cut(_from(history, earliest), cuts).where(_recent()).drop("_cut")
 
 
 def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int | str) -> DataFrame:
@@ -62,7 +73,7 @@ def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int |
         trailing_history(history, period, of=incoming)
         .withColumn("historical", F.lit(True))
         .withColumn("flag", F.col("auto_flag").cast("string"))
-        .drop("sonde_moved")
+        .drop("sonde_moved", *({"year"} - set(new.columns)))
     )
     return past.unionByName(new.join(past.select(*KEY), list(KEY), "left_anti"), allowMissingColumns=True)
 
@@ -107,5 +118,8 @@ def overlap_changes(flagged: DataFrame, history: DataFrame, period: int | str,
 
 def recent(df: DataFrame, days: int = 45) -> DataFrame:
     """The archive's last days, counted back from its newest stamp."""
-    newest = df.select(F.max("dt_round")).scalar()
-    return df.where(F.col("dt_round") >= newest - F.expr(f"INTERVAL {int(days)} DAYS"))
+    last = df
+    if "year" in df.columns:
+        last = df.where(F.col("year") == df.select(F.max("year")).scalar())
+    newest = last.select(F.max(F.unix_seconds("dt_round"))).scalar()
+    return _from(df, newest - int(days) * 86_400)

@@ -78,9 +78,9 @@ def archive_batch(archive_path: str, period: int | str, name: str = "curated", *
         stamp, history = clock(batch_id).replace(tzinfo=None), None
         if done:
             stamp = max(stamp, datetime.strptime(done[-1][0], "%Y%m%d-T%H%M%SZ") + timedelta(seconds=1))
-            history = spark.read.parquet(done[-1][1]).drop("year")
+            history = spark.read.parquet(done[-1][1])
         flagged = curated(run_pipeline(batch, history=history, period=period if history is not None else None, **inputs))
-        archive = merge_archive(flagged, history, period)
+        archive = merge_archive(flagged, history, period).drop("year")
         write_snapshot(archive, archive_path, name, stamp, tag)
 
     return process

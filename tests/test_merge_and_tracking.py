@@ -86,6 +86,21 @@ def test_recent(spark):
     assert sw.recent(df).count() == 45 * 24 + 1 and sw.recent(df, days=1).count() == 25
 
 
+def test_old_years_are_not_read(spark, tmp_path):
+    long = rows(spark, [("a", "DO", 0, 24 * 800, None), ("b", "DO", 24 * 700, 24 * 790, None)])
+    sw.write_snapshot(long, str(tmp_path), "S", datetime(2024, 1, 1))
+    archive = sw.read_latest(spark, str(tmp_path), "S")
+    want = rows(spark, [("a", "DO", 24 * 755 - 1, 24 * 800, None), ("b", "DO", 24 * 755 - 1, 24 * 790, None)])
+    for got, expected in ((sw.recent(archive), want), (sw.trailing_history(archive, "45 days"), None)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert any("year" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+        if expected is not None:
+            key = ["site", "dt_round"]
+            assert sorted(map(str, got.select(key).collect())) == sorted(map(str, expected.select(key).collect()))
+        else:
+            assert {(r["site"], r["n"]) for r in got.groupBy("site").agg(F.count("*").alias("n")).collect()} == {("a", 45 * 24 + 1), ("b", 45 * 24 + 1)}
+
+
 NOW = datetime(2024, 6, 9, 12)
 
 
