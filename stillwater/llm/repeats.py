@@ -174,7 +174,7 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[int,
             node //= 2
 
 
-def extents(members: list[tuple[bytes, bytes]], length: int, few: int = 32) -> list[tuple[int, int] | None]:
+def extents(members: list[tuple[bytes, bytes]], length: int, few: int = 96) -> list[tuple[int, int] | None]:
     """For each member (bytes before, bytes from the anchor on): how far before and behind the anchor bytes go, or None.
 
     Members are of one gram. The stretches that hold it and occur with another member are all from the leftmost to the
@@ -210,15 +210,21 @@ def extents(members: list[tuple[bytes, bytes]], length: int, few: int = 32) -> l
         for c, (x, y) in enumerate(kinds):
             raw[c, most - len(x):most] = np.frombuffer(x, np.uint8)
             raw[c, most:most + len(y)] = np.frombuffer(y, np.uint8)
-        for low in range(0, most + 1, 32):  # starts this far from the left, in strips
-            width = min(32, most + 1 - low)
-            h = window_hashes(raw[:, low:low + width + length - 1], length)
-            for x in range(width):
+        left, right = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+        width = min(most + 1, max(16, 4_000_000 // len(kinds)))
+        for low in range(0, most + 1, width):  # starts this far from the left, as many at a time as memory allows
+            h = np.concatenate([window_hashes(raw[i:i + 512, low:low + width + length - 1], length) for i in range(0, len(kinds), 512)])
+            for x in range(h.shape[1]):
                 start = most - (low + x)  # bytes before the anchor
                 fits = np.flatnonzero((before >= start) & (behind >= length - start))
-                own, first, times = np.unique(h[fits, x], return_inverse=True, return_counts=True)
-                for c in fits[times[first] > 1].tolist():
-                    widen(c, start, length - start)
+                column = h[fits, x]
+                order = np.argsort(column)
+                same = column[order[1:]] == column[order[:-1]]
+                twice = fits[order[np.append(same, False) | np.append(False, same)]] if len(fits) else fits
+                left[twice] = np.maximum(left[twice], start)
+                right[twice] = np.maximum(right[twice], length - start)
+        for c in np.flatnonzero(right).tolist():
+            widen(c, int(left[c]), int(right[c]))
     out: list[tuple[int, int] | None] = [None] * len(members)
     for c, kind in enumerate(kinds):
         for i in classes[kind]:
