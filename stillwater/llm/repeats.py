@@ -15,8 +15,8 @@ are never compared again, and the merge gives each suffix's common prefix with i
 
 Neighbours that share a gram form a group. Two of its members with ``l`` equal bytes before and ``r`` behind the anchor
 share ``length`` bytes iff ``l + r >= length``, and then the bytes from ``l`` before to ``r`` behind go. Members of equal
-surroundings are taken as one; small groups compare members, large ones find equal stretches by hashing each
-start. Groups of more than ``hot`` members are not gathered: their stretches are hashed into rows and counted.
+surroundings are taken as one; members are compared with their neighbours in the order of suffixes and in the order of
+reversed prefixes, which settles nearly all of them. Groups of more than ``hot`` members are not gathered: their stretches are hashed into rows and counted.
 
 Equal texts are one text with a count from the start.
 
@@ -174,35 +174,49 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[int,
             node //= 2
 
 
-def extents(members: list[tuple[bytes, bytes]], length: int, few: int = 96) -> list[tuple[int, int] | None]:
+def extents(members: list[tuple[bytes, bytes]], length: int, few: int = 20_000) -> list[tuple[int, int] | None]:
     """For each member (bytes before, bytes from the anchor on): how far before and behind the anchor bytes go, or None.
 
     Members are of one gram. The stretches that hold it and occur with another member are all from the leftmost to the
-    rightmost one; these ends are given.
+    rightmost one; these ends are given. No member shares more bytes behind the anchor than a neighbour in the order of
+    suffixes, and none more bytes before it than a neighbour in the order of reversed prefixes: where these neighbours
+    reach that far with enough on the other side, nothing is left to do. The few other members are compared with all, or,
+    if that makes more than ``few`` pairs, the group's starts are hashed.
     """
     classes: dict[tuple[bytes, bytes], list[int]] = defaultdict(list)
     for i, m in enumerate(members):
         classes[m].append(i)
     kinds = list(classes)
+    back = [k[0][::-1] for k in kinds]
     reach: list[tuple[int, int] | None] = [None] * len(kinds)
+    most_before, most_behind = [0] * len(kinds), [0] * len(kinds)
 
     def widen(c: int, before: int, behind: int) -> None:
         if before + behind >= length:
             old = reach[c] or (0, 0)
             reach[c] = (max(old[0], before), max(old[1], behind))
 
+    def meet(i: int, j: int) -> tuple[int, int]:
+        before, behind = common_prefix(back[i], back[j]), common_prefix(kinds[i][1], kinds[j][1])
+        widen(i, before, behind)
+        widen(j, before, behind)
+        return before, behind
+
     for c, kind in enumerate(kinds):
         if len(classes[kind]) > 1:
             widen(c, len(kind[0]), len(kind[1]))
-    if len(kinds) <= few:
-        back = [k[0][::-1] for k in kinds]
-        for i in range(len(kinds)):
-            for j in range(i):
-                behind = common_prefix(kinds[i][1], kinds[j][1])
-                if behind + min(len(back[i]), len(back[j])) >= length:
-                    before = common_prefix(back[i], back[j])
-                    widen(i, before, behind)
-                    widen(j, before, behind)
+            most_before[c], most_behind[c] = len(kind[0]), len(kind[1])
+    for order, most_of, side in ((sorted(range(len(kinds)), key=lambda c: kinds[c][1]), most_behind, 1),
+                                 (sorted(range(len(kinds)), key=back.__getitem__), most_before, 0)):
+        for i, j in zip(order, order[1:]):
+            shared = meet(i, j)[side]
+            most_of[i], most_of[j] = max(most_of[i], shared), max(most_of[j], shared)
+    unsettled = [c for c in range(len(kinds)) if most_before[c] + most_behind[c] >= length and reach[c] != (most_before[c], most_behind[c])]
+    if len(unsettled) * len(kinds) <= few:
+        for i in unsettled:
+            for j in range(len(kinds)):
+                if i != j:
+                    meet(i, j)
     else:
         most = length - GRAM
         raw = np.zeros((len(kinds), most + length), np.uint8)

@@ -76,4 +76,4 @@ def test_large_groups_like_small_ones():
     draw = random.Random(2)
     gram = bytes(draw.choices(b"abc", k=64))
     members = [(bytes(draw.choices(b"ab", k=2)) * draw.randint(0, 18), gram + bytes(draw.choices(b"ab", k=1)) * draw.randint(0, 36)) for _ in range(80)]
-    assert extents(members, 100, few=1) == extents(members, 100, few=1000)
+    assert extents(members, 100, few=0) == extents(members, 100, few=10 ** 9)
