@@ -195,13 +195,17 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutation
         F.col("pivot.node").alias("a"), F.col("node").alias("b"), F.col("pivot.size").alias("a_size"), F.col("size").alias("b_size"))
     pairs = pairs.where(_sizes_allow(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = stored(edges.unionByName(_linked(pairs, sets, percent)), "links")
-    own = members.join(connected_components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = connected_components(edges)
+    own = members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
     open_nodes = stored(own.join(apart, "bucket").select("node", "component", "size").distinct(), "open-nodes")
-    more = _linked(_prefix_pairs(sets, open_nodes, percent).distinct(), sets, percent)
-    labels = connected_components(edges.unionByName(more))
-    named = nodes.select("set_key", "node").join(labels, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component_id"))
+    more = stored(_linked(_prefix_pairs(sets, open_nodes, percent).distinct(), sets, percent), "links")
+    # from here on components are the nodes: many links between two of them are one
+    end = {x: open_nodes.select(F.col("node").alias(x), F.col("component").alias(f"{x}_component")) for x in "ab"}
+    between = more.join(end["a"], "a").join(end["b"], "b").select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).distinct()
+    second = connected_components(between).select(F.col("node").alias("_first"), F.col("component").alias("_second"))
+    named = (nodes.select("set_key", "node").join(first, "node", "left").withColumn("_first", F.coalesce("component", "node"))
+             .join(second, "_first", "left").select("set_key", F.coalesce("_second", "_first").alias("component_id")))
     return signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(
         named, "set_key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
