@@ -51,10 +51,15 @@ def interval_summary(raw: DataFrame, interval: int | str = "15 minutes") -> Data
 
 
 def series_bounds(raw: DataFrame, interval: int | str = "15 minutes") -> DataFrame:
-    """First and last grid stamp per series, straight from the readings (narrow scan, small result)."""
+    """First and last grid stamp per series, straight from the readings (narrow scan, small result).
+
+    A series has one unit: its values stand in one frame. Two units raise an error that names the series.
+    """
+    mixed = F.concat_ws(" ", F.lit("two units in series"), *SERIES, F.min("units"), F.max("units"))
+    first = F.when(F.min("units") != F.max("units"), F.raise_error(mixed).cast("bigint")).otherwise(F.min("_s"))
     return (
-        clean_readings(raw, interval).select(*SERIES, clock().alias("_s"))
-        .groupBy(*SERIES).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+        clean_readings(raw, interval).select(*SERIES, "units", clock().alias("_s"))
+        .groupBy(*SERIES).agg(first.alias("_lo"), F.max("_s").alias("_hi"))
     )
 
 

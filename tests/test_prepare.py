@@ -85,3 +85,14 @@ def test_statistics_keep_known_values_and_take_seasons(series, column):
     df = series([1, 2, 3], front1=[9.0, None, None], types={"front1": "double"})
     out = sw.summary_statistics(df, seasons={"dry": (3,), "wet": (4,)})
     assert column(out, "front1") == [9.0, 3.0, None] and set(column(out, "season")) == {"dry"}
+
+
+@pytest.mark.parametrize("units", [("C", "F"), ("F", "C")])
+def test_two_units_in_a_series_are_an_error(spark, units):
+    data = [("a", "1", "sonde", datetime(2024, 3, 1) + timedelta(minutes=15 * i), "DO", float(i), units[i % 2]) for i in range(4)]
+    readings = raw(spark, data)
+    assert sw.interval_summary(readings).count() == 4
+    for run in (sw.prepare_series, sw.run_pipeline):
+        with pytest.raises(Exception, match="two units in series a DO C F"):
+            run(readings).collect()
+    assert sw.prepare_series(readings.where(f"units = '{units[0]}'")).count() == 3
