@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import inputs
 from .inputs import SPEC, derived, table
 from .sql import build, rows, tidy
+from .values import DEFAULT_SITES, SITE_RENAMES
 
 HOUR = sw.Layout("1 hour", gap_free=True)
 GAPPED = sw.Layout("1 hour", gap_free=False)
@@ -86,7 +87,7 @@ def pad_grid(spark, d):
 OLD_NAMES = ("CASE CAST(c_custkey AS BIGINT) % 11 WHEN 0 THEN 'Tamasag' WHEN 1 THEN 'Legacy' WHEN 2 THEN 'LINCOLN' "
              "WHEN 3 THEN 'Timberline' WHEN 4 THEN 'Prospect' WHEN 5 THEN 'boxelder' WHEN 6 THEN 'Archery' "
              "WHEN 7 THEN 'River Bluffs' WHEN 8 THEN 'MountainCampus' WHEN 9 THEN 'Legacy Lincoln' ELSE c_name END")
-_renamed = "".join(f"WHEN contains(s, '{o}') THEN replace(s, '{o}', '{n}') " for o, n in sw.operators.prepare.SITE_RENAMES)
+_renamed = "".join(f"WHEN contains(s, '{o}') THEN replace(s, '{o}', '{n}') " for o, n in SITE_RENAMES)
 
 
 @query(f"SELECT c_custkey, CASE {_renamed} ELSE s END AS site FROM "
@@ -559,7 +560,7 @@ def tracker_update(spark, d):
     return out.select("site", "parameter", "site_parameter", "failure_count", text_time("last_success"), "auto_disabled", "try_again")
 
 
-_sites = ", ".join(f"('{s}')" for s in sw.schema.DEFAULT_SITES)
+_sites = ", ".join(f"('{s}')" for s in DEFAULT_SITES)
 
 
 @query(f"""SELECT v.site, {sql_time('start_dt', 'start_dt')}, '{NOW}' AS end_dt FROM (VALUES {_sites}) v(site), (

@@ -3,9 +3,8 @@ from __future__ import annotations
 
 import re
 
-from stillwater.schema import MALFUNCTION_KINDS, NETWORK_IGNORED, SUSPECT_EXCLUDED, TIDY_RULES
-
 from . import inputs
+from .values import MALFUNCTION_KINDS, NETWORK_IGNORED, SUSPECT_EXCLUDED, TIDY_RULES
 
 K = "PARTITION BY site, parameter ORDER BY dt_round"
 

@@ -9,6 +9,7 @@ from ..functions.timegrid import join_stamp
 from ..plans.layout import Frames, Layout, over_series
 from ..schema import SITE_DISPLAY, SUSPECT, SUSPECT_EXCLUDED
 
+# fixed values: the published column names
 FINAL_COLUMNS = (
     "dt_round", "dt_join", "site", "parameter", "mean", "units", "n_obs", "spread", "auto_flag", "mal_flag",
     "sonde_moved", "sonde_employed", "season", "last_site_visit",

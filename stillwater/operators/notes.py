@@ -15,6 +15,7 @@ from ..schema import FIELD_PARAMETER_NAMES, SENSOR_PARAMETERS
 OTHER = "Other (please specify)"
 OTHER_COLUMNS = ("site_other", "visit_type_other", "other_which_sensor_malfunction", "photos_downloaded_other")
 
+# fixed values: the published column names
 SENSOR_NOTE_COLUMNS = (
     "site", "crew", "dt_round", "sonde_employed", "sensors_cleaned", "wiper_working", "rdo_cap_condition",
     "rdo_cap_replaced", "ph_junction_replaced", "cals_performed", "cal_report_collected", "sonde_moved",

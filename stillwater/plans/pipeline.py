@@ -22,6 +22,7 @@ from ..schema import BURIAL, DRIFT, FROZEN, MISSING, OUT_OF_SEASON, OUT_OF_SPEC,
 from .asof import States, attach_states, resolve_states, with_events
 from .layout import CHUNK, CLOCK, POSITION, Frames, Layout, gather, number_rows, spread
 
+# fixed values: the published column names
 CURATED_COLUMNS = (
     "dt_round", "dt_join", "site", "parameter", "mean", "units", "n_obs", "spread", "auto_flag", "mal_flag",
     "sonde_moved", "historical", "mean_filled", "smoothed_mean", "site_dashboard", "mean_dashboard",
