@@ -1,13 +1,14 @@
 """What the operators share: tables, the shared folder, words and text keys."""
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +41,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def local_path(uri: str) -> str:
-    """A shared folder as Python's file functions name it, where it is a mounted one."""
-    return uri[5:].replace("///", "/") if uri.startswith("file:") else uri
-
-
 def words(text: str | None) -> list[bytes]:
     """Words of a text, A-Z lower-cased; blanks are the six ASCII ones."""
     return text.encode().lower().split() if text else []
@@ -60,21 +56,23 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % parts
 
 
-def per_batch(f: Callable[..., dict], schema: str, most: int = 512) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """An Arrow function for mapInArrow: ``f`` gets at most ``most`` rows as lists and returns columns."""
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, most):
-                part = batch.slice(at, most)
-                out = f(**{n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)})
-                yield pa.RecordBatch.from_pydict(out, schema=schema)
-    return run
+def slices(batch: pa.RecordBatch, column: str, most_rows: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of bounded rows and bytes of ``column``; a row larger than that is a piece of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = min(max(int(np.searchsorted(ends, before + most_bytes, side="right")), at + 1), at + most_rows, batch.num_rows)
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
-def is_local_folder(uri: str) -> bool:
-    return uri.startswith(("file:", "/"))
+_kept: dict[object, object] = {}
 
 
-def ensure_folder(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path
+def worker_cache(key: object, make: Callable[[], object]):
+    """What an operator keeps in this Python worker from task to task; another operator's goes, so that memory stays bounded."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]

@@ -18,19 +18,17 @@ same ``doc_id`` count as one document and are linked; an empty table gives no ro
 """
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, words
+from .common import slices, stored, worker_cache, words
 from .graph import connected_components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_KEEP = 500_000
+_KEEP = 300_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -39,10 +37,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
 def _known() -> dict[bytes, int]:
     """Hashes of words this Python worker has met."""
-    return {}
+    return worker_cache("word hashes", dict)
 
 
 def _hashes(tokens: list[bytes]) -> np.ndarray:
@@ -103,7 +100,7 @@ def _signed(docs: DataFrame, shingle: int, permutations: int, rows: int) -> Data
     def sign(batches):
         bands = MinMax(permutations, rows)
         for batch in batches:
-            for b in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+            for b in slices(batch, "text", 512, 2 << 20):
                 sets = [shingle_set(t, shingle) for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
@@ -116,7 +113,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     """``node, text`` to ``node, shingles`` (hashes as bytes)."""
     def make(batches):
         for batch in batches:
-            for b in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+            for b in slices(batch, "text", 512, 2 << 20):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("node"), pa.array([shingle_set(t, shingle).tobytes() for t in b.column("text").to_pylist()], pa.binary())],
                     ["node", "shingles"])

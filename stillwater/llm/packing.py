@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 from .tokens import encoder
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -65,7 +65,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
     def cut(batches):
         encode = encoder(vocabulary).encode
         for batch in batches:
-            for b in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+            for b in slices(batch, "text", 2000, 8 << 20):
                 rows = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
                 for doc, raw in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist(), end_id)):
                     n = len(raw) // 4

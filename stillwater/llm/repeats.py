@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_key
+from .common import slices, stored, text_key, worker_cache
 
 GRAM = 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
@@ -252,8 +252,9 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     def find(batches):
+        worker_cache("none", dict)  # room for this operator
         for b in batches:
-            for part in (b.slice(i, 500) for i in range(0, b.num_rows, 500)):
+            for part in slices(b, "text", 500, 4 << 20):
                 keys = part.column("_key").to_pylist()
                 found = list(anchors(_bytes(part.column("text")), length))
                 if found:

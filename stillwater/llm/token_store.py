@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import slices
 from .tokens import encoder
 
 STORE = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
@@ -33,7 +34,7 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2
     def rows(batches):
         encode, part, at = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for b in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+            for b in slices(batch, "text", 2000, 8 << 20):
                 raw = encode(b.column("text").to_pylist(), end_id)
                 n = np.array([len(r) // 4 for r in raw], np.int64)
                 ends = np.cumsum(n)

@@ -4,10 +4,11 @@ from __future__ import annotations
 import gc
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from .common import worker_cache
+
 # Blanks that libraries class differently: a text that holds one is encoded in one piece.
 _OTHER_BLANKS = re.compile("[{}]".format("".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F,
@@ -24,7 +25,7 @@ class Encoder:
     number of bytes, which tells where each chunk's ids end.
     """
 
-    def __init__(self, path: str, keep: int = 900_000):
+    def __init__(self, path: str, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         from tokenizers import Tokenizer
 
@@ -85,10 +86,9 @@ class Encoder:
         return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The encoder of this Python worker: later tasks find the vocabulary loaded and frequent chunks known."""
-    return Encoder(path)
+    return worker_cache(("encoder", path), lambda: Encoder(path))
 
 
 def default_vocabulary() -> str:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, fold, words
+from .common import WORD, fold, slices, worker_cache, words
 
 BUCKETS = 1 << 18
 TAGS = "tox_score double, tox_spans array<struct<start:bigint,stop:bigint,marginal:double>>"
@@ -168,7 +168,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 class Scorer:
     """Scores texts; evidence of words seen is kept, up to ``keep`` words."""
 
-    def __init__(self, model: Model, keep: int = 500_000):
+    def __init__(self, model: Model, keep: int = 200_000):
         self.model, self.keep, self.known = model, keep, {}
 
     def _evidence(self, tokens: list[bytes]) -> np.ndarray:
@@ -235,10 +235,11 @@ def tag(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)  # BUCKETS weights
 
     def score(batches):
-        scorer = Scorer(shared.value)
+        model = shared.value
+        scorer = worker_cache(("toxicity", id(model)), lambda: Scorer(model))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("marginal", pa.float64())]))
         for batch in batches:
-            for b in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+            for b in slices(batch, "text", 1000, 1 << 20):
                 value, spans = scorer.score(b.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(value), pa.array(spans, kind)],
                                                  [*b.schema.names, "tox_score", "tox_spans"])
