@@ -9,7 +9,8 @@ Texts of the same shingles are one node from the start. In a bucket no pairs are
 one of the bucket's nodes, the pivot, on the full sets, and what is linked becomes one component. Links between
 components that still share a bucket are found by an exact prefix filter: shingles are ordered from rare to frequent,
 and two sets with enough in common share one of their first few. Nodes far from all others begin with shingles of
-their own and so meet nobody; the pairs that meet are compared on the full sets. No link between different texts that
+their own and so meet nobody; pairs whose parity bits show more differing members than a link allows do not meet
+either; those that meet are compared on the full sets. No link between different texts that
 share a band is lost, while most pairs of a group of many moderately edited copies are never formed.
 
 Defined results: a missing or blank text has an empty set and is linked with nothing; a text with fewer words than a
@@ -18,6 +19,9 @@ same ``doc_id`` count as one document and are linked; an empty table gives no ro
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -109,15 +113,25 @@ def _signed(docs: DataFrame, shingle: int, permutations: int, rows: int) -> Data
     return docs.mapInArrow(sign, "doc_id bigint, set_key binary, n_shingles bigint, bands array<bigint>")
 
 
+PARITY = 8  # words of 64 bits
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """One bit per hash class: whether it holds an odd number of the set. Two sets differ in at least as many members as bits."""
+    odd = np.bincount((s & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """``node, text`` to ``node, shingles`` (hashes as bytes)."""
+    """``node, text`` to ``node, shingles`` (hashes as bytes) and their ``parity``."""
     def make(batches):
         for batch in batches:
             for b in slices(batch, "text", 512, 2 << 20):
+                sets = [shingle_set(t, shingle) for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("node"), pa.array([shingle_set(t, shingle).tobytes() for t in b.column("text").to_pylist()], pa.binary())],
-                    ["node", "shingles"])
-    return texts.mapInArrow(make, "node bigint, shingles binary")
+                    [b.column("node"), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([parity(x) for x in sets], pa.list_(pa.int64()))],
+                    ["node", "shingles", "parity"])
+    return texts.mapInArrow(make, "node bigint, shingles binary, parity array<bigint>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,11 +171,13 @@ def _prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     rare_first = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle")
     first = (rows.join(shared, "shingle", "left").withColumn("at", F.row_number().over(rare_first))
              .where((F.col("at") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & F.col("n").isNotNull()).drop("n"))
-    first = stored(first, "prefixes")
-    a, b = (first.select("shingle", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "component", "size", "at")]) for x in "ab")
+    first = stored(first.join(sets.select("node", "parity"), "node"), "prefixes")
+    a, b = (first.select("shingle", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "component", "size", "at", "parity")]) for x in "ab")
     common = F.ceil((F.col("a_size") + F.col("b_size")) * percent / (100 + percent))
+    differ = reduce(add, [F.bit_count(F.get("a_parity", F.lit(i)).bitwiseXOR(F.get("b_parity", F.lit(i)))) for i in range(PARITY)])
     met = a.join(b, "shingle").where((F.col("a_component") < F.col("b_component")) & _sizes_allow(percent)
-                                     & (F.col("a_at") <= F.col("a_size") - common + 1) & (F.col("b_at") <= F.col("b_size") - common + 1))
+                                     & (F.col("a_at") <= F.col("a_size") - common + 1) & (F.col("b_at") <= F.col("b_size") - common + 1)
+                                     & (differ <= F.col("a_size") + F.col("b_size") - 2 * common))
     return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
