@@ -8,7 +8,9 @@ toxic state comes from the same recursions over the whole text; a document's sco
 the training documents, of the expected number of toxic tokens and of the largest marginal.
 
 The model is trained on a bounded sample: at most ``sample`` labelled documents of each class, those with the smallest
-hash of their id, and at most ``sample_bytes`` of text. It has a fixed number of weights. Every text is scored whole, in
+hash of their id, and at most ``sample_bytes`` of text, of which each class can have half. A text that does not fit is
+passed over, those behind it are not; a class that has only larger texts gives the start of its smallest one. Of rows
+with the same id one text is used. The model has a fixed number of weights. Every text is scored whole, in
 one pass without a shuffle.
 
 The recursions run as ratios of the two states' weights, a step of which is a fraction ``(a x + b) / (c x + d)``. Such
@@ -204,26 +206,42 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30))), spans
 
 
+def _within(rows: list, most: int) -> list:
+    """Rows whose sizes sum up to at most ``most``, in their order without those that do not fit; the first one always."""
+    out, total = rows[:1], rows[0]["size"]
+    for x in rows[1:]:
+        if total + x["size"] <= most:
+            out.append(x)
+            total += x["size"]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0), sample: int = 2000,
         sample_bytes: int = 6 << 20) -> Model | None:
     """Train on labelled documents outside the held-out fold ``crc32(id) mod n = r``; None if a class is missing."""
     n, r = held_out
     known = (labels.where((fold(F.col("doc_id"), n) != r) & F.col("toxic").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    chosen = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
-    picked = chosen[0].unionByName(chosen[1])  # at most 2 * sample narrow rows
-    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-            .select("toxic", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h"), "doc_id"))
-    # the sample's bound in bytes: shares by class and hash order, as sizes allow
-    sized = rows.select("doc_id", "h", F.octet_length("text").alias("size")).orderBy("h", "doc_id").limit(2 * sample).collect()
-    total = np.cumsum([x["size"] for x in sized]) if sized else np.zeros(0)
-    fits = int((total <= sample_bytes).sum())
-    if fits < len(sized):
-        rows = rows.where(F.col("h") <= sized[max(0, fits - 1)]["h"])
-    got = rows.orderBy("h", "doc_id").limit(2 * sample).collect()
-    toxic = np.array([x["toxic"] for x in got], int)
-    if not (len(got) and toxic.any() and not toxic.all()):
+    text = F.coalesce("text", F.lit(""))
+    # one text per id, by hash; only narrow rows are joined with the labels
+    sized = (docs.where("doc_id IS NOT NULL").select("doc_id", F.struct(F.xxhash64(text).alias("text"), F.octet_length(text).alias("size")).alias("own"))
+             .groupBy("doc_id").agg(F.min("own").alias("own")).join(known, "doc_id")
+             .select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"), "own.text", "own.size"))
+    share = sample_bytes // 2
+    # texts larger than a class's share come last: one of them is used, cut, only where a class has no other
+    order = (F.when(F.col("size") > share, F.col("size")).otherwise(0), "h", "doc_id")
+    found = [sized.where(F.col("toxic") == c).orderBy(*order).limit(sample) for c in (0, 1)]
+    schema = found[0].schema
+    groups = sorted((g.collect() for g in found), key=lambda g: sum(x["size"] for x in g))  # at most 2 * sample narrow rows
+    if not all(groups):
         return None
+    chosen = _within(groups[0], share)
+    chosen += _within(groups[1], max(share, sample_bytes - sum(x["size"] for x in chosen)))
+    picked = F.broadcast(docs.sparkSession.createDataFrame(chosen, schema).select("doc_id", "toxic", "h", F.col("text").alias("_hash"), F.col("size").alias("_size")))
+    cut = F.when(F.col("_size") > share, F.substring(text, 1, max(1, share // 4))).otherwise(text)
+    rows = docs.select("doc_id", "text").join(picked, "doc_id").where(F.xxhash64(text) == F.col("_hash")).select("doc_id", "h", "toxic", cut.alias("text"))
+    got = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda x: (x["h"], x["doc_id"]))
+    toxic = np.array([x["toxic"] for x in got], int)
     return train([words(x["text"]) for x in got], toxic)
 
 

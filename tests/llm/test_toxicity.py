@@ -60,3 +60,20 @@ def test_odd_rows(spark, corpus, odd, odd_rows, empty):
     assert tag(spark, empty, model).count() == 0
     assert fit(corpus[0], corpus[1].where("toxic = 0")) is None
     assert {(r.score, r.predicted) for r in score_documents(spark, odd, corpus[1].limit(0)).collect()} == {(0.0, 0)}
+
+
+def test_large_and_repeated_labelled_texts(spark, corpus):
+    docs, labels = corpus
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    # more than the bound: every one, one id many times, or all texts of a class
+    huge = documents(spark, [*rows, *[(i, prose(40_000, 3)) for i in range(1000, 1012)]])
+    marked = labels.unionByName(spark.createDataFrame([(i, 1, i % 2, "x") for i in range(1000, 1012)], labels.schema))
+    again = documents(spark, [*rows, *[(1000, prose(60, 3, 300))] * 3000])
+    for more in (huge, again):
+        model = fit(more, marked, sample_bytes=100_000)
+        assert model is not None
+        found = [(r.doc_id % 3 == 0) == (r.tox_score >= 0.5) for r in tag(spark, docs, model).collect()]
+        assert np.mean(found) > 0.9
+    only = labels.where("toxic = 0").unionByName(spark.createDataFrame([(i, 1, 1, "x") for i in range(1000, 1012)], labels.schema))
+    assert fit(huge, only, sample_bytes=100_000) is not None
+    assert fit(docs, labels, sample=2) is not None
