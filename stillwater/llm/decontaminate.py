@@ -11,10 +11,10 @@ a document is contaminated if some stretch of ``span`` item words (or the whole
 
 Words are split at ASCII blanks and lower-cased. The join's benchmark side is broadcast in blocks of at most
 ``block_seeds`` rows, whose number follows from a count: a larger benchmark makes more blocks. The documents' own
-texts meet only their hits, one row per document.
+texts meet only their hits, one row per id and text.
 
 Defined results: missing and short texts and items (fewer than ``MIN_WORDS`` words) hold no seed and are clean; rows with
-the same ``doc_id`` are judged by their own texts; an empty benchmark leaves all clean; other columns are left out.
+the same ``doc_id``, or without one, are judged by their own texts; an empty benchmark leaves all clean; other columns are left out.
 """
 from __future__ import annotations
 
@@ -25,6 +25,11 @@ MASKS = ((0, 1, 2, 3, 5), (0, 1, 4, 6, 7))
 MIN_WORDS = 6  # the shorter mask's stretch
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Stands for a row's id and text: rows that share it hold the same text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit("|"), F.coalesce(docs["text"], F.lit("")))))
+
+
 def word_array(text: Column) -> Column:
     """Words of a text; none for a missing or blank one."""
     plain = F.trim(F.translate(F.lower(F.coalesce(text, F.lit(""))), "\t\n\x0b\x0c\r", "     "))
@@ -70,15 +75,20 @@ def _best_stretch(doc: Column, item: Column, diagonal: Column, span: int) -> Col
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, span: int = 12,
                   block_seeds: int = 100_000) -> DataFrame:
     """``doc_id, contaminated, n_items, best_overlap, item_ids`` per row of documents."""
-    texts = docs.select("doc_id", "text")
+    return _judged(docs, benchmark, similarity, span, block_seeds).drop("_row")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, span: int = 12, block_seeds: int = 100_000) -> DataFrame:
+    """``decontaminate`` with ``_row``, the row's key."""
+    texts = docs.select("doc_id", "text", row_key(docs).alias("_row"))
     items = benchmark.select("item_id", word_array(F.col("text")).alias("item")).where(F.size("item") >= MIN_WORDS)
     bench = _seed_rows(benchmark.select("item_id", "text"), "item_id").select(
         "item_id", F.col("_at").alias("_item_at"), "_seed").distinct()
-    hits = (_joined(_seed_rows(texts, "doc_id"), bench, block_seeds)
-            .select("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("diagonal")).distinct()
+    hits = (_joined(_seed_rows(texts, "_row"), bench, block_seeds)
+            .select("_row", "item_id", (F.col("_at") - F.col("_item_at")).alias("diagonal")).distinct()
             .join(items, "item_id")
-            .groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item", "diagonal")).alias("hits")))
-    laid = texts.join(hits.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+            .groupBy("_row").agg(F.collect_list(F.struct("item_id", "item", "diagonal")).alias("hits")))
+    laid = texts.join(hits, "_row", "left")
 
     def verified(words: Column) -> Column:
         shares = F.transform("hits", lambda h: F.struct(
@@ -87,15 +97,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
 
     # as a lambda's argument the words are split once, not once per use
     found = F.when(F.col("hits").isNotNull(), F.element_at(F.transform(F.array(word_array(F.col("text"))), verified), 1))
-    out = laid.select("doc_id", F.coalesce(found, F.array().cast("array<struct<item_id:bigint,share:double>>")).alias("found"))
+    out = laid.select("_row", "doc_id", F.coalesce(found, F.array().cast("array<struct<item_id:bigint,share:double>>")).alias("found"))
     return out.select(
-        "doc_id", (F.size("found") > 0).alias("contaminated"),
+        "_row", "doc_id", (F.size("found") > 0).alias("contaminated"),
         F.size(F.array_distinct("found.item_id")).alias("n_items"),
         F.coalesce(F.array_max("found.share"), F.lit(0.0)).alias("best_overlap"),
         F.array_sort(F.array_distinct("found.item_id")).alias("item_ids"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """All columns of the documents that hold no passage of the benchmark; rows with a contaminated id go together."""
-    dirty = decontaminate(docs, benchmark, **how).where("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    """All columns of the documents that hold no passage of the benchmark.
+
+    Rows with a contaminated id go together; of rows without ``doc_id`` only those go whose own text is contaminated.
+    """
+    def goes_with(doc_id: Column, row: Column) -> Column:
+        return F.when(doc_id.isNull(), F.concat(F.lit("row "), F.hex(row))).otherwise(F.concat(F.lit("id "), doc_id.cast("string")))
+    dirty = _judged(docs, benchmark, **how).where("contaminated").select(goes_with(F.col("doc_id"), F.col("_row")).alias("_dirty")).distinct()
+    return docs.join(dirty, goes_with(docs["doc_id"], row_key(docs)) == F.col("_dirty"), "left_anti")

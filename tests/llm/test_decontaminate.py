@@ -48,6 +48,23 @@ def test_empty_and_odd(spark, bench, odd, odd_rows, empty):
     assert decontaminate(odd, bench.limit(0)).where("NOT contaminated").count() == len(odd_rows)
 
 
+def test_rows_without_id_stand_for_themselves(spark, bench):
+    item = ITEMS[0][1]
+    texts = [item, prose(60, 30, 2000), None, prose(60, 31, 2000), item]
+    docs = documents(spark, [*[(None, t) for t in texts], (7, item), (8, prose(60, 32, 2000))])
+    left = sorted(((r.doc_id, r.text) for r in clean_documents(docs, bench).collect()), key=str)
+    assert left == sorted([*[(None, t) for t in texts if t != item], (8, prose(60, 32, 2000))], key=str)
+    got = decontaminate(docs, bench)
+    assert got.columns == ["doc_id", "contaminated", "n_items", "best_overlap", "item_ids"]
+    assert sorted((r.doc_id or 0, r.contaminated) for r in got.collect()) == [(0, False)] * 3 + [(0, True)] * 2 + [(7, True), (8, False)]
+
+
+def test_hits_are_grouped_by_row(spark, bench):
+    from stillwater.llm.decontaminate import row_key
+    docs = documents(spark, [(None, "a"), (None, "b"), (1, "a"), (1, "a"), (None, None)])
+    assert docs.select(row_key(docs).alias("k")).distinct().count() == 4
+
+
 def test_every_two_replaced_words_leave_a_seed():
     from itertools import combinations
 
