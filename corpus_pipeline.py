@@ -28,9 +28,9 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings that occur twice; a text that loses everything goes."""
+    """Texts without the passages of over 50 words or of 250 bytes that occur twice; a text that loses everything goes."""
     had = F.octet_length(F.coalesce("text", F.lit("")))
-    left = repeats.without_repeats(docs.withColumn("_had", had), REPEAT_BYTES)
+    left = repeats.without_repeats(docs.withColumn("_had", had), REPEAT_BYTES, words=REPEAT_WORDS)
     return left.where((F.col("_had") == 0) | (F.trim(F.col("text")) != "")).drop("_had")
 
 
@@ -44,7 +44,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, default_vocabulary())
 
 
-REPEAT_BYTES = 250  # some 50 words
+REPEAT_WORDS = 51
+REPEAT_BYTES = 250  # of the passages of any number of words; text without blanks has few
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),

@@ -20,6 +20,10 @@ reversed prefixes, which settles nearly all of them. Groups of more than ``hot``
 
 Equal texts are one text with a count from the start.
 
+Where a number of ``words`` is given, bytes also go if they are covered by that many words, with the blanks between them,
+that occur elsewhere. Such stretches of ``length`` bytes or more are found by the sort; shorter ones are hashed into rows
+and counted.
+
 Defined results: a missing text is empty; rows with the same ``doc_id`` are texts of their own, so repeated rows are
 repeats; an empty table gives no rows; columns other than ``text`` are kept by ``without_repeats``, which drops
 characters that are cut inside and sets ``n_chars`` where there is such a column.
@@ -32,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +45,7 @@ from .common import slices, stored, text_key, worker_cache
 GRAM = 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 SPANS = "array<struct<start:int,stop:int>>"
 
@@ -345,7 +351,37 @@ def _hot_spans(placed: DataFrame, length: int) -> DataFrame:
     return rows.join(repeated, "hash").select("key", "start", (F.col("start") + length).alias("stop"))
 
 
-def spans(docs: DataFrame, length: int = 400, hot: int = 100_000, per_bucket: int = 20_000, hold: int = 40_000) -> DataFrame:
+def word_stretches(raw: bytes, count: int, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of all stretches of ``count`` words that are shorter than ``below`` bytes."""
+    blank = np.concatenate([[True], _BLANK[np.frombuffer(raw, np.uint8)], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    starts, stops = starts[:max(0, len(starts) - count + 1)], stops[count - 1:]
+    short = stops - starts < below
+    return starts[short], stops[short]
+
+
+def _word_spans(docs: DataFrame, count: int, below: int, most: int = 50_000) -> DataFrame:
+    """The repeated stretches of ``count`` words among those shorter than ``below`` bytes; rows of equal texts repeat each other."""
+    def spread(batches):
+        for b in batches:
+            for key, text in zip(b.column("_key").to_pylist(), b.column("text").to_pylist()):
+                raw = text.encode()
+                starts, stops = word_stretches(raw, count, below)
+                for i in range(0, len(starts), most):
+                    x, y = starts[i:i + most], stops[i:i + most]
+                    h = [xxhash.xxh3_64_intdigest(raw[p:q]) for p, q in zip(x.tolist(), y.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.array(h, np.uint64).view(np.int64)), pa.array([key] * len(h), pa.binary()),
+                         pa.array(x.astype(np.int32)), pa.array(y.astype(np.int32))], ["hash", "key", "start", "stop"])
+    texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= 2 * count - 1)
+    rows = stored(texts.mapInArrow(spread, "hash bigint, key binary, start int, stop int"), "word-stretches")
+    repeated = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    return rows.join(repeated, "hash").select("key", "start", "stop").distinct()
+
+
+def spans(docs: DataFrame, length: int = 400, hot: int = 100_000, per_bucket: int = 20_000, hold: int = 40_000,
+          words: int | None = None) -> DataFrame:
     """``_key`` (of the text) and ``_spans`` (bytes to remove, overlapping ones unmerged) of texts with repeats."""
     texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= length)
     copies = texts.groupBy("_key").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).where("n > 1")
@@ -363,6 +399,8 @@ def spans(docs: DataFrame, length: int = 400, hot: int = 100_000, per_bucket: in
     if (size["most"] or 0) > hot:
         found = found.unionByName(_hot_spans(with_texts(known.where(F.col("n") > hot)), length))
     found = found.unionByName(copies.select(F.col("_key").alias("key"), F.lit(0).alias("start"), F.col("size").alias("stop")))
+    if words:
+        found = found.unionByName(_word_spans(docs, words, length))
     return stored(found.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("start", "stop")).alias("_spans")), "spans")
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -77,3 +78,33 @@ def test_large_groups_like_small_ones():
     gram = bytes(draw.choices(b"abc", k=64))
     members = [(bytes(draw.choices(b"ab", k=2)) * draw.randint(0, 18), gram + bytes(draw.choices(b"ab", k=1)) * draw.randint(0, 36)) for _ in range(80)]
     assert extents(members, 100, few=0) == extents(members, 100, few=10 ** 9)
+
+
+def by_words(texts, count):
+    """What is left without the stretches of so many words that occur twice."""
+    places = defaultdict(list)
+    for i, t in enumerate(texts):
+        found = [m.span() for m in re.finditer(r"\S+", t)]
+        for (a, _), (_, b) in zip(found, found[count - 1:]):
+            places[t[a:b]].append((i, a, b))
+    away = [bytearray(len(t)) for t in texts]
+    for where in places.values():
+        if len(where) > 1:
+            for i, a, b in where:
+                away[i][a:b] = b"\1" * (b - a)
+    return sorted("".join(c for c, x in zip(t, gone) if not x) for t, gone in zip(texts, away))
+
+
+def test_short_words(spark):
+    import corpus_pipeline
+    draw = random.Random(9)
+    some = lambda n: " ".join("".join(draw.choices("abcdefgh", k=draw.choice((1, 2)))) for _ in range(n))
+    over, under, copy = some(51), some(50), some(55)
+    assert len(over) < 250
+    texts = [f"{some(30)} {over}\n{some(30)}", f"{over} {some(9)}", f"{some(20)} {under} {some(20)}", f"{under} {some(7)}", copy, copy,
+             f"{some(5)} {over}", some(300), some(20)]
+    docs = documents(spark, enumerate(texts))
+    left = {r.doc_id: r.text for r in corpus_pipeline.without_repeats(spark, docs, "").collect()}
+    assert over not in left[0] and over not in left[1] and under in left[2] and under in left[3] and not {4, 5} & set(left)
+    assert left[7] == texts[7] and left[8] == texts[8]
+    assert sorted(r.text for r in without_repeats(docs, 250, words=51).collect()) == by_words(texts, 51)
