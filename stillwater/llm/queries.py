@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, near_duplicates, nearest, packing, repeats, simhash, token_store, toxicity, url_filters, warc
+from . import decontaminate, divergence, lm_score, near_duplicates, nearest, packing, repeats, simhash, token_store, toxicity, url_filters, warc
 from .common import fold, table, work_dir
 from .tokens import default_vocabulary
 
@@ -73,6 +73,14 @@ def op10_context_mixing(spark, d):
     return lm_score.score_documents(spark, table(spark, d, "documents"))
 
 
+@query
+def op11_source_divergence(spark, d):
+    return divergence.audit(table(spark, d, "documents"))
+
+
+ORACLE["op11_source_divergence"] = divergence.SQL
+
+
 @query
 def op13_golay_simhash(spark, d):
     return simhash.components(table(spark, d, "documents"))
