@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, divergence, lm_score, near_duplicates, nearest, packing, repeats, simhash, token_store, toxicity, url_filters, warc
+from . import collocations, decontaminate, divergence, lm_score, near_duplicates, nearest, packing, repeats, simhash, token_store, toxicity, url_filters, warc
 from .common import fold, table, work_dir
 from .tokens import default_vocabulary
 
@@ -81,6 +81,14 @@ def op11_source_divergence(spark, d):
 ORACLE["op11_source_divergence"] = divergence.SQL
 
 
+@query
+def op12_debruijn_collocations(spark, d):
+    return collocations.collocations(table(spark, d, "documents"))
+
+
+ORACLE["op12_debruijn_collocations"] = collocations.SQL
+
+
 @query
 def op13_golay_simhash(spark, d):
     return simhash.components(table(spark, d, "documents"))
