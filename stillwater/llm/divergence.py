@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_per_group
 from .common import slices, stored
 
 SCALE_STEPS = 3  # of a factor of 1000 each
@@ -131,7 +132,7 @@ def _shard(top: int):
     return compare
 
 
-def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, cells: int = 1 << 20) -> DataFrame:
+def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, cells: int = 1 << 16) -> DataFrame:
     """``lang, source, part, item, value, rank``: distances to the other sources (``pair``) and the most overused words (``term``).
 
     Words count in a language if at least ``min_docs`` of its documents hold them. A shard's matrix has some ``cells`` numbers.
@@ -149,7 +150,7 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, cells: int = 1 <<
     heads = groups.join(size, ["lang", "source"], "left").join(wide, "lang").select(
         "lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("of_lang"),
         F.coalesce("size", F.lit(0)).alias("size"), "kept", "lang_size", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    body = rows.join(wide.select("lang", "shards"), "lang").select(
+    body = join_per_group(rows, wide.select("lang", "shards"), ("lang",), F.col("term")).select(
         "lang", "source", "term", "n", "of_lang", *[F.lit(0).cast("bigint").alias(c) for c in ("size", "kept", "lang_size")],
         F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"))
     found = stored(heads.unionByName(body).groupBy("lang", "shard").applyInArrow(_shard(top), SHARD), "shards")
