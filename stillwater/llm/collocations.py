@@ -197,8 +197,8 @@ def compact(grams: DataFrame, min_count: int) -> DataFrame:
     paths = on_path.groupBy("lang", "head", "n", part.alias("part")).agg(sorted_edges.alias("edges")).select(
         "lang", F.concat(F.split(F.col("edges")[0]["gram"], " "), F.transform(F.slice("edges", 2, 256), lambda e: F.substring_index(e["gram"], " ", -1))).alias("path"),
         "n", F.size("edges").alias("starts"))
-    single = edges.join(on_path.select("lang", "gram"), ["lang", "gram"], "left_anti")
-    rest = single.unionByName(ends).select("lang", F.split("gram", " ").alias("path"), "n", F.lit(1).alias("starts"))
+    single = often.join(on_path.select("lang", "gram"), ["lang", "gram"], "left_anti").select(*grams.columns)
+    rest = single.unionByName(edges.where(F.col("n") < min_count)).unionByName(ends).select("lang", F.split("gram", " ").alias("path"), "n", F.lit(1).alias("starts"))
     return paths.unionByName(rest)
 
 
@@ -260,12 +260,12 @@ grams AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS p
 c AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100),
 tot AS (SELECT lang, sum(len(w)) AS n FROM ws GROUP BY lang),
 cand AS (SELECT * FROM c WHERE k > 1),
-cuts AS (SELECT x.lang, x.phrase, x.f AS a, l.f AS l, r.f AS r, n, at, (1000::HUGEINT * x.f * n) // (l.f::HUGEINT * r.f) AS score
-         FROM (SELECT *, unnest(range(1, k)) AS at FROM cand) x
-         JOIN c l ON l.lang = x.lang AND l.phrase = array_to_string(list_slice(string_split(x.phrase, ' '), 1, at), ' ')
-         JOIN c r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(string_split(x.phrase, ' '), at + 1, x.k), ' ')
+cuts AS (SELECT x.lang, x.phrase, x.f AS a, l.f AS l, r.f AS r, n, cut, (1000::HUGEINT * x.f * n) // (l.f::HUGEINT * r.f) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) x
+         JOIN c l ON l.lang = x.lang AND l.phrase = array_to_string(list_slice(string_split(x.phrase, ' '), 1, cut), ' ')
+         JOIN c r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(string_split(x.phrase, ' '), cut + 1, x.k), ' ')
          JOIN tot ON tot.lang = x.lang),
-best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM cand q WHERE q.lang = b.lang AND q.f = b.a AND len(q.phrase) > len(b.phrase)
                                                 AND contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' ')))
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
