@@ -20,12 +20,16 @@ from .operators.telemetry import clean_locations, flatten_pages, located_reading
 from .operators.thresholds import exact_quantiles, threshold_table
 from .operators.tracking import reading_counts, retention, session_dates, tracker_update
 from .plans.asof import time_bounds
+from .plans.incremental import commit_batch, incremental_run, next_session
 from .plans.layout import Layout, number_rows
-from .plans.pipeline import curated, run_pipeline
+from .plans.pipeline import curated, flag_merged, run_pipeline
 from .session import local_session, use_utc
+from .sources.archive import (
+    Commit, Conflict, clear_unused, commit_table, read_archive, read_commit, series_index, trailing_rows, write_back,
+)
 from .sources.readers import (
     literal_table, load_networks, normal_networks, read_field_notes, read_latest, read_locations, read_names, read_pages, read_raw,
     read_sensor_spec, read_thresholds, snapshot_stamp,
 )
 from .sources.writers import archive_append, new_to_archive, with_source_file, write_raw, write_series_csv, write_snapshot
-from .streaming.jobs import archive_batch, late_rows, open_windows, read_raw_stream, stream_interval_summary, stream_pipeline
+from .streaming.jobs import archive_batch, late_rows, open_windows, read_raw_stream, stream_interval_summary, stream_pipeline, stream_to_archive

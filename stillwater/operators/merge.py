@@ -59,10 +59,11 @@ def trailing_history(history: DataFrame, period: int | str, of: DataFrame | None
     return _with_cut(_from(history, earliest), cuts).where(_recent()).drop("_cut")
 
 
-def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int | str) -> DataFrame:
+def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int | str, cut: bool = False) -> DataFrame:
     """Trailing history and what is new, ready to be flagged together.
 
-    Series without incoming rows are left out; history keeps its flags and wins on equal stamps.
+    Series without incoming rows are left out; history keeps its flags and wins on equal stamps. ``cut`` says that
+    ``history`` holds the trailing period of those series alone (``trailing_rows`` of an archive with an index).
     """
     period = _checked(incoming, history, period)
     new = ensure_column(incoming, "flag").withColumn("flag", F.col("flag").cast("string"))
@@ -70,7 +71,7 @@ def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int |
     if history is None:
         return new
     past = (
-        trailing_history(history, period, of=incoming)
+        (history if cut else trailing_history(history, period, of=incoming))
         .withColumn("historical", F.lit(True))
         .withColumn("flag", F.col("auto_flag").cast("string"))
         .drop("sonde_moved", *({"year"} - set(new.columns)))
@@ -78,21 +79,26 @@ def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int |
     return past.unionByName(new.join(past.select(*KEY), list(KEY), "left_anti"), allowMissingColumns=True)
 
 
-def merge_archive(flagged: DataFrame, history: DataFrame | None, period: int | str) -> DataFrame:
+def merge_archive(flagged: DataFrame, history: DataFrame | None, period: int | str, cuts: DataFrame | None = None) -> DataFrame:
     """The new archive: older history, all flagged rows, and series that had no new data.
 
     A history row goes only if it is known to be replaced: it lies in the trailing period of a series with new rows,
     or a new row has its key (a late reading). Rows without site, parameter or stamp stay. Running it twice with the
-    same input gives the same archive.
+    same input gives the same archive. ``cuts`` tells where the trailing period of each series with new rows begins
+    (``_cut``, seconds), where that is known without reading the history.
     """
     period = _checked(flagged, history, period)
     new = flagged.withColumn("historical", F.lit(True))
     if history is None:
         return new
     history = ensure_column(history, "historical").withColumn("historical", F.col("historical").cast("boolean"))
-    touched = flagged.select(*SERIES).distinct().withColumn("_touched", F.lit(True))
+    if cuts is None:
+        touched = flagged.select(*SERIES).distinct().withColumn("_touched", F.lit(True))
+        cuts = _cuts(history, period).join(touched, list(SERIES), "left")
+    else:
+        cuts = cuts.withColumn("_touched", F.lit(True))
     old = (
-        _with_cut(history, _cuts(history, period).join(touched, list(SERIES), "left"), "left")
+        _with_cut(history, cuts, "left")
         .where(~F.coalesce(F.col("_touched") & _recent(), F.lit(False)))
         .withColumn("historical", F.when(F.col("_touched"), F.lit(True)).otherwise(F.col("historical")))
         .drop("_cut", "_touched")

@@ -150,17 +150,23 @@ def run_pipeline(raw: DataFrame, *, notes: DataFrame | None = None, malfunctions
     two there may be gaps, so rows are then numbered instead of taken by the clock.
     """
     series_rows, bounds = interval_summary(raw, interval), series_bounds(raw, interval)
-    if history is None:
-        layout = Layout(interval, gap_free=True, slots=slots)
-        rows = series_rows.unionByName(grid_markers(bounds, interval), allowMissingColumns=True)
-        bounds = bounds.agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    else:
-        layout = Layout(interval, gap_free=False, slots=slots)
-        rows = merge_preflag(pad_grid(series_rows, interval, bounds), history, period)
-        rows = rows.drop("auto_flag")
-        bounds = None
-    flagged = flag_site_evidence(rows, bounds, layout, notes=notes, malfunctions=malfunctions,
-                                 thresholds=thresholds, spec=spec, submerged_method=submerged_method, seasons=seasons)
+    how = dict(notes=notes, malfunctions=malfunctions, thresholds=thresholds, spec=spec, edges=edges, submerged_method=submerged_method,
+               exempt_parameters=exempt_parameters, max_gap=max_gap, passes=passes, seasons=seasons)
+    if history is not None:
+        return flag_merged(merge_preflag(pad_grid(series_rows, interval, bounds), history, period), interval=interval, slots=slots, **how)
+    rows = series_rows.unionByName(grid_markers(bounds, interval), allowMissingColumns=True)
+    bounds = bounds.agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    return _flagged(rows, bounds, Layout(interval, gap_free=True, slots=slots), **how)
+
+
+def flag_merged(rows: DataFrame, *, interval: int | str = "15 minutes", slots: int = 4096, **how) -> DataFrame:
+    """Flag what ``merge_preflag`` gives; ``how`` is ``run_pipeline``'s. There may be gaps, so rows are numbered."""
+    return _flagged(rows.drop("auto_flag"), None, Layout(interval, gap_free=False, slots=slots), **how)
+
+
+def _flagged(rows: DataFrame, bounds: DataFrame | None, layout: Layout, *, edges: DataFrame | None = None,
+             exempt_parameters: tuple[str, ...] = (), max_gap: int = 4, passes: int = 3, **evidence) -> DataFrame:
+    flagged = flag_site_evidence(rows, bounds, layout, **evidence)
     out = flag_network(flagged, layout, edges=edges, exempt_parameters=exempt_parameters, max_gap=max_gap, passes=passes)
     return out.drop(POSITION)
 

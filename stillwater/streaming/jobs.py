@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.timegrid import seconds
 from ..operators.merge import merge_archive
 from ..operators.prepare import clean_readings, interval_summary
+from ..plans.incremental import commit_batch
 from ..plans.pipeline import curated, run_pipeline
 from ..schema import RAW_READING, SERIES
 from ..sources.readers import stamped_snapshots
@@ -110,3 +111,8 @@ def stream_pipeline(raw: DataFrame, archive_path: str, checkpoint: str, period:
         raw.writeStream.foreachBatch(archive_batch(archive_path, period, **inputs))
         .option("checkpointLocation", checkpoint)
     )
+
+
+def stream_to_archive(raw: DataFrame, root: str, checkpoint: str, period: int | str, **inputs) -> DataStreamWriter:
+    """Every batch of new raw readings as one commit to the archive below ``root``. Call ``start`` on the result."""
+    return raw.writeStream.foreachBatch(commit_batch(root, period, **inputs)).option("checkpointLocation", checkpoint)
