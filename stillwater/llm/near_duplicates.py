@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored, worker_cache, words
+from .common import new_name, slices, stored, text_key, worker_cache, words
 from .graph import connected_components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -123,14 +123,15 @@ def parity(s: np.ndarray) -> np.ndarray:
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """``node, text`` to ``node, shingles`` (hashes as bytes) and their ``parity``."""
+    """``node, set_key, text`` to ``node, shingles`` (hashes as bytes) and their ``parity``; other texts of the id are left out."""
     def make(batches):
         for batch in batches:
             for b in slices(batch, "text", 512, 2 << 20):
                 sets = [shingle_set(t, shingle) for t in b.column("text").to_pylist()]
+                own = pa.array([set_key(x) == k for x, k in zip(sets, b.column("set_key").to_pylist())], pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [b.column("node"), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([parity(x) for x in sets], pa.list_(pa.int64()))],
-                    ["node", "shingles", "parity"])
+                    ["node", "shingles", "parity"]).filter(own)
     return texts.mapInArrow(make, "node bigint, shingles binary, parity array<bigint>")
 
 
@@ -188,21 +189,23 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutation
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stored(_signed(texts, shingle, permutations, rows), "signed")
-    # one node per set, named by its smallest document
+    # one node per set; the numbers stay because the table is written
     nodes = stored(signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("node"), F.max("n_shingles").alias("size")), "nodes")
-    bands = (signed.where("doc_id IS NOT NULL").select("doc_id", "set_key", "bands").join(nodes, "set_key").where("doc_id = node")
+        F.min("doc_id").alias("least"), F.max("n_shingles").alias("size")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    bands = (signed.where("doc_id IS NOT NULL").select("doc_id", "set_key", "bands").join(nodes, "set_key").where("doc_id = least")
              .select("node", "size", F.explode("bands").alias("bucket")).distinct())
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = stored(bands.join(shared, "bucket"), "members")
-    wanted = members.select("node").distinct()
-    sets = stored(_sets(texts.join(wanted, texts.doc_id == wanted.node).select("node", "text"), shingle)
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "set_key", "least")
+    sets = stored(_sets(texts.join(wanted, texts.doc_id == wanted.least).select("node", "set_key", "text"), shingle)
                   .dropDuplicates(["node"]), "sets")
 
-    # the same document may stand for several sets; those are linked
-    edges = stored(signed.where("doc_id IS NOT NULL").select("doc_id", "set_key").join(nodes, "set_key")
-                   .where("node <> doc_id").select(F.col("doc_id").alias("b"), F.col("node").alias("a"))
-                   .join(nodes.select(F.col("node").alias("b")).distinct(), "b").select("a", "b").distinct(), "links")
+    # an id that stands for several sets links them
+    several = signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
+        F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high")
+    ends = signed.select("doc_id", "set_key").join(several, "doc_id").where("set_key <> low").select("low", "set_key").distinct()
+    edges = stored(ends.join(nodes.select("set_key", F.col("node").alias("b")), "set_key").join(
+        nodes.select(F.col("set_key").alias("low"), F.col("node").alias("a")), "low").select("a", "b"), "links")
     pivots = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node"), "node", "size")).alias("pivot"))
     pairs = members.join(pivots, "bucket").where("node <> pivot.node").select(
         F.col("pivot.node").alias("a"), F.col("node").alias("b"), F.col("pivot.size").alias("a_size"), F.col("size").alias("b_size"))
@@ -217,8 +220,9 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutation
     end = {x: open_nodes.select(F.col("node").alias(x), F.col("component").alias(f"{x}_component")) for x in "ab"}
     between = more.join(end["a"], "a").join(end["b"], "b").select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).distinct()
     second = connected_components(between).select(F.col("node").alias("_first"), F.col("component").alias("_second"))
-    named = (nodes.select("set_key", "node").join(first, "node", "left").withColumn("_first", F.coalesce("component", "node"))
-             .join(second, "_first", "left").select("set_key", F.coalesce("_second", "_first").alias("component_id")))
+    grouped = (nodes.select("set_key", "node", "least").join(first, "node", "left").withColumn("_first", F.coalesce("component", "node"))
+               .join(second, "_first", "left").select("set_key", "least", F.coalesce("_second", "_first").alias("component")))
+    named = grouped.join(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("set_key", "component_id")
     return signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(
         named, "set_key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
@@ -226,7 +230,12 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, permutation
 
 
 def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """All columns of the documents kept: one row of each group; rows without ``doc_id`` stay."""
-    kept = components(docs, **how).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept").dropDuplicates(["doc_id"])
+    """All columns of the documents kept: one row of each group; rows without ``doc_id`` stay.
+
+    Where the id that is kept has several texts, the row whose text has the smallest MD5 stays.
+    """
+    mark, place = new_name(docs, "_kept"), new_name(docs, "_place")
+    kept = components(docs, **how).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(mark)).distinct()
+    same = Window.partitionBy("doc_id").orderBy(text_key(F.col("text")))
+    chosen = docs.join(kept, F.col("doc_id") == F.col(mark)).drop(mark).withColumn(place, F.row_number().over(same)).where(F.col(place) == 1).drop(place)
     return chosen.unionByName(docs.where("doc_id IS NULL"))

@@ -1,7 +1,9 @@
+import hashlib
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stillwater.llm.common import words
 from stillwater.llm.graph import connected_components
@@ -59,6 +61,18 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 9]
 
 
+def test_two_texts_of_one_id(spark):
+    """Each text's links hold, whatever the order of the rows: 1 has the texts A and B, 2 is near A, 3 near B."""
+    a, b = prose(100, 1, 3000), prose(100, 2, 3000)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, prose(100, 3, 3000))]
+    for order in (rows, rows[::-1], rows[1::-1] + rows[2:]):
+        got = components(documents(spark, order), shingle=5).collect()
+        assert sorted(map(tuple, got)) == brute(order, 5)
+        assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 1, 4: 4}
+        left = without_near_duplicates(documents(spark, order).withColumns({"_kept": F.lit(1), "_place": F.lit(2)}))
+        assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(1, min(a, b, key=lambda t: hashlib.md5(t.encode()).digest())), rows[4]])
+
+
 def test_places_agree_as_often_as_sets_do():
     x, y = (np.unique(np.concatenate([shingle_set(prose(300, 1, 10 ** 6), 1), shingle_set(prose(n, s, 10 ** 6), 1)])) for n, s in ((100, 2), (100, 3)))
     alike = np.mean([np.mean(MinMax(100, 1, seed)(x) == MinMax(100, 1, seed)(y)) for seed in range(20)])
