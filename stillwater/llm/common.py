@@ -1,6 +1,8 @@
 """What the operators share: tables, the shared folder, words and text keys."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -73,6 +75,25 @@ _kept: dict[object, object] = {}
 def worker_cache(key: object, make: Callable[[], object]):
     """What an operator keeps in this Python worker from task to task; another operator's goes, so that memory stays bounded."""
     if key not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            release_memory()
         _kept[key] = make()
     return _kept[key]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: what this Python worker and its Arrow pool hold on to counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def new_name(df: DataFrame, name: str) -> str:
+    """The name, with more underscores if the table has such a column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name

@@ -13,6 +13,7 @@ from .common import worker_cache
 _OTHER_BLANKS = re.compile("[{}]".format("".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F,
     0x3000, 0xFEFF)))))
+_ENTRY = 200  # bytes of an entry of the table besides its text
 _CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 
 
@@ -21,17 +22,19 @@ class Encoder:
 
     The vocabulary's pattern never lets a piece go on from a non-blank into a blank, so a text may be cut before
     every run of blanks without changing its ids. Chunks repeat a lot; the ids of those seen are kept, up to
-    ``keep`` chunks and the ``keep`` before them. New chunks are encoded many in one text; an id stands for a fixed
-    number of bytes, which tells where each chunk's ids end.
+    ``keep`` chunks or some ``most_bytes`` of memory, and as many before them. New chunks are encoded many in one text; an
+    id stands for a fixed number of bytes, which tells where each chunk's ids end. A text that holds the name of a special
+    token, which the library reads as that token, is encoded in one piece.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 600_000, most_bytes: int = 64 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
-        self.keep = keep
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.alone = re.compile("|".join([_OTHER_BLANKS.pattern, *map(re.escape, special)]))
+        self.keep, self.most_bytes, self.bytes = keep, most_bytes, 0
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
@@ -43,8 +46,10 @@ class Encoder:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.seen) + len(chunks) > self.keep:
-            self.seen, self.older = {}, self.seen
+        size = sum(map(len, chunks)) + _ENTRY * len(chunks)
+        if len(self.seen) + len(chunks) > self.keep or self.bytes + size > self.most_bytes:
+            self.seen, self.older, self.bytes = {}, self.seen, 0
+        self.bytes += size
         alone = [c for c in chunks if c[0] not in " \t\n\r" or c[-1] in " \t\n\r"]  # others can stand behind any chunk
         behind = [c for c in chunks if c[0] in " \t\n\r" and c[-1] not in " \t\n\r"]
         for c, ids in zip(alone, self._ids(alone)):
@@ -69,13 +74,14 @@ class Encoder:
 
     def _encode(self, texts: list[str | None], end: int | None) -> list[bytes]:
         last = b"" if end is None else np.array([end], "<u4").tobytes()
-        cut = [None if _OTHER_BLANKS.search(t) else _CHUNK.findall(t) for t in (t or "" for t in texts)]
+        cut = [None if self.alone.search(t) else _CHUNK.findall(t) for t in (t or "" for t in texts)]
         # a small table of this call's chunks: most look-ups then stay in the processor's cache
         here = dict.fromkeys(c for chunks in cut if chunks for c in chunks)
         here.update(zip(here, map(self.seen.get, here)))
         lost = [c for c, ids in here.items() if ids is None]
         if lost:
             again = {c: self.older[c] for c in lost if c in self.older}
+            self.bytes += _ENTRY * len(again)
             self._learn([c for c in lost if c not in again])
             self.seen.update(again)
             here.update(zip(lost, map(self.seen.__getitem__, lost)))

@@ -24,6 +24,7 @@ with several label rows counts as toxic if one says so; other columns are kept b
 """
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
 from typing import NamedTuple
 
@@ -250,11 +251,10 @@ def tag(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         return docs.withColumns({"tox_score": F.lit(0.0), "tox_spans": F.lit(None).cast(
             "array<struct<start:bigint,stop:bigint,marginal:double>>")})
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS weights
+    shared, run = spark.sparkContext.broadcast(model), uuid.uuid4().hex  # BUCKETS weights
 
     def score(batches):
-        model = shared.value
-        scorer = worker_cache(("toxicity", id(model)), lambda: Scorer(model))
+        scorer = worker_cache(("toxicity", run), lambda: Scorer(shared.value))  # loaded once the last operator's memory is free
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("marginal", pa.float64())]))
         for batch in batches:
             for b in slices(batch, "text", 1000, 1 << 20):

@@ -15,7 +15,6 @@ from stillwater.llm.tokens import Encoder, default_vocabulary
 @pytest.fixture(scope="module")
 def ids():
     library = Tokenizer.from_file(default_vocabulary())
-    library.encode_special_tokens = True
     return lambda t: np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
 
 
@@ -27,6 +26,17 @@ def test_chunks_encode_like_whole_texts(ids, odd_rows):
             assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(texts, 2)] == [ids(t).tolist() for t in texts]
 
 
+def test_special_tokens_and_bounded_memory(ids):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext", *[f"word{i} <|endoftext|>" for i in range(3)]]
+    assert 50256 in ids(texts[0]).tolist()
+    encoder = Encoder(default_vocabulary(), most_bytes=5000)
+    for _ in range(2):
+        assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(texts, 2)] == [ids(t).tolist() for t in texts]
+    for i in range(200):
+        encoder.encode([f"new{i} other{i}"])
+    assert len(encoder.seen) + len(encoder.older) < 60
+
+
 def test_store_round_trip(spark, odd, odd_rows, ids):
     path = work_dir(spark, "store")
     write_token_ids(odd, path, default_vocabulary())
