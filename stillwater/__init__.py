@@ -33,3 +33,4 @@ from .sources.readers import (
 )
 from .sources.writers import archive_append, new_to_archive, with_source_file, write_raw, write_series_csv, write_snapshot
 from .streaming.jobs import archive_batch, late_rows, open_windows, read_raw_stream, stream_interval_summary, stream_pipeline, stream_to_archive
+from .streaming.late import closed_summary, forget as forget_rows, late_readings, open_summary, stream_summary, summary_batch

@@ -1,11 +1,14 @@
 """Sinks. Snapshots are new directories; nothing is changed in place."""
 from __future__ import annotations
 
+import uuid
 import warnings
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timegrid import join_stamp
 
@@ -47,47 +50,83 @@ def write_series_csv(df: DataFrame, path: str) -> None:
 
 
 def new_to_archive(source: DataFrame, archive: DataFrame | None) -> DataFrame:
-    """Rows of files (``source_file``) that the archive does not hold yet."""
+    """Rows of files that the archive does not hold yet: by ``file_id`` where both have it, else by ``source_file``."""
     if archive is None:
         return source
-    return source.join(archive.select("source_file").distinct(), "source_file", "left_anti")
+    key = "file_id" if "file_id" in source.columns and "file_id" in archive.columns else "source_file"
+    return source.join(archive.select(key).distinct(), key, "left_anti")
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
+# fixed when a file was found; ``file_id`` stands for path, length and content
+FILES = ("source_file", "path", "length", "changed_at", "source_rows", "file_id")
+MANIFEST = "file_id string, source_file string, path string, length bigint, archived_rows bigint"
+
+
+def _content(columns: list[str]) -> list:
+    """Count and two sums over the rows' hashes, the same for any order and cut of the rows."""
+    row = F.xxhash64(*sorted(columns))
+    return [F.count(F.lit(1)).alias("_rows"), F.sum(row.cast("decimal(38,0)")).alias("_sum"), F.bit_xor(row).alias("_xor")]
+
+
+def _file_list(found: DataFrame) -> DataFrame:
+    """A row per source file with the identity of its content."""
+    meta = F.col("_metadata")
+    place = {"source_file": meta["file_name"], "path": meta["file_path"], "length": meta["file_size"], "changed_at": meta["file_modification_time"]}
+    files = found.select("*", *[v.alias(f"_f_{k}") for k, v in place.items()]).groupBy(*[F.col(f"_f_{k}").alias(k) for k in place]).agg(*_content(found.columns))
+    identity = F.sha2(F.concat_ws("|", "path", "length", "_rows", "_sum", "_xor"), 256)
+    return files.withColumns({"source_rows": F.col("_rows"), "file_id": F.concat(F.lit("f-"), F.substring(identity, 1, 32))})
+
+
 def archive_append(spark: SparkSession, source_path: str, archive_path: str, clear: bool = False) -> DataFrame:
     """Copy files not archived yet, check that all arrived, and report rows per file.
 
-    Running it again copies nothing. ``clear`` removes the source files once every one is found in the archive with all
-    its rows; files that land in the meantime are neither copied nor removed. The report is a table of its own, a row per
-    file, and can be read after the files are gone.
+    A file is known by path, length and content, so another file of the same name is another file, and one that was written
+    anew at its old path is archived beside the earlier one. Each is written to a partition of its own, read back and
+    compared, and only then entered in the manifest (``_files`` below the archive). A run that dies leaves files without
+    entry; the next run writes the same partitions again. ``clear`` removes source files once every one found is in the
+    manifest, and of these only those that still have the length and time they were found with; files that land in the
+    meantime are neither copied nor removed. The report is a table of its own and can be read after the files are gone.
     """
-    found = spark.read.parquet(source_path)
-    files, source = found.inputFiles(), with_source_file(found)
-    archived = spark.read.parquet(archive_path) if _exists(spark, archive_path) else None
-    new_to_archive(source, archived).write.mode("append").partitionBy("source_file").parquet(archive_path)
-
-    counts = source.groupBy("source_file").agg(F.count(F.lit(1)).alias("source_rows"))
-    # file names look like stamps to nobody: keep them as text when the partitions are read back
-    present = (
-        spark.read.parquet(archive_path).join(counts.select("source_file"), "source_file", "left_semi")
-        .groupBy("source_file").agg(F.count(F.lit(1)).alias("archived_rows"))
-    )
-    report = (
-        counts.join(present, "source_file", "left")
-        .withColumn("complete", F.coalesce(F.col("source_rows") == F.col("archived_rows"), F.lit(False)))
-    )
-    report = spark.createDataFrame(report.collect(), report.schema)  # as many rows as the driver listed files
+    found, root = spark.read.parquet(source_path), archive_path.rstrip("/")
+    run = uuid.uuid4().hex
+    list_path = f"{root}/_lists/{run}"
+    _file_list(found).write.parquet(list_path)
+    files = spark.read.parquet(list_path)
+    source = found.withColumn("path", F.col("_metadata.file_path")).join(files.select("path", "source_file", "file_id"), "path").drop("path")
+    new_to_archive(source, _manifest(spark, root)).write.partitionBy("source_file", "file_id").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").parquet(root)
+
+    known = _manifest(spark, root)
+    fresh = files if known is None else files.join(known.select("file_id").distinct(), "file_id", "left_anti")
+    if not fresh.isEmpty():
+        back = spark.read.schema(T.StructType([*found.schema, T.StructField("source_file", T.StringType()), T.StructField("file_id", T.StringType())])).parquet(root)
+        arrived = back.join(fresh.select("file_id"), "file_id", "left_semi").groupBy("file_id").agg(*_content(found.columns)).withColumnRenamed("_rows", "archived_rows")
+        same = fresh.join(arrived.select("file_id", "archived_rows", F.col("_sum").alias("_s"), F.col("_xor").alias("_x")), "file_id")
+        same.where("_rows = archived_rows AND _sum <=> _s AND _xor <=> _x").select(
+            "file_id", "source_file", "path", "length", "archived_rows").write.mode("append").parquet(f"{root}/_files")
+
+    known = _manifest(spark, root)
+    report_path = f"{root}/_reports/{run}"
+    (files if known is None else files.join(known.select("file_id", "archived_rows").dropDuplicates(["file_id"]), "file_id", "left")).withColumn(
+        "complete", F.col("archived_rows").isNotNull() if known is not None else F.lit(False)).select(
+        *FILES, *(["archived_rows"] if known is not None else []), "complete").write.parquet(report_path)
+    report = spark.read.parquet(report_path)
     if report.where(~F.col("complete")).isEmpty():
         if clear:
-            _remove_files(spark, files)
+            _remove_files(spark, report)
     else:
         warnings.warn(f"not all files of {source_path} arrived in {archive_path}", stacklevel=2)
     return report
 
 
+def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
+    return spark.read.schema(MANIFEST).parquet(f"{root}/_files") if _exists(spark, f"{root}/_files") else None
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -98,7 +137,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _remove_files(spark: SparkSession, files: list[str]) -> None:
-    for file in files:
-        hadoop_path, fs = _fs(spark, file)
-        fs.delete(hadoop_path, False)
+def _remove_files(spark: SparkSession, report: DataFrame) -> None:
+    """Files of the report that are as they were when they were found; the list comes part by part."""
+    for r in report.select("path", "length", F.unix_millis("changed_at").alias("changed")).toLocalIterator():
+        hadoop_path, fs = _fs(spark, unquote(r.path))
+        if fs.exists(hadoop_path):
+            status = fs.getFileStatus(hadoop_path)
+            if status.getLen() == r.length and status.getModificationTime() == r.changed:
+                fs.delete(hadoop_path, False)

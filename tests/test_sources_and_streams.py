@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -103,6 +104,62 @@ def test_archive_append(spark, tmp_path):
     assert len(report.collect()) == 2 and all(r["complete"] for r in report.collect())  # also when the files are gone
 
 
+def test_archive_append_goes_by_content(spark, tmp_path):
+    """Another file of the same name, a file written anew, and files that changed while they were copied."""
+    src, dest = tmp_path / "in", str(tmp_path / "archive")
+    for folder, n in (("a", 3), ("b", 3), ("c x", 5)):
+        readings(spark, folder, n=n).coalesce(1).write.parquet(str(src / f"pull={folder}"))
+        part, = (src / f"pull={folder}").glob("*.parquet")
+        part.rename(part.with_name("readings.parquet"))
+        (part.with_name(f".{part.name}.crc")).unlink()
+        if folder != "c x":
+            report = sw.archive_append(spark, str(src), dest)
+            assert all(r.complete for r in report.collect())
+    assert {r.site: r["count"] for r in spark.read.parquet(dest).groupBy("site").count().collect()} == {"a": 3, "b": 3}
+    readings(spark, "a", n=9).coalesce(1).write.parquet(str(tmp_path / "new"))
+    anew, = (tmp_path / "new").glob("*.parquet")
+    (src / "pull=a" / "readings.parquet").write_bytes(anew.read_bytes())
+    report = sw.archive_append(spark, str(src), dest, clear=True)
+    assert sorted((r.source_file, r.source_rows, r.archived_rows) for r in report.collect()) == [("readings.parquet", n, n) for n in (3, 5, 9)]
+    assert not list(src.rglob("*.parquet"))
+    assert {r.site: r["count"] for r in spark.read.parquet(dest).groupBy("site").count().collect()} == {"a": 12, "b": 3, "c x": 5}
+
+
+def test_archive_append_dies_and_goes_on(spark, tmp_path, monkeypatch):
+    from stillwater.sources import writers
+    src, dest = str(tmp_path / "in"), str(tmp_path / "archive")
+    readings(spark).repartition(2).write.parquet(src)
+    original, calls = writers._manifest, []
+
+    def die(*a):
+        calls.append(a)
+        if len(calls) == 2:  # the rows are written, the manifest is not
+            raise OSError("lost")
+        return original(*a)
+    with monkeypatch.context() as m:
+        m.setattr(writers, "_manifest", die)
+        with pytest.raises(OSError):
+            sw.archive_append(spark, src, dest, clear=True)
+    assert len(list((tmp_path / "in").glob("*.parquet"))) == 2
+    report = sw.archive_append(spark, src, dest, clear=True)
+    assert all(r.complete for r in report.collect()) and spark.read.parquet(dest).count() == 40
+
+
+def test_archive_append_keeps_a_file_that_changes_meanwhile(spark, tmp_path, monkeypatch):
+    from stillwater.sources import writers
+    src, dest = tmp_path / "in", str(tmp_path / "archive")
+    readings(spark).coalesce(1).write.parquet(str(src))
+    original = writers._remove_files
+
+    def late(spark_, report):
+        file, = src.glob("*.parquet")
+        os.utime(file, (1, 1))
+        original(spark_, report)
+    monkeypatch.setattr(writers, "_remove_files", late)
+    sw.archive_append(spark, str(src), dest, clear=True)
+    assert len(list(src.glob("*.parquet"))) == 1
+
+
 def test_archive_append_leaves_files_that_land_meanwhile(spark, tmp_path, monkeypatch):
     from stillwater.sources import writers
     src, dest = tmp_path / "in", str(tmp_path / "archive")
