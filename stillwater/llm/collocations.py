@@ -7,8 +7,8 @@ words of a piece, which no edge begins with. Only these longest grams are counte
 * a node's flow is what its edges carry away plus the pieces that end in it;
 * a frequent edge goes on into the next one without choice if both carry the whole flow of the node between them; such
   unary ways are compacted by pointer jumping into one path with one weight (``compact``);
-* every place on a path, edge or piece end begins one phrase of each shorter length, so all shorter counts are sums over
-  first words of compact paths and piece ends.
+* every place on a path or single edge is one edge; the shorter counts follow length by length, as flows of the nodes that
+  the longer ones leave and the pieces that end there.
 
 Two exact filters keep the graph small; neither ever gives a count. Words rarer than a candidate can be end a piece, as do
 two words whose pair is too rare. Both are told by bits of fixed number, set from sums over all of the corpus per hash
@@ -164,8 +164,8 @@ def _last(k: int):
     return F.substring_index("gram", " ", -k)
 
 
-def compact(grams: DataFrame, min_count: int) -> DataFrame:
-    """``lang, path, n, starts``: ways through the graph without a choice, single edges, and piece ends.
+def compact(grams: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """``lang, path, n, starts``, ways through the graph without a choice, and the edges of ``grams`` that are on none.
 
     A path of m edges holds m + 4 words and begins a phrase at each of its first ``starts`` = m words. Edges rarer than
     ``min_count`` and those of rings stay single.
@@ -198,8 +198,7 @@ def compact(grams: DataFrame, min_count: int) -> DataFrame:
         "lang", F.concat(F.split(F.col("edges")[0]["gram"], " "), F.transform(F.slice("edges", 2, 256), lambda e: F.substring_index(e["gram"], " ", -1))).alias("path"),
         "n", F.size("edges").alias("starts"))
     single = often.join(on_path.select("lang", "gram"), ["lang", "gram"], "left_anti").select(*grams.columns)
-    rest = single.unionByName(edges.where(F.col("n") < min_count)).unionByName(ends).select("lang", F.split("gram", " ").alias("path"), "n", F.lit(1).alias("starts"))
-    return paths.unionByName(rest)
+    return paths, single.unionByName(edges.where(F.col("n") < min_count))
 
 
 def phrase_counts(docs: DataFrame, min_count: int = 100, words_power: int = 23, pairs_power: int = 24) -> tuple[DataFrame, DataFrame]:
@@ -213,11 +212,16 @@ def phrase_counts(docs: DataFrame, min_count: int = 100, words_power: int = 23,
     load = _pair_load(texts, frequent, words_power, pairs_power)
     pairs = spark.sparkContext.broadcast((uuid.uuid4().hex, _bitmap(load.where(F.col("n") >= min_count).select(F.col("place").cast("bigint").alias("place")))))
     grams = stored(_grams(texts, frequent, pairs, words_power, pairs_power), "grams")
-    paths = stored(compact(grams, min_count), "paths")
-    starts = paths.select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), "starts"), lambda i: F.slice("path", i, LONGEST))).alias("words"))
-    all_lengths = starts.select("lang", "n", "words", F.explode(F.sequence(F.lit(2), F.size("words"))).alias("k")).select(
-        "lang", "k", F.array_join(F.slice("words", 1, F.col("k")), " ").alias("phrase"), "n")
-    long = all_lengths.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    paths, single = compact(grams, min_count)
+    on_paths = stored(paths, "paths").select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), "starts"), lambda i: F.array_join(
+        F.slice("path", i, LONGEST), " "))).alias("gram"))
+    flow = on_paths.unionByName(single.select("lang", "gram", "n"))
+    long = flow.select("lang", F.lit(LONGEST).alias("k"), "gram", "n")
+    for k in range(LONGEST - 1, 1, -1):  # what leaves a node, and the pieces that end in it
+        ends = grams.where(F.col("k") == k).select("lang", "gram", "n")
+        flow = flow.select("lang", _first(k).alias("gram"), "n").unionByName(ends).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        long = long.unionByName(flow.select("lang", F.lit(k).alias("k"), "gram", "n"))
+    long = long.where(F.col("n") >= min_count).withColumnRenamed("gram", "phrase")
     counts = stored(long.unionByName(frequent_words.select("lang", F.lit(1).alias("k"), F.col("word").alias("phrase"), "n")), "phrases")
     return counts, words.groupBy("lang").agg(F.sum("n").alias("n"))
 
