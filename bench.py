@@ -15,6 +15,7 @@ from stillwater import local_session  # noqa: E402
 HEADLINE = (
     "interval_summary", "pad_grid", "summary_stats", "flag_drift", "flag_do_noise", "flag_malfunction", "field_notes_asof",
     "threshold_table", "network_check", "interp_linear", "merge_archive", "final_flags",
+    "archive_write_back", "incremental_archive", "stream_late_summary",
 )
 
 

@@ -525,6 +525,54 @@ ORACLE["overlap_changes"] = _merge_oracle("""SELECT h.site, h.parameter, count(*
     """).replace(f"{_new_sql}\n", f"{_new_sql},\n{_merged_cte}\n")
 
 
+def committed(spark, d, rows: DataFrame) -> tuple[str, sw.Commit]:
+    """An archive of these rows alone, and its commit."""
+    root = work_dir(spark, "archive")
+    return root, sw.write_back(spark, root, rows.withColumn("historical", F.lit(True)), "3 days")
+
+
+@query()
+def archive_write_back(spark, d):
+    """``merge_archive``'s rows, read back from an archive in which only the touched months were written."""
+    root, first = committed(spark, d, history(spark, d))
+    touched = incoming(spark, d).select("site", "parameter").distinct()
+    merged = sw.merge_preflag(incoming(spark, d), sw.trailing_rows(spark, root, touched, "3 days", first), "3 days", cut=True)
+    again = merged.withColumn("auto_flag", F.when(F.col("mean") > 9, "drift").otherwise(F.col("flag"))).drop("flag")
+    commit = sw.write_back(spark, root, again, "3 days", base=first)
+    return sw.read_archive(spark, root, commit=commit).select(*keys(), r6("mean"), "auto_flag", "historical")
+
+
+ORACLE["archive_write_back"] = ORACLE["merge_archive"]
+
+
+@query()
+def preflag_by_index(spark, d):
+    """``merge_preflag`` with the overlap found by the archive's index instead of a pass over the history."""
+    root, commit = committed(spark, d, history(spark, d))
+    past = sw.trailing_rows(spark, root, incoming(spark, d).select("site", "parameter").distinct(), "3 days", commit)
+    return sw.merge_preflag(incoming(spark, d), past, "3 days", cut=True).select(*keys(), r6("mean"), "flag", "historical")
+
+
+ORACLE["preflag_by_index"] = ORACLE["merge_preflag"]
+
+
+@query("""SELECT site, parameter, CAST(year(dt_round) AS INT) AS year, CAST(month(dt_round) AS INT) AS month, count(*) AS rows,
+    strftime(min(dt_round), '%Y-%m-%d %H:%M:%S') AS oldest, strftime(max(dt_round), '%Y-%m-%d %H:%M:%S') AS newest FROM padded GROUP BY ALL""")
+def archive_index(spark, d):
+    root, commit = committed(spark, d, padded(spark, d).withColumn("auto_flag", F.lit(None).cast("string")))
+    return sw.series_index(spark, root, commit).select("site", "parameter", "year", "month", "rows", text_time("oldest"), text_time("newest"))
+
+
+@query("""SELECT site, parameter, units, strftime(dt_round, '%Y-%m-%d %H:%M:%S') AS dt, round(mean, 6) AS mean, n_obs FROM summary""")
+def incremental_archive(spark, d):
+    """Two runs of raw readings that overlap by three days, as two commits: every stamp of the summary is there once, with its values."""
+    root, every = work_dir(spark, "archive"), raw(spark, d)
+    cut = "TIMESTAMP '2024-01-19 23:30:00'"  # between two stamps: of a stamp that both runs have, the archived row stays
+    for batch, part in enumerate((every.where(f"timestamp < {cut}"), every.where(f"timestamp >= {cut}"))):
+        sw.incremental_run(spark, root, part, "3 days", source="check", batch=batch, interval="1 hour")
+    return sw.read_archive(spark, root).where("n_obs IS NOT NULL").select("site", "parameter", "units", dt(), r6("mean"), "n_obs")
+
+
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt FROM orders
     WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 45 DAYS""")
 def recent_45d(spark, d):
@@ -676,3 +724,31 @@ def stream_interval_summary(spark, d):
     closed = spark.read.schema(summary.schema).parquet(f"{out}/rows")
     return closed.unionByName(sw.open_windows(raw(spark, d), run, "1 hour").select(*closed.columns)).select(
         *keys(), "units", r6("mean"), r6("spread"), "n_obs")
+
+
+@query(f"SELECT {SQL_KEYS}, units, round(mean, 6) AS mean, round(spread, 6) AS spread, n_obs FROM summary")
+def stream_late_summary(spark, d):
+    """The summary of readings that arrive out of order in four files: closed stamps, summed anew for late rows, and open ones."""
+    out = work_dir(spark, "late-summary")
+    source = f"{out}/in"
+    for turn in range(4):
+        derived(spark, d, inputs.SENSOR_RAW + f" WHERE event_id % 4 = {turn}").coalesce(1).write.mode("append").parquet(source)
+        sw.stream_summary(sw.read_raw_stream(spark, source), f"{out}/state", f"{out}/checkpoint", "1 hour", "6 hours").trigger(
+            availableNow=True).start().awaitTermination()
+    closed = sw.closed_summary(spark, f"{out}/state")
+    rest = sw.open_summary(spark, f"{out}/state", "1 hour").select(*closed.columns)
+    return closed.unionByName(rest).select(*keys(), "units", r6("mean"), r6("spread"), "n_obs")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, value, strftime(ts, 'pull-%Y%m%d') AS pull FROM events""")
+def archive_by_content(spark, d):
+    """A day's pull is a file; the archive gets half of the pulls, then all of them, then nothing new, and holds every reading once."""
+    out = work_dir(spark, "pulls")
+    e = table(spark, d, "events").select(F.col("event_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"), "value",
+                                         F.concat(F.lit("pull-"), F.date_format("ts", "yyyyMMdd")).alias("pull"))
+    for part in (e.where("timestamp < TIMESTAMP '2024-01-15 12:00:00'"), e.where("timestamp >= TIMESTAMP '2024-01-15 12:00:00'"), None):
+        if part is not None:
+            part.repartition("pull").write.partitionBy("pull").mode("append").parquet(f"{out}/in")
+        report = sw.archive_append(spark, f"{out}/in", f"{out}/archive")
+    arrived = spark.read.parquet(f"{out}/archive")
+    return arrived.join(report.where("complete").select("file_id"), "file_id", "left_semi").select("id", text_time("timestamp").alias("stamp"), "value", "pull")
