@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from stillwater.operators import signal
 from stillwater.operators.signal import spline_at
 
+from conftest import at
+
 X = None
 
 
@@ -107,6 +109,37 @@ def test_exact_quantiles_of_every_size(spark):
         assert [got[n][q] for q in quantiles] == pytest.approx(list(np.quantile(values, list(quantiles.values()))), abs=1e-12), n
 
 
+@pytest.mark.parametrize("shape", ["equal", "distinct"])
+def test_one_task_never_orders_a_group(spark, shape):
+    """Two million rows of one group: what a window orders is a few thousand rows at most."""
+    n = 2_000_000
+    df = spark.range(n).select(F.lit("k").alias("k"), (F.lit(7.0) if shape == "equal" else F.pmod(F.col("id") * 7919, F.lit(n)) * 1.0).alias("v"))
+    out = sw.exact_quantiles(df, ("k",), {"a": (F.col("v"), 0.01), "b": (F.col("v"), 0.99)})
+    got = out.collect()[0]
+    want = (7.0, 7.0) if shape == "equal" else (0.01 * (n - 1), 0.99 * (n - 1))
+    assert (got["a"], got["b"]) == pytest.approx(want, rel=1e-12)
+
+
+def test_trimmed_deviation_like_the_plain_one(spark):
+    """Sums behind the brackets, values inside them, brackets that overlap, and groups that vanish."""
+    r = np.random.default_rng(4)
+    groups = {f"s{n}": np.round(r.normal(1e6, 3, n), 2 if n % 2 else 7) for n in (1, 2, 3, 4, 60, 61, 900, 40_000, 40_001)}
+    groups["same"] = np.full(500, 3.25)
+    data = [(s, at(i), float(v)) for s, values in groups.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "site string, dt_round timestamp, mean double").selectExpr(
+        "site", "'DO' AS parameter", "'monsoon' AS season", "dt_round", "mean", "CAST(NULL AS DOUBLE) AS slope_behind").repartition(6)
+    got = {r["site"]: r for r in sw.threshold_table(df).collect()}
+    for s, values in groups.items():
+        lo, hi = np.quantile(values, [0.01, 0.99])
+        inner = values[(values > lo) & (values < hi)]
+        if not len(inner):
+            assert s not in got
+            continue
+        assert (got[s]["t_mean01"], got[s]["t_mean99"]) == (pytest.approx(lo, rel=1e-13), pytest.approx(hi, rel=1e-13))
+        assert got[s]["t_sd_0199"] == (pytest.approx(np.std(inner, ddof=1), rel=1e-7) if len(inner) > 1 else None)
+        assert got[s]["t_slope_behind_01"] is None
+
+
 def test_threshold_table(spark, series):
     r = np.random.default_rng(0)
     means = [float(v) for v in np.round(r.normal(10, 2, 500), 3)]
