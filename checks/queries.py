@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Callable
+from datetime import datetime
 
 import stillwater as sw
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -752,3 +753,93 @@ def archive_by_content(spark, d):
         report = sw.archive_append(spark, f"{out}/in", f"{out}/archive")
     arrived = spark.read.parquet(f"{out}/archive")
     return arrived.join(report.where("complete").select("file_id"), "file_id", "left_semi").select("id", text_time("timestamp").alias("stamp"), "value", "pull")
+
+
+# --- sources and sinks: written below the shared folder, read back -----------
+
+def stored_file(spark: SparkSession, name: str, text: str) -> str:
+    """A small configuration file in the shared folder, by Spark's file system."""
+    path = f"{work_dir(spark, 'config')}/{name}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return path
+
+
+@query(f"""SELECT site, id, name, {sql_time('timestamp', 'stamp')}, parameter, value, units, count(*) AS n FROM sensor_raw GROUP BY ALL""")
+def raw_pulls(spark, d):
+    """Two pulls, one of them sent twice: a pull that is written again replaces itself."""
+    out = work_dir(spark, "raw")
+    r = raw(spark, d)
+    for part, hour in (("day(timestamp) <= 10", 1), ("day(timestamp) > 10", 2), ("day(timestamp) <= 10", 1)):
+        sw.write_raw(r.where(part), out, datetime(2024, 2, 1, hour))
+    return sw.read_raw(spark, out).groupBy("site", "id", "name", text_time("timestamp").alias("stamp"), "parameter", "value", "units").agg(F.count("*").alias("n"))
+
+
+@query()
+def notes_file(spark, d):
+    out = work_dir(spark, "survey")
+    derived(spark, d, inputs.SURVEY).write.option("header", True).option("escape", '"').csv(out)
+    return sw.clean_notes(sw.read_field_notes(spark, out), "15 minutes").select(
+        text_time("start_dt"), text_time("malfunction_end_dt"), text_time("dt_round"), "site", "visit_type", "sensor_pulled",
+        "sensor_deployed", "which_sensor_malfunction", "visit_comments")
+
+
+ORACLE["notes_file"] = ORACLE["notes_clean"]
+
+
+@query("""SELECT 'winter_baseflow' AS season, CASE lower(n_name) WHEN 'nation_3' THEN 'salyer' ELSE lower(n_name) END AS site, event_type AS parameter,
+    min(value) AS t_mean01, max(value) AS t_mean99 FROM events JOIN nation ON n_nationkey = user_id % 25 GROUP BY ALL""")
+def thresholds_file(spark, d):
+    """A threshold file with other columns' order and an old site name."""
+    out = work_dir(spark, "thresholds")
+    named = table(spark, d, "events").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("user_id") % 25)
+    limits = named.groupBy(F.when(F.col("n_name") == "NATION_3", "Legacy").otherwise(F.col("n_name")).alias("site"), F.col("event_type").alias("parameter")).agg(
+        F.max("value").alias("t_mean99"), F.min("value").alias("t_mean01"))
+    limits.withColumns({"season": F.lit("winter_baseflow"), **{c: F.lit("NA") for c in ("t_slope_behind_01", "t_slope_behind_99", "t_sd_0199")}}).write.option(
+        "header", True).csv(out)
+    return sw.read_thresholds(spark, out).select("season", "site", "parameter", "t_mean01", "t_mean99")
+
+
+@query("""SELECT lower(r_name) AS network_name, replace(lower(n_name), '_', '') AS site, CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) AS INT) AS place
+    FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def networks_file(spark, d):
+    nations = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = nations.groupBy("r_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]), ", ").alias("network"))
+    out = f"{work_dir(spark, 'networks')}/site.order.csv"
+    rows.withColumnRenamed("r_name", "network_name").coalesce(1).write.option("header", True).csv(out)
+    return sw.load_networks(spark, out).select("network_name", F.posexplode("network").alias("place", "site")).withColumn("place", (F.col("place") + 1).cast("int"))
+
+
+@query("SELECT event_type AS parameter, min(value) AS spec_min, max(value) AS spec_max FROM events GROUP BY event_type")
+def sensor_spec_file(spark, d):
+    limits = table(spark, d, "events").groupBy("event_type").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+    text = "".join(f"{r.event_type}:\n  min: {r.lo!r}\n  max: {r.hi!r}\n" for r in limits)
+    return sw.read_sensor_spec(spark, stored_file(spark, "spec.yml", text)).select("parameter", "spec_min", "spec_max")
+
+
+@query(f"SELECT {SQL_KEYS}, round(mean, 6) AS mean FROM padded WHERE day(dt_round) <= 20")
+def latest_snapshot(spark, d):
+    """Three snapshots, the newest by name not written last."""
+    out, rows = work_dir(spark, "snapshots"), padded(spark, d)
+    for day, hour in ((10, 3), (20, 9), (30, 6)):
+        sw.write_snapshot(rows.where(f"day(dt_round) <= {day}"), out, "SondeFlags", datetime(2024, 2, 1, hour))
+    return sw.read_latest(spark, out, "SondeFlags").select(*keys(), r6("mean"))
+
+
+@query(f"SELECT {SQL_KEYS}, round(mean, 6) AS mean FROM padded")
+def series_csv(spark, d):
+    out = work_dir(spark, "csv")
+    sw.write_series_csv(padded(spark, d).select("site", "parameter", "dt_round", "mean"), out)
+    back = spark.read.schema("dt_round string, mean double, site string, parameter string").csv(out, header=True)
+    return back.select("site", "parameter", F.col("dt_round").alias("dt"), r6("mean"))
+
+
+@query(f"""SELECT site, {sql_time('t', 'start_dt')}, concat('note ', event_id) AS visit_comments,
+    row_number() OVER (ORDER BY t DESC, concat('note ', event_id)) - 1 AS position FROM ({_survey})""")
+def notes_newest(spark, d):
+    """Notes newest first, from an ordered table: the place of a note follows from its file and the recorded order."""
+    out, order = work_dir(spark, "notes"), [F.desc("start_dt"), F.asc("visit_comments")]
+    sw.write_ordered(survey(spark, d).select("site", "start_dt", "visit_comments"), out, order)
+    return sw.with_position(spark, out, order).select("site", text_time("start_dt"), "visit_comments", "position")

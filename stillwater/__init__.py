@@ -27,6 +27,7 @@ from .session import local_session, use_utc
 from .sources.archive import (
     Commit, Conflict, clear_unused, commit_table, read_archive, read_commit, series_index, trailing_rows, write_back,
 )
+from .sources.ordered import read_first, with_position, write_ordered
 from .sources.readers import (
     literal_table, load_networks, normal_networks, read_field_notes, read_latest, read_locations, read_names, read_pages, read_raw,
     read_sensor_spec, read_thresholds, snapshot_stamp,

@@ -55,8 +55,9 @@ def trailing_history(history: DataFrame, period: int | str, of: DataFrame | None
     cuts = _cuts(history, seconds(period))
     if of is not None:
         cuts = cuts.join(of.select(*SERIES).distinct(), list(SERIES), "left_semi")
-    earliest = cuts.select(F.min("_cut")).scalar()
-    return _with_cut(_from(history, earliest), cuts).where(_recent()).drop("_cut")
+    if "year" in history.columns:  # elsewhere there is nothing to prune, and the cuts would be planned once more
+        history = _from(history, cuts.select(F.min("_cut")).scalar())
+    return _with_cut(history, cuts).where(_recent()).drop("_cut")
 
 
 def merge_preflag(incoming: DataFrame, history: DataFrame | None, period: int | str, cut: bool = False) -> DataFrame:

@@ -40,26 +40,31 @@ def clean_locations(locations: DataFrame) -> DataFrame:
     return locations.drop("gps").dropDuplicates()
 
 
-def _pieces(name: Column) -> Column:
-    """Every substring of a (short) name."""
-    size = F.length(name)
-    pieces = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda at: F.transform(F.sequence(F.lit(1), size - at + 1), lambda n: F.substring(name, at, n)),
-    )
-    return F.when(size > 0, F.array_distinct(F.flatten(pieces)))
+GRAM = 3
+
+
+def _pieces(name: Column, sizes: Column) -> Column:
+    """The different pieces of a name that have one of the sizes."""
+    length = F.length(name)
+    pieces = F.transform(sizes, lambda n: F.when(length >= n, F.transform(F.sequence(F.lit(1), length - n + 1), lambda at: F.substring(name, at, n))))
+    return F.array_distinct(F.flatten(F.array_compact(pieces)))
 
 
 def match_locations(sites: DataFrame, locations: DataFrame) -> DataFrame:
     """(site, location columns) wherever a location's name holds the site's name, in any case.
 
-    Names are cut into their substrings and joined on equality, not compared pair by pair.
+    An inverted index: each site stands under one piece of ``GRAM`` letters (shorter sites under all of theirs), the one
+    that the fewest sites have. A location looks up its own pieces, some ``GRAM`` for each letter, and what it finds is
+    compared in full. An empty site name is in no name.
     """
     named = clean_locations(locations).withColumn("name", F.lower("name"))
+    known = sites.select(F.lower("site").alias("site")).where(F.length("site") > 0).distinct()
+    own = known.withColumn("_key", F.explode(_pieces(F.col("site"), F.array(F.least(F.length("site"), F.lit(GRAM))))))
+    common = own.groupBy("_key").agg(F.count(F.lit(1)).alias("_sites"))
+    index = own.join(common, "_key").groupBy("site").agg(F.min(F.struct("_sites", "_key")).alias("_rarest")).select("site", F.col("_rarest._key").alias("_key"))
     return (
-        named.withColumn("_key", F.explode(_pieces(F.col("name"))))
-        .join(sites.select(F.lower("site").alias("site")).distinct(), F.col("_key") == F.col("site"))
-        .drop("_key")
+        named.withColumn("_key", F.explode(_pieces(F.col("name"), F.array(*[F.lit(n) for n in range(1, GRAM + 1)]))))
+        .join(index, "_key").where(F.col("name").contains(F.col("site"))).drop("_key")
     )
 
 

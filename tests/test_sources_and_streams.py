@@ -37,6 +37,29 @@ def test_pages_names_and_locations(spark, tmp_path):
     assert out.columns == sw.schema.RAW_READING.names and {r["site"] for r in out.collect()} == {"bellvue"}
 
 
+def test_locations_by_their_pieces(spark):
+    """Short sites, sites inside sites, names of 200 letters, repeated pieces: as by comparing every pair."""
+    sites = ["a", "ab", "Abc", "abcd", "bcd", "xyz", "river bluffs", "zz", "é", "", None, "abab"]
+    names = ["ABCD sonde", "a", "", None, "river bluffs at abc", "q" * 150 + "xyz" + "q" * 47, "zzz", "éa", "ababab", "RIVER  BLUFFS"]
+    locations = spark.createDataFrame([(str(i), n, 1.0) for i, n in enumerate(names)], "id string, name string, gps double")
+    got = sw.match_locations(spark.createDataFrame([(s,) for s in sites], "site string"), locations).select("site", "id").collect()
+    want = [(s.lower(), str(i)) for s in sites if s for i, n in enumerate(names) if n and s.lower() in n.lower()]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_ordered_tables(spark, tmp_path):
+    path, order = str(tmp_path / "t"), [F.col("v").desc_nulls_last(), F.asc("id")]
+    df = spark.range(5000).withColumn("v", F.when(F.col("id") % 10 != 0, F.pmod(F.col("id") * 7919, F.lit(1000)))).repartition(7)
+    sw.write_ordered(df, path, order)
+    want = [r.id for r in df.orderBy(*order).collect()]
+    assert [r.id for r in sw.with_position(spark, path, order).orderBy("position").collect()] == want
+    assert [r.position for r in sw.with_position(spark, path, order).orderBy("position").select("position").limit(3).collect()] == [0, 1, 2]
+    few = sw.read_first(spark, path, 20, order)
+    assert [r.id for r in few.collect()] == want[:20] and len(few.inputFiles()) < len(spark.read.parquet(path).inputFiles())
+    assert sw.read_first(spark, path, 10 ** 6, order).count() == 5000
+    assert sw.read_first(spark, path, 0, order).count() == 0
+
+
 def test_network_files(spark, tmp_path):
     csv, yml = tmp_path / "order.v1.csv", tmp_path / "order.yml"
     csv.write_text('network_name,network\nclp,"Tamasag, salyer"\nmtn_campus,mtn_campus\n')
