@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def write_ordered(df: DataFrame, path: str, order: list[Column]) -> None:
+def write_ordered(df: DataFrame, path: str, order: list[Column], parts: int | None = None) -> None:
     """Write the rows range-partitioned and sorted, and the rows of each file in their order below ``_order``.
 
-    Rows that are alike in ``order`` stay together in one file. No task sorts more than its range.
+    Spark chooses the number of ranges by size, unless ``parts`` is given. Rows that are alike in ``order`` stay together in one file. No task sorts more than its range.
     """
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    df.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order).write.parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     # part numbers follow the ranges; a part may be cut into several files, which are numbered as well
     files = written.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
