@@ -368,6 +368,51 @@ def interp_spline(spark, d):
     return sw.interpolate_gaps(padded(spark, d), HOUR, method="spline").select(*keys(), r6("mean_filled"))
 
 
+# The curve of a whole series at once: elimination and back substitution of its tridiagonal system, row by row. The outer
+# equations take the third derivative from the cubics through the first and the last four values.
+_by = "PARTITION BY site ORDER BY x"
+_spline_body = f"""known AS (SELECT site, epoch(dt_round) AS x, mean AS y, row_number() OVER (PARTITION BY site ORDER BY dt_round) AS i
+    FROM padded WHERE parameter = 'Turbidity' AND mean IS NOT NULL),
+  knots AS (SELECT *, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS m, x - lag(x) OVER w AS h0, (y - lag(y) OVER w) / (x - lag(x) OVER w) AS m0,
+    count(*) OVER (PARTITION BY site) AS n FROM known WINDOW w AS ({_by})),
+  sys AS (SELECT site, i, n, x, y, h, m, h0,
+    CASE WHEN i = 1 THEN -h WHEN i = n THEN -h0 ELSE 2 * (h + h0) END AS b,
+    CASE WHEN i = 1 THEN ((lead(m, 2) OVER w - lead(m, 1) OVER w) / (lead(x, 3) OVER w - lead(x, 1) OVER w) - (lead(m, 1) OVER w - m) / (lead(x, 2) OVER w - x))
+        * h * h / (lead(x, 3) OVER w - x)
+      WHEN i = n THEN -((m0 - lag(m0, 1) OVER w) / (x - lag(x, 2) OVER w) - (lag(m0, 1) OVER w - lag(m0, 2) OVER w) / (lag(x, 1) OVER w - lag(x, 3) OVER w))
+        * h0 * h0 / (x - lag(x, 3) OVER w)
+      ELSE m - m0 END AS r FROM knots WINDOW w AS ({_by})),
+  down AS (SELECT site, i, b, r FROM sys WHERE i = 1
+    UNION ALL SELECT s.site, s.i, s.b - s.h0 * s.h0 / f.b, s.r - s.h0 / f.b * f.r FROM down f JOIN sys s ON s.site = f.site AND s.i = f.i + 1),
+  up AS (SELECT f.site, f.i, f.r / f.b AS c FROM down f JOIN sys s ON s.site = f.site AND s.i = f.i WHERE s.i = s.n
+    UNION ALL SELECT f.site, f.i, (f.r - s.h * u.c) / f.b FROM up u JOIN down f ON f.site = u.site AND f.i = u.i - 1 JOIN sys s ON s.site = f.site AND s.i = f.i),
+  cubic AS (SELECT s.site, s.i, s.x, s.y, s.m - s.h * (z.c + 2 * a.c) AS b, 3 * a.c AS c, (z.c - a.c) / s.h AS e
+    FROM sys s JOIN up a ON a.site = s.site AND a.i = s.i JOIN up z ON z.site = s.site AND z.i = s.i + 1),
+  gaps AS (SELECT *, count(*) FILTER (WHERE mean IS NULL) OVER (PARTITION BY site, parameter, g) AS run FROM (
+    SELECT *, epoch(dt_round) AS t, count(mean) OVER (PARTITION BY site, parameter ORDER BY dt_round) AS g FROM padded)),
+  splined AS (SELECT p.site, p.parameter, p.dt_round, CASE WHEN p.parameter <> 'Turbidity' THEN NULL WHEN p.mean IS NOT NULL THEN p.mean
+      WHEN p.run <= 4 THEN c.y + (t - c.x) * (c.b + (t - c.x) * (c.c + (t - c.x) * c.e)) END AS mean_filled
+    FROM gaps p LEFT JOIN (SELECT site, max(i) AS top FROM cubic GROUP BY site) l ON l.site = p.site
+    LEFT JOIN cubic c ON c.site = p.site AND c.i = greatest(least(p.g, l.top), 1))"""
+_padded = build("SELECT * FROM padded")
+ORACLE["interp_spline"] = (f"{_padded[:_padded.rindex('SELECT * FROM padded')].rstrip()},\n  {_spline_body}\n"
+                           f"SELECT {SQL_KEYS}, round(mean_filled, 6) AS mean_filled FROM splined").replace("WITH", "WITH RECURSIVE", 1)
+
+
+# --- rules that rarely fire, on readings that make them -----------------------
+
+_LONE = "CASE WHEN unix_or_epoch % 7 = 0 THEN 'suspect data' WHEN unix_or_epoch % 11 < 3 THEN 'drift' END"
+
+
+@query(f"""SELECT {SQL_KEYS}, CASE WHEN f = 'suspect data' AND lag(f) OVER w IS NULL AND lead(f) OVER w IS NULL THEN NULL ELSE f END AS auto_flag
+    FROM (SELECT *, {_LONE.replace('unix_or_epoch', "(epoch_us(dt_round) // 3600000000)")} AS f FROM padded)
+    WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)""")
+def lone_suspect_dropped(spark, d):
+    """Every seventh hour is suspect, three of eleven drift: most suspects stand alone and go."""
+    flagged = padded(spark, d).withColumn("auto_flag", F.expr(_LONE.replace("unix_or_epoch", "(unix_seconds(dt_round) div 3600)")))
+    return sw.drop_lone_suspect(flagged, HOUR).select(*keys(), "auto_flag")
+
+
 @query(f"SELECT {SQL_KEYS}, round(s3, 6) AS smoothed_mean FROM pass3")
 def low_pass(spark, d):
     filled = sw.interpolate_gaps(padded(spark, d), HOUR)
@@ -609,6 +654,19 @@ def tracker_update(spark, d):
     return out.select("site", "parameter", "site_parameter", "failure_count", text_time("last_success"), "auto_disabled", "try_again")
 
 
+_rare = "value > 250 AND timestamp >= TIMESTAMP '2024-01-30 12:00:00'"
+
+
+@query(f"""SELECT site, parameter, failure_count, failure_count >= 30 AS auto_disabled FROM (
+    SELECT t.* REPLACE (CASE WHEN r.n > 0 THEN 0 ELSE failure_count + 1 END AS failure_count)
+    FROM {_tracker_sql.format(raw='sensor_raw')} t LEFT JOIN (SELECT site, parameter, count(*) AS n FROM sensor_raw WHERE {_rare} GROUP BY ALL) r
+    USING (site, parameter))""")
+def tracker_disables(spark, d):
+    """Hardly any series gets readings: the others count up, and those at the limit are switched off."""
+    out = sw.tracker_update(tracker(spark, d), raw(spark, d).where(_rare), NOW, disable_after=30)
+    return out.select("site", "parameter", "failure_count", "auto_disabled")
+
+
 _sites = ", ".join(f"('{s}')" for s in DEFAULT_SITES)
 
 
