@@ -1,7 +1,7 @@
 """Phrases whose words stand together more often than chance, from a weighted de Bruijn graph.
 
 Texts are cut into pieces at punctuation and line ends, pieces into words. Nodes of the graph are four words in a row,
-edges five: a text's walk through the graph is one edge per place, weighted by its occurrences, plus the last one to four
+edges five: a text's walk through the graph is one edge per place, weighted by its occurrences, plus the last two to four
 words of a piece, which no edge begins with. Only these longest grams are counted. The rest follows from the graph:
 
 * a node's flow is what its edges carry away plus the pieces that end in it;
@@ -10,10 +10,11 @@ words of a piece, which no edge begins with. Only these longest grams are counte
 * every place on a path or single edge is one edge; the shorter counts follow length by length, as flows of the nodes that
   the longer ones leave and the pieces that end there.
 
-Two exact filters keep the graph small; neither ever gives a count. Words rarer than a candidate can be end a piece, as do
-two words whose pair is too rare. Both are told by bits of fixed number, set from sums over all of the corpus per hash
-address, which are never smaller than the true counts. If many words share an address, more is let through, which costs
-time and changes no result.
+Exact filters keep the graph small; none ever gives a count. Words rarer than a candidate can be end a piece, and from each
+place the walk goes on only while its pairs and triples of words can be frequent: where it stops within five words, it
+ends like a piece. All are told by bits of fixed number, set from sums over all of the corpus per hash address, which are
+never smaller than the true counts. If many words share an address, more is let through, which costs time and changes no
+result.
 
 Defined results: a missing text is empty; a missing language is ``und``; repeated rows count as often as they occur; texts are
 read whole, in portions that end with a piece (one piece without any end needs memory of its size); an empty table
@@ -106,54 +107,85 @@ def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * _ODD[1] >> np.uint64(20)
 
 
-def _hashed(walks, frequent: Bits):
-    """Walks with the hash of each place's word and whether it can be part of a candidate."""
-    for lang, vocabulary, places in walks:
-        h = np.fromiter((word_hash(lang, w) for w in vocabulary), np.uint64, len(vocabulary))
-        can = frequent.has(h) & np.fromiter((w != b"." for w in vocabulary), bool, len(vocabulary))
-        yield lang, vocabulary, places, h[places], can[places]
+def _marked_walks(docs: DataFrame, frequent, words_power: int) -> DataFrame:
+    """``lang, words, places, kind``: walks of the words that can be part of a candidate, as numbers; the highest one stands for all else."""
+    def mark(batches):
+        known = worker_cache(("bits", frequent.value[0]), lambda: Bits(frequent.value[1], words_power))
+        for lang, vocabulary, places in _walks(batches):
+            can = known.has(_hashes(lang, vocabulary)) & np.fromiter((w != b"." for w in vocabulary), bool, len(vocabulary))
+            p = np.concatenate([[-1], np.where(can, np.cumsum(can) - 1, -1)[places], [-1]])
+            p[1:-1][(p[:-2] < 0) & (p[2:] < 0)] = -1  # a word by itself
+            p = p[1:][(p[1:] >= 0) | (p[:-1] >= 0)]
+            kind = "<u2" if can.sum() < 65_535 else "<u4"
+            if len(p):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()), pa.array([[w.decode() for w, c in zip(vocabulary, can) if c]], pa.list_(pa.string())),
+                     pa.array([p.astype(kind).tobytes()], pa.binary()), pa.array([kind], pa.string())], ["lang", "words", "places", "kind"])
+    return docs.mapInArrow(mark, "lang string, words array<string>, places binary, kind string")
+
+
+def _hashes(lang: str, vocabulary: list[bytes]) -> np.ndarray:
+    return np.fromiter((word_hash(lang, w) for w in vocabulary), np.uint64, len(vocabulary))
+
+
+def _read_walks(batches):
+    """``lang, words, places, hashes, pairs``: with the hash of each place's word, and whether it and the next one are words."""
+    for b in batches:
+        for i in range(b.num_rows):
+            lang, words, raw, kind = (b.column(c)[i] for c in ("lang", "words", "places", "kind"))
+            places = np.frombuffer(raw.as_buffer(), kind.as_py()).astype(np.int64)
+            real = places < len(words.values)
+            words = words.as_py()
+            h = np.append(_hashes(lang.as_py(), [w.encode() for w in words]), np.uint64(0))[np.minimum(places, len(words))]
+            yield lang.as_py(), words, places, h, np.append(real[1:] & real[:-1], False)
+
 
+def _reach(h: np.ndarray, both: np.ndarray, pairs: Bits, triples: Bits | None) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a pair that can be frequent begins at each place, and whether such a triple does (of frequent pairs, if nothing is known)."""
+    pair, triple = np.zeros(len(h) + 3, bool), np.zeros(len(h) + 3, bool)
+    at = np.flatnonzero(both)
+    pair[at] = pairs.has(_pair_hash(h[at], h[at + 1]))
+    at = np.flatnonzero(pair[:-1] & pair[1:])
+    triple[at] = True if triples is None else triples.has(_triple_hash(h, at))
+    return pair, triple
 
-def _pair_load(docs: DataFrame, frequent, words_power: int, pairs_power: int) -> DataFrame:
-    """``place, n``: pairs of frequent words counted by hash address, each task's sum once."""
+
+def _triple_hash(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return _pair_hash(_pair_hash(h[at], h[at + 1]), h[at + 2])
+
+
+def _load(walks: DataFrame, power: int, hashes) -> DataFrame:
+    """``place, n``: what ``hashes`` gives for the walks counted by hash address, each task's sum once."""
     def load(batches):
-        found = worker_cache(("bits", frequent.value[0]), lambda: Bits(frequent.value[1], words_power))
-        n = np.zeros(1 << pairs_power, np.int32)
-        for _, _, _, h, can in _hashed(_walks(batches), found):
-            both = np.flatnonzero(can[1:] & can[:-1])
-            place, times = np.unique(_pair_hash(h[both], h[both + 1]) & np.uint64((1 << pairs_power) - 1), return_counts=True)
+        n = np.zeros(1 << power, np.int32)
+        for h in hashes(_read_walks(batches)):
+            place, times = np.unique(h & np.uint64((1 << power) - 1), return_counts=True)
             n[place.astype(np.int64)] += times.astype(np.int32)
         at = np.flatnonzero(n)
         for i in range(0, len(at), 1 << 16):
             part = at[i:i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(n[part].astype(np.int64))], ["place", "n"])
-    return docs.mapInArrow(load, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    return walks.mapInArrow(load, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
 
 
-def _grams(docs: DataFrame, frequent, pairs, words_power: int, pairs_power: int) -> DataFrame:
-    """``lang, k, gram, n``: edges (five words) and the last two to four words of what the filters leave of the pieces."""
+def _grams(walks: DataFrame, pairs, triples, power: int) -> DataFrame:
+    """``lang, k, gram, n``: edges (five words), and the two to four words from places where a way stops earlier."""
     def count(batches):
-        known = worker_cache(("bits", pairs.value[0]), lambda: (Bits(frequent.value[1], words_power), Bits(pairs.value[1], pairs_power)))
-        for lang, vocabulary, places, h, can in _hashed(_walks(batches), known[0]):
-            on = np.zeros(len(places) + 1, bool)  # a place goes on from the one before
-            both = np.flatnonzero(can[1:] & can[:-1])
-            on[1:-1][both] = known[1].has(_pair_hash(h[both], h[both + 1]))
-            first = np.flatnonzero(can & ~on[:-1])
-            size = np.flatnonzero(can & ~on[1:]) - first + 1
-            first, size = first[size > 1], size[size > 1]
+        known = worker_cache(("bits", triples.value[0]), lambda: (Bits(pairs.value[1], power), Bits(triples.value[1], power)))
+        for lang, words, places, h, both in _read_walks(batches):
+            pair, triple = _reach(h, both, *known)
+            size = len(h)
+            steps = [pair[:size], triple[:size], triple[1:size + 1], triple[2:size + 2]]
+            reach = np.ones(size, np.int8) + np.logical_and.accumulate(steps).sum(0, dtype=np.int8)
             for k in range(2, LONGEST + 1):
-                if k == LONGEST:
-                    edges = np.maximum(size - LONGEST + 1, 0)
-                    at = np.repeat(first, edges) + np.arange(edges.sum()) - np.repeat(np.cumsum(edges) - edges, edges)
-                else:
-                    at = (first + size - k)[size >= k]
+                at = np.flatnonzero(reach == k)
                 if len(at):
-                    rows = np.ascontiguousarray(places[at[:, None] + np.arange(k)])
+                    rows = np.ascontiguousarray(places[at[:, None] + np.arange(k)].astype(np.int32))
                     kinds, n = np.unique(rows.view(f"V{4 * k}").ravel(), return_counts=True)
-                    grams = [b" ".join([vocabulary[i] for i in r]).decode() for r in kinds.view(np.int32).reshape(-1, k).tolist()]
+                    grams = [" ".join([words[i] for i in r]) for r in kinds.view(np.int32).reshape(-1, k).tolist()]
                     yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), pa.repeat(pa.scalar(k, pa.int32()), len(n)), pa.array(grams, pa.string()),
                                                       pa.array(n.astype(np.int64))], ["lang", "k", "gram", "n"])
-    return docs.mapInArrow(count, "lang string, k int, gram string, n bigint").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
+    return walks.mapInArrow(count, "lang string, k int, gram string, n bigint").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
 
 
 def _first(k: int):
@@ -201,17 +233,31 @@ def compact(grams: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
     return paths, single.unionByName(edges.where(F.col("n") < min_count))
 
 
-def phrase_counts(docs: DataFrame, min_count: int = 100, words_power: int = 23, pairs_power: int = 24) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, min_count: int = 100, words_power: int = 23, grams_power: int = 24) -> tuple[DataFrame, DataFrame]:
     """``lang, k, phrase, n`` of all phrases of one to five words that occur often enough, and ``lang, n``: all words."""
     spark: SparkSession = docs.sparkSession
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     words = stored(word_counts(texts), "words")
     frequent_words = words.where(F.col("n") >= min_count)
     place = F.xxhash64(F.concat("lang", F.lit("\0"), "word")).bitwiseAND(F.lit((1 << words_power) - 1))
-    frequent = spark.sparkContext.broadcast((uuid.uuid4().hex, _bitmap(frequent_words.select(place.alias("place")))))
-    load = _pair_load(texts, frequent, words_power, pairs_power)
-    pairs = spark.sparkContext.broadcast((uuid.uuid4().hex, _bitmap(load.where(F.col("n") >= min_count).select(F.col("place").cast("bigint").alias("place")))))
-    grams = stored(_grams(texts, frequent, pairs, words_power, pairs_power), "grams")
+    def shared(places: DataFrame):
+        return spark.sparkContext.broadcast((uuid.uuid4().hex, _bitmap(places)))
+
+    def heavy(load: DataFrame):
+        return shared(load.where(F.col("n") >= min_count).select(F.col("place").cast("bigint").alias("place")))
+
+    frequent = shared(frequent_words.select(place.alias("place")))
+    walks = stored(_marked_walks(texts, frequent, words_power), "walks")
+    pairs = heavy(_load(walks, grams_power, lambda found: (_pair_hash(h[at], h[at + 1]) for *_, h, both in found if len(at := np.flatnonzero(both)))))
+
+    def triple_hashes(found):
+        known = worker_cache(("bits", pairs.value[0]), lambda: Bits(pairs.value[1], grams_power))
+        for *_, h, both in found:
+            at = np.flatnonzero(_reach(h, both, known, None)[1])
+            yield _triple_hash(h, at)
+
+    triples = heavy(_load(walks, grams_power, triple_hashes))
+    grams = stored(_grams(walks, pairs, triples, grams_power), "grams")
     paths, single = compact(grams, min_count)
     on_paths = stored(paths, "paths").select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), "starts"), lambda i: F.array_join(
         F.slice("path", i, LONGEST), " "))).alias("gram"))

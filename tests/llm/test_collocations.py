@@ -60,7 +60,7 @@ def rows():
     return out + [("so so so so so so so so so so", "en"), ("lead in the same boiler plate line that goes on and on for ever", "de")] * 9
 
 
-@pytest.mark.parametrize("least, top, filters", [(4, 2000, {}), (9, 5, {"words_power": 4, "pairs_power": 5}), (2, 50, {"pairs_power": 12}), (10 ** 6, 9, {})])
+@pytest.mark.parametrize("least, top, filters", [(4, 2000, {}), (9, 5, {"words_power": 4, "grams_power": 5}), (2, 50, {"grams_power": 12}), (10 ** 6, 9, {})])
 def test_like_plain_counting(spark, rows, least, top, filters):
     """Whatever the filters let through."""
     assert result(collocations(docs(spark, rows), least, top, **filters)) == brute(rows, least, top)
