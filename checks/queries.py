@@ -52,8 +52,13 @@ def with_stats(spark, d, sites=3) -> DataFrame:
     return sw.summary_statistics(padded(spark, d, sites), HOUR)
 
 
+def time_range(spark, d) -> DataFrame:
+    """First and last stamp of all readings, without the padded plan."""
+    return sw.series_bounds(raw(spark, d), "1 hour").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+
+
 def noted(spark, d) -> DataFrame:
-    return sw.attach_field_notes(padded(spark, d), notes(spark, d), HOUR)
+    return sw.attach_field_notes(padded(spark, d), notes(spark, d), HOUR, time_range(spark, d))
 
 
 def edges(spark) -> DataFrame:
@@ -287,9 +292,7 @@ def network_edges(spark, d):
 
 def site_flagged(spark, d) -> DataFrame:
     flags = sw.plans.pipeline.flag_site_evidence
-    series = padded(spark, d)
-    bounds = sw.plans.asof.time_bounds(series)
-    return flags(series, bounds, HOUR, notes=notes(spark, d), malfunctions=derived(spark, d, inputs.MALFUNCTIONS),
+    return flags(padded(spark, d), time_range(spark, d), HOUR, notes=notes(spark, d), malfunctions=derived(spark, d, inputs.MALFUNCTIONS),
                  thresholds=inputs.thresholds(spark), spec=SPEC)
 
 
