@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_key, worker_cache
+from .common import new_name, slices, stored, text_key, worker_cache
 
 GRAM = 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
@@ -420,8 +420,11 @@ def kept(raw: bytes, away: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def _marked(docs: DataFrame, length: int, **how) -> DataFrame:
-    return docs.withColumn("_key", text_key(F.col("text"))).join(spans(docs, length, **how), "_key", "left")
+def _marked(docs: DataFrame, length: int, found: str = "_spans", **how) -> DataFrame:
+    """The rows with the spans to remove from their text, in a column of that name."""
+    key = new_name(docs, "_text_key")
+    by_text = spans(docs, length, **how).select(F.col("_key").alias(key), F.col("_spans").alias(found))
+    return docs.withColumn(key, text_key(F.col("text"))).join(by_text, key, "left").select(*docs.columns, found)
 
 
 def removal_report(docs: DataFrame, length: int = 400, **how) -> DataFrame:
@@ -436,20 +439,20 @@ def removal_report(docs: DataFrame, length: int = 400, **how) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, types)]],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    marked = _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), length, **how)
-    return marked.select("doc_id", "text", "_spans").mapInArrow(
+    return _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), length, **how).mapInArrow(
         report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, length: int = 400, **how) -> DataFrame:
     """The documents with their columns, repeated bytes taken out of ``text``."""
+    mark = new_name(docs, "_spans")
+
     def cut(batches):
         for b in batches:
             texts = [t if not found else kept(t.encode(), merged_spans(found)).decode(errors="ignore")
-                     for t, found in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist())]
+                     for t, found in zip(b.column("text").to_pylist(), b.column(mark).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in b.schema.names if n != "_spans"],
-                [n for n in b.schema.names if n != "_spans"])
-    marked = _marked(docs, length, **how).select(*docs.columns, "_spans")
-    out = marked.mapInArrow(cut, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+                [pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in b.schema.names if n != mark],
+                [n for n in b.schema.names if n != mark])
+    out = _marked(docs, length, mark, **how).mapInArrow(cut, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

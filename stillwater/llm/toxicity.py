@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from .common import WORD, fold, slices, worker_cache, words
 
 BUCKETS = 1 << 18
-TAGS = "tox_score double, tox_spans array<struct<start:bigint,stop:bigint,marginal:double>>"
 
 
 class Model(NamedTuple):
@@ -246,10 +245,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0),
     return train([words(x["text"]) for x in got], toxic)
 
 
-def tag(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``docs`` (with ``text``), and ``tox_score`` and ``tox_spans``."""
+def tag(spark: SparkSession, docs: DataFrame, model: Model | None, names: tuple[str, str] = ("tox_score", "tox_spans")) -> DataFrame:
+    """All columns of ``docs`` (with ``text``), and two more: score and spans. Other ``names`` serve where ``docs`` has these."""
     if model is None:
-        return docs.withColumns({"tox_score": F.lit(0.0), "tox_spans": F.lit(None).cast(
+        return docs.withColumns({names[0]: F.lit(0.0), names[1]: F.lit(None).cast(
             "array<struct<start:bigint,stop:bigint,marginal:double>>")})
     shared, run = spark.sparkContext.broadcast(model), uuid.uuid4().hex  # BUCKETS weights
 
@@ -260,10 +259,11 @@ def tag(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataFrame:
             for b in slices(batch, "text", 1000, 1 << 20):
                 value, spans = scorer.score(b.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(value), pa.array(spans, kind)],
-                                                 [*b.schema.names, "tox_score", "tox_spans"])
+                                                 [*b.schema.names, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(score, f"{schema}, {TAGS}" if schema else TAGS)
+    tags = f"`{names[0]}` double, `{names[1]}` array<struct<start:bigint,stop:bigint,marginal:double>>"
+    return docs.mapInArrow(score, f"{schema}, {tags}" if schema else tags)
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -35,6 +35,20 @@ def test_stages_take_effect_in_turn(spark, tmp_path, odd_rows):
     assert len(fused) == len(seen["packing"])
 
 
+def test_stages_keep_columns_named_like_their_own(spark, tmp_path):
+    extra = ["tox_score", "tox_spans", "_had", "_key", "_text_key", "_spans", "_kept", "_place", "_dirty", "_row"]
+    rows = [(i, prose(60, i, 5000) + (" rotter zlubber" * 5 if i > 5 else "")) for i in range(10)] + [(None, None), (3, "")]
+    documents(spark, rows).selectExpr(*COLUMNS, *[f"'{c}' AS {c}" for c in extra]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i > 5)) for i in range(10)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(60, 2, 5000))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == [*COLUMNS, *extra]
+        assert all(r[c] == c for r in docs.collect() for c in extra)
+    assert {0, 1, 4, 5} <= {r.doc_id for r in docs.collect()} and 2 not in {r.doc_id for r in docs.collect()}
+
+
 def test_one_query_per_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "repeats", "benchmark", "packing"]
