@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stillwater.llm import decontaminate, near_duplicates, packing, repeats, toxicity
-from stillwater.llm.common import stored, table
+from stillwater.llm.common import new_name, stored, table
 from stillwater.llm.tokens import default_vocabulary
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field scores below a half; the model is fitted on labelled rows of these documents."""
-    scored = toxicity.tag(spark, docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.where(F.col("tox_score") < 0.5).select(*docs.columns)
+    names = new_name(docs, "tox_score"), new_name(docs, "tox_spans")
+    scored = toxicity.tag(spark, docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), names)
+    return scored.where(F.col(names[0]) < 0.5).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +30,9 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of over 50 words or of 250 bytes that occur twice; a text that loses everything goes."""
-    had = F.octet_length(F.coalesce("text", F.lit("")))
-    left = repeats.without_repeats(docs.withColumn("_had", had), REPEAT_BYTES, words=REPEAT_WORDS)
-    return left.where((F.col("_had") == 0) | (F.trim(F.col("text")) != "")).drop("_had")
+    had, name = F.octet_length(F.coalesce("text", F.lit(""))), new_name(docs, "_had")
+    left = repeats.without_repeats(docs.withColumn(name, had), REPEAT_BYTES, words=REPEAT_WORDS)
+    return left.where((F.col(name) == 0) | (F.trim(F.col("text")) != "")).drop(name)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
