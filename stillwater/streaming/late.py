@@ -6,7 +6,7 @@ micro-batch under the batch's number, so a replayed batch writes the same folder
 ``rows/slot=<day>/batch=<n>``   clean readings, by the day of their grid stamp
 ``late/batch=<n>``              those that came when their stamp was closed already, for the overlap path
 ``summary/batch=<n>``           stamps closed by the batch, and stamps summed anew because of late rows
-``marks/<n>.json``              the watermark after the batch
+``marks/<n>.json``              the watermark after the batch; batches run one after the other
 
 A stamp closes when the watermark (the latest reading less ``lateness``) passes it, and is then summed from the rows of
 its day; a late row makes its stamp be summed again. Reading the summary, the highest batch of a stamp counts. The rows
@@ -45,17 +45,24 @@ def _put(spark: SparkSession, path: str, value: dict) -> None:
     fs.rename(draft, final)
 
 
-def marks(spark: SparkSession, root: str) -> dict[int, dict]:
-    """Watermark and closed range after each finished batch, by number."""
+def finished(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the finished batches, in order."""
     folder, fs = _fs(spark, f"{root}/marks")
-    out = {}
-    for status in fs.listStatus(folder) if fs.exists(folder) else []:
-        name = status.getPath().getName()
-        if name.endswith(".json") and not name.startswith("."):
-            stream = fs.open(status.getPath())
-            out[int(name[:-5])] = json.loads(bytes(stream.readAllBytes()).decode())
-            stream.close()
-    return out
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def read_mark(spark: SparkSession, root: str, batch: int | None = None) -> dict | None:
+    """What the last batch (below ``batch``) left: ``mark``, the watermark, ``first``, the first stamp of all, and its ``late`` rows."""
+    numbers = [n for n in finished(spark, root) if batch is None or n < batch]
+    if not numbers:
+        return None
+    path, fs = _fs(spark, f"{root}/marks/{numbers[-1]}.json")
+    stream = fs.open(path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
 
 
 def _stamp(interval: int | str) -> Column:
@@ -65,9 +72,16 @@ def _stamp(interval: int | str) -> Column:
     return ((shifted - F.pmod(shifted, F.lit(step * 1_000_000))) / F.lit(1_000_000)).cast("bigint")
 
 
-def _rows_of(spark: SparkSession, root: str, slots: list[int]) -> DataFrame | None:
-    paths = [f"{root}/rows/slot={s}" for s in slots]
-    paths = [p for p in paths if _fs(spark, p)[1].exists(_fs(spark, p)[0])]
+def _slots(spark: SparkSession, root: str) -> list[int]:
+    """Days that have rows."""
+    folder, fs = _fs(spark, f"{root}/rows")
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n[5:]) for n in names if n.startswith("slot="))
+
+
+def _rows_of(spark: SparkSession, root: str, low: int, high: int) -> DataFrame | None:
+    """Rows kept of the days from one to another."""
+    paths = [f"{root}/rows/slot={s}" for s in _slots(spark, root) if low <= s <= high]
     schema = "site string, id string, name string, timestamp timestamp, parameter string, value double, units string, _stamp bigint, slot bigint, batch bigint"
     return spark.read.schema(schema).option("basePath", f"{root}/rows").parquet(*paths) if paths else None
 
@@ -79,8 +93,8 @@ def summary_batch(root: str, interval: int | str = "15 minutes", lateness: int |
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = marks(spark, root)
-        mark = max((m["mark"] for n, m in before.items() if n < batch_id and m["mark"] is not None), default=None)
+        before = read_mark(spark, root, batch_id) or {"mark": None, "first": None}
+        mark = before["mark"]
         rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_READING]).withColumn("_stamp", _stamp(interval))
         closed = F.lit(False) if mark is None else F.coalesce(F.col("_stamp") + step <= mark, F.lit(False))
         path = f"{root}/incoming/batch={batch_id}"
@@ -88,18 +102,17 @@ def summary_batch(root: str, interval: int | str = "15 minutes", lateness: int |
         rows = spark.read.parquet(path)  # once from the source; what follows reads the table
         seen = rows.agg(F.max(F.unix_seconds("timestamp") + step // 2).alias("last"), F.min("_stamp").alias("first"), F.count_if("_late").alias("late")).first()
         if seen["last"] is None:
-            _put(spark, f"{root}/marks/{batch_id}.json", {"mark": mark, "late": 0})
+            _put(spark, f"{root}/marks/{batch_id}.json", {**before, "late": 0})
             return
         rows.drop("_late").withColumn("batch", F.lit(batch_id)).write.partitionBy("slot", "batch").mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").parquet(f"{root}/rows")
         now = max(seen["last"] - seconds(lateness), mark if mark is not None else seen["last"] - seconds(lateness))
-        first = min([m["first"] for n, m in before.items() if n < batch_id and m.get("first") is not None] + [seen["first"]])
+        first = seen["first"] if before["first"] is None else min(before["first"], seen["first"])
         # stamps that the watermark passed just now, and those that late rows belong to
         low = first if mark is None else (mark - step) // step * step
         parts = []
         if now > (mark if mark is not None else first):
-            days = [s for s in range(low // DAY, now // DAY + 1)]
-            passed = _rows_of(spark, root, days)
+            passed = _rows_of(spark, root, low // DAY, now // DAY)
             if passed is not None:
                 parts.append(passed.where((F.col("batch") <= batch_id) & (F.col("_stamp") + step <= now)
                                           & (F.lit(True) if mark is None else F.col("_stamp") + step > mark)))
@@ -107,8 +120,8 @@ def summary_batch(root: str, interval: int | str = "15 minutes", lateness: int |
             late = rows.where("_late").drop("_late")
             late.write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
             again = late.select(*SERIES, "_stamp").distinct()
-            days = sorted(r.slot for r in late.select("slot").distinct().collect())
-            known = _rows_of(spark, root, days)
+            days = late.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
+            known = _rows_of(spark, root, days["low"], days["high"])
             parts.append(known.where(F.col("batch") <= batch_id).join(again, [*SERIES, "_stamp"], "left_semi"))
         if parts:
             whole = parts[0].select(*ROW_COLUMNS)
@@ -132,8 +145,8 @@ def stream_summary(raw: DataFrame, root: str, checkpoint: str, interval: int | s
 
 def closed_summary(spark: SparkSession, root: str) -> DataFrame:
     """The summary of all closed stamps, late rows included as far as they have arrived."""
-    root, done = root.rstrip("/"), [n for n, m in marks(spark, root.rstrip("/")).items()]
-    df = spark.read.parquet(f"{root}/summary").where(F.col("batch").isin(done))
+    root = root.rstrip("/")
+    df = spark.read.parquet(f"{root}/summary").where(F.col("batch") <= max(finished(spark, root), default=-1))  # the next one may be half written
     newest = Window.partitionBy(*SERIES, "dt_round", "units").orderBy(F.desc("batch"))
     return df.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n", "batch")
 
@@ -141,14 +154,12 @@ def closed_summary(spark: SparkSession, root: str) -> DataFrame:
 def open_summary(spark: SparkSession, root: str, interval: int | str = "15 minutes") -> DataFrame | None:
     """The summary so far of the stamps that the watermark has not passed, from the rows kept; None without any."""
     root, step = root.rstrip("/"), seconds(interval)
-    done = marks(spark, root)
-    mark = max((m["mark"] for m in done.values() if m["mark"] is not None), default=None)
-    if mark is None:
+    left = read_mark(spark, root)
+    if left is None or left["mark"] is None:
         return None
-    folder, fs = _fs(spark, f"{root}/rows")
-    slots = sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder) if "=" in s.getPath().getName())
-    rows = _rows_of(spark, root, [s for s in slots if (s + 1) * DAY > mark - step])
-    return interval_summary(rows.where((F.col("_stamp") + step > mark) & F.col("batch").isin(list(done))).select(*ROW_COLUMNS), interval) if rows else None
+    mark, last = left["mark"], max(finished(spark, root))
+    rows = _rows_of(spark, root, (mark - step) // DAY, 2 ** 40)
+    return interval_summary(rows.where((F.col("_stamp") + step > mark) & (F.col("batch") <= last)).select(*ROW_COLUMNS), interval) if rows else None
 
 
 def late_readings(spark: SparkSession, root: str) -> DataFrame | None:
@@ -160,12 +171,9 @@ def late_readings(spark: SparkSession, root: str) -> DataFrame | None:
 def forget(spark: SparkSession, root: str, before: int) -> list[str]:
     """Remove the kept rows of days that end before a moment (epoch seconds) and are closed; returns the removed folders."""
     root = root.rstrip("/")
-    mark = max((m["mark"] for m in marks(spark, root).values() if m["mark"] is not None), default=0)
-    folder, fs = _fs(spark, f"{root}/rows")
-    gone = []
-    for s in fs.listStatus(folder) if fs.exists(folder) else []:
-        name = s.getPath().getName()
-        if name.startswith("slot=") and (int(name[5:]) + 1) * DAY + DAY <= min(before, mark):
-            fs.delete(s.getPath(), True)
-            gone.append(name)
-    return gone
+    mark = (read_mark(spark, root) or {}).get("mark") or 0
+    gone = [s for s in _slots(spark, root) if (s + 2) * DAY <= min(before, mark)]
+    for s in gone:
+        folder, fs = _fs(spark, f"{root}/rows/slot={s}")
+        fs.delete(folder, True)
+    return [f"slot={s}" for s in gone]

@@ -58,7 +58,7 @@ def test_windows_close_as_the_watermark_passes(spark, tmp_path):
     assert sw.open_summary(spark, root).count() == 5
     process(readings(spark, [("a", "DO", 2, 5.0)]), 1)
     first = sw.closed_summary(spark, root).where(F.col("dt_round") == at(0)).first()
-    assert (first["n_obs"], first["spread"]) == (3, 4.0) and late.marks(spark, root)[1]["late"] == 1
+    assert (first["n_obs"], first["spread"]) == (3, 4.0) and late.read_mark(spark, root)["late"] == 1
     process(readings(spark, []), 2)
     assert sw.closed_summary(spark, root).count() == 4
 
