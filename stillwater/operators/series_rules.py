@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.flags import add_flag, contains, ensure_column, fold_flags, has_token
+from ..plans.joins import join_lookup
 from ..plans.layout import Frames, Layout, over_series
 from ..schema import (
     BURIAL, DO_INTERFERENCE, DRIFT, DRIFT_PARAMETERS, MISSING, NOT_EMPLOYED, OUT_OF_SEASON, OUT_OF_SPEC,
@@ -38,10 +39,15 @@ def repeat_flag(df: DataFrame) -> DataFrame:
     return add_flag(df, repeated(), REPEATED)
 
 
-def with_spec(df: DataFrame, spec: DataFrame | dict) -> DataFrame:
-    """Add ``spec_min``/``spec_max``; a mapping parameter -> (min, max) becomes literals, not a join."""
+def with_spec(df: DataFrame, spec: DataFrame | dict, find_heavy: bool = True) -> DataFrame:
+    """Add ``spec_min``/``spec_max``; a mapping parameter -> (min, max) becomes literals, not a join.
+
+    ``find_heavy=False`` is for a ``df`` that is dear to read twice and is shuffled afterwards anyway: adaptive
+    execution then splits the parts of heavy keys.
+    """
     if not isinstance(spec, dict):
-        return df.join(spec.select("parameter", "spec_min", "spec_max"), "parameter", "left")
+        table = spec.select("parameter", "spec_min", "spec_max")
+        return join_lookup(df, table, ("parameter",), F.col("dt_round")) if find_heavy else df.join(table, "parameter", "left")
     low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
     for parameter, (lo, hi) in spec.items():
         hit = F.col("parameter") == parameter
@@ -61,9 +67,11 @@ def spec_flag(df: DataFrame, spec: DataFrame | dict) -> DataFrame:
 THRESHOLD_COLUMNS = ("t_mean01", "t_mean99", "t_slope_behind_01", "t_slope_behind_99")
 
 
-def with_thresholds(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+def with_thresholds(df: DataFrame, thresholds: DataFrame, find_heavy: bool = True) -> DataFrame:
+    """Add a series' thresholds of the row's season; ``find_heavy`` as in ``with_spec``."""
     table = thresholds.select("site", "parameter", "season", *THRESHOLD_COLUMNS)
-    return df.join(table, ["site", "parameter", "season"], "left")
+    keys = ("site", "parameter", "season")
+    return join_lookup(df, table, keys, F.col("dt_round")) if find_heavy else df.join(table, list(keys), "left")
 
 
 def out_of_season() -> Column:

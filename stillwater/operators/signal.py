@@ -5,8 +5,7 @@ import warnings
 from math import comb
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +18,7 @@ from ..schema import SERIES
 METHODS = ("linear", "spline")
 KNOT_HALO = 64
 KNOTS = 4096
+ROUNDS = 6  # of elimination; they reach 2^ROUNDS - 1 knots, less than KNOT_HALO
 
 
 # --- spacing ---------------------------------------------------------------
@@ -81,7 +81,8 @@ def fill_spline(df: DataFrame, layout: Layout, max_gap: int, value: str, new: st
 
     A knot's influence on the curve at least halves with every further knot, so a chunk of knots with
     ``KNOT_HALO`` more on each side gives the whole series' curve to double precision. Chunks are cut
-    by knot number, so long silent stretches do not thin them out.
+    by knot number, so long silent stretches do not thin them out. Knots and gaps of a chunk share one
+    exchange; the knots' equations are solved by windows (``curvatures``).
     """
     series = df.where(F.col("parameter").isin(*parameters)).select(*SERIES, "dt_round", F.col(value).alias("_v"))
     marked = gather(_short_runs(spread(series, layout, max_gap + 1, max_gap + 1), max_gap))
@@ -99,8 +100,23 @@ def fill_spline(df: DataFrame, layout: Layout, max_gap: int, value: str, new: st
     ))
     chunks = wanted.withColumn("_h", F.explode(homes)).select(
         *SERIES, "dt_round", "_t", "_v", F.col("_h.c").alias(CHUNK), F.col("_h.fill").alias("_fill"))
-    filled = chunks.groupBy(*SERIES, CHUNK).applyInPandas(
-        _spline_chunk, "site string, parameter string, dt_round timestamp, _filled double")
+    curved = curvatures(chunks.repartition(*SERIES, CHUNK), (*SERIES, CHUNK, "_fill"))
+    piece = F.struct(F.col("_t").alias("t"), F.col("_v").alias("v"), "first", "z", "third")
+    inner = F.col("_width").isNotNull()
+    alone = ~inner & F.col("_width_before").isNull()  # a series of one value is level
+    curved = curved.withColumns({
+        "first": F.when(alone, 0.0).otherwise(F.col("_slope") - F.col("_width") * (F.col("_z_next") + 2 * F.col("_z"))),
+        "third": F.when(alone, 0.0).otherwise((F.col("_z_next") - F.col("_z")) / F.col("_width")),
+        "z": F.col("_z"),
+    }).withColumn("_piece", F.when(~F.col("_fill") & (inner | alone), piece))
+    # a gap belongs to the piece on its left; before the first knot and behind the last one the end pieces go on
+    in_chunk = Window.partitionBy(*SERIES, CHUNK).orderBy("_t")
+    whole = in_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    p = F.coalesce(F.last("_piece", ignorenulls=True).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)),
+                   F.first("_piece", ignorenulls=True).over(whole))
+    step = F.col("_t") - F.col("_p.t")
+    curve = F.col("_p.v") + step * (F.col("_p.first") + step * (3 * F.col("_p.z") + step * F.col("_p.third")))
+    filled = curved.withColumn("_p", p).where("_fill").select(*SERIES, "dt_round", curve.alias("_filled"))
     return (
         df.join(filled, [*SERIES, "dt_round"], "left")
         .withColumn(new, F.when(F.col("parameter").isin(*parameters), F.coalesce(F.col(value), F.col("_filled"))))
@@ -108,6 +124,57 @@ def fill_spline(df: DataFrame, layout: Layout, max_gap: int, value: str, new: st
     )
 
 
+def curvatures(knots: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """A sixth of the curve's second derivative (``_z``) at every knot ``(_t, _v)`` of a group, with the next knot's and
+    the width and slope of the piece that follows.
+
+    Each inner knot has one equation with its two neighbours. A round of elimination replaces the neighbours at distance
+    ``d`` by those at ``2 d`` and squares the weight they still have, which is a half at most: after ``ROUNDS`` rounds it is
+    below 2^-64 and every equation names its own knot alone. The outer knots follow from the third derivative of
+    the cubic through the outer four values, which is put into the equations next to them. With two knots the curve is a
+    line, with three a parabola.
+    """
+    order = Window.partitionBy(*keys).orderBy("_t")
+
+    def back(name: str, n: int = 1, default=None) -> Column:
+        return F.lag(name, n, default).over(order)
+
+    def ahead(name: str, n: int = 1, default=None) -> Column:
+        return F.lead(name, n, default).over(order)
+
+    width = ahead("_t") - F.col("_t")
+    rows = knots.withColumns({"_width": width.cast("double"), "_slope": (ahead("_v") - F.col("_v")) / width})
+    rows = rows.withColumns({"_width_before": back("_width"), "_slope_before": back("_slope"), "_width_next": ahead("_width")})
+    h, h0 = F.col("_width"), F.col("_width_before")
+    rows = rows.withColumns({"_second": (F.col("_slope") - F.col("_slope_before")) / (h + h0), "_width_second": back("_width_before")})
+    # third derivatives of the cubics through the four knots from one before, and up to one behind
+    low = (ahead("_second") - F.col("_second")) / (h0 + h + F.col("_width_next"))
+    high = (F.col("_second") - back("_second")) / (F.col("_width_second") + h0 + h)
+    rows = rows.withColumns({"_low": F.coalesce(low, F.lit(0.0)), "_high": F.coalesce(high, F.lit(0.0))})
+    inner = h.isNotNull() & h0.isNotNull()
+    is_first, is_last = F.col("_width_second").isNull(), F.col("_width_next").isNull()
+    own = 2 * (h0 + h) + F.when(is_first, h0).otherwise(0.0) + F.when(is_last, h).otherwise(0.0)
+    right = (F.col("_slope") - F.col("_slope_before") + F.when(is_first, h0 * h0 * F.col("_low")).otherwise(0.0)
+             - F.when(is_last, h * h * F.col("_high")).otherwise(0.0))
+
+    def of_inner(c: Column) -> Column:
+        return F.coalesce(F.when(inner, c), F.lit(0.0))
+
+    rows = rows.withColumns({"_a": of_inner(F.when(~is_first, h0) / own), "_c": of_inner(F.when(~is_last, h) / own),
+                             "_z": of_inner(right / own)})
+    a, c, z = F.col("_a"), F.col("_c"), F.col("_z")
+    for d in (2 ** k for k in range(ROUNDS)):
+        rest = 1 - a * back("_c", d, 0.0) - c * ahead("_a", d, 0.0)
+        rows = rows.withColumns({
+            "_a": -a * back("_a", d, 0.0) / rest, "_c": -c * ahead("_c", d, 0.0) / rest,
+            "_z": (z - a * back("_z", d, 0.0) - c * ahead("_z", d, 0.0)) / rest,
+        })
+    outer = F.when(h0.isNull(), ahead("_z") - h * ahead("_low")).when(h.isNull(), back("_z") + h0 * back("_high")).otherwise(z)
+    rows = rows.withColumn("_z", F.coalesce(outer, F.lit(0.0)))
+    return rows.withColumn("_z_next", ahead("_z")).drop(
+        "_slope_before", "_width_next", "_width_second", "_second", "_low", "_high", "_a", "_c")
+
+
 def _short_runs(rows: DataFrame, max_gap: int) -> DataFrame:
     """Mark NULLs in runs of at most ``max_gap``, also at the ends of a series."""
     frames = Frames()
@@ -123,16 +190,8 @@ def _short_runs(rows: DataFrame, max_gap: int) -> DataFrame:
     return rows.withColumn("_short", F.coalesce(short, F.lit(False))).drop("_row")
 
 
-def _spline_chunk(chunk: pd.DataFrame) -> pd.DataFrame:
-    knots = chunk[chunk["_v"].notna()].sort_values("_t")
-    gaps = chunk[chunk["_fill"]]
-    out = gaps[[*SERIES, "dt_round"]].copy()
-    out["_filled"] = spline_at(knots["_t"].to_numpy(float), knots["_v"].to_numpy(float), gaps["_t"].to_numpy(float))
-    return out
-
-
 def spline_at(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Interpolating cubic whose end pieces have the third derivative of the outer four points' cubic.
+    """The same curve for one array of knots, by direct elimination (a reference for small series).
 
     Two knots give the line, three the parabola; outside the knots the end pieces go on.
     """

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_lookup
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per reading of every parameter of every page."""
@@ -28,8 +29,9 @@ def name_tables(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 def reading_names(readings: DataFrame, names: DataFrame) -> DataFrame:
     """Replace ids by names; readings with an unknown id drop out. Epoch seconds become stamps."""
     parameters, units = name_tables(names)
+    named = join_lookup(readings, parameters, ("parameterId",), F.col("timestamp"), "inner")
     return (
-        readings.join(parameters, "parameterId").join(units, "unitId")
+        join_lookup(named, units, ("unitId",), F.col("timestamp"), "inner")
         .withColumn("timestamp", F.timestamp_seconds("timestamp"))
         .drop("parameterId", "unitId")
     )
@@ -70,5 +72,5 @@ def match_locations(sites: DataFrame, locations: DataFrame) -> DataFrame:
 
 def located_readings(readings: DataFrame, matched: DataFrame) -> DataFrame:
     """Raw readings (site, id, name, timestamp, parameter, value, units) of the matched locations."""
-    return readings.join(matched.select("site", "id", "name"), "id", "left").select(
+    return join_lookup(readings, matched.select("site", "id", "name"), ("id",), F.col("timestamp")).select(
         "site", "id", "name", "timestamp", "parameter", "value", "units")

@@ -75,11 +75,11 @@ def flag_site_evidence(rows: DataFrame, bounds: DataFrame, layout: Layout, *, no
     rules = [*series.field_rules(), (MISSING, series.missing()), *series.do_rules(), (REPEATED, series.repeated()),
              (DRIFT, F.col("_drift"))]
     if spec is not None:
-        rows = series.with_spec(rows, spec)
+        rows = series.with_spec(rows, spec, find_heavy=False)
         rules.append((OUT_OF_SPEC, series.out_of_spec()))
     steep = contains(F.col("flag"), SLOPE)
     if thresholds is not None:
-        rows = series.with_thresholds(rows, thresholds)
+        rows = series.with_thresholds(rows, thresholds, find_heavy=False)
         rules += [(OUT_OF_SEASON, series.out_of_season()), (SLOPE, series.steep())]
         steep = steep | series.true(series.steep())
     rows = rows.withColumns({**series.visit_column(), **series.interference_columns(), "_steep": steep})

@@ -69,6 +69,25 @@ def test_spline_in_chunks_equals_the_whole(series, column, monkeypatch):
     assert np.allclose([v for v in got if v is not X], [v for v in want if v is not X], rtol=0, atol=1e-9)
 
 
+@pytest.mark.parametrize("knots", [0, 1, 2, 3, 4, 5, 6])
+def test_spline_of_few_values(series, column, knots):
+    """Gaps between, before and behind the values; the curve is the direct solution's."""
+    known = {1 + 3 * k + k % 2: float((k * 7) % 5) for k in range(knots)}
+    n = max(known, default=2) + 2
+    given = [known.get(i, X) for i in range(n)]
+    got = column(sw.interpolate_gaps(series(given), method="spline"), "mean_filled")
+    if not known:
+        assert got == [X] * n
+        return
+    whole = spline_at(np.array(list(known), float), np.array(list(known.values())), np.arange(float(n)))
+    assert got == pytest.approx(list(whole), abs=1e-12)
+
+
+def test_spline_stays_in_the_jvm(series):
+    plan = sw.interpolate_gaps(series([1.0, X, 3.0]), method="spline")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_low_pass_impulse(series, column):
     impulse = [0.0] * 10 + [1.0] + [0.0] * 10
     once = column(sw.low_pass(series(impulse), passes=1), "smoothed_mean")
