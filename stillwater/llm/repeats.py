@@ -14,15 +14,17 @@ one that shares more is smaller, and only if both share the same are bytes compa
 are never compared again, and the merge gives each suffix's common prefix with its neighbour for nothing.
 
 Neighbours that share a gram form a group. Two of its members with ``l`` equal bytes before and ``r`` behind the anchor
-share ``length`` bytes iff ``l + r >= length``, and then the bytes from ``l`` before to ``r`` behind go. Members of equal
-surroundings are taken as one; members are compared with their neighbours in the order of suffixes and in the order of
-reversed prefixes, which settles nearly all of them. Groups of more than ``hot`` members are not gathered: their stretches are hashed into rows and counted.
+share ``length`` bytes iff ``l + r >= length``, and then the bytes from ``l`` before to ``r`` behind go. Places of equal
+surroundings are one kind from the start: they settle each other, only one of them is sorted, and what it learns goes back to all by
+a join on the kind; so a line or passage that very many texts hold is sorted once for each different neighbourhood. Members are compared
+with their neighbours in the order of suffixes and in the order of reversed prefixes, which settles nearly all of them. Groups of more
+than ``hot`` kinds are not gathered: their stretches are hashed into rows and counted.
 
 Equal texts are one text with a count from the start.
 
 Where a number of ``words`` is given, bytes also go if they are covered by that many words, with the blanks between them,
-that occur elsewhere. Such stretches of ``length`` bytes or more are found by the sort; shorter ones are hashed into rows
-and counted.
+that occur elsewhere. Such stretches of ``length`` bytes or more are found by the sort. Shorter ones have anchors of words in the
+same way; those that hold a repeated anchor are hashed and compared among the anchor's places.
 
 Defined results: a missing text is empty; rows with the same ``doc_id`` are texts of their own, so repeated rows are
 repeats; an empty table gives no rows; columns other than ``text`` are kept by ``without_repeats``, which drops
@@ -43,6 +45,7 @@ from pyspark.sql import functions as F
 from .common import new_name, slices, stored, text_key, worker_cache
 
 GRAM = 64
+GRAM_WORDS = 12
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -256,28 +259,80 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
 
+ANCHOR = "gram bigint, content bigint, key binary, place int, before int, behind int"
+
+
+def _content(piece: bytes, before: int) -> int:
+    """Stands for an anchor's surroundings: the same bytes with the anchor at the same place."""
+    return xxhash.xxh3_64_intdigest(piece, before)
+
+
+def _anchor_batch(rows: list[tuple[int, int, bytes, int, int, int]]) -> pa.RecordBatch:
+    gram, content, key, place, before, behind = zip(*rows) if rows else [()] * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(gram, pa.int64()), pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(key, pa.binary()),
+         *(pa.array(v, pa.int32()) for v in (place, before, behind))], ["gram", "content", "key", "place", "before", "behind"])
+
+
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
+    """Anchors with what stands for the ``length - GRAM`` bytes before them and the ``length`` bytes from them on."""
     def find(batches):
         worker_cache("none", dict)  # room for this operator
         for b in batches:
             for part in slices(b, "text", 500, 4 << 20):
-                keys = part.column("_key").to_pylist()
-                found = list(anchors(_bytes(part.column("text")), length))
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([g for _, _, g in found])),
-                         pa.array([keys[i] for i, p, _ in found for _ in range(len(p))], pa.binary()),
-                         pa.array(np.concatenate([p for _, p, _ in found]).astype(np.int32))], ["gram", "key", "place"])
-    return texts.mapInArrow(find, "gram bigint, key binary, place int")
+                keys, raws, rows = part.column("_key").to_pylist(), _bytes(part.column("text")), []
+                for i, places, grams in anchors(raws, length):
+                    raw = raws[i]
+                    for p, g in zip(places.tolist(), grams.tolist()):
+                        low, high = max(0, p - length + GRAM), min(len(raw), p + length)
+                        rows.append((g, _content(raw[low:high], p - low), keys[i], p, p - low, high - p))
+                yield _anchor_batch(rows)
+    return texts.mapInArrow(find, ANCHOR)
+
+
+def _with_texts(texts: DataFrame, which: DataFrame) -> DataFrame:
+    per_text = which.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("gram", "content", "place", "same")).alias("anchors"))
+    return texts.join(per_text, "_key")
+
+
+def _per_text(batches) -> Iterator[tuple[bytes, bytes, list[dict]]]:
+    """Key, bytes and anchors of each text, copies of a text once as far as they follow each other."""
+    last = None
+    for b in batches:
+        for key, text, found in zip(b.column("_key").to_pylist(), b.column("text").to_pylist(), b.column("anchors").to_pylist()):
+            if key != last:
+                yield key, text.encode(), found
+            last = key
+
+
+def _kinds(places: DataFrame, name: str, rows) -> tuple[DataFrame, DataFrame]:
+    """Anchors whose gram occurs elsewhere, and their kinds: one place for all of a gram with the same surroundings.
+
+    Of a kind ``same`` is the number of its places, ``kinds`` how many kinds its gram has. ``rows`` counts places.
+    """
+    repeated = places.groupBy("gram").agg(rows.alias("_n")).where("_n > 1").select("gram")
+    known = stored(places.join(repeated, "gram"), f"repeated-{name}")
+    kinds = known.groupBy("gram", "content").agg(rows.alias("same"), F.min(F.struct("key", "place", "before", "behind")).alias("one")).select(
+        "gram", "content", "same", "one.*")
+    return known, stored(kinds.join(kinds.groupBy("gram").agg(F.count("*").alias("kinds")), "gram"), f"kinds-of-{name}")
+
+
+REACH = "gram bigint, content bigint, before int, behind int"
+
 
+def _members(known: DataFrame, reach: DataFrame) -> DataFrame:
+    """What goes around a kind goes around each of its places."""
+    far = reach.groupBy("gram", "content").agg(F.max("before").alias("_before"), F.max("behind").alias("_behind"))
+    return known.join(far, ["gram", "content"]).select("key", (F.col("place") - F.col("_before")).alias("start"), (F.col("place") + F.col("_behind")).alias("stop"))
 
-RUN = "bucket bigint, shared array<int>, rests array<binary>, before array<binary>, keys array<binary>, places array<int>"
+
+RUN = "bucket bigint, shared array<int>, rests array<binary>, before array<binary>, grams array<bigint>, contents array<bigint>"
 
 
 def _runs(placed: DataFrame, length: int, buckets: int, hold: int) -> DataFrame:
     """``text, anchors`` (grams and places) to front-coded sorted runs."""
-    types = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int32()))
-    names = ["bucket", "shared", "rests", "before", "keys", "places"]
+    types = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    names = ["bucket", "shared", "rests", "before", "grams", "contents"]
 
     def sort(batches):
         def write():
@@ -287,121 +342,231 @@ def _runs(placed: DataFrame, length: int, buckets: int, hold: int) -> DataFrame:
                 cells = (bucket, shared, rests, [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows])
                 yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, types)], names)
 
-        held: dict[int, list[tuple[bytes, bytes, bytes, int]]] = defaultdict(list)
-        n, last = 0, None
-        for b in batches:
-            for key, text, found in zip(b.column("_key").to_pylist(), b.column("text").to_pylist(), b.column("anchors").to_pylist()):
-                if key == last:  # a copy of the same text
-                    continue
-                last, raw = key, text.encode()
-                for a in found:
-                    p = a["place"]
-                    held[a["gram"] % buckets].append((raw[p:p + length], raw[max(0, p - length + GRAM):p], key, p))
-                n += len(found)
-                if n >= hold:
-                    yield from write()
-                    n = 0
+        held: dict[int, list[tuple[bytes, bytes, int, int]]] = defaultdict(list)
+        n = 0
+        for _, raw, found in _per_text(batches):
+            for a in found:
+                p = a["place"]
+                held[a["gram"] % buckets].append((raw[p:p + length], raw[max(0, p - length + GRAM):p], a["gram"], a["content"]))
+            n += len(found)
+            if n >= hold:
+                yield from write()
+                n = 0
         yield from write()
     return placed.mapInArrow(sort, RUN)
 
 
 def _merged(runs: DataFrame, length: int) -> DataFrame:
-    """Runs of a bucket to the spans that its groups tell."""
+    """Runs of a bucket to how far its groups tell that bytes go."""
     def merge(group: pa.Table) -> pa.Table:
-        columns = {n: group.column(n).to_pylist() for n in ("shared", "rests", "before", "keys", "places")}
-        out: tuple[list, list, list] = ([], [], [])
-        members: dict[tuple[bytes, int], tuple[bytes, bytes]] = {}
+        columns = {n: group.column(n).to_pylist() for n in ("shared", "rests", "before", "grams", "contents")}
+        out: tuple[list, list, list, list] = ([], [], [], [])
+        members: dict[tuple[int, int], tuple[bytes, bytes]] = {}
 
         def close() -> None:
             if len(members) > 1:
-                for (key, p), reach in zip(members, extents(list(members.values()), length)):
+                for (gram, content), reach in zip(members, extents(list(members.values()), length)):
                     if reach:
-                        for values, v in zip(out, (key, p - reach[0], p + reach[1])):
+                        for values, v in zip(out, (gram, content, *reach)):
                             values.append(v)
             members.clear()
 
         for run, i, suffix, shared in merge_runs(list(zip(columns["shared"], columns["rests"]))):
             if shared < GRAM:
                 close()
-            members[columns["keys"][run][i], columns["places"][run][i]] = (columns["before"][run][i], suffix)
+            members[columns["grams"][run][i], columns["contents"][run][i]] = (columns["before"][run][i], suffix)
         close()
-        return pa.table({"key": pa.array(out[0], pa.binary()), "start": pa.array(out[1], pa.int32()), "stop": pa.array(out[2], pa.int32())})
-    return runs.groupBy("bucket").applyInArrow(merge, "key binary, start int, stop int")
+        return _reach_table(*out)
+    return runs.groupBy("bucket").applyInArrow(merge, REACH)
+
+
+def _reach_table(gram: list, content: list, before: list, behind: list) -> pa.Table:
+    return pa.table({"gram": pa.array(gram, pa.int64()), "content": pa.array(content, pa.int64()),
+                     "before": pa.array(before, pa.int32()), "behind": pa.array(behind, pa.int32())})
+
+
+STRETCH = "hash bigint, key binary, start int, gram bigint, content bigint, same bigint, before int, behind int"
+
+
+def _counted(rows: DataFrame, name: str) -> DataFrame:
+    """The reach that ``rows`` tell, one for each stretch around an anchor: a stretch that occurs twice goes.
+
+    A place of which several anchors tell the same stretch is one place.
+    """
+    rows = stored(rows.distinct(), name)
+    places = rows.groupBy("hash", "key", "start").agg(F.max("same").alias("same"))
+    twice = places.groupBy("hash").agg(F.sum("same").alias("n")).where("n > 1").select("hash")
+    return rows.join(twice, "hash").select("gram", "content", "before", "behind")
 
 
 def _hot_spans(placed: DataFrame, length: int) -> DataFrame:
-    """The spans that anchors of very frequent grams tell: the hashes of their stretches, counted as rows."""
+    """How far bytes go around anchors of grams of very many kinds: the hashes of their stretches, counted as rows."""
     def spread(batches):
-        last = None
-        for b in batches:
-            for key, text, found in zip(b.column("_key").to_pylist(), b.column("text").to_pylist(), b.column("anchors").to_pylist()):
-                if key == last:
-                    continue
-                last, raw = key, np.frombuffer(text.encode(), np.uint8)
-                for a in found:
-                    low = max(0, a["place"] - length + GRAM)
-                    piece = raw[low:a["place"] + length]
-                    if len(piece) >= length:
-                        h = window_hashes(piece, length).view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(h), pa.array([key] * len(h), pa.binary()), pa.array(np.arange(low, low + len(h), dtype=np.int32))],
-                            ["hash", "key", "start"])
-    rows = stored(placed.mapInArrow(spread, "hash bigint, key binary, start int").distinct(), "stretches")
-    repeated = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    return rows.join(repeated, "hash").select("key", "start", (F.col("start") + length).alias("stop"))
-
-
-def word_stretches(raw: bytes, count: int, below: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and stops of all stretches of ``count`` words that are shorter than ``below`` bytes."""
+        for key, raw, found in _per_text(batches):
+            wide = np.frombuffer(raw, np.uint8)
+            for a in found:
+                p = a["place"]
+                low = max(0, p - length + GRAM)
+                piece = wide[low:p + length]
+                if len(piece) >= length:
+                    h = window_hashes(piece, length).view(np.int64)
+                    start = np.arange(low, low + len(h), dtype=np.int32)
+                    same = [pa.repeat(pa.scalar(a[n], pa.int64()), len(h)) for n in ("gram", "content", "same")]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h), pa.array([key] * len(h), pa.binary()), pa.array(start), *same, pa.array(p - start, pa.int32()),
+                         pa.array(start + (length - p), pa.int32())], ["hash", "key", "start", "gram", "content", "same", "before", "behind"])
+    return _counted(placed.mapInArrow(spread, STRETCH), "stretches")
+
+
+def word_edges(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of all words."""
     blank = np.concatenate([[True], _BLANK[np.frombuffer(raw, np.uint8)], [True]])
     edges = np.flatnonzero(blank[1:] != blank[:-1])
-    starts, stops = edges[::2], edges[1::2]
-    starts, stops = starts[:max(0, len(starts) - count + 1)], stops[count - 1:]
-    short = stops - starts < below
-    return starts[short], stops[short]
+    return edges[::2], edges[1::2]
 
 
-def _word_spans(docs: DataFrame, count: int, below: int, most: int = 50_000) -> DataFrame:
-    """The repeated stretches of ``count`` words among those shorter than ``below`` bytes; rows of equal texts repeat each other."""
-    def spread(batches):
+def word_anchors(raw: bytes, count: int, below: int) -> list[tuple[int, int, int, int, int]]:
+    """Anchors of all stretches of ``count`` words that are shorter than ``below`` bytes: gram, content, place (byte), and how many
+    bytes before and behind it the stretches that hold the gram reach.
+    """
+    starts, stops = word_edges(raw)
+    last = len(starts) - count
+    if last < 0:
+        return []
+    short = stops[count - 1:] - starts[:last + 1] < below
+    if not short.any():
+        return []
+    size = min(GRAM_WORDS, count)
+    width = count - size + 1
+    inside = _sliding(np.maximum, np.concatenate([np.zeros(width - 1, bool), short, np.zeros(width - 1, bool)]), width)
+    h = np.full(len(inside), _NONE)
+    at = np.flatnonzero(inside)
+    h[at] = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(starts[at].tolist(), stops[at + size - 1].tolist())]
+    least = np.where(short, _sliding(np.minimum, h, width), np.uint64(0))
+    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
+    out = []
+    for w in np.flatnonzero(inside & (_sliding(np.maximum, padded, width) == h)).tolist():
+        around = np.flatnonzero(short[max(0, w - width + 1):w + 1]) + max(0, w - width + 1)
+        p, low, high = int(starts[w]), int(starts[around[0]]), int(stops[around[-1] + count - 1])
+        out.append((int(h[w].view(np.int64)), _content(raw[low:high], p - low), p, p - low, high - p))
+    return out
+
+
+def word_stretches(raw: bytes, places: list[int], count: int, below: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per anchor the hashes, starts and stops of the stretches that hold its gram."""
+    starts, stops = word_edges(raw)
+    before = count - min(GRAM_WORDS, count)
+    known: dict[int, int] = {}
+    out = []
+    for w in np.searchsorted(starts, places).tolist():
+        at = np.arange(max(0, w - before), min(w, len(starts) - count) + 1)
+        x, y = starts[at], stops[at + count - 1]
+        short = y - x < below
+        x, y = x[short], y[short]
+        for p, q in zip(x.tolist(), y.tolist()):
+            if p not in known:
+                known[p] = xxhash.xxh3_64_intdigest(raw[p:q])
+        out.append((np.array([known[p] for p in x.tolist()], np.uint64).view(np.int64), x.astype(np.int32), y.astype(np.int32)))
+    return out
+
+
+def repeated_stretches(members: list[tuple[bytes, int, np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[int, int, int]]:
+    """Of members (text's key, how many places are the same, hashes, starts and stops of stretches) those with a stretch that occurs
+    twice: their number, and start and stop of the bytes in such stretches.
+    """
+    number: dict[bytes, int] = {}
+    size = np.array([len(m[2]) for m in members])
+    owner = np.repeat(np.arange(len(members)), size)
+    text = np.array([number.setdefault(m[0], len(number)) for m in members])[owner]
+    same = np.array([m[1] for m in members])[owner]
+    h, start, stop = (np.concatenate([m[i] for m in members]) for i in (2, 3, 4))
+    order = np.lexsort((-same, start, text, h))  # a place that two anchors tell is one
+    h, start, stop, owner, text, same = (v[order] for v in (h, start, stop, owner, text, same))
+    other = np.append(True, h[1:] != h[:-1])
+    first = other | np.append(True, (text[1:] != text[:-1]) | (start[1:] != start[:-1]))
+    kind = np.cumsum(other) - 1
+    twice = np.bincount(kind, np.where(first, same, 0))[kind] > 1
+    low, high = np.full(len(members), np.iinfo(np.int32).max), np.full(len(members), -1)
+    np.minimum.at(low, owner[twice], start[twice])
+    np.maximum.at(high, owner[twice], stop[twice])
+    return [(i, int(low[i]), int(high[i])) for i in np.flatnonzero(high >= 0).tolist()]
+
+
+AROUND = "bucket bigint, gram bigint, content bigint, key binary, place int, same bigint, hashes array<bigint>, starts array<int>, stops array<int>"
+
+
+def _word_spans(docs: DataFrame, count: int, below: int, hot: int, per_bucket: int) -> DataFrame:
+    """The repeated stretches of ``count`` words among those shorter than ``below`` bytes; rows of equal texts repeat each other.
+
+    Of all grams of ``GRAM_WORDS`` words in a stretch the one of the smallest hash is its anchor. Only the stretches that hold an
+    anchor whose gram occurs elsewhere are hashed, once for each kind of surroundings; those of a gram meet in one bucket. Grams
+    of more than ``hot`` kinds are not gathered: their stretches are counted as rows.
+    """
+    def find(batches):
         for b in batches:
-            for key, text in zip(b.column("_key").to_pylist(), b.column("text").to_pylist()):
-                raw = text.encode()
-                starts, stops = word_stretches(raw, count, below)
-                for i in range(0, len(starts), most):
-                    x, y = starts[i:i + most], stops[i:i + most]
-                    h = [xxhash.xxh3_64_intdigest(raw[p:q]) for p, q in zip(x.tolist(), y.tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.array(h, np.uint64).view(np.int64)), pa.array([key] * len(h), pa.binary()),
-                         pa.array(x.astype(np.int32)), pa.array(y.astype(np.int32))], ["hash", "key", "start", "stop"])
+            for part in slices(b, "text", 500, 4 << 20):
+                yield _anchor_batch([(g, content, key, p, before, behind) for key, raw in zip(part.column("_key").to_pylist(), _bytes(part.column("text")))
+                                     for g, content, p, before, behind in word_anchors(raw, count, below)])
+
     texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= 2 * count - 1)
-    rows = stored(texts.mapInArrow(spread, "hash bigint, key binary, start int, stop int"), "word-stretches")
-    repeated = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    return rows.join(repeated, "hash").select("key", "start", "stop").distinct()
+    places = stored(texts.mapInArrow(find, ANCHOR).groupBy("gram", "content", "key", "place", "before", "behind").agg(F.count("*").alias("n")), "word-anchors")
+    known, kinds = _kinds(places, "word-anchors", F.sum("n"))
+    reach = kinds.where("same > 1").select("gram", "content", "before", "behind")
+    several = kinds.where("kinds > 1")
+    size = several.agg(F.count("*").alias("n"), F.max("kinds").alias("most")).first()
+    buckets = max(1, -(-size["n"] // per_bucket))
+
+    def around(batches):
+        for key, raw, found in _per_text(batches):
+            for i in range(0, len(found), 2000):
+                some = found[i:i + 2000]
+                told = word_stretches(raw, [a["place"] for a in some], count, below)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a["gram"] % buckets for a in some]), *(pa.array([a[n] for a in some], pa.int64()) for n in ("gram", "content")),
+                     pa.array([key] * len(some), pa.binary()), pa.array([a["place"] for a in some], pa.int32()), pa.array([a["same"] for a in some], pa.int64()),
+                     *(pa.array([t[k] for t in told], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32())))],
+                    ["bucket", "gram", "content", "key", "place", "same", "hashes", "starts", "stops"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        lists = [[v.values.to_numpy() for v in group.column(n).combine_chunks()] for n in ("hashes", "starts", "stops")]
+        found = repeated_stretches(list(zip(group.column("key").to_pylist(), group.column("same").to_pylist(), *lists)))
+        gram, content, place = (group.column(n).to_pylist() for n in ("gram", "content", "place"))
+        return _reach_table([gram[i] for i, _, _ in found], [content[i] for i, _, _ in found], [place[i] - x for i, x, _ in found], [y - place[i] for i, _, y in found])
+
+    reach = reach.unionByName(_with_texts(texts, several.where(F.col("kinds") <= hot)).mapInArrow(around, AROUND).groupBy("bucket").applyInArrow(meet, REACH))
+    if (size["most"] or 0) > hot:
+        told = _with_texts(texts, several.where(F.col("kinds") > hot)).mapInArrow(around, AROUND)
+        rows = told.withColumn("s", F.explode(F.arrays_zip("hashes", "starts", "stops")))
+        reach = reach.unionByName(_counted(rows.select(
+            F.col("s.hashes").alias("hash"), "key", F.col("s.starts").alias("start"), "gram", "content", "same",
+            (F.col("place") - F.col("s.starts")).alias("before"), (F.col("s.stops") - F.col("place")).alias("behind")), "word-stretches"))
+    return _members(known, reach)
 
 
 def spans(docs: DataFrame, length: int = 400, hot: int = 100_000, per_bucket: int = 20_000, hold: int = 40_000,
           words: int | None = None) -> DataFrame:
-    """``_key`` (of the text) and ``_spans`` (bytes to remove, overlapping ones unmerged) of texts with repeats."""
+    """``_key`` (of the text) and ``_spans`` (bytes to remove, overlapping ones unmerged) of texts with repeats.
+
+    With ``words`` each span also says whether only so many words tell it (``by_words``).
+    """
     texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= length)
     copies = texts.groupBy("_key").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).where("n > 1")
     places = stored(_anchor_rows(texts, length).distinct(), "anchors")
-    repeated = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    known = stored(places.join(repeated, "gram"), "repeated-anchors")
-    size = known.agg(F.count("*").alias("n"), F.max("n").alias("most")).first()
-
-    def with_texts(which: DataFrame) -> DataFrame:
-        per_text = which.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("gram", "place")).alias("anchors"))
-        return texts.join(per_text, "_key")
-
-    runs = _runs(with_texts(known.where(F.col("n") <= hot)), length, max(1, -(-size["n"] // per_bucket)), hold)
-    found = _merged(runs, length)
+    known, kinds = _kinds(places, "anchors", F.count("*"))
+    reach = kinds.where((F.col("same") > 1) & (F.col("before") + F.col("behind") >= length)).select("gram", "content", "before", "behind")
+    several = kinds.where("kinds > 1")
+    size = several.agg(F.count("*").alias("n"), F.max("kinds").alias("most")).first()
+    runs = _runs(_with_texts(texts, several.where(F.col("kinds") <= hot)), length, max(1, -(-size["n"] // per_bucket)), hold)
+    reach = reach.unionByName(_merged(runs, length))
     if (size["most"] or 0) > hot:
-        found = found.unionByName(_hot_spans(with_texts(known.where(F.col("n") > hot)), length))
+        reach = reach.unionByName(_hot_spans(_with_texts(texts, several.where(F.col("kinds") > hot)), length))
+    found = _members(known, reach)
     found = found.unionByName(copies.select(F.col("_key").alias("key"), F.lit(0).alias("start"), F.col("size").alias("stop")))
     if words:
-        found = found.unionByName(_word_spans(docs, words, length))
-    return stored(found.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("start", "stop")).alias("_spans")), "spans")
+        found = found.withColumn("by_words", F.lit(False)).unionByName(
+            _word_spans(docs, words, length, hot, per_bucket).withColumn("by_words", F.lit(True)))
+    columns = [c for c in found.columns if c != "key"]
+    return stored(found.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct(*columns)).alias("_spans")), "spans")
 
 
 def merged_spans(found: list[dict] | None) -> list[tuple[int, int]]:
@@ -427,20 +592,26 @@ def _marked(docs: DataFrame, length: int, found: str = "_spans", **how) -> DataF
     return docs.withColumn(key, text_key(F.col("text"))).join(by_text, key, "left").select(*docs.columns, found)
 
 
-def removal_report(docs: DataFrame, length: int = 400, **how) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of documents."""
+def removal_report(docs: DataFrame, length: int = 400, words: int | None = None, **how) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of documents.
+
+    With ``words`` also ``n_in_passages``, the bytes in passages of ``length`` bytes or so many words that occur elsewhere, of which
+    those below ``length`` bytes are told but not removed.
+    """
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["n_in_passages"] if words else [])]
+
     def report(batches):
         for b in batches:
             rows = []
             for raw, found in zip(_bytes(b.column("text")), b.column("_spans").to_pylist()):
-                away = merged_spans(found)
-                rows.append((len(raw), sum(y - x for x, y in away), len(away), hashlib.sha256(kept(raw, away)).hexdigest()))
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, types)]],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), length, **how).mapInArrow(
-        report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+                away = merged_spans([s for s in found or () if not s.get("by_words")])
+                told = merged_spans(found) if words else []
+                rows.append((len(raw), sum(y - x for x, y in away), len(away), hashlib.sha256(kept(raw, away)).hexdigest(), sum(y - x for x, y in told)))
+            columns = list(zip(*rows)) or [()] * 5
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, t) for c, t, _ in zip(columns, types, names)]], ["doc_id", *names])
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", n_in_passages bigint" if words else "")
+    return _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), length, words=words, **how).mapInArrow(report, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = 400, **how) -> DataFrame:

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from stillwater.llm.repeats import common_prefix, extents, front_code, merge_runs, removal_report, without_repeats
+from stillwater.llm.repeats import common_prefix, extents, front_code, merge_runs, removal_report, repeated_stretches, without_repeats, word_anchors, word_edges, word_stretches
 
 from .conftest import documents
 
@@ -108,3 +108,66 @@ def test_short_words(spark):
     assert over not in left[0] and over not in left[1] and under in left[2] and under in left[3] and not {4, 5} & set(left)
     assert left[7] == texts[7] and left[8] == texts[8]
     assert sorted(r.text for r in without_repeats(docs, 250, words=51).collect()) == by_words(texts, 51)
+
+
+@pytest.mark.parametrize("how", [{}, {"hot": 1}, {"per_bucket": 3}])
+def test_word_passages_like_all_stretches(spark, how):
+    """Few words, blanks of many kinds, repeats inside one text: what goes is what all stretches tell."""
+    draw = random.Random(12)
+    blank = lambda: draw.choice([" ", " ", " ", "\n", "  "])
+    source = [draw.choice("abcdefgh") + blank() for _ in range(400)]
+    texts = ["".join("".join(source[a:a + draw.randint(5, 40)]) + "".join(draw.choice("xyz") + " " for _ in range(draw.randint(0, 9)))
+                     for a in draw.choices(range(360), k=draw.randint(1, 4))) for _ in range(40)]
+    texts += ["e f " * 60, texts[3], texts[4] + "a", "é" * 30 + " a b c"]
+    left = without_repeats(documents(spark, enumerate(texts)), 2000, words=20, **how)
+    assert sorted(r.text for r in left.collect()) == by_words(texts, 20)
+
+
+def test_a_passage_of_many_texts_gives_few_rows():
+    """A row per anchor and text, not one per stretch: a passage of 120 words has 70 stretches of 51."""
+    draw = random.Random(6)
+    some = lambda n: " ".join("".join(draw.choices("abcdefgh", k=2)) for _ in range(n))
+    passage = some(120)
+    texts = [f"{some(59)} a{i} {passage} b{i} {some(59)}".encode() for i in range(30)]
+    anchors = [word_anchors(t, 51, 250) for t in texts]
+    shared = set.intersection(*({g for g, *_ in found} for found in anchors))
+    assert 2 <= len(shared) <= 15
+    members = [(t, 1, *s) for t, found in zip(texts, anchors) for s in word_stretches(t, [p for g, _, p, *_ in found if g in shared], 51, 250)]
+    assert len(members) < 30 * 15
+    found = repeated_stretches(members)
+    for t in texts:
+        mine = [(a, b) for i, a, b in found if members[i][0] == t]
+        at = t.index(passage.encode())
+        assert (min(a for a, _ in mine), max(b for _, b in mine)) == (at, at + len(passage))
+    assert len(word_edges(texts[0])[0]) == 240
+
+
+def test_lines_in_a_row_are_few_kinds(spark, monkeypatch):
+    """A line that many texts hold many times makes no rows per stretch: its places are few kinds."""
+    from stillwater.llm import repeats
+    counts, stored = {}, repeats.stored
+
+    def count(df, name):
+        out = stored(df, name)
+        counts[name] = out.count()
+        return out
+    monkeypatch.setattr(repeats, "stored", count)
+    draw = random.Random(7)
+    some = lambda n: "".join(draw.choices("abcdefgh", k=n))
+    line = some(40) + " " + some(39) + "\n"
+    rows = [(i, some(150) + line * 40 + some(150)) for i in range(20)]
+    got = removal_report(documents(spark, rows), 100, hot=500).collect()
+    assert sorted(map(tuple, got), key=str) == report(rows, 100)
+    assert counts["kinds-of-anchors"] < counts["repeated-anchors"] / 5 and "stretches" not in counts
+
+
+def test_report_tells_short_passages(spark):
+    """A passage of over 50 words below 400 bytes stays in the text, as the contract has it, and is told."""
+    draw = random.Random(8)
+    some = lambda n: " ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(n))
+    passage = some(53)
+    assert len(passage) < 400
+    texts = [f"{some(70)} {passage} {some(70)}", f"{passage} {some(90)}", some(200), some(30), None, ""]
+    got = sorted(removal_report(documents(spark, enumerate(texts)), 400, words=51).collect())
+    assert [r.n_removed for r in got] == [0] * 6
+    assert [r.n_in_passages for r in got] == [len(passage), len(passage), 0, 0, 0, 0]
