@@ -47,7 +47,8 @@ def op5_multi_index_hashing(spark, d):
 
 @query
 def op6_suffix_sort(spark, d):
-    return repeats.removal_report(table(spark, d, "documents"), 400).withColumn("has_repeat", F.col("n_removed") > 0)
+    told = repeats.removal_report(table(spark, d, "documents"), 400, words=51)
+    return told.withColumn("has_repeat", F.col("n_removed") > 0).withColumn("has_passage", F.col("n_in_passages") > 0)
 
 
 @query
