@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from stillwater.llm.common import work_dir
 from stillwater.llm.packing import OpenBins, best_fit, pack_documents
 from stillwater.llm.token_store import read_token_ids, summary, write_token_ids
-from stillwater.llm.tokens import Encoder, default_vocabulary
+from stillwater.llm.tokens import Encoder, chunk_starts, default_vocabulary
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +37,24 @@ def test_special_tokens_and_bounded_memory(ids):
     assert len(encoder.seen) + len(encoder.older) < 60
 
 
+def test_chunks_begin_at_texts_and_runs_of_blanks(ids):
+    texts = ["a  b\t\nc ", "", " x", "é\u00a0y", "", "\n", "z"]
+    raw, sizes = "".join(texts).encode(), [len(t.encode()) for t in texts]
+    starts = chunk_starts(np.frombuffer(raw, np.uint8), np.cumsum([0, *sizes[:-1]])).tolist()
+    assert [raw[x:y].decode() for x, y in zip(starts, [*starts[1:], len(raw)])] == ["a", "  b", "\t\nc", " ", " x", "é\u00a0y", "\n", "z"]
+    encoder = Encoder(default_vocabulary())
+    for some in ([], [None], [""], ["<|endoftext|>"], ["a\u00a0b", None], ["", "a", "", None], texts):
+        assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(some, 2)] == [ids(t).tolist() for t in some]
+
+
+def test_a_chunk_is_looked_up_once_for_all_its_places():
+    encoder, asked = Encoder(default_vocabulary()), []
+    look_up = encoder._look_up
+    encoder._look_up = lambda chunks: asked.extend(chunks) or look_up(chunks)
+    encoder.encode([" one two one two"] * 1000)
+    assert sorted(asked) == [b" one", b" two"]
+
+
 def test_store_round_trip(spark, odd, odd_rows, ids):
     path = work_dir(spark, "store")
     write_token_ids(odd, path, default_vocabulary())
