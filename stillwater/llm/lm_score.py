@@ -8,16 +8,17 @@ decisions of a Huffman tree over the training bytes. Several predictors give eac
 a table addressed by a hash of its own context; their logits are mixed with weights that a gate selects by how much
 the longest contexts have been seen, and the result is refined by an adaptive probability map. The spelling's contexts
 end at the word's start, which knows of the words before only the class of the last short one, that is, as a rule, the
-language; so the length of a spelled word is the same wherever that class and word meet, and is computed once instead of once per place.
-The classes come from a sample of at most 1000 training texts (smallest hashes) of at most 20 kB each.
+language; so the length of a spelled word is the same wherever that class and word meet, and is computed where all its places meet.
+The classes come from what words of at most three bytes stand in one text, over all training texts.
 
 Tables are counts over the whole training corpus: tasks count (class, word) pairs, pairs are summed, tasks spell the
-sums into tables of fixed size, tables are summed in blocks. The same tasks count recalls. Mixing weights and the map are learnt online, decision by
-decision in small steps, from at most ``sample`` pairs (smallest hashes), each without one occurrence of itself, so that
-rare words look as unseen as they will be in new texts.
+sums into tables of fixed size, tables are summed in blocks. The same tasks count recalls. Mixing weights and the map are learnt
+from all pairs, each without one occurrence of itself, so that rare words look as unseen as they will be in new texts: every task learns
+online, decision by decision in small steps, from its share; the tasks' weights are averaged by the curvature that each has gathered, and
+the maps are summed.
 
-The plain base beside it is a smoothed unigram model of words. The ``head`` most frequent words (of at most
-``HEAD_BYTES`` bytes each) are broadcast, their size is thus bounded; the others are looked up by a join.
+The plain base beside it is a smoothed unigram model of words. What the ``head`` most frequent pairs (of at most
+``HEAD_BYTES`` bytes each) cost by both is broadcast, its size is thus bounded; the others are looked up and spelled by a join.
 
 Defined results: a missing or blank text is the end alone; a row without ``doc_id`` is in no training set and is not held
 out; rows with the same id are scored one by one; an empty table gives no rows; without training documents
@@ -49,6 +50,7 @@ RECALLED = -1  # in place of a class: how often recalls came true
 RUNS = np.array([1, 2, 3, 5, 9, 17])  # steps of the words recalled in a row
 HEAD_BYTES = 64
 PRIOR = 0.05
+START, STIFF = 0.3, 50.0  # weights and curvature before anything is learnt
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -143,38 +145,95 @@ def recalls(docs: list[list[tuple[int, bytes]]]) -> tuple[np.ndarray, np.ndarray
     return np.where(earlier >= 0, np.searchsorted(RUNS, run, side="right"), -1), hit
 
 
-def tongues(texts: list[list[bytes]], most: int = 400, rounds: int = 20) -> dict[bytes, int]:
-    """Classes of the commonest words of at most three bytes, by the documents they occur in together.
+MOST_SHORT = 400  # words that can have a class
 
-    Documents are grouped by these words (spherical k-means, begun far apart); a word gets the group it mainly occurs in, and
-    none if it is at home in several.
-    """
-    common = [w for w, _ in Counter(w for t in texts for w in t if len(w) < 4).most_common(most)]
+
+def _short(text: list[bytes]) -> Counter:
+    return Counter(w for w in text if len(w) < 4)
+
+
+def _together(texts: list[tuple[list[bytes], list[int]]], common: list[bytes]) -> tuple[np.ndarray, int]:
+    """How much each two common words occur in the same texts (a text's counts as a unit vector), and the number of texts with some."""
     place = {w: i for i, w in enumerate(common)}
     x = np.zeros((len(texts), len(common)))
-    for row, t in zip(x, texts):
-        for w in t:
+    for row, (found, n) in zip(x, texts):
+        for w, k in zip(found, n):
             if w in place:
-                row[place[w]] += 1
+                row[place[w]] = k
     x = x[x.sum(1) >= 5]
-    if len(x) < TONGUES:
-        return {}
     unit = np.sqrt(x)
-    unit /= np.linalg.norm(unit, axis=1)[:, None]
-    centres = unit[:1]
+    unit /= np.sqrt(x.sum(1))[:, None]
+    return unit.T @ unit, len(x)
+
+
+def _classes(common: list[bytes], together: np.ndarray, texts: int, rounds: int = 20) -> dict[bytes, int]:
+    """Classes of words by the words they occur with: spherical k-means, begun far apart.
+
+    A word gets the group it mainly occurs with, and none if it is at home with several.
+    """
+    if texts < TONGUES:
+        return {}
+    weight = np.diag(together)
+    profile = together / np.sqrt(np.outer(np.maximum(weight, 1e-12), np.maximum(weight, 1e-12)))
+    profile /= np.maximum(np.linalg.norm(profile, axis=1), 1e-12)[:, None]
+    centres = profile[[int(weight.argmax())]]
     while len(centres) < TONGUES:
-        centres = np.vstack([centres, unit[(unit @ centres.T).max(1).argmin()]])
+        centres = np.vstack([centres, profile[(np.sqrt(weight) * (1 - (profile @ centres.T).max(1))).argmax()]])
     for _ in range(rounds):
-        own = (unit @ centres.T).argmax(1)
-        centres = np.stack([unit[own == k].sum(0) if (own == k).any() else centres[k] for k in range(TONGUES)])
-        centres /= np.linalg.norm(centres, axis=1)[:, None]
+        own = (profile @ centres.T).argmax(1)
+        centres = np.stack([weight[own == k] @ profile[own == k] if (own == k).any() else centres[k] for k in range(TONGUES)])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1), 1e-12)[:, None]
     alike = centres @ centres.T > 0.75  # groups that only split a language are one
     own = alike.argmax(1)[own]
-    share = np.stack([x[own == k].sum(0) / max(1, x[own == k].sum()) for k in range(TONGUES)])
+    share = np.stack([together[:, own == k].sum(1) / max(1e-12, together[:, own == k].sum()) for k in range(TONGUES)])
     share = share / np.maximum(share.sum(0), 1e-12)
     return {w: int(share[:, i].argmax()) for i, w in enumerate(common) if share[:, i].max() > 0.7}
 
 
+def tongues(texts: list[list[bytes]], most: int = MOST_SHORT) -> dict[bytes, int]:
+    """Classes of the commonest words of at most three bytes, by the texts they occur in together."""
+    found = [_short(t) for t in texts]
+    total = Counter()
+    for f in found:
+        total.update(f)
+    common = [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:most]]
+    return _classes(common, *_together([(list(f), list(f.values())) for f in found], common))
+
+
+def corpus_tongues(texts: DataFrame, most: int = MOST_SHORT) -> dict[bytes, int]:
+    """The same of all texts of a table; a matrix of fixed size reaches the driver."""
+    def short(batches):
+        for batch in batches:
+            for b in slices(batch, "text", 2000, 4 << 20):
+                found = [_short(words(t)) for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([list(f) for f in found], pa.list_(pa.binary())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], ["words", "times"])
+
+    found = stored(texts.select("text").mapInArrow(short, "words array<binary>, times array<bigint>").where(F.size("words") > 0), "short-words")
+    total = found.select(F.explode(F.arrays_zip("words", "times")).alias("s")).groupBy(F.col("s.words").alias("word")).agg(F.sum("s.times").alias("n"))
+    common = [bytes(r["word"]) for r in total.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+    def meet(batches):
+        all_of, n = np.zeros((len(common), len(common))), 0
+        for b in batches:
+            for i in range(0, b.num_rows, 2000):
+                some = b.slice(i, 2000)
+                more, k = _together(list(zip(some.column("words").to_pylist(), some.column("times").to_pylist())), common)
+                all_of, n = all_of + more, n + k
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(common)), pa.int32()), pa.array([n] * len(common), pa.int64()), pa.array([r.tobytes() for r in all_of], pa.binary())],
+                                         ["word", "texts", "row"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(r.as_py()) for r in group.column("row"))
+        return pa.table({"word": pa.array([group.column("word")[0].as_py()], pa.int32()), "texts": pa.array([sum(group.column("texts").to_pylist())], pa.int64()),
+                         "row": [total.tobytes()]})
+
+    schema, together, n = "word int, texts bigint, row binary", np.zeros((len(common), len(common))), 0
+    for r in found.mapInArrow(meet, schema).groupBy("word").applyInArrow(add, schema).collect():
+        together[r["word"]], n = np.frombuffer(r["row"]), r["texts"]
+    return _classes(common, together, n)
+
+
 def _count_pairs(texts: DataFrame, classes: dict[bytes, int], most: int = 200_000) -> DataFrame:
     """How often each (class, word) occurs; in rows of the class ``RECALLED``, whose word is a step and whether the recall
     came true, how often that was.
@@ -239,8 +298,26 @@ def _chunks(batch: pa.RecordBatch, most_bytes: int = 24_000):
         yield pairs, np.array(n, float)
 
 
-def _tables(pairs: DataFrame, code: Code) -> list[np.ndarray]:
-    """Counts of both branches, [branch, slot] per predictor; tasks send blocks of their tables, blocks are summed."""
+class Tables(NamedTuple):
+    """Per predictor and slot what the counts of both branches say."""
+    logits: list[np.ndarray]
+    seen: list[np.ndarray]  # of the contexts in SEEN_BY, how often, in five steps
+    counts: list[np.ndarray]  # [branch, slot], scaled to at most MOST_COUNT together, to take one occurrence away
+
+
+MOST_COUNT = 30_000.0
+
+
+def _scaled(counts: np.ndarray) -> np.ndarray:
+    return (counts * np.minimum(1, MOST_COUNT / np.maximum(counts.sum(0), 1))).astype(np.float16)
+
+
+def in_tables(counts: list[np.ndarray]) -> Tables:
+    return Tables([_logit(c[0], c[1]).astype(np.float16) for c in counts], [_seen(counts[i].sum(0)) for i in SEEN_BY], [_scaled(c) for c in counts])
+
+
+def _tables(pairs: DataFrame, code: Code) -> Tables:
+    """Counts over all pairs; tasks send blocks of their tables, blocks are summed."""
     first = np.cumsum([0, *[(1 << b) // BLOCK for b in BITS]])  # number of each table's first block
 
     def count(batches):
@@ -264,11 +341,15 @@ def _tables(pairs: DataFrame, code: Code) -> list[np.ndarray]:
         return pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "counts": [zlib.compress(total.tobytes(), 1)]})
 
     schema = "block int, counts binary"
-    out = [np.zeros((2, 1 << b), np.float32) for b in BITS]
+    out = Tables([np.zeros(1 << b, np.float16) for b in BITS], [np.zeros(1 << BITS[i], np.uint8) for i in SEEN_BY], [np.zeros((2, 1 << b), np.float16) for b in BITS])
     for r in pairs.mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toLocalIterator():  # tables of fixed size
         i = int(np.searchsorted(first, r["block"], side="right")) - 1
-        b = r["block"] - int(first[i])
-        out[i][:, b * BLOCK:(b + 1) * BLOCK] = np.frombuffer(zlib.decompress(r["counts"]), np.float32).reshape(2, BLOCK)
+        at = (r["block"] - int(first[i])) * BLOCK
+        block = np.frombuffer(zlib.decompress(r["counts"]), np.float32).reshape(2, BLOCK)
+        out.logits[i][at:at + BLOCK] = _logit(*block)
+        out.counts[i][:, at:at + BLOCK] = _scaled(block)
+        if i in SEEN_BY:
+            out.seen[SEEN_BY.index(i)][at:at + BLOCK] = _seen(block.sum(0))
     return out
 
 
@@ -315,28 +396,30 @@ def _gate(steps: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def learn(code: Code, counts: list[np.ndarray], pairs: list[tuple[int, bytes]], n: np.ndarray, step: int = 4096,
-          most_times: float = 1000.0) -> Model:
+class Learner:
     """Mixing weights and the probability map, learnt online from pairs of the corpus without one occurrence each.
 
     Every step moves a gate's weights by the error's gradient over the curvature gathered so far.
     """
-    logits = [_logit(c[0], c[1]).astype(np.float16) for c in counts]
-    seen = [_seen(counts[i].sum(0)) for i in SEEN_BY]
-    steps = np.linspace(-12, 12, 49)
-    weights = np.full((GATES, PREDICTORS), 0.3)
-    curvature = np.tile(50.0 * np.eye(PREDICTORS), (GATES, 1, 1))
-    hits = np.full((16, 49), 4.0)
-    ones = hits / (1 + np.exp(-steps))
-    for start in range(0, len(pairs), 5000):
-        some, times = pairs[start:start + 5000], np.minimum(n[start:start + 5000], most_times)
-        slots, branch, owner, place = spell(some, code)
+
+    def __init__(self, code: Code, counts: list[np.ndarray]):
+        self.code, self.counts = code, counts
+        self.steps = np.linspace(-12, 12, 49)
+        self.weights = np.full((GATES, PREDICTORS), START)
+        self.curvature = np.tile(STIFF * np.eye(PREDICTORS), (GATES, 1, 1))
+        self.hits = np.zeros((16, 49))
+        self.ones = np.zeros((16, 49))
+
+    def feed(self, pairs: list[tuple[int, bytes]], n: np.ndarray, step: int = 4096, most_times: float = 1000.0) -> None:
+        times = np.minimum(n, most_times)
+        slots, branch, owner, place = spell(pairs, self.code)
         own0, own1 = (~branch).astype(np.float32), branch.astype(np.float32)
-        x = np.stack([_logit(np.maximum(counts[i][0][s] - own0, 0), np.maximum(counts[i][1][s] - own1, 0)) for i, s in enumerate(slots)])
-        gate = _gate([_seen(np.maximum(counts[i][0][slots[i]] + counts[i][1][slots[i]] - 1, 0)) for i in SEEN_BY])
+        seen = [(c[0][s].astype(np.float32), c[1][s].astype(np.float32)) for c, s in zip(self.counts, slots)]
+        x = np.stack([_logit(np.maximum(n0 - own0, 0), np.maximum(n1 - own1, 0)) for n0, n1 in seen])
+        gate = _gate([_seen(np.maximum(seen[i][0] + seen[i][1] - 1, 0)) for i in SEEN_BY])
         for at in range(0, len(branch), step):
             cut = slice(at, at + step)
-            z = np.clip((weights[gate[cut]].T * x[:, cut]).sum(0), -11.9, 11.9)
+            z = np.clip((self.weights[gate[cut]].T * x[:, cut]).sum(0), -11.9, 11.9)
             p = 1 / (1 + np.exp(-z))
             w = times[owner[cut]]
             error, bend, g = (branch[cut] - p) * w, p * (1 - p) * w, gate[cut]
@@ -344,104 +427,167 @@ def learn(code: Code, counts: list[np.ndarray], pairs: list[tuple[int, bytes]],
             for i in range(PREDICTORS):
                 for j in range(i + 1):
                     more = np.bincount(g, bend * x[i, cut] * x[j, cut], GATES)
-                    curvature[:, i, j] += more
-                    curvature[:, j, i] += more * (i != j)
-            weights += np.linalg.solve(curvature, slope[:, :, None])[:, :, 0]
-            nearest = np.rint((z + 12) * 2).astype(int)
-            np.add.at(hits, (place[cut], nearest), w)
-            np.add.at(ones, (place[cut], nearest), w * branch[cut])
-    return Model(code, logits, seen, weights.astype(np.float32), (ones / hits).astype(np.float32))
-
-
-class Scorer:
-    """Log probabilities of texts; those of pairs met are kept, up to ``keep`` and the ``keep`` before them."""
-
-    def __init__(self, model: Model, keep: int = 200_000):
-        self.model, self.keep, self.known, self.older = model, keep, {}, {}
-
-    def values(self, pairs: list[tuple[int, bytes]]) -> list[float]:
-        found = list(map(self.known.get, pairs))
-        if None in found:
-            lost = {p for p, v in zip(pairs, found) if v is None}
-            again = {p: self.older[p] for p in lost if p in self.older}
-            new = [p for p in lost if p not in again]
-            if len(self.known) + len(lost) > self.keep:
-                self.known, self.older = {p: v for p, v in zip(pairs, found) if v is not None}, self.known
-            self.known.update(again)
-            at, size = 0, 0
-            for i, (_, w) in enumerate(new):
-                size += len(w) + 1
-                if size > 24_000 or i + 1 == len(new):
-                    part = new[at:i + 1]
-                    self.known.update(zip(part, self.model.bits(part).tolist()))
-                    at, size = i + 1, 0
-            found = list(map(self.known.__getitem__, pairs))
-        return found
-
-
-def _scorer(model: Model) -> Scorer:
-    """The scorer of this Python worker: later tasks with the same model find the commonest pairs known."""
-    return worker_cache(("scorer", id(model.code)), lambda: Scorer(model))  # keeps the model, and thus its id
-
-
-def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, int] = (7, 2), sample: int = 60_000,
-                    head: int = 131_072) -> DataFrame:
+                    self.curvature[:, i, j] += more
+                    self.curvature[:, j, i] += more * (i != j)
+            self.weights += np.linalg.solve(self.curvature, slope[:, :, None])[:, :, 0]
+            cell = place[cut] * 49 + np.rint((z + 12) * 2).astype(int)
+            self.hits += np.bincount(cell, w, self.hits.size).reshape(self.hits.shape)
+            self.ones += np.bincount(cell, w * branch[cut], self.ones.size).reshape(self.ones.shape)
+
+    def learnt(self) -> bytes:
+        return b"".join(x.tobytes() for x in (self.weights, self.curvature, self.hits, self.ones))
+
+    def join(self, learnt: list[bytes]) -> None:
+        """What others have learnt from their shares: weights averaged by the curvature gathered, maps summed."""
+        if not learnt:
+            return
+        edges = np.cumsum([self.weights.size, self.curvature.size, self.hits.size])
+        pull, shapes = np.zeros((GATES, PREDICTORS, 1)), [x.shape for x in (self.weights, self.curvature, self.hits, self.ones)]
+        self.curvature, self.hits, self.ones = (np.zeros(shape) for shape in shapes[1:])
+        for raw in learnt:
+            weights, curvature, hits, ones = (v.reshape(shape) for v, shape in zip(np.split(np.frombuffer(raw), edges), shapes))
+            pull += curvature @ weights[:, :, None]
+            self.curvature += curvature
+            self.hits += hits
+            self.ones += ones
+        self.weights = np.linalg.solve(self.curvature, pull)[:, :, 0]
+
+    def model(self, tables: Tables) -> Model:
+        refined = (self.ones + 4 / (1 + np.exp(-self.steps))) / (self.hits + 4)
+        return Model(self.code, tables.logits, tables.seen, self.weights.astype(np.float32), refined.astype(np.float32))
+
+
+def learn(code: Code, counts: list[np.ndarray], pairs: list[tuple[int, bytes]], n: np.ndarray) -> Model:
+    """A model learnt in one place."""
+    tables = in_tables(counts)
+    learner = Learner(code, tables.counts)
+    for start in range(0, len(pairs), 5000):
+        learner.feed(pairs[start:start + 5000], n[start:start + 5000])
+    return learner.model(tables)
+
+
+def corpus_learner(pairs: DataFrame, code: Code, tables: Tables) -> Learner:
+    """What all pairs of the corpus teach: each task learns from its share."""
+    shared = pairs.sparkSession.sparkContext.broadcast((code, tables.counts))
+
+    def teach(batches):
+        learner = None
+        for batch in batches:
+            for some, n in _chunks(batch, 40_000):
+                learner = learner or Learner(*shared.value)
+                learner.feed(some, n)
+        if learner:
+            yield pa.RecordBatch.from_arrays([pa.array([learner.learnt()], pa.binary())], ["learnt"])
+
+    out = Learner(code, tables.counts)
+    out.join([bytes(r["learnt"]) for r in pairs.mapInArrow(teach, "learnt binary").collect()])
+    shared.destroy()
+    return out
+
+
+def _costs(model: Model, pairs: list[tuple[int, bytes]], most_bytes: int = 24_000) -> np.ndarray:
+    """log10 probabilities, spelled in chunks of bounded text."""
+    out, at, size = [], 0, 0
+    for i, (_, w) in enumerate(pairs):
+        size += len(w) + 1
+        if size > most_bytes or i + 1 == len(pairs):
+            out.append(model.bits(pairs[at:i + 1]))
+            at, size = i + 1, 0
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+SCORED = ("row bigint, doc_id bigint, n_tokens bigint, known bigint, plain double, score double, n_bytes bigint, "
+          "rest array<struct<class:int,word:binary,times:bigint,spelled:bigint>>")
+
+
+def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, int] = (7, 2), head: int = 131_072) -> DataFrame:
     """Scores of every document; learnt from those whose ``crc32(id) mod n`` is not ``r``."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     out = F.coalesce(fold(F.col("doc_id"), held_out[0]) == held_out[1], F.lit(False))
     train = texts.where(F.col("doc_id").isNotNull() & ~out)
-    short = train.where(F.octet_length("text") <= 20_000).select(F.xxhash64("doc_id").alias("h"), F.col("text").alias("t"))
-    classes = tongues([words(r["t"]) for r in short.orderBy("h", "t").limit(1000).collect()])
+    classes = corpus_tongues(train)
     counted = stored(_count_pairs(train.select("text"), classes), "pairs")
     pairs, chances = counted.where(F.col("class") != RECALLED), _chances(counted.where(F.col("class") == RECALLED))
     counts = stored(pairs.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     code = huffman(_byte_counts(pairs))
     tables = _tables(pairs, code)
-    drawn = pairs.where(F.length("word") <= HEAD_BYTES).orderBy(F.xxhash64("class", "word"), "class", "word").limit(sample).collect()
-    model = learn(code, tables, [(r["class"], bytes(r["word"])) for r in drawn], np.array([r["n"] for r in drawn], float))
-    del tables, drawn
+    model = corpus_learner(pairs, code, tables).model(tables)
+    del tables
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = int(total["n"]), int(total["v"])
-    frequent = counts.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(head)
-    base = {bytes(r["word"]): float(np.log10((r["c"] + 1) / (n + v + 1))) for r in frequent.collect()}
-    shared = spark.sparkContext.broadcast((model, base, classes, chances))
+    frequent = pairs.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "class", "word").limit(head).join(counts, "word").collect()
+    kinds = [(r["class"], bytes(r["word"])) for r in frequent]
+    base = np.log10((np.array([r["c"] for r in frequent], float) + 1) / (n + v + 1)).tolist()
+    known = spark.sparkContext.broadcast(({p: (b, x) for p, b, x in zip(kinds, base, _costs(model, kinds).tolist())}, classes, chances))
+    shared = spark.sparkContext.broadcast(model)
+    del frequent, kinds, base
 
     def score(batches):
-        model, base, classes, chances = shared.value
-        scorer, row = _scorer(model), TaskContext.get().partitionId() << 40
+        known_pairs, classes, chances = known.value
+        worker_cache("none", dict)  # room for this step
+        row = TaskContext.get().partitionId() << 40
+        kind = pa.list_(pa.struct([("class", pa.int32()), ("word", pa.binary()), ("times", pa.int64()), ("spelled", pa.int64())]))
         for batch in batches:
             for b in slices(batch, "text", 256, 2 << 20):
                 docs = [keys(t, classes) for t in b.column("text").to_pylist()]
-                sizes = [len(d) for d in docs]
+                sizes = np.array([len(d) for d in docs])
+                starts = np.cumsum(sizes) - sizes
                 step, hit = recalls(docs)
-                values = np.array(scorer.values([p for d in docs for p in d]))
-                told = np.log10(np.where(hit, chances[step], 1 - chances[step]))
-                values = np.where(hit, 0.0, values) + np.where(step >= 0, told, 0.0)
-                starts = np.cumsum(sizes) - np.array(sizes)
-                rest, known, plain = [], [], []
-                for d in docs:
-                    found = [base.get(w) for _, w in d]
-                    missing = Counter(w for (_, w), f in zip(d, found) if f is None) if None in found else {}
-                    rest.append(list(missing.items()))
-                    plain.append(sum(f for f in found if f is not None))
-                    known.append(len(d) - sum(missing.values()))
-                kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+                told = np.where(step >= 0, np.log10(np.where(hit, chances[step], 1 - chances[step])), 0.0)
+                recalled, hits = np.add.reduceat(told, starts), hit.tolist()
+                rest, n_known, plain, costs = [], [], [], []
+                for d, at in zip(docs, starts.tolist()):
+                    found = list(map(known_pairs.get, d))
+                    lost: dict[tuple[int, bytes], list[int]] = {}
+                    bases = cost = 0.0
+                    seen = 0
+                    for p, f, again in zip(d, found, hits[at:at + len(d)]):
+                        if f is not None:
+                            seen += 1
+                            bases += f[0]
+                            if not again:
+                                cost += f[1]
+                        else:
+                            times = lost.get(p)
+                            if times is None:
+                                lost[p] = [1, 1 - again]
+                            else:
+                                times[0] += 1
+                                times[1] += 1 - again
+                    rest.append([{"class": c, "word": w, "times": t, "spelled": k} for (c, w), (t, k) in lost.items()])
+                    n_known.append(seen)
+                    plain.append(bases)
+                    costs.append(cost)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(docs))), b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(plain, pa.float64()), pa.array(np.add.reduceat(values, starts)),
-                     pa.array([sum(len(w) for _, w in d) + len(d) - 1 for d in docs], pa.int64()),
-                     pa.array([[{"word": w, "times": k} for w, k in r] for r in rest], kind)],
+                    [pa.array(np.arange(row, row + len(docs))), b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()),
+                     pa.array(plain, pa.float64()), pa.array(np.array(costs) + recalled),
+                     pa.array([sum(len(w) for _, w in d) + len(d) - 1 for d in docs], pa.int64()), pa.array(rest, kind)],
                     ["row", "doc_id", "n_tokens", "known", "plain", "score", "n_bytes", "rest"])
                 row += len(docs)
 
-    scored = stored(texts.mapInArrow(score, "row bigint, doc_id bigint, n_tokens bigint, known bigint, plain double, score double, "
-                                            "n_bytes bigint, rest array<struct<word:binary,times:bigint>>"), "scored")
-    c = F.coalesce("c", F.lit(0))
-    looked_up = (scored.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times").join(counts, "word", "left")
-                 .groupBy("row").agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more"),
-                                     F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("other")))
+    def spelled(batches):
+        model = shared.value
+        worker_cache("none", dict)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            word = b.column("word").dictionary_encode()  # rows come by word
+            kind, place = np.unique(word.indices.to_numpy().astype(np.int64) * 8 + b.column("class").to_numpy(), return_inverse=True)
+            names = word.dictionary.to_pylist()
+            costs = _costs(model, [(int(k) % 8, names[int(k) // 8]) for k in kind.tolist()])[place]
+            c, times = b.column("c").to_numpy(), b.column("times").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), pa.array(np.where(c > 0, times, 0)), pa.array(times * np.log10((c + 1) / (n + v + 1))), pa.array(b.column("spelled").to_numpy() * costs)],
+                ["row", "more", "other", "cost"])
+
+    scored = stored(texts.mapInArrow(score, SCORED), "scored")
+    rest = scored.select("row", F.explode("rest").alias("r")).select("row", "r.class", "r.word", "r.times", "r.spelled")
+    met = rest.join(counts, "word", "left").select("row", "class", "word", "times", "spelled", F.coalesce("c", F.lit(0)).alias("c"))
+    looked_up = met.mapInArrow(spelled, "row bigint, more bigint, other double, cost double").groupBy("row").agg(
+        F.sum("more").alias("more"), F.sum("other").alias("other"), F.sum("cost").alias("cost"))
+    score_of = F.col("score") + F.coalesce("cost", F.lit(0.0))
     return scored.drop("rest").join(looked_up, "row", "left").select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), held_out[0]) == held_out[1], F.lit(False)).alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
-        (F.col("plain") + F.coalesce("other", F.lit(0.0))).alias("base_score"), "score",
-        (-F.col("score") * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
+        (F.col("plain") + F.coalesce("other", F.lit(0.0))).alias("base_score"), score_of.alias("score"),
+        (-score_of * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from stillwater.llm.common import words
-from stillwater.llm.lm_score import BITS, END, RUNS, SEEN_BY, _gate, huffman, learn, recalls, score_documents, spell, tongues
+from stillwater.llm.lm_score import BITS, END, RUNS, SEEN_BY, Learner, _gate, corpus_learner, corpus_tongues, huffman, in_tables, learn, recalls, score_documents, spell, tongues
 
 from .conftest import documents, prose
 
@@ -92,3 +92,41 @@ def test_order_and_repeats_count(spark):
     rows += [(1000, " ".join(once)), (1001, " ".join(once * 3)), (1002, " ".join(mixed))]
     got = {r.doc_id: r.score for r in score_documents(spark, documents(spark, rows)).collect()}
     assert got[1001] > 1.3 * got[1000] and got[1002] < 2 * got[1001]
+
+
+def test_classes_come_from_all_texts(spark):
+    """Also from more than 1000 texts, and from texts of more than 20 kB, in which alone some words occur."""
+    draw = random.Random(4)
+    names = {g: [f"{x}{g}" for x in "abcd"] for g in "012"}
+    rows = [(i, " ".join(draw.choice(names["01"[i % 2]]) for _ in range(20))) for i in range(1200)]
+    rows += [(2000 + i, " ".join(draw.choice(names["2"]) for _ in range(8000))) for i in range(8)]
+    docs = documents(spark, rows).repartition(5)
+    classes = corpus_tongues(docs)
+    assert len({classes[w.encode()] for w in names["2"]}) == 1 and not {classes[w.encode()] for w in names["2"]} & {classes[w.encode()] for w in names["0"] + names["1"]}
+    assert classes == tongues([words(t) for _, t in rows])
+
+
+def test_weights_come_from_all_pairs(spark):
+    """Whatever the tasks, each decision of each pair is learnt from; pairs of all lengths."""
+    draw = random.Random(8)
+    pairs = [(draw.randint(0, 6), "".join(draw.choices("abcdef", k=draw.choice([1, 3, 8, 100]))).encode()) for _ in range(3000)]
+    n = [draw.choice([1, 2, 5, 3000]) for _ in pairs]
+    code = huffman(np.arange(256.0))
+    tables = in_tables([np.random.default_rng(i).integers(0, 9, (2, 1 << b)).astype(np.float32) for i, b in enumerate(BITS)])
+    rows = spark.createDataFrame([(c, w, k) for (c, w), k in zip(pairs, n)], "class int, word binary, n bigint")
+    *_, owner, _ = spell(pairs, code)
+    for parts in (1, 4):
+        got = corpus_learner(rows.repartition(parts), code, tables)
+        assert got.hits.sum() == np.minimum(np.array(n), 1000)[owner].sum()
+    alone = Learner(code, tables.counts)
+    alone.feed(pairs, np.array(n, float))
+    joined = Learner(code, tables.counts)
+    joined.join([alone.learnt()])
+    assert np.allclose(joined.weights, alone.weights) and np.allclose(joined.curvature, alone.curvature)
+
+
+@pytest.mark.parametrize("head", [131_072, 3])
+def test_scores_do_not_depend_on_the_head(spark, odd, odd_rows, head):
+    rows = odd_rows + [(100 + i, f"a word{i % 3} and a word{i % 5} a word{i % 3}") for i in range(40)]
+    got = sorted((r.doc_id or 0, r.n_tokens, round(r.score, 3)) for r in score_documents(spark, documents(spark, rows), head=head).collect())
+    assert got == sorted((r.doc_id or 0, r.n_tokens, round(r.score, 3)) for r in score_documents(spark, documents(spark, rows), head=50).collect())
