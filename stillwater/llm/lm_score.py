@@ -526,7 +526,6 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, i
         known_pairs, classes, chances = known.value
         worker_cache("none", dict)  # room for this step
         row = TaskContext.get().partitionId() << 40
-        kind = pa.list_(pa.struct([("class", pa.int32()), ("word", pa.binary()), ("times", pa.int64()), ("spelled", pa.int64())]))
         for batch in batches:
             for b in slices(batch, "text", 256, 2 << 20):
                 docs = [keys(t, classes) for t in b.column("text").to_pylist()]
@@ -535,7 +534,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, i
                 step, hit = recalls(docs)
                 told = np.where(step >= 0, np.log10(np.where(hit, chances[step], 1 - chances[step])), 0.0)
                 recalled, hits = np.add.reduceat(told, starts), hit.tolist()
-                rest, n_known, plain, costs = [], [], [], []
+                rest, ends, n_known, plain, costs = [], [0], [], [], []
                 for d, at in zip(docs, starts.tolist()):
                     found = list(map(known_pairs.get, d))
                     lost: dict[tuple[int, bytes], list[int]] = {}
@@ -554,14 +553,17 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, i
                             else:
                                 times[0] += 1
                                 times[1] += 1 - again
-                    rest.append([{"class": c, "word": w, "times": t, "spelled": k} for (c, w), (t, k) in lost.items()])
+                    rest.extend((*p, *times) for p, times in lost.items())
+                    ends.append(len(rest))
                     n_known.append(seen)
                     plain.append(bases)
                     costs.append(cost)
+                lists = [pa.array(v, t) for v, t in zip(zip(*rest) if rest else [()] * 4, (pa.int32(), pa.binary(), pa.int64(), pa.int64()))]
+                rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(lists, ["class", "word", "times", "spelled"]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(docs))), b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()),
                      pa.array(plain, pa.float64()), pa.array(np.array(costs) + recalled),
-                     pa.array([sum(len(w) for _, w in d) + len(d) - 1 for d in docs], pa.int64()), pa.array(rest, kind)],
+                     pa.array([sum(len(w) for _, w in d) + len(d) - 1 for d in docs], pa.int64()), rest],
                     ["row", "doc_id", "n_tokens", "known", "plain", "score", "n_bytes", "rest"])
                 row += len(docs)
 
