@@ -33,16 +33,16 @@ characters that are cut inside and sets ``n_chars`` where there is such a column
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import new_name, slices, stored, text_key, worker_cache
+from .common import new_name, release_memory, slices, stored, text_key, worker_cache
 
 GRAM = 64
 GRAM_WORDS = 12
@@ -259,7 +259,8 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
 
-ANCHOR = "gram bigint, content bigint, key binary, place int, before int, behind int"
+PLACE = ["gram", "content", "key", "place", "before", "behind"]
+ANCHOR = "gram bigint, content bigint, key binary, place int, before int, behind int, times int"
 
 
 def _content(piece: bytes, before: int) -> int:
@@ -267,29 +268,57 @@ def _content(piece: bytes, before: int) -> int:
     return xxhash.xxh3_64_intdigest(piece, before)
 
 
-def _anchor_batch(rows: list[tuple[int, int, bytes, int, int, int]]) -> pa.RecordBatch:
-    gram, content, key, place, before, behind = zip(*rows) if rows else [()] * 6
+def _anchor_batch(rows: list[tuple[int, int, bytes, int, int, int, int]]) -> pa.RecordBatch:
+    gram, content, key, place, before, behind, times = zip(*rows) if rows else [()] * 7
     return pa.RecordBatch.from_arrays(
         [pa.array(gram, pa.int64()), pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(key, pa.binary()),
-         *(pa.array(v, pa.int32()) for v in (place, before, behind))], ["gram", "content", "key", "place", "before", "behind"])
+         *(pa.array(v, pa.int32()) for v in (place, before, behind, times))], [*PLACE, "times"])
+
+
+def _different(part: pa.RecordBatch) -> tuple[list[bytes], list[bytes], list[int]]:
+    """Keys and bytes of the different texts, and how often each is there."""
+    raws, times = {}, Counter(keys := part.column("_key").to_pylist())
+    for key, raw in zip(keys, _bytes(part.column("text"))):
+        raws.setdefault(key, raw)
+    return list(raws), list(raws.values()), [times[k] for k in raws]
 
 
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     """Anchors with what stands for the ``length - GRAM`` bytes before them and the ``length`` bytes from them on."""
     def find(batches):
         worker_cache("none", dict)  # room for this operator
+        release_memory()
         for b in batches:
             for part in slices(b, "text", 500, 4 << 20):
-                keys, raws, rows = part.column("_key").to_pylist(), _bytes(part.column("text")), []
+                (keys, raws, times), rows = _different(part), []
                 for i, places, grams in anchors(raws, length):
-                    raw = raws[i]
-                    for p, g in zip(places.tolist(), grams.tolist()):
-                        low, high = max(0, p - length + GRAM), min(len(raw), p + length)
-                        rows.append((g, _content(raw[low:high], p - low), keys[i], p, p - low, high - p))
+                    raw, key, n = raws[i], keys[i], times[i]
+                    around = [v.tolist() for v in (grams, places, np.minimum(places, length - GRAM), np.minimum(len(raw) - places, length))]
+                    rows.extend((g, _content(raw[p - x:p + y], x), key, p, x, y, n) for g, p, x, y in zip(*around))
                 yield _anchor_batch(rows)
     return texts.mapInArrow(find, ANCHOR)
 
 
+KEY_BITS = 24
+
+
+def _flagged(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """The rows with a column ``name`` that is true where ``key`` is one of ``keys``, and for few others.
+
+    Told by ``2 ** KEY_BITS`` bits set by hash address, which go to the rows as broadcast blocks of 4096 bytes.
+    """
+    def at(value: str) -> Column:
+        return F.xxhash64(value).bitwiseAND(F.lit((1 << KEY_BITS) - 1)) + 1  # blocks and bits are counted from 1
+
+    block, bits = new_name(rows, "_block"), new_name(rows, "_bits")
+    blocks = keys.groupBy(F.bitmap_bucket_number(at("key")).alias(block)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at("key"))).alias(bits))
+    place = F.bitmap_bit_position(at(key)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1))
+    met = rows.withColumn(block, F.bitmap_bucket_number(at(key))).join(F.broadcast(blocks), block, "left")
+    return met.withColumn(name, F.coalesce(bit == 1, F.lit(False))).select(*rows.columns, name)
+
+
 def _with_texts(texts: DataFrame, which: DataFrame) -> DataFrame:
     per_text = which.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("gram", "content", "place", "same")).alias("anchors"))
     return texts.join(per_text, "_key")
@@ -305,16 +334,18 @@ def _per_text(batches) -> Iterator[tuple[bytes, bytes, list[dict]]]:
             last = key
 
 
-def _kinds(places: DataFrame, name: str, rows) -> tuple[DataFrame, DataFrame]:
+def _kinds(rows: DataFrame, name: str, n: Column) -> tuple[DataFrame, DataFrame]:
     """Anchors whose gram occurs elsewhere, and their kinds: one place for all of a gram with the same surroundings.
 
-    Of a kind ``same`` is the number of its places, ``kinds`` how many kinds its gram has. ``rows`` counts places.
+    Of a kind ``same`` is the number of its places, ``kinds`` how many kinds its gram has. ``n`` is what rows of the same place
+    count. All of it is told where the rows of a gram meet: anchors are shuffled once and not stored before they are known to repeat.
     """
-    repeated = places.groupBy("gram").agg(rows.alias("_n")).where("_n > 1").select("gram")
-    known = stored(places.join(repeated, "gram"), f"repeated-{name}")
-    kinds = known.groupBy("gram", "content").agg(rows.alias("same"), F.min(F.struct("key", "place", "before", "behind")).alias("one")).select(
-        "gram", "content", "same", "one.*")
-    return known, stored(kinds.join(kinds.groupBy("gram").agg(F.count("*").alias("kinds")), "gram"), f"kinds-of-{name}")
+    of_gram, of_kind = Window.partitionBy("gram"), Window.partitionBy("gram", "content")
+    places = rows.repartition("gram").groupBy(*PLACE).agg(n.alias("n"))
+    repeated = places.withColumn("_all", F.sum("n").over(of_gram)).where("_all > 1")
+    told = repeated.withColumn("same", F.sum("n").over(of_kind)).withColumn("_one", F.row_number().over(of_kind.orderBy("key", "place", "before", "behind")) == 1)
+    known = stored(told.withColumn("kinds", F.count_if("_one").over(of_gram)).select(*PLACE, "same", "kinds", "_one"), f"repeated-{name}")
+    return known, stored(known.where("_one").drop("_one"), f"kinds-of-{name}")
 
 
 REACH = "gram bigint, content bigint, before int, behind int"
@@ -376,6 +407,8 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
                 close()
             members[columns["grams"][run][i], columns["contents"][run][i]] = (columns["before"][run][i], suffix)
         close()
+        columns.clear()
+        release_memory()
         return _reach_table(*out)
     return runs.groupBy("bucket").applyInArrow(merge, REACH)
 
@@ -441,15 +474,33 @@ def word_anchors(raw: bytes, count: int, below: int) -> list[tuple[int, int, int
     inside = _sliding(np.maximum, np.concatenate([np.zeros(width - 1, bool), short, np.zeros(width - 1, bool)]), width)
     h = np.full(len(inside), _NONE)
     at = np.flatnonzero(inside)
-    h[at] = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(starts[at].tolist(), stops[at + size - 1].tolist())]
+    h[at] = _stretch_hashes(raw, starts[at], stops[at + size - 1])
     least = np.where(short, _sliding(np.minimum, h, width), np.uint64(0))
     padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    out = []
-    for w in np.flatnonzero(inside & (_sliding(np.maximum, padded, width) == h)).tolist():
-        around = np.flatnonzero(short[max(0, w - width + 1):w + 1]) + max(0, w - width + 1)
-        p, low, high = int(starts[w]), int(starts[around[0]]), int(stops[around[-1] + count - 1])
-        out.append((int(h[w].view(np.int64)), _content(raw[low:high], p - low), p, p - low, high - p))
-    return out
+    found = np.flatnonzero(inside & (_sliding(np.maximum, padded, width) == h))
+    every = np.arange(last + 1)
+    first = np.minimum.accumulate(np.where(short, every, last)[::-1])[::-1]  # of the short stretches from here on, and up to here
+    final = np.maximum.accumulate(np.where(short, every, 0))
+    place, low = starts[found], starts[first[np.maximum(0, found - width + 1)]]
+    high = stops[final[np.minimum(found, last)] + count - 1]
+    lists = [v.tolist() for v in (h[found].view(np.int64), place, place - low, high - place)]
+    contents = [_content(raw[p - x:p + y], x) for p, x, y in zip(*lists[1:])]
+    return list(zip(lists[0], contents, *lists[1:]))
+
+
+_powers = np.ones((2, 1), np.uint64)  # of an odd number and its inverse
+
+
+def _stretch_hashes(raw: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hashes of many stretches of a text, as differences of running sums; the same for equal bytes, wherever they stand."""
+    global _powers
+    if _powers.shape[1] < len(raw):
+        more = np.ones((2, 2 * len(raw)), np.uint64)
+        for row, m in zip(more, (int(_M[0]), pow(int(_M[0]), -1, 1 << 64))):
+            row[1:] = m
+        _powers = np.multiply.accumulate(more, axis=1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[np.frombuffer(raw, np.uint8)] * _powers[0, :len(raw)], dtype=np.uint64)])
+    return _join((sums[stop] - sums[start]) * _powers[1, start], (stop - start).astype(np.uint64))
 
 
 def word_stretches(raw: bytes, places: list[int], count: int, below: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -495,22 +546,26 @@ def repeated_stretches(members: list[tuple[bytes, int, np.ndarray, np.ndarray, n
 AROUND = "bucket bigint, gram bigint, content bigint, key binary, place int, same bigint, hashes array<bigint>, starts array<int>, stops array<int>"
 
 
-def _word_spans(docs: DataFrame, count: int, below: int, hot: int, per_bucket: int) -> DataFrame:
-    """The repeated stretches of ``count`` words among those shorter than ``below`` bytes; rows of equal texts repeat each other.
+def _word_kinds(texts: DataFrame, count: int, below: int) -> tuple[DataFrame, DataFrame]:
+    """Repeated anchors of the stretches of ``count`` words shorter than ``below`` bytes, and their kinds; equal texts repeat each other.
 
-    Of all grams of ``GRAM_WORDS`` words in a stretch the one of the smallest hash is its anchor. Only the stretches that hold an
-    anchor whose gram occurs elsewhere are hashed, once for each kind of surroundings; those of a gram meet in one bucket. Grams
-    of more than ``hot`` kinds are not gathered: their stretches are counted as rows.
+    Of all grams of ``GRAM_WORDS`` words in a stretch the one of the smallest hash is its anchor.
     """
     def find(batches):
+        release_memory()
         for b in batches:
             for part in slices(b, "text", 500, 4 << 20):
-                yield _anchor_batch([(g, content, key, p, before, behind) for key, raw in zip(part.column("_key").to_pylist(), _bytes(part.column("text")))
+                yield _anchor_batch([(g, content, key, p, before, behind, n) for key, raw, n in zip(*_different(part))
                                      for g, content, p, before, behind in word_anchors(raw, count, below)])
+    return _kinds(texts.mapInArrow(find, ANCHOR), "word-anchors", F.sum("times"))
+
 
-    texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= 2 * count - 1)
-    places = stored(texts.mapInArrow(find, ANCHOR).groupBy("gram", "content", "key", "place", "before", "behind").agg(F.count("*").alias("n")), "word-anchors")
-    known, kinds = _kinds(places, "word-anchors", F.sum("n"))
+def _word_spans(texts: DataFrame, known: DataFrame, kinds: DataFrame, count: int, below: int, hot: int, per_bucket: int) -> DataFrame:
+    """The repeated stretches of ``count`` words among those shorter than ``below`` bytes.
+
+    Only the stretches that hold an anchor whose gram occurs elsewhere are hashed, once for each kind of surroundings; those of a
+    gram meet in one bucket. Grams of more than ``hot`` kinds are not gathered: their stretches are counted as rows.
+    """
     reach = kinds.where("same > 1").select("gram", "content", "before", "behind")
     several = kinds.where("kinds > 1")
     size = several.agg(F.count("*").alias("n"), F.max("kinds").alias("most")).first()
@@ -530,6 +585,8 @@ def _word_spans(docs: DataFrame, count: int, below: int, hot: int, per_bucket: i
     def meet(group: pa.Table) -> pa.Table:
         lists = [[v.values.to_numpy() for v in group.column(n).combine_chunks()] for n in ("hashes", "starts", "stops")]
         found = repeated_stretches(list(zip(group.column("key").to_pylist(), group.column("same").to_pylist(), *lists)))
+        lists.clear()
+        release_memory()
         gram, content, place = (group.column(n).to_pylist() for n in ("gram", "content", "place"))
         return _reach_table([gram[i] for i, _, _ in found], [content[i] for i, _, _ in found], [place[i] - x for i, x, _ in found], [y - place[i] for i, _, y in found])
 
@@ -549,22 +606,27 @@ def spans(docs: DataFrame, length: int = 400, hot: int = 100_000, per_bucket: in
 
     With ``words`` each span also says whether only so many words tell it (``by_words``).
     """
-    texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= length)
-    copies = texts.groupBy("_key").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).where("n > 1")
-    places = stored(_anchor_rows(texts, length).distinct(), "anchors")
-    known, kinds = _kinds(places, "anchors", F.count("*"))
+    least = min(length, 2 * words - 1) if words else length  # both ways read the same texts, which are then shuffled once for both
+    texts = docs.select(text_key(F.col("text")).alias("_key"), "text").where(F.octet_length("text") >= least)
+    copies = texts.where(F.octet_length("text") >= length).groupBy("_key").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).where("n > 1")
+    known, kinds = _kinds(_anchor_rows(texts, length), "anchors", F.max(F.lit(1)))
     reach = kinds.where((F.col("same") > 1) & (F.col("before") + F.col("behind") >= length)).select("gram", "content", "before", "behind")
     several = kinds.where("kinds > 1")
+    keys = several.select("key")
+    if words:
+        of_words = _word_kinds(texts, words, length)
+        keys = keys.unionByName(of_words[1].where("kinds > 1").select("key"))
+    sought = _flagged(texts, "_key", keys, "_sought").where("_sought").drop("_sought")
     size = several.agg(F.count("*").alias("n"), F.max("kinds").alias("most")).first()
-    runs = _runs(_with_texts(texts, several.where(F.col("kinds") <= hot)), length, max(1, -(-size["n"] // per_bucket)), hold)
+    runs = _runs(_with_texts(sought, several.where(F.col("kinds") <= hot)), length, max(1, -(-size["n"] // per_bucket)), hold)
     reach = reach.unionByName(_merged(runs, length))
     if (size["most"] or 0) > hot:
-        reach = reach.unionByName(_hot_spans(_with_texts(texts, several.where(F.col("kinds") > hot)), length))
+        reach = reach.unionByName(_hot_spans(_with_texts(sought, several.where(F.col("kinds") > hot)), length))
     found = _members(known, reach)
     found = found.unionByName(copies.select(F.col("_key").alias("key"), F.lit(0).alias("start"), F.col("size").alias("stop")))
     if words:
         found = found.withColumn("by_words", F.lit(False)).unionByName(
-            _word_spans(docs, words, length, hot, per_bucket).withColumn("by_words", F.lit(True)))
+            _word_spans(sought, *of_words, words, length, hot, per_bucket).withColumn("by_words", F.lit(True)))
     columns = [c for c in found.columns if c != "key"]
     return stored(found.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct(*columns)).alias("_spans")), "spans")
 
@@ -586,10 +648,16 @@ def kept(raw: bytes, away: list[tuple[int, int]]) -> bytes:
 
 
 def _marked(docs: DataFrame, length: int, found: str = "_spans", **how) -> DataFrame:
-    """The rows with the spans to remove from their text, in a column of that name."""
-    key = new_name(docs, "_text_key")
+    """The rows with the spans to remove from their text, in a column of that name.
+
+    Only rows whose text may have spans are shuffled to them.
+    """
+    key, may = new_name(docs, "_text_key"), new_name(docs, "_may_have")
     by_text = spans(docs, length, **how).select(F.col("_key").alias(key), F.col("_spans").alias(found))
-    return docs.withColumn(key, text_key(F.col("text"))).join(by_text, key, "left").select(*docs.columns, found)
+    rows = _flagged(docs.withColumn(key, text_key(F.col("text"))), key, by_text.select(F.col(key).alias("key")), may)
+    met = rows.where(F.col(may)).join(by_text, key, "left")
+    whole = rows.where(~F.col(may)).withColumn(found, F.lit(None).cast(by_text.schema[found].dataType))
+    return met.select(*docs.columns, found).union(whole.select(*docs.columns, found))
 
 
 def removal_report(docs: DataFrame, length: int = 400, words: int | None = None, **how) -> DataFrame:

@@ -171,3 +171,28 @@ def test_report_tells_short_passages(spark):
     got = sorted(removal_report(documents(spark, enumerate(texts)), 400, words=51).collect())
     assert [r.n_removed for r in got] == [0] * 6
     assert [r.n_in_passages for r in got] == [len(passage), len(passage), 0, 0, 0, 0]
+
+
+def test_anchors_are_shuffled_once(spark, monkeypatch):
+    """What repeats is told where the anchors of a gram meet, and only texts with such anchors are shuffled."""
+    from stillwater.llm import repeats
+    seen, stored = {}, repeats.stored
+
+    def look(df, name):
+        seen[name] = df._jdf.queryExecution().toString()
+        return stored(df, name)
+    monkeypatch.setattr(repeats, "stored", look)
+    draw = random.Random(10)
+    some = lambda n: " ".join("".join(draw.choices("abcdefgh", k=4)) for _ in range(n))
+    passage = some(60)
+    texts = [f"{some(90)} {passage} {some(90)}", f"{passage} {some(99)}", *[some(150) for _ in range(20)], None, ""]
+    rows = list(enumerate(texts))
+    got = removal_report(documents(spark, rows), 200, words=51).drop("n_in_passages").collect()
+    assert sorted(map(tuple, got), key=str) == report(rows, 200)
+    assert not {"anchors", "word-anchors"} & set(seen)
+    for name in ("repeated-anchors", "repeated-word-anchors"):
+        assert seen[name].partition("== Physical Plan ==")[2].count("Exchange hashpartitioning") == 1
+    keys = spark.createDataFrame([(bytes([i] * 16),) for i in range(0, 200, 2)], "key binary")
+    every = spark.createDataFrame([(bytes([i] * 16),) for i in range(200)], "key binary")
+    may_have = {bytes(r.key)[0] for r in repeats._flagged(every, "key", keys, "_bits").where("_bits").collect()}
+    assert set(range(0, 200, 2)) <= may_have and len(may_have) < 110
