@@ -33,6 +33,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,22 +130,50 @@ def recalls(docs: list[list[tuple[int, bytes]]]) -> tuple[np.ndarray, np.ndarray
     """Per word of the texts, one text behind the other: the step of ``RUNS`` it is met at (-1: nothing to recall), and
     whether it is the recalled one.
     """
-    sizes = np.array([len(d) for d in docs])
     number: dict[bytes, int] = {}
     ids = np.array([number.setdefault(w, len(number)) for d in docs for _, w in d], np.int64)
-    owner, every = np.repeat(np.arange(len(docs)), sizes), np.arange(len(ids))
+    return _recalls(ids, len(number), np.array([len(d) for d in docs]))
+
+
+def _recalls(ids: np.ndarray, kinds: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of numbered words."""
+    owner, every = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(ids))
     at = np.flatnonzero(every - (np.cumsum(sizes) - sizes)[owner] >= 2)
-    before = (owner[at] * len(number) + ids[at - 2]) * len(number) + ids[at - 1]
-    order = np.argsort(before, kind="stable")
-    again = before[order[1:]] == before[order[:-1]]
+    before = ids[at - 2] * kinds + ids[at - 1]
+    if kinds ** 2 * (len(ids) + 1) < 1 << 63:  # pairs and places fit into one number each, which sorts faster
+        pair, order = np.divmod(np.sort(before * len(ids) + at), max(1, len(ids)))
+    else:
+        order = np.argsort(before, kind="stable")
+        pair, order = before[order], at[order]
+    again = (pair[1:] == pair[:-1]) & (owner[order[1:]] == owner[order[:-1]])
     earlier = np.full(len(ids), -1)
-    earlier[at[order[1:][again]]] = at[order[:-1][again]]
+    earlier[order[1:][again]] = order[:-1][again]
     hit = (earlier >= 0) & (ids[earlier] == ids)
     missed = np.maximum.accumulate(np.where(hit, -1, every))
     run = np.append(0, every[:-1] - missed[:-1])
     return np.where(earlier >= 0, np.searchsorted(RUNS, run, side="right"), -1), hit
 
 
+CODES = TONGUES + 2  # a pair's number is its word's number times this, plus its class
+
+
+def numbered(texts: pa.Array, classes: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """What ``keys`` gives for the texts, one behind the other: different words, each place's word and class, the texts' sizes."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))  # at the six blanks of bytes.split(); some parts are empty
+    parts, owner = found.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(found).to_numpy())
+    full = pc.binary_length(parts).to_numpy() > 0
+    word = parts.filter(pa.array(full)).dictionary_encode()
+    names = [*word.dictionary.cast(pa.binary()).to_pylist(), END]
+    sizes = np.bincount(owner[full], minlength=len(texts)) + 1
+    ids = np.full(int(sizes.sum()), len(names) - 1)
+    ids[np.delete(np.arange(len(ids)), np.cumsum(sizes) - 1)] = word.indices.to_numpy()
+    tells = np.array([classes.get(w, -1) if len(w) < 4 else -1 for w in names], np.int64)[ids]
+    every = np.arange(len(ids))
+    last = np.maximum.accumulate(np.where(tells >= 0, every, -1))
+    before = np.append(-1, last[:-1])
+    return names, ids, np.where(before >= np.repeat(np.cumsum(sizes) - sizes, sizes), tells[before], TONGUES), sizes
+
+
 MOST_SHORT = 400  # words that can have a class
 
 
@@ -248,16 +277,22 @@ def _count_pairs(texts: DataFrame, classes: dict[bytes, int], most: int = 200_00
         seen: Counter = Counter()
         for batch in batches:
             for b in slices(batch, "text", 256, 2 << 20):
-                docs = [keys(t, classes) for t in b.column("text").to_pylist()]
-                step, hit = recalls(docs)
+                names, ids, kind, sizes = numbered(b.column("text"), classes)
+                step, hit = _recalls(ids, len(names), sizes)
                 for code, n in enumerate(np.bincount((2 * step + hit)[step >= 0]).tolist()):
                     if n:
                         seen[RECALLED, bytes(divmod(code, 2))] += n
-                for d in docs:
-                    seen.update(d)
-                    if len(seen) > most:
-                        yield rows()
-                        seen.clear()
+                pair = ids * CODES + kind
+                times = np.bincount(pair)
+                first = np.zeros(len(times), np.int64)
+                first[pair[::-1]] = np.arange(len(pair))[::-1]
+                at = np.flatnonzero(times)
+                at = at[np.argsort(first[at])]  # as they come in the texts: what is learnt online depends on the order
+                for i, c, n in zip((at // CODES).tolist(), (at % CODES).tolist(), times[at].tolist()):
+                    seen[c, names[i]] += n
+                if len(seen) > most:
+                    yield rows()
+                    seen.clear()
         yield rows()
     return texts.mapInArrow(count, "class int, word binary, n bigint").groupBy("class", "word").agg(F.sum("n").alias("n"))
 
@@ -528,44 +563,30 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, i
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for b in slices(batch, "text", 256, 2 << 20):
-                docs = [keys(t, classes) for t in b.column("text").to_pylist()]
-                sizes = np.array([len(d) for d in docs])
+                names, ids, kind, sizes = numbered(b.column("text"), classes)
                 starts = np.cumsum(sizes) - sizes
-                step, hit = recalls(docs)
+                step, hit = _recalls(ids, len(names), sizes)
                 told = np.where(step >= 0, np.log10(np.where(hit, chances[step], 1 - chances[step])), 0.0)
-                recalled, hits = np.add.reduceat(told, starts), hit.tolist()
-                rest, ends, n_known, plain, costs = [], [0], [], [], []
-                for d, at in zip(docs, starts.tolist()):
-                    found = list(map(known_pairs.get, d))
-                    lost: dict[tuple[int, bytes], list[int]] = {}
-                    bases = cost = 0.0
-                    seen = 0
-                    for p, f, again in zip(d, found, hits[at:at + len(d)]):
-                        if f is not None:
-                            seen += 1
-                            bases += f[0]
-                            if not again:
-                                cost += f[1]
-                        else:
-                            times = lost.get(p)
-                            if times is None:
-                                lost[p] = [1, 1 - again]
-                            else:
-                                times[0] += 1
-                                times[1] += 1 - again
-                    rest.extend((*p, *times) for p, times in lost.items())
-                    ends.append(len(rest))
-                    n_known.append(seen)
-                    plain.append(bases)
-                    costs.append(cost)
-                lists = [pa.array(v, t) for v, t in zip(zip(*rest) if rest else [()] * 4, (pa.int32(), pa.binary(), pa.int64(), pa.int64()))]
+                pair, place = np.unique(ids * CODES + kind, return_inverse=True)
+                found = [known_pairs.get((c, names[i])) for i, c in zip((pair // CODES).tolist(), (pair % CODES).tolist())]
+                seen = np.array([f is not None for f in found])[place]
+                base, cost = np.array([f or (0.0, 0.0) for f in found])[place].T
+                add = lambda x: np.add.reduceat(x, starts)
+                lost = np.flatnonzero(~seen)
+                owner = np.repeat(np.arange(len(sizes)), sizes)[lost]
+                rest, which = np.unique(owner * len(pair) + place[lost], return_inverse=True)
+                text, code = rest // len(pair), pair[rest % len(pair)]
+                ends = np.searchsorted(text, np.arange(len(sizes) + 1))
+                lists = [pa.array(code % CODES, pa.int32()), pa.array([names[i] for i in (code // CODES).tolist()], pa.binary()),
+                         pa.array(np.bincount(which, minlength=len(rest)), pa.int64()),
+                         pa.array(np.bincount(which, ~hit[lost], len(rest)).astype(np.int64), pa.int64())]
                 rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(lists, ["class", "word", "times", "spelled"]))
+                length = np.array([len(w) for w in names])[ids]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(docs))), b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()),
-                     pa.array(plain, pa.float64()), pa.array(np.array(costs) + recalled),
-                     pa.array([sum(len(w) for _, w in d) + len(d) - 1 for d in docs], pa.int64()), rest],
+                    [pa.array(np.arange(row, row + len(sizes))), b.column("doc_id"), pa.array(sizes), pa.array(add(seen.astype(np.int64))),
+                     pa.array(add(base)), pa.array(add(np.where(hit, 0.0, cost) + told)), pa.array(add(length) + sizes - 1), rest],
                     ["row", "doc_id", "n_tokens", "known", "plain", "score", "n_bytes", "rest"])
-                row += len(docs)
+                row += len(sizes)
 
     def spelled(batches):
         model = shared.value

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stillwater.llm.common import words
@@ -130,3 +131,25 @@ def test_scores_do_not_depend_on_the_head(spark, odd, odd_rows, head):
     rows = odd_rows + [(100 + i, f"a word{i % 3} and a word{i % 5} a word{i % 3}") for i in range(40)]
     got = sorted((r.doc_id or 0, r.n_tokens, round(r.score, 3)) for r in score_documents(spark, documents(spark, rows), head=head).collect())
     assert got == sorted((r.doc_id or 0, r.n_tokens, round(r.score, 3)) for r in score_documents(spark, documents(spark, rows), head=50).collect())
+
+
+def test_numbered_places_are_the_keys():
+    """Places told by arrays, a slice of texts at once, are the pairs and recalls of the texts one by one; no pair is made per place."""
+    from stillwater.llm.lm_score import keys, numbered, recalls
+    draw = random.Random(3)
+    classes = {b"a": 0, b"b": 1, b"cc": 2, b"dddd": 3}
+    for _ in range(30):
+        texts = [" ".join(draw.choices(["A", "b", "cc", "dddd", "e", "long"], k=draw.randint(0, 30))) for _ in range(draw.randint(1, 9))] + [None, "", "a b a b a b", " \n ", "É\u00a0x\x1cy\x0b\x0cZ a  É"]
+        names, ids, kind, sizes = numbered(pa.array(texts, pa.string()), classes)
+        docs = [keys(t, classes) for t in texts]
+        assert [(k, names[i]) for i, k in zip(ids.tolist(), kind.tolist())] == [p for d in docs for p in d] and sizes.tolist() == list(map(len, docs))
+        step, hit = recalls(docs)
+        at, out = 0, []
+        for d in docs:  # the plain way: what followed the same two words last in this text
+            followed: dict = {}
+            for i, (_, w) in enumerate(d):
+                two = tuple(x for _, x in d[i - 2:i]) if i >= 2 else None
+                out.append((two in followed, followed.get(two) == w))
+                if two:
+                    followed[two] = w
+        assert [(bool(s >= 0), bool(h)) for s, h in zip(step, hit)] == out
