@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -268,11 +269,14 @@ def _content(piece: bytes, before: int) -> int:
     return xxhash.xxh3_64_intdigest(piece, before)
 
 
-def _anchor_batch(rows: list[tuple[int, int, bytes, int, int, int, int]]) -> pa.RecordBatch:
-    gram, content, key, place, before, behind, times = zip(*rows) if rows else [()] * 7
+def _anchor_batch(keys: list[bytes], times: list[int], found: list[tuple[int, list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of anchors, per text with some: its number, and their contents, grams, places and how far their surroundings reach before and behind."""
+    owner = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
+    content = np.array([c for f in found for c in f[1]], np.uint64).view(np.int64)
+    gram, place, before, behind = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(2, 6))
     return pa.RecordBatch.from_arrays(
-        [pa.array(gram, pa.int64()), pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(key, pa.binary()),
-         *(pa.array(v, pa.int32()) for v in (place, before, behind, times))], [*PLACE, "times"])
+        [pa.array(gram), pa.array(content), pa.array(keys, pa.binary()).take(pa.array(owner)),
+         *(pa.array(v.astype(np.int32)) for v in (place, before, behind, np.array(times, np.int64)[owner]))], [*PLACE, "times"])
 
 
 def _different(part: pa.RecordBatch) -> tuple[list[bytes], list[bytes], list[int]]:
@@ -292,10 +296,9 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
             for part in slices(b, "text", 500, 4 << 20):
                 (keys, raws, times), rows = _different(part), []
                 for i, places, grams in anchors(raws, length):
-                    raw, key, n = raws[i], keys[i], times[i]
-                    around = [v.tolist() for v in (grams, places, np.minimum(places, length - GRAM), np.minimum(len(raw) - places, length))]
-                    rows.extend((g, _content(raw[p - x:p + y], x), key, p, x, y, n) for g, p, x, y in zip(*around))
-                yield _anchor_batch(rows)
+                    raw, before, behind = raws[i], np.minimum(places, length - GRAM), np.minimum(len(raws[i]) - places, length)
+                    rows.append((i, [_content(raw[p - x:p + y], x) for p, x, y in zip(places.tolist(), before.tolist(), behind.tolist())], grams, places, before, behind))
+                yield _anchor_batch(keys, times, rows)
     return texts.mapInArrow(find, ANCHOR)
 
 
@@ -462,13 +465,22 @@ def word_anchors(raw: bytes, count: int, below: int) -> list[tuple[int, int, int
     """Anchors of all stretches of ``count`` words that are shorter than ``below`` bytes: gram, content, place (byte), and how many
     bytes before and behind it the stretches that hold the gram reach.
     """
+    found = _word_anchors(raw, count, below)
+    if found is None:
+        return []
+    contents, grams, *rest = found
+    return list(zip(grams.tolist(), contents, *(v.tolist() for v in rest)))
+
+
+def _word_anchors(raw: bytes, count: int, below: int) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """The same as columns, contents first; None if there are none."""
     starts, stops = word_edges(raw)
     last = len(starts) - count
     if last < 0:
-        return []
+        return None
     short = stops[count - 1:] - starts[:last + 1] < below
     if not short.any():
-        return []
+        return None
     size = min(GRAM_WORDS, count)
     width = count - size + 1
     inside = _sliding(np.maximum, np.concatenate([np.zeros(width - 1, bool), short, np.zeros(width - 1, bool)]), width)
@@ -483,9 +495,9 @@ def word_anchors(raw: bytes, count: int, below: int) -> list[tuple[int, int, int
     final = np.maximum.accumulate(np.where(short, every, 0))
     place, low = starts[found], starts[first[np.maximum(0, found - width + 1)]]
     high = stops[final[np.minimum(found, last)] + count - 1]
-    lists = [v.tolist() for v in (h[found].view(np.int64), place, place - low, high - place)]
-    contents = [_content(raw[p - x:p + y], x) for p, x, y in zip(*lists[1:])]
-    return list(zip(lists[0], contents, *lists[1:]))
+    before, behind = place - low, high - place
+    contents = [_content(raw[p - x:p + y], x) for p, x, y in zip(place.tolist(), before.tolist(), behind.tolist())]
+    return contents, h[found].view(np.int64), place, before, behind
 
 
 _powers = np.ones((2, 1), np.uint64)  # of an odd number and its inverse
@@ -505,20 +517,24 @@ def _stretch_hashes(raw: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarr
 
 def word_stretches(raw: bytes, places: list[int], count: int, below: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per anchor the hashes, starts and stops of the stretches that hold its gram."""
+    ends, *told = _word_stretches(raw, np.array(places), count, below)
+    return list(zip(*(np.split(v, ends[1:-1]) for v in told)))
+
+
+def _word_stretches(raw: bytes, places: np.ndarray, count: int, below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same of all anchors one behind the other, and where each one's begin and the last one's end."""
     starts, stops = word_edges(raw)
-    before = count - min(GRAM_WORDS, count)
-    known: dict[int, int] = {}
-    out = []
-    for w in np.searchsorted(starts, places).tolist():
-        at = np.arange(max(0, w - before), min(w, len(starts) - count) + 1)
-        x, y = starts[at], stops[at + count - 1]
-        short = y - x < below
-        x, y = x[short], y[short]
-        for p, q in zip(x.tolist(), y.tolist()):
-            if p not in known:
-                known[p] = xxhash.xxh3_64_intdigest(raw[p:q])
-        out.append((np.array([known[p] for p in x.tolist()], np.uint64).view(np.int64), x.astype(np.int32), y.astype(np.int32)))
-    return out
+    word = np.searchsorted(starts, places)
+    first = np.maximum(0, word - (count - min(GRAM_WORDS, count)))
+    size = np.minimum(word, len(starts) - count) + 1 - first
+    owner = np.repeat(np.arange(len(places)), size)
+    at = np.arange(len(owner)) + np.repeat(first - (np.cumsum(size) - size), size)
+    short = stops[at + count - 1] - starts[at] < below
+    at, owner = at[short], owner[short]
+    different, which = np.unique(at, return_inverse=True)
+    x, y = starts[different], stops[different + count - 1]
+    h = np.array([xxhash.xxh3_64_intdigest(raw[p:q]) for p, q in zip(x.tolist(), y.tolist())], np.uint64).view(np.int64)
+    return np.searchsorted(owner, np.arange(len(places) + 1)), h[which], x[which].astype(np.int32), y[which].astype(np.int32)
 
 
 def repeated_stretches(members: list[tuple[bytes, int, np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[int, int, int]]:
@@ -526,18 +542,29 @@ def repeated_stretches(members: list[tuple[bytes, int, np.ndarray, np.ndarray, n
     twice: their number, and start and stop of the bytes in such stretches.
     """
     number: dict[bytes, int] = {}
-    size = np.array([len(m[2]) for m in members])
-    owner = np.repeat(np.arange(len(members)), size)
-    text = np.array([number.setdefault(m[0], len(number)) for m in members])[owner]
-    same = np.array([m[1] for m in members])[owner]
-    h, start, stop = (np.concatenate([m[i] for m in members]) for i in (2, 3, 4))
+    text = np.array([number.setdefault(m[0], len(number)) for m in members])
+    return _repeated(text, np.array([m[1] for m in members]), np.array([len(m[2]) for m in members]), *(np.concatenate([m[i] for m in members]) for i in (2, 3, 4)))
+
+
+def _repeated(text: np.ndarray, same: np.ndarray, size: np.ndarray, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int, int]]:
+    """The same of numbered texts, with the number of each member's stretches and all stretches one behind the other."""
+    owner = np.repeat(np.arange(len(size)), size)
+    if not len(h):
+        return []
+    order = np.argsort(h)
+    again = h[order[1:]] == h[order[:-1]]
+    often = order[np.append(again, False) | np.append(False, again) | (same[owner[order]] > 1)]  # all others occur once
+    if not len(often):
+        return []
+    h, start, stop, owner = (v[often] for v in (h, start, stop, owner))
+    text, same = text[owner], same[owner]
     order = np.lexsort((-same, start, text, h))  # a place that two anchors tell is one
     h, start, stop, owner, text, same = (v[order] for v in (h, start, stop, owner, text, same))
     other = np.append(True, h[1:] != h[:-1])
     first = other | np.append(True, (text[1:] != text[:-1]) | (start[1:] != start[:-1]))
     kind = np.cumsum(other) - 1
     twice = np.bincount(kind, np.where(first, same, 0))[kind] > 1
-    low, high = np.full(len(members), np.iinfo(np.int32).max), np.full(len(members), -1)
+    low, high = np.full(len(size), np.iinfo(np.int32).max), np.full(len(size), -1)
     np.minimum.at(low, owner[twice], start[twice])
     np.maximum.at(high, owner[twice], stop[twice])
     return [(i, int(low[i]), int(high[i])) for i in np.flatnonzero(high >= 0).tolist()]
@@ -555,8 +582,8 @@ def _word_kinds(texts: DataFrame, count: int, below: int) -> tuple[DataFrame, Da
         release_memory()
         for b in batches:
             for part in slices(b, "text", 500, 4 << 20):
-                yield _anchor_batch([(g, content, key, p, before, behind, n) for key, raw, n in zip(*_different(part))
-                                     for g, content, p, before, behind in word_anchors(raw, count, below)])
+                keys, raws, times = _different(part)
+                yield _anchor_batch(keys, times, [(i, *found) for i, raw in enumerate(raws) if (found := _word_anchors(raw, count, below))])
     return _kinds(texts.mapInArrow(find, ANCHOR), "word-anchors", F.sum("times"))
 
 
@@ -575,16 +602,18 @@ def _word_spans(texts: DataFrame, known: DataFrame, kinds: DataFrame, count: int
         for key, raw, found in _per_text(batches):
             for i in range(0, len(found), 2000):
                 some = found[i:i + 2000]
-                told = word_stretches(raw, [a["place"] for a in some], count, below)
+                ends, *told = _word_stretches(raw, np.array([a["place"] for a in some]), count, below)
+                ends = pa.array(ends, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a["gram"] % buckets for a in some]), *(pa.array([a[n] for a in some], pa.int64()) for n in ("gram", "content")),
                      pa.array([key] * len(some), pa.binary()), pa.array([a["place"] for a in some], pa.int32()), pa.array([a["same"] for a in some], pa.int64()),
-                     *(pa.array([t[k] for t in told], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32())))],
+                     *(pa.ListArray.from_arrays(ends, pa.array(t)) for t in told)],
                     ["bucket", "gram", "content", "key", "place", "same", "hashes", "starts", "stops"])
 
     def meet(group: pa.Table) -> pa.Table:
-        lists = [[v.values.to_numpy() for v in group.column(n).combine_chunks()] for n in ("hashes", "starts", "stops")]
-        found = repeated_stretches(list(zip(group.column("key").to_pylist(), group.column("same").to_pylist(), *lists)))
+        text = group.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
+        lists = [pc.list_flatten(group.column(n).combine_chunks()).to_numpy() for n in ("hashes", "starts", "stops")]
+        found = _repeated(text, group.column("same").to_numpy(), pc.list_value_length(group.column("hashes").combine_chunks()).to_numpy(), *lists)
         lists.clear()
         release_memory()
         gram, content, place = (group.column(n).to_pylist() for n in ("gram", "content", "place"))

@@ -196,3 +196,39 @@ def test_anchors_are_shuffled_once(spark, monkeypatch):
     every = spark.createDataFrame([(bytes([i] * 16),) for i in range(200)], "key binary")
     may_have = {bytes(r.key)[0] for r in repeats._flagged(every, "key", keys, "_bits").where("_bits").collect()}
     assert set(range(0, 200, 2)) <= may_have and len(may_have) < 110
+
+
+def test_stretches_and_anchors_as_columns():
+    """Columns of all anchors tell what each anchor by itself tells, and only stretches that occur twice are sorted by all keys."""
+    import numpy as np
+
+    from stillwater.llm.repeats import _anchor_batch, _repeated, _word_anchors, _word_stretches
+    draw = random.Random(6)
+    words = [f"w{i}".encode() for i in range(9)]
+    texts = [b" ".join(draw.choices(words, k=n)) + b" " + b"x" * n for n in (3, 60, 200, 200, 90)]
+    assert _word_anchors(texts[0], 51, 250) is None and _anchor_batch([], [], []).num_rows == 0
+    for raw in texts[1:]:
+        contents, grams, place, before, behind = _word_anchors(raw, 51, 250)
+        assert list(zip(grams.tolist(), contents, place.tolist(), before.tolist(), behind.tolist())) == word_anchors(raw, 51, 250)
+        starts, stops = (x.tolist() for x in word_edges(raw))
+        ends, h, first, last = _word_stretches(raw, place, 51, 250)
+        for i, p in enumerate(place.tolist()):
+            w, told = starts.index(p), slice(ends[i], ends[i + 1])
+            want = [(starts[j], stops[j + 50]) for j in range(max(0, w - 39), min(w, len(starts) - 51) + 1) if stops[j + 50] - starts[j] < 250]
+            assert list(zip(first[told].tolist(), last[told].tolist())) == want and len(h[told]) == len(want)
+    for seed in range(30):
+        draw = random.Random(seed)
+        members = [(draw.choice("abc"), draw.choice([1, 1, 1, 2]), *(np.array([draw.randrange(4) for _ in range(n)], np.int64) for _ in range(2))) for n in draw.choices(range(4), k=6)]
+        places, want = defaultdict(dict), []
+        for key, same, h, x in members:
+            for a, b in zip(h.tolist(), x.tolist()):
+                places[a][key, b] = max(same, places[a].get((key, b), 0))
+        for i, (*_, h, x) in enumerate(members):
+            away = [b for a, b in zip(h.tolist(), x.tolist()) if sum(places[a].values()) > 1]
+            want += [(i, min(away), max(away) + 5)] if away else []
+        number = np.array(["abc".index(m[0]) for m in members])
+        flat = [np.concatenate([m[k] for m in members]) for k in (2, 3)]
+        got = _repeated(number, np.array([m[1] for m in members]), np.array([len(m[2]) for m in members]), *flat, flat[1] + 5)
+        assert got == want == repeated_stretches([(*m, m[3] + 5) for m in members])
+    none = np.zeros(0, np.int64)
+    assert _repeated(np.array([0]), np.array([1]), np.array([0]), none, none, none) == _repeated(np.array([0]), np.array([1]), np.array([1]), *np.ones((3, 1), np.int64)) == []
