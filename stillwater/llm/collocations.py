@@ -11,10 +11,10 @@ words of a piece, which no edge begins with. Only these longest grams are counte
   the longer ones leave and the pieces that end there.
 
 Exact filters keep the graph small; none ever gives a count. Words rarer than a candidate can be end a piece, and from each
-place the walk goes on only while its pairs and triples of words can be frequent: where it stops within five words, it
+place the walk goes on only while its pairs, triples and fours of words can be frequent: where it stops within five words, it
 ends like a piece. All are told by bits of fixed number, set from sums over all of the corpus per hash address, which are
 never smaller than the true counts. If many words share an address, more is let through, which costs time and changes no
-result.
+result. Walks are dealt to tasks by language, and a task counts a gram over all of its walks, so that few tasks hand on the same gram.
 
 Defined results: a missing text is empty; a missing language is ``und``; repeated rows count as often as they occur; texts are
 read whole, in portions that end with a piece (one piece without any end needs memory of its size); an empty table
@@ -140,25 +140,37 @@ def _read_walks(batches):
             yield lang.as_py(), words, places, h, np.append(real[1:] & real[:-1], False)
 
 
-def _reach(h: np.ndarray, both: np.ndarray, pairs: Bits, triples: Bits | None) -> tuple[np.ndarray, np.ndarray]:
-    """Whether a pair that can be frequent begins at each place, and whether such a triple does (of frequent pairs, if nothing is known)."""
-    pair, triple = np.zeros(len(h) + 3, bool), np.zeros(len(h) + 3, bool)
-    at = np.flatnonzero(both)
-    pair[at] = pairs.has(_pair_hash(h[at], h[at + 1]))
-    at = np.flatnonzero(pair[:-1] & pair[1:])
-    triple[at] = True if triples is None else triples.has(_triple_hash(h, at))
-    return pair, triple
+def _gram_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    out = h[at]
+    for i in range(1, k):
+        out = _pair_hash(out, h[at + i])
+    return out
 
 
-def _triple_hash(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return _pair_hash(_pair_hash(h[at], h[at + 1]), h[at + 2])
+def _reach(h: np.ndarray, both: np.ndarray, known: list[Bits]) -> list[np.ndarray]:
+    """Whether a gram of two words that can be frequent begins at each place, of three words and so on: as many as ``known`` tells, and
+    below ``LONGEST`` one more, whose two parts can be frequent.
+    """
+    out, can = [], both
+    for k in range(2, min(len(known) + 2, LONGEST) + 1):
+        at, found = np.flatnonzero(can), np.zeros(len(h) + LONGEST, bool)
+        found[at] = known[k - 2].has(_gram_hash(h, at, k)) if k - 2 < len(known) else True
+        out.append(found)
+        can = found[:-1] & found[1:]
+    return out
+
 
+def _known(shared: list, power: int) -> list[Bits]:
+    """The broadcast bits, shorter grams first."""
+    return worker_cache(("bits", *(s.value[0] for s in shared)), lambda: [Bits(s.value[1], power) for s in shared])
 
-def _load(walks: DataFrame, power: int, hashes) -> DataFrame:
-    """``place, n``: what ``hashes`` gives for the walks counted by hash address, each task's sum once."""
+
+def _load(walks: DataFrame, shared: list, power: int) -> DataFrame:
+    """``place, n``: the grams of one word more than ``shared`` tells, if their two parts can be frequent, counted by hash address, each task's sum once."""
     def load(batches):
-        n = np.zeros(1 << power, np.int32)
-        for h in hashes(_read_walks(batches)):
+        n, known, k = np.zeros(1 << power, np.int32), _known(shared, power), len(shared) + 2
+        for *_, h, both in _read_walks(batches):
+            h = _gram_hash(h, np.flatnonzero(_reach(h, both, known)[-1][:len(h)]), k)
             place, times = np.unique(h & np.uint64((1 << power) - 1), return_counts=True)
             n[place.astype(np.int64)] += times.astype(np.int32)
         at = np.flatnonzero(n)
@@ -168,14 +180,37 @@ def _load(walks: DataFrame, power: int, hashes) -> DataFrame:
     return walks.mapInArrow(load, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
 
 
-def _grams(walks: DataFrame, pairs, triples, power: int) -> DataFrame:
-    """``lang, k, gram, n``: edges (five words), and the two to four words from places where a way stops earlier."""
-    def count(batches):
-        known = worker_cache(("bits", triples.value[0]), lambda: (Bits(pairs.value[1], power), Bits(triples.value[1], power)))
+def _summed(batches, most: int):
+    """Counts of the same gram as one row, over all batches of a task; more than ``most`` rows are not held."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size > most:
+            total = _added(held)
+            held, size = total.to_batches(), total.num_rows
+            if 2 * size > most:
+                yield from held
+                held, size = [], 0
+    if held:
+        yield from _added(held).to_batches()
+
+
+def _added(batches: list[pa.RecordBatch]) -> pa.Table:
+    keys = ["lang", "k", "gram"]
+    return pa.Table.from_batches(batches).group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select([*keys, "n"])
+
+
+def _grams(walks: DataFrame, shared: list, power: int, hold: int = 1 << 19) -> DataFrame:
+    """``lang, k, gram, n``: edges (five words), and the two to four words from places where a way stops earlier.
+
+    A task counts a gram over all of its walks before it hands it on.
+    """
+    def found(batches):
+        known = _known(shared, power)
         for lang, words, places, h, both in _read_walks(batches):
-            pair, triple = _reach(h, both, *known)
             size = len(h)
-            steps = [pair[:size], triple[:size], triple[1:size + 1], triple[2:size + 2]]
+            steps = [can[:size] for can in _reach(h, both, known)]
             reach = np.ones(size, np.int8) + np.logical_and.accumulate(steps).sum(0, dtype=np.int8)
             for k in range(2, LONGEST + 1):
                 at = np.flatnonzero(reach == k)
@@ -185,6 +220,9 @@ def _grams(walks: DataFrame, pairs, triples, power: int) -> DataFrame:
                     grams = [" ".join([words[i] for i in r]) for r in kinds.view(np.int32).reshape(-1, k).tolist()]
                     yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), pa.repeat(pa.scalar(k, pa.int32()), len(n)), pa.array(grams, pa.string()),
                                                       pa.array(n.astype(np.int64))], ["lang", "k", "gram", "n"])
+
+    def count(batches):
+        yield from _summed(found(batches), hold)
     return walks.mapInArrow(count, "lang string, k int, gram string, n bigint").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -247,17 +285,11 @@ def phrase_counts(docs: DataFrame, min_count: int = 100, words_power: int = 23,
         return shared(load.where(F.col("n") >= min_count).select(F.col("place").cast("bigint").alias("place")))
 
     frequent = shared(frequent_words.select(place.alias("place")))
-    walks = stored(_marked_walks(texts, frequent, words_power), "walks")
-    pairs = heavy(_load(walks, grams_power, lambda found: (_pair_hash(h[at], h[at + 1]) for *_, h, both in found if len(at := np.flatnonzero(both)))))
-
-    def triple_hashes(found):
-        known = worker_cache(("bits", pairs.value[0]), lambda: Bits(pairs.value[1], grams_power))
-        for *_, h, both in found:
-            at = np.flatnonzero(_reach(h, both, known, None)[1])
-            yield _triple_hash(h, at)
-
-    triples = heavy(_load(walks, grams_power, triple_hashes))
-    grams = stored(_grams(walks, pairs, triples, grams_power), "grams")
+    walks = stored(_marked_walks(texts, frequent, words_power).repartitionByRange("lang", F.xxhash64("places")), "walks")
+    filters: list = []
+    while len(filters) < LONGEST - 2:
+        filters.append(heavy(_load(walks, filters, grams_power)))
+    grams = stored(_grams(walks, filters, grams_power), "grams")
     paths, single = compact(grams, min_count)
     on_paths = stored(paths, "paths").select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), "starts"), lambda i: F.array_join(
         F.slice("path", i, LONGEST), " "))).alias("gram"))

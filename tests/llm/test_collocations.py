@@ -103,3 +103,16 @@ def test_large_products_stay_exact(spark):
     big = 10 ** 12 + 39
     got = spark.createDataFrame([(big, big + 2, big + 4, 10 ** 15 + 7)], "a bigint, l bigint, r bigint, n bigint").select(cut_score()).first()[0]
     assert got == 1000 * big * (10 ** 15 + 7) // ((big + 2) * (big + 4))
+
+
+def test_a_task_hands_on_each_gram_once(spark, rows):
+    """Counts of a task's walks are summed before they leave it, whatever it may hold."""
+    import pyarrow as pa
+
+    from stillwater.llm.collocations import _summed
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array([2, 2, 3], pa.int32()), pa.array(["a b", "b c", "a b c"]), pa.array([1, 2, 3])], ["lang", "k", "gram", "n"])
+    for most, times in ((1 << 19, 1), (3, 3), (8, 1)):
+        found = pa.Table.from_batches(_summed(iter([batch] * 6), most)).to_pylist()
+        assert len(found) == 3 * times
+        assert sum(r["n"] for r in found if r["gram"] == "b c") == 12
+    assert list(_summed(iter([]), 9)) == []
