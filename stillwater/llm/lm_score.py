@@ -27,7 +27,6 @@ the predictors know nothing and the base is that of an unknown word; other colum
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections import Counter
 from typing import NamedTuple
 
@@ -154,26 +153,40 @@ def _recalls(ids: np.ndarray, kinds: int, sizes: np.ndarray) -> tuple[np.ndarray
     return np.where(earlier >= 0, np.searchsorted(RUNS, run, side="right"), -1), hit
 
 
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of the texts and the number of each one's text; some are empty."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))  # at the six blanks of bytes.split()
+    return found.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(found).to_numpy())
+
+
 CODES = TONGUES + 2  # a pair's number is its word's number times this, plus its class
 
 
 def numbered(texts: pa.Array, classes: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """What ``keys`` gives for the texts, one behind the other: different words, each place's word and class, the texts' sizes."""
-    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))  # at the six blanks of bytes.split(); some parts are empty
-    parts, owner = found.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(found).to_numpy())
+    names, *rest = _numbered(texts, classes)
+    return names.to_pylist(), *rest
+
+
+def _numbered(texts: pa.Array, classes: dict[bytes, int]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The same with the words as an array."""
+    parts, owner = _split(texts)
     full = pc.binary_length(parts).to_numpy() > 0
     word = parts.filter(pa.array(full)).dictionary_encode()
-    names = [*word.dictionary.cast(pa.binary()).to_pylist(), END]
+    names = pa.concat_arrays([word.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
     sizes = np.bincount(owner[full], minlength=len(texts)) + 1
     ids = np.full(int(sizes.sum()), len(names) - 1)
     ids[np.delete(np.arange(len(ids)), np.cumsum(sizes) - 1)] = word.indices.to_numpy()
-    tells = np.array([classes.get(w, -1) if len(w) < 4 else -1 for w in names], np.int64)[ids]
+    tells, short = np.full(len(names), -1), np.flatnonzero(pc.binary_length(names).to_numpy() < 4)
+    tells[short] = [classes.get(w, -1) for w in names.take(pa.array(short)).to_pylist()]
+    tells = tells[ids]
     every = np.arange(len(ids))
     last = np.maximum.accumulate(np.where(tells >= 0, every, -1))
     before = np.append(-1, last[:-1])
     return names, ids, np.where(before >= np.repeat(np.cumsum(sizes) - sizes, sizes), tells[before], TONGUES), sizes
 
 
+SLICE = 2048, 4 << 20  # rows and bytes of texts that are numbered together
 MOST_SHORT = 400  # words that can have a class
 
 
@@ -233,10 +246,17 @@ def corpus_tongues(texts: DataFrame, most: int = MOST_SHORT) -> dict[bytes, int]
     """The same of all texts of a table; a matrix of fixed size reaches the driver."""
     def short(batches):
         for batch in batches:
-            for b in slices(batch, "text", 2000, 4 << 20):
-                found = [_short(words(t)) for t in b.column("text").to_pylist()]
+            for b in slices(batch, "text", *SLICE):
+                parts, owner = _split(b.column("text"))
+                size = pc.binary_length(parts).to_numpy()
+                few = (size > 0) & (size < 4)
+                word = parts.filter(pa.array(few)).dictionary_encode()
+                kinds = max(1, len(word.dictionary))
+                pair, times = np.unique(owner[few] * kinds + word.indices.to_numpy(), return_counts=True)
+                ends = pa.array(np.searchsorted(pair, np.arange(b.num_rows + 1) * kinds), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([list(f) for f in found], pa.list_(pa.binary())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], ["words", "times"])
+                    [pa.ListArray.from_arrays(ends, word.dictionary.cast(pa.binary()).take(pa.array(pair % kinds))), pa.ListArray.from_arrays(ends, pa.array(times))],
+                    ["words", "times"])
 
     found = stored(texts.select("text").mapInArrow(short, "words array<binary>, times array<bigint>").where(F.size("words") > 0), "short-words")
     total = found.select(F.explode(F.arrays_zip("words", "times")).alias("s")).groupBy(F.col("s.words").alias("word")).agg(F.sum("s.times").alias("n"))
@@ -263,37 +283,47 @@ def corpus_tongues(texts: DataFrame, most: int = MOST_SHORT) -> dict[bytes, int]
     return _classes(common, together, n)
 
 
+def _pair_rows(kind: np.ndarray, word: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), word, pa.array(n)], ["class", "word", "n"])
+
+
+def _added(rows: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Counts of the same pair as one row, in the order in which pairs come first."""
+    table = pa.Table.from_batches(rows)
+    total = table.append_column("at", pa.array(np.arange(len(table)))).group_by(["class", "word"], use_threads=False).aggregate([("n", "sum"), ("at", "min")])
+    return total.take(pc.sort_indices(total["at_min"])).select(["class", "word", "n_sum"]).rename_columns(["class", "word", "n"]).combine_chunks().to_batches()
+
+
 def _count_pairs(texts: DataFrame, classes: dict[bytes, int], most: int = 200_000) -> DataFrame:
     """How often each (class, word) occurs; in rows of the class ``RECALLED``, whose word is a step and whether the recall
     came true, how often that was.
     """
     def count(batches):
-        def rows():
-            pairs = list(seen)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in pairs], pa.int32()), pa.array([w for _, w in pairs], pa.binary()), pa.array([seen[p] for p in pairs], pa.int64())],
-                ["class", "word", "n"])
         worker_cache("none", dict)  # room for this step
-        seen: Counter = Counter()
+        held, size, came = [], 0, np.zeros((len(RUNS) + 1) * 2, np.int64)
         for batch in batches:
-            for b in slices(batch, "text", 256, 2 << 20):
-                names, ids, kind, sizes = numbered(b.column("text"), classes)
+            for b in slices(batch, "text", *SLICE):
+                names, ids, kind, sizes = _numbered(b.column("text"), classes)
                 step, hit = _recalls(ids, len(names), sizes)
-                for code, n in enumerate(np.bincount((2 * step + hit)[step >= 0]).tolist()):
-                    if n:
-                        seen[RECALLED, bytes(divmod(code, 2))] += n
+                came += np.bincount((2 * step + hit)[step >= 0], minlength=len(came))
                 pair = ids * CODES + kind
                 times = np.bincount(pair)
                 first = np.zeros(len(times), np.int64)
                 first[pair[::-1]] = np.arange(len(pair))[::-1]
                 at = np.flatnonzero(times)
                 at = at[np.argsort(first[at])]  # as they come in the texts: what is learnt online depends on the order
-                for i, c, n in zip((at // CODES).tolist(), (at % CODES).tolist(), times[at].tolist()):
-                    seen[c, names[i]] += n
-                if len(seen) > most:
-                    yield rows()
-                    seen.clear()
-        yield rows()
+                held.append(_pair_rows(at % CODES, names.take(pa.array(at // CODES)), times[at]))
+                size += len(at)
+                if size > 2 * most:
+                    held = _added(held)
+                    size = sum(h.num_rows for h in held)
+                    if size > most:
+                        yield from held
+                        held, size = [], 0
+        if held:
+            yield from _added(held)
+        code = np.flatnonzero(came)
+        yield _pair_rows(np.full(len(code), RECALLED), pa.array([bytes(divmod(c, 2)) for c in code.tolist()], pa.binary()), came[code])
     return texts.mapInArrow(count, "class int, word binary, n bigint").groupBy("class", "word").agg(F.sum("n").alias("n"))
 
 
@@ -351,6 +381,14 @@ def in_tables(counts: list[np.ndarray]) -> Tables:
     return Tables([_logit(c[0], c[1]).astype(np.float16) for c in counts], [_seen(counts[i].sum(0)) for i in SEEN_BY], [_scaled(c) for c in counts])
 
 
+def _packed(block: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(block), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw, 2 * BLOCK * 4, codec="zstd"), np.float32)
+
+
 def _tables(pairs: DataFrame, code: Code) -> Tables:
     """Counts over all pairs; tasks send blocks of their tables, blocks are summed."""
     first = np.cumsum([0, *[(1 << b) // BLOCK for b in BITS]])  # number of each table's first block
@@ -365,22 +403,22 @@ def _tables(pairs: DataFrame, code: Code) -> Tables:
                 for t, s in zip(total, slots):
                     np.add.at(t.reshape(-1), s + branch * t.shape[1], weight)
         for i, t in enumerate(total or ()):
-            rows = [(int(first[i]) + b, zlib.compress(np.ascontiguousarray(part).tobytes(), 1)) for b in range(t.shape[1] // BLOCK)
+            rows = [(int(first[i]) + b, _packed(part)) for b in range(t.shape[1] // BLOCK)
                     if (part := t[:, b * BLOCK:(b + 1) * BLOCK]).any()]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["block", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(2 * BLOCK, np.float32)
         for raw in group.column("counts"):
-            total += np.frombuffer(zlib.decompress(raw.as_py()), np.float32)
-        return pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "counts": [zlib.compress(total.tobytes(), 1)]})
+            total += _unpacked(raw.as_py())
+        return pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "counts": [_packed(total)]})
 
     schema = "block int, counts binary"
     out = Tables([np.zeros(1 << b, np.float16) for b in BITS], [np.zeros(1 << BITS[i], np.uint8) for i in SEEN_BY], [np.zeros((2, 1 << b), np.float16) for b in BITS])
     for r in pairs.mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toLocalIterator():  # tables of fixed size
         i = int(np.searchsorted(first, r["block"], side="right")) - 1
         at = (r["block"] - int(first[i])) * BLOCK
-        block = np.frombuffer(zlib.decompress(r["counts"]), np.float32).reshape(2, BLOCK)
+        block = _unpacked(bytes(r["counts"])).reshape(2, BLOCK)
         out.logits[i][at:at + BLOCK] = _logit(*block)
         out.counts[i][:, at:at + BLOCK] = _scaled(block)
         if i in SEEN_BY:
@@ -393,7 +431,10 @@ def _logit(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 def _seen(n: np.ndarray) -> np.ndarray:
-    return np.searchsorted(np.array([0.5, 1.5, 4.5, 20.5]), n, side="right").astype(np.uint8)
+    out = (n >= 0.5).astype(np.uint8)
+    for least in (1.5, 4.5, 20.5):
+        out += n >= least
+    return out
 
 
 class Model(NamedTuple):
@@ -406,8 +447,8 @@ class Model(NamedTuple):
     def bits(self, pairs: list[tuple[int, bytes]]) -> np.ndarray:
         """log10 probability of each pair."""
         slots, branch, owner, place = spell(pairs, self.code)
-        x = np.stack([self.logits[i][s] for i, s in enumerate(slots)]).astype(np.float32)
-        gate = _gate([self.seen[k][slots[i]] for k, i in enumerate(SEEN_BY)])
+        x = np.stack([self.logits[i].take(s) for i, s in enumerate(slots)]).astype(np.float32)
+        gate = _gate([self.seen[k].take(slots[i]) for k, i in enumerate(SEEN_BY)])
         p = self.probability(x, gate, place)
         cost = np.log10(np.where(branch, p, 1 - p))
         ends = np.flatnonzero(np.append(owner[1:] != owner[:-1], True))
@@ -415,15 +456,24 @@ class Model(NamedTuple):
         return np.diff(sums, prepend=0.0)
 
     def probability(self, x: np.ndarray, gate: np.ndarray, place: np.ndarray) -> np.ndarray:
-        z = np.clip((self.weights[gate].T * x).sum(0), -11.9, 11.9)
+        z = np.clip(_mixed(self.weights, gate, x), -11.9, 11.9)
         p = 1 / (1 + np.exp(-z))
         at = (z + 12) * (self.refined.shape[1] - 1) / 24
         low = at.astype(np.int64)
         part = at - low
-        q = self.refined[place, low] * (1 - part) + self.refined[place, low + 1] * part
+        cell = place * self.refined.shape[1] + low
+        q = self.refined.take(cell) * (1 - part) + self.refined.take(cell + 1) * part
         return np.clip((p + q) / 2, 1e-6, 1 - 1e-6)
 
 
+def _mixed(weights: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The predictors' logits, weighted as the gate says."""
+    out = weights[:, 0].take(gate) * x[0]
+    for w, more in zip(weights.T[1:], x[1:]):
+        out += w.take(gate) * more
+    return out
+
+
 def _gate(steps: list[np.ndarray]) -> np.ndarray:
     out = steps[0].astype(np.int64)
     for s in steps[1:]:
@@ -431,6 +481,11 @@ def _gate(steps: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+_FIRST, _SECOND = np.tril_indices(PREDICTORS)
+_CELLS = np.zeros((PREDICTORS, PREDICTORS), np.int64)  # of a symmetric matrix, where its half is in these
+_CELLS[_FIRST, _SECOND] = _CELLS[_SECOND, _FIRST] = np.arange(len(_FIRST))
+
+
 class Learner:
     """Mixing weights and the probability map, learnt online from pairs of the corpus without one occurrence each.
 
@@ -438,7 +493,7 @@ class Learner:
     """
 
     def __init__(self, code: Code, counts: list[np.ndarray]):
-        self.code, self.counts = code, counts
+        self.code, self.both = code, [np.ascontiguousarray(c.T).view(np.uint32).ravel() for c in counts]  # a slot's two counts side by side
         self.steps = np.linspace(-12, 12, 49)
         self.weights = np.full((GATES, PREDICTORS), START)
         self.curvature = np.tile(STIFF * np.eye(PREDICTORS), (GATES, 1, 1))
@@ -448,23 +503,28 @@ class Learner:
     def feed(self, pairs: list[tuple[int, bytes]], n: np.ndarray, step: int = 4096, most_times: float = 1000.0) -> None:
         times = np.minimum(n, most_times)
         slots, branch, owner, place = spell(pairs, self.code)
-        own0, own1 = (~branch).astype(np.float32), branch.astype(np.float32)
-        seen = [(c[0][s].astype(np.float32), c[1][s].astype(np.float32)) for c, s in zip(self.counts, slots)]
-        x = np.stack([_logit(np.maximum(n0 - own0, 0), np.maximum(n1 - own1, 0)) for n0, n1 in seen])
-        gate = _gate([_seen(np.maximum(seen[i][0] + seen[i][1] - 1, 0)) for i in SEEN_BY])
+        own1 = branch.astype(np.float32)
+        x, steps = np.empty((PREDICTORS, len(branch)), np.float32), []
+        for i, slot in enumerate(slots):
+            n0, n1 = np.ascontiguousarray(self.both[i].take(slot).view(np.float16).reshape(-1, 2).T).astype(np.float32)
+            x[i] = _logit(np.maximum(n0 - (1 - own1), 0), np.maximum(n1 - own1, 0))
+            if i in SEEN_BY:
+                steps.append(_seen(np.maximum(n0 + n1 - 1, 0)))
+        gate = _gate(steps)
         for at in range(0, len(branch), step):
             cut = slice(at, at + step)
-            z = np.clip((self.weights[gate[cut]].T * x[:, cut]).sum(0), -11.9, 11.9)
+            g, y = gate[cut], x[:, cut].astype(np.float64)
+            z = np.clip(_mixed(self.weights, g, y), -11.9, 11.9)
             p = 1 / (1 + np.exp(-z))
             w = times[owner[cut]]
-            error, bend, g = (branch[cut] - p) * w, p * (1 - p) * w, gate[cut]
-            slope = np.stack([np.bincount(g, error * x[i, cut], GATES) for i in range(PREDICTORS)], 1)
-            for i in range(PREDICTORS):
-                for j in range(i + 1):
-                    more = np.bincount(g, bend * x[i, cut] * x[j, cut], GATES)
-                    self.curvature[:, i, j] += more
-                    self.curvature[:, j, i] += more * (i != j)
-            self.weights += np.linalg.solve(self.curvature, slope[:, :, None])[:, :, 0]
+            order = np.argsort(g.astype(np.uint8), kind="stable")
+            met = g.take(order)
+            starts = np.flatnonzero(np.append(True, met[1:] != met[:-1]))
+            met, y = met[starts], y.take(order, axis=1)
+            slope = np.add.reduceat(((branch[cut] - p) * w).take(order) * y, starts, axis=1).T
+            bent = (p * (1 - p) * w).take(order) * y
+            self.curvature[met] += np.add.reduceat(bent[_FIRST] * y[_SECOND], starts, axis=1)[_CELLS].transpose(2, 0, 1)
+            self.weights[met] += np.linalg.solve(self.curvature[met], slope[:, :, None])[:, :, 0]
             cell = place[cut] * 49 + np.rint((z + 12) * 2).astype(int)
             self.hits += np.bincount(cell, w, self.hits.size).reshape(self.hits.shape)
             self.ones += np.bincount(cell, w * branch[cut], self.ones.size).reshape(self.ones.shape)
@@ -531,6 +591,14 @@ def _costs(model: Model, pairs: list[tuple[int, bytes]], most_bytes: int = 24_00
     return np.concatenate(out) if out else np.zeros(0)
 
 
+def _by_word(pairs: list[tuple[int, bytes]]) -> tuple[pa.Array, np.ndarray]:
+    """The pairs' different words, and the number of the pair of each word and class; that of no pair is ``len(pairs)``, also in a row more."""
+    word = pa.array([w for _, w in pairs], pa.binary()).dictionary_encode()
+    number = np.full((len(word.dictionary) + 1, CODES), len(pairs), np.int32)
+    number[word.indices.to_numpy(), [c for c, _ in pairs]] = np.arange(len(pairs))
+    return word.dictionary, number
+
+
 SCORED = ("row bigint, doc_id bigint, n_tokens bigint, known bigint, plain double, score double, n_bytes bigint, "
           "rest array<struct<class:int,word:binary,times:bigint,spelled:bigint>>")
 
@@ -552,36 +620,36 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: tuple[int, i
     n, v = int(total["n"]), int(total["v"])
     frequent = pairs.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "class", "word").limit(head).join(counts, "word").collect()
     kinds = [(r["class"], bytes(r["word"])) for r in frequent]
-    base = np.log10((np.array([r["c"] for r in frequent], float) + 1) / (n + v + 1)).tolist()
-    known = spark.sparkContext.broadcast(({p: (b, x) for p, b, x in zip(kinds, base, _costs(model, kinds).tolist())}, classes, chances))
+    base = np.log10((np.array([r["c"] for r in frequent], float) + 1) / (n + v + 1))
+    known = spark.sparkContext.broadcast((*_by_word(kinds), np.append(base, 0.0), np.append(_costs(model, kinds), 0.0), classes, chances))
     shared = spark.sparkContext.broadcast(model)
     del frequent, kinds, base
 
     def score(batches):
-        known_pairs, classes, chances = known.value
+        known_words, number, bases, costs, classes, chances = known.value
         worker_cache("none", dict)  # room for this step
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for b in slices(batch, "text", 256, 2 << 20):
-                names, ids, kind, sizes = numbered(b.column("text"), classes)
+            for b in slices(batch, "text", *SLICE):
+                names, ids, kind, sizes = _numbered(b.column("text"), classes)
                 starts = np.cumsum(sizes) - sizes
                 step, hit = _recalls(ids, len(names), sizes)
                 told = np.where(step >= 0, np.log10(np.where(hit, chances[step], 1 - chances[step])), 0.0)
-                pair, place = np.unique(ids * CODES + kind, return_inverse=True)
-                found = [known_pairs.get((c, names[i])) for i, c in zip((pair // CODES).tolist(), (pair % CODES).tolist())]
-                seen = np.array([f is not None for f in found])[place]
-                base, cost = np.array([f or (0.0, 0.0) for f in found])[place].T
+                row_of = pc.fill_null(pc.index_in(names, value_set=known_words), len(known_words)).to_numpy()
+                found = number[row_of[ids], kind]
+                seen, base, cost = found < len(bases) - 1, bases[found], costs[found]
                 add = lambda x: np.add.reduceat(x, starts)
                 lost = np.flatnonzero(~seen)
                 owner = np.repeat(np.arange(len(sizes)), sizes)[lost]
-                rest, which = np.unique(owner * len(pair) + place[lost], return_inverse=True)
-                text, code = rest // len(pair), pair[rest % len(pair)]
+                codes = len(names) * CODES
+                rest, which = np.unique(owner * codes + ids[lost] * CODES + kind[lost], return_inverse=True)
+                text, code = np.divmod(rest, codes)
                 ends = np.searchsorted(text, np.arange(len(sizes) + 1))
-                lists = [pa.array(code % CODES, pa.int32()), pa.array([names[i] for i in (code // CODES).tolist()], pa.binary()),
+                lists = [pa.array(code % CODES, pa.int32()), names.take(pa.array(code // CODES)),
                          pa.array(np.bincount(which, minlength=len(rest)), pa.int64()),
                          pa.array(np.bincount(which, ~hit[lost], len(rest)).astype(np.int64), pa.int64())]
                 rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(lists, ["class", "word", "times", "spelled"]))
-                length = np.array([len(w) for w in names])[ids]
+                length = pc.binary_length(names).to_numpy().astype(np.int64)[ids]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(sizes))), b.column("doc_id"), pa.array(sizes), pa.array(add(seen.astype(np.int64))),
                      pa.array(add(base)), pa.array(add(np.where(hit, 0.0, cost) + told)), pa.array(add(length) + sizes - 1), rest],

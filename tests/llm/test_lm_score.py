@@ -153,3 +153,51 @@ def test_numbered_places_are_the_keys():
                 if two:
                     followed[two] = w
         assert [(bool(s >= 0), bool(h)) for s, h in zip(step, hit)] == out
+
+
+def test_pairs_are_summed_in_the_order_of_the_texts():
+    import pyarrow as pa
+
+    from stillwater.llm.lm_score import _added, _by_word, _pair_rows
+    draw = random.Random(4)
+    rows = [[(draw.randrange(7), bytes([draw.randrange(97, 123)] * draw.randint(1, 3)), draw.randint(1, 9)) for _ in range(3000)] for _ in range(3)]
+    want: dict = {}
+    for c, w, n in (r for some in rows for r in some):
+        want[c, w] = want.get((c, w), 0) + n
+    batches = [_pair_rows(np.array([r[0] for r in some]), pa.array([r[1] for r in some], pa.binary()), np.array([r[2] for r in some])) for some in rows]
+    got = pa.Table.from_batches(_added(batches)).to_pydict()
+    assert list(zip(zip(got["class"], got["word"]), got["n"])) == list(want.items())
+    pairs = list(want)[:40]
+    words, number = _by_word(pairs)
+    words = words.to_pylist()
+    assert all(number[words.index(w), c] == i for i, (c, w) in enumerate(pairs))
+    assert (number < len(pairs)).sum() == len(pairs) and (number[-1] == len(pairs)).all()
+    assert _by_word([])[1].shape == (1, 8)
+
+
+def test_gates_learn_like_one_by_one():
+    """What a step gathers for the gates that it meets is what each decision tells."""
+    from stillwater.llm import lm_score as m
+    draw = random.Random(3)
+    pairs = [(draw.randrange(7), bytes(draw.choices(range(97, 105), k=draw.randint(1, 6)))) for _ in range(300)]
+    n = np.array([float(draw.randint(1, 1500)) for _ in pairs])
+    code = m.huffman(np.ones(256))
+    slots, branch, owner, place = m.spell(pairs, code)
+    counts = [np.zeros((2, 1 << b), np.float32) for b in m.BITS]
+    for t, s in zip(counts, slots):
+        np.add.at(t, (branch.astype(int), s), n[owner].astype(np.float32))
+    counts = m.in_tables(counts).counts
+    learner = m.Learner(code, counts)
+    learner.feed(pairs, n, step=len(branch))
+    curvature, slope = np.tile(m.STIFF * np.eye(m.PREDICTORS), (m.GATES, 1, 1)), np.zeros((m.GATES, m.PREDICTORS))
+    for i, b in enumerate(branch.tolist()):
+        seen = [[max(float(c[k, s[i]]) - (k == b), 0) for k in (0, 1)] for c, s in zip(counts, slots)]
+        x = np.array([np.log((one + m.PRIOR) / (zero + m.PRIOR)) for zero, one in seen])
+        gate = 0
+        for k in m.SEEN_BY:
+            gate = gate * 5 + sum(sum(seen[k]) >= least for least in (0.5, 1.5, 4.5, 20.5))
+        p, w = 1 / (1 + np.exp(-np.clip(m.START * x.sum(), -11.9, 11.9))), min(n[owner[i]], 1000)
+        curvature[gate] += p * (1 - p) * w * np.outer(x, x)
+        slope[gate] += (b - p) * w * x
+    assert np.allclose(learner.curvature, curvature, rtol=1e-4)
+    assert np.allclose(learner.weights, m.START + np.linalg.solve(curvature, slope[:, :, None])[:, :, 0], rtol=1e-3, atol=1e-4)
