@@ -10,8 +10,8 @@ the training documents, of the expected number of toxic tokens and of the larges
 The model is trained on a bounded sample: at most ``sample`` labelled documents of each class, those with the smallest
 hash of their id, and at most ``sample_bytes`` of text, of which each class can have half. A text that does not fit is
 passed over, those behind it are not; a class that has only larger texts gives the start of its smallest one. Of rows
-with the same id one text is used. The model has a fixed number of weights. Every text is scored whole, in
-one pass without a shuffle.
+with the same id one text is used. The model has a fixed number of weights and is trained in one task, so that the driver
+holds nothing but it. Every text is scored whole, in one pass without a shuffle.
 
 The recursions run as ratios of the two states' weights, a step of which is a fraction ``(a x + b) / (c x + d)``. Such
 steps compose like 2x2 matrices, so a batch of texts is one long chain that is cut into equal lanes: first every
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, fold, slices, worker_cache, words
+from .common import WORD, fold, release_memory, slices, worker_cache, words
 
 BUCKETS = 1 << 18
 
@@ -240,9 +240,19 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0),
     picked = F.broadcast(docs.sparkSession.createDataFrame(chosen, schema).select("doc_id", "toxic", "h", F.col("text").alias("_hash"), F.col("size").alias("_size")))
     cut = F.when(F.col("_size") > share, F.substring(text, 1, max(1, share // 4))).otherwise(text)
     rows = docs.select("doc_id", "text").join(picked, "doc_id").where(F.xxhash64(text) == F.col("_hash")).select("doc_id", "h", "toxic", cut.alias("text"))
-    got = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda x: (x["h"], x["doc_id"]))
-    toxic = np.array([x["toxic"] for x in got], int)
-    return train([words(x["text"]) for x in got], toxic)
+    one = rows.dropDuplicates(["doc_id"]).repartition(1)  # of at most 2 * sample rows and sample_bytes; the driver gets the model alone
+    parts = one.mapInArrow(_learned, "weights binary, chain binary, calibration binary").first()
+    weights, chain, calibration = (np.frombuffer(p) for p in parts)
+    return Model(weights, chain.reshape(2, 2), calibration)
+
+
+def _learned(batches):
+    """The model of all rows ``doc_id, h, toxic, text``, its arrays as bytes."""
+    got = sorted((x for b in batches for x in b.to_pylist()), key=lambda x: (x["h"], x["doc_id"]))
+    model = train([words(x["text"]) for x in got], np.array([x["toxic"] for x in got], int))
+    got.clear()
+    release_memory()
+    yield pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in model], list(Model._fields))
 
 
 def tag(spark: SparkSession, docs: DataFrame, model: Model | None, names: tuple[str, str] = ("tox_score", "tox_spans")) -> DataFrame:

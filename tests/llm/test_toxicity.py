@@ -77,3 +77,14 @@ def test_large_and_repeated_labelled_texts(spark, corpus):
     only = labels.where("toxic = 0").unionByName(spark.createDataFrame([(i, 1, 1, "x") for i in range(1000, 1012)], labels.schema))
     assert fit(huge, only, sample_bytes=100_000) is not None
     assert fit(docs, labels, sample=2) is not None
+
+
+def test_driver_gets_the_model_alone(spark, corpus, monkeypatch):
+    from stillwater.llm import toxicity
+
+    docs, labels = corpus[:2]
+    want = fit(docs, labels)
+    monkeypatch.setattr(toxicity, "train", None)  # of this process; tasks import their own
+    monkeypatch.setattr(toxicity, "words", None)
+    got = fit(docs, labels)
+    assert all(np.array_equal(a, b) for a, b in zip(want, got)) and got.chain.shape == (2, 2) and got.weights.any()
